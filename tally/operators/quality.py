@@ -31,7 +31,7 @@ def cnpj_audit(
     per_id = df.groupBy(cnpj, key).agg(
         F.count(F.lit(1)).alias("qtd_registros"), F.sum(value).alias("valor_total")
     )
-    return per_id.filter(~cnpj_is_valid(F.col(cnpj)))
+    return per_id.filter(~cnpj_is_valid(cnpj))
 
 
 def referential_audit(

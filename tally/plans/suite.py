@@ -60,7 +60,7 @@ def _sql_check(base: str, weights) -> str:
     total = " + ".join(
         f"CAST(substr({base}, {i + 1}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights)
     )
-    return f"(CASE WHEN 11 - (({total}) % 11) >= 10 THEN 0 ELSE 11 - (({total}) % 11) END)"
+    return f"((11 - (({total}) % 11)) % 11 % 10)"
 
 
 def sql_cnpj_valid(col: str) -> str:
@@ -83,7 +83,7 @@ sup_b AS (
   SELECT s.*, lpad(CAST(s.s_suppkey AS VARCHAR), 12, '0') AS b FROM supplier s),
 sup_d1 AS (SELECT *, {_D1} AS d1 FROM sup_b),
 sup_d2 AS (
-  SELECT *, CASE WHEN s_suppkey % 2 = 1 THEN ({_D2} + 1) % 10 ELSE {_D2} END AS d2
+  SELECT *, ({_D2} + s_suppkey % 2) % 10 AS d2
   FROM sup_d1),
 sup_c AS (SELECT *, b || CAST(d1 AS VARCHAR) || CAST(d2 AS VARCHAR) AS c14 FROM sup_d2),
 operadoras AS (
@@ -143,3 +143,835 @@ LIMIT 5
 def r07_top_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim, fact = dim_fact(spark, sf_dir)
     return edge(analytics.top_states(fact, dim, 5))
+
+
+# --------------------------------------------------------------------------
+# Shared derived inputs (Spark side) and their oracle CTEs.
+# --------------------------------------------------------------------------
+
+RAW_LEDGER_SQL = """
+raw_ledger AS (
+  SELECT l_orderkey, l_linenumber,
+         CAST(l_suppkey AS VARCHAR) AS REG_ANS,
+         CAST(l_partkey AS VARCHAR) AS CD_CONTA_CONTABIL,
+         CASE
+           WHEN l_linenumber = 1 THEN translate(format('{:,.2f}', CAST(l_extendedprice AS DECIMAL(15,2))), ',.', '.,')
+           WHEN l_linenumber = 2 THEN CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR)
+           WHEN l_linenumber = 3 THEN CAST(floor(CAST(l_extendedprice AS DECIMAL(15,2))) AS VARCHAR) || 'd'
+           WHEN l_linenumber = 4 THEN ''
+           WHEN l_linenumber = 5 THEN '-' || replace(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR), '.', ',')
+           ELSE replace(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR), '.', ',')
+         END AS VL_SALDO_FINAL,
+         CAST(year(l_shipdate) AS INTEGER) AS ano,
+         CAST(quarter(l_shipdate) AS INTEGER) AS trimestre
+  FROM lineitem)
+"""
+
+NUMERIC_SQL = r"'\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*'"
+
+
+def sql_parse_number(text: str, locale: str = "br") -> str:
+    norm = f"translate({text}, ',.', '.')" if locale == "br" else text
+    return (f"coalesce(CASE WHEN regexp_full_match({norm}, {NUMERIC_SQL}) "
+            f"THEN TRY_CAST(trim({norm}) AS DECIMAL(15,2)) END, CAST(0 AS DECIMAL(15,2)))")
+
+
+CONSOLIDATED_SQL = f"""
+consolidated AS (
+  SELECT REG_ANS AS RegistroANS, 'N/A' AS CNPJ, 'N/A' AS RazaoSocial,
+         ano AS Ano, trimestre AS Trimestre, v AS ValorDespesas
+  FROM (SELECT *, {sql_parse_number('VL_SALDO_FINAL')} AS v FROM raw_ledger
+        WHERE starts_with(CD_CONTA_CONTABIL, '4'))
+  WHERE v > 0)
+"""
+
+REGISTRY_SQL = """
+registry AS (
+  SELECT CAST(registro_ans AS VARCHAR) AS RegistroANS, cnpj AS CNPJ, razao_social AS RazaoSocial,
+         modalidade AS Modalidade, uf AS UF
+  FROM operadoras)
+"""
+
+
+def with_ctes(*ctes: str, body: str) -> str:
+    parts = [BASE_CTES.strip()] + [c.strip() for c in ctes]
+    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.tables import raw_ledger_from_testdata
+
+    return raw_ledger_from_testdata(spark, sf_dir)
+
+
+def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.consolidate import canonical_ledger, consolidate
+
+    raw = raw_ledger(spark, sf_dir).drop("l_orderkey", "l_linenumber")
+    return consolidate([canonical_ledger(raw, period_cols=("ano", "trimestre"))])
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = operators_from_testdata(spark, sf_dir)
+    return dim.select(
+        F.col("registro_ans").cast("string").alias("RegistroANS"),
+        F.col("cnpj").alias("CNPJ"), F.col("razao_social").alias("RazaoSocial"),
+        F.col("modalidade").alias("Modalidade"), F.col("uf").alias("UF"),
+    )
+
+
+def sql_half_up_ratio(num: str, den: str, factor: int = 100) -> str:
+    """Oracle: exact HALF_UP of ``num/den`` to 2 decimals as DOUBLE, for
+    integer ``num`` (already scaled to cents-like units) and positive ``den``."""
+    n = f"(CAST({num} AS HUGEINT) * {factor})"
+    d = f"CAST({den} AS HUGEINT)"
+    return (f"((CASE WHEN {n} >= 0 THEN (2 * {n} + {d}) // (2 * {d}) "
+            f"ELSE -((-2 * {n} + {d}) // (2 * {d})) END) / 100.0)")
+
+
+# --------------------------------------------------------------------------
+# Growth from first to last period.
+# --------------------------------------------------------------------------
+
+_GROWTH_BODY = """
+SELECT e.registro_ans, o.razao_social,
+       CAST(e.vi AS DOUBLE) AS valor_inicial,
+       CAST(e.vf AS DOUBLE) AS valor_final,
+       {growth} AS crescimento_pct
+FROM ends e JOIN operadoras o ON e.registro_ans = o.registro_ans
+WHERE e.vi > 0
+ORDER BY crescimento_pct DESC NULLS LAST, e.registro_ans
+LIMIT 5
+"""
+_GROWTH = sql_half_up_ratio("(e.vf - e.vi) * 100", "e.vi * 100", 10000)
+
+
+@register("r06_growth_top5", with_ctes("""
+lim AS (
+  SELECT registro_ans,
+         first_value(valor_despesa) OVER (PARTITION BY registro_ans ORDER BY data_referencia, valor_despesa) AS vi,
+         first_value(valor_despesa) OVER (PARTITION BY registro_ans ORDER BY data_referencia DESC, valor_despesa) AS vf
+  FROM despesas)""", """
+ends AS (SELECT DISTINCT registro_ans, vi, vf FROM lim)""", body=_GROWTH_BODY.format(growth=_GROWTH)))
+def r06_growth_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim, fact = dim_fact(spark, sf_dir)
+    return edge(analytics.growth_top(fact, dim, 5, grain="row"))
+
+
+@register("r06_growth_quarter_grain", with_ctes("""
+q AS (SELECT registro_ans, data_referencia, SUM(valor_despesa) AS v FROM despesas
+      GROUP BY registro_ans, data_referencia)""", """
+ends AS (SELECT registro_ans, arg_min(v, data_referencia) AS vi, arg_max(v, data_referencia) AS vf
+         FROM q GROUP BY registro_ans)""", body=_GROWTH_BODY.format(growth=_GROWTH)))
+def r06_growth_quarter_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim, fact = dim_fact(spark, sf_dir)
+    return edge(analytics.growth_top(fact, dim, 5, grain="quarter"))
+
+
+@register("c09_growth_guard", with_ctes("""
+q AS (SELECT registro_ans, data_referencia, SUM(valor_despesa) AS v FROM despesas
+      GROUP BY registro_ans, data_referencia)""", """
+e AS (SELECT registro_ans, arg_min(v, data_referencia) AS vi, arg_max(v, data_referencia) AS vf
+      FROM q GROUP BY registro_ans)""", body=f"""
+SELECT registro_ans, CAST(vi AS DOUBLE) AS valor_inicial, CAST(vf AS DOUBLE) AS valor_final,
+       CASE WHEN vi = 0 THEN NULL ELSE {_GROWTH} END AS crescimento_pct
+FROM e
+"""))
+def c09_growth_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact = dim_fact(spark, sf_dir)
+    return edge(analytics.growth_all(fact, grain="quarter"))
+
+
+# --------------------------------------------------------------------------
+# Operators above the period mean at least twice.
+# --------------------------------------------------------------------------
+
+_ABOVE = """
+m AS (SELECT ano, trimestre, SUM(valor_despesa) AS s, COUNT(*) AS n FROM despesas GROUP BY ano, trimestre),
+p AS (SELECT d.registro_ans, d.ano, d.trimestre,
+             CASE WHEN d.valor_despesa * m.n > m.s THEN 1 ELSE 0 END AS acima
+      FROM despesas d JOIN m ON d.ano = m.ano AND d.trimestre = m.trimestre)
+"""
+
+
+@register("r08_above_mean_rows", with_ctes(_ABOVE, body="""
+SELECT p.registro_ans, o.razao_social, CAST(SUM(p.acima) AS BIGINT) AS qtd_trimestres_acima
+FROM p JOIN operadoras o ON p.registro_ans = o.registro_ans
+GROUP BY p.registro_ans, o.razao_social
+HAVING SUM(p.acima) >= 2
+"""))
+def r08_above_mean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim, fact = dim_fact(spark, sf_dir)
+    return analytics.above_mean(fact, dim, 2, count="rows")
+
+
+@register("r08_above_mean_quarters", with_ctes(_ABOVE, body="""
+SELECT p.registro_ans, o.razao_social,
+       COUNT(DISTINCT CASE WHEN p.acima = 1 THEN p.ano * 10 + p.trimestre END) AS qtd_trimestres_acima
+FROM p JOIN operadoras o ON p.registro_ans = o.registro_ans
+GROUP BY p.registro_ans, o.razao_social
+HAVING COUNT(DISTINCT CASE WHEN p.acima = 1 THEN p.ano * 10 + p.trimestre END) >= 2
+"""))
+def r08_above_mean_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim, fact = dim_fact(spark, sf_dir)
+    return analytics.above_mean(fact, dim, 2, count="quarters")
+
+
+# --------------------------------------------------------------------------
+# Aggregations (A1-A10) and the served KPIs.
+# --------------------------------------------------------------------------
+
+@register("a01_operator_profile", with_ctes(body=f"""
+SELECT d.registro_ans, o.cnpj, o.razao_social, o.uf,
+       CAST(SUM(d.valor_despesa) AS DOUBLE) AS valor_total,
+       {sql_half_up_ratio("SUM(d.valor_despesa) * 100", "COUNT(*)", 1)} AS media,
+       round(coalesce(stddev_samp(d.valor_despesa), 0), 4) AS desvio_padrao,
+       COUNT(*) AS qtd_registros
+FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
+GROUP BY d.registro_ans, o.cnpj, o.razao_social, o.uf
+"""))
+def a01_operator_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.aggregates import operator_profile
+
+    dim, fact = dim_fact(spark, sf_dir)
+    prof = operator_profile(fact, ["registro_ans"], "valor_despesa",
+                            names=("valor_total", "_avg", "_std", "qtd_registros"))
+    named = prof.join(dim.select("registro_ans", "cnpj", "razao_social", "uf"), "registro_ans")
+    return edge(named.select(
+        "registro_ans", "cnpj", "razao_social", "uf", "valor_total",
+        F.round(F.col("valor_total") / F.col("qtd_registros").cast("decimal(20,0)"), 2).alias("media"),
+        F.round("_std", 4).alias("desvio_padrao"), "qtd_registros",
+    ))
+
+
+@register("a02_singleton_std", """
+SELECT o_custkey, COUNT(*) AS qtd,
+       round(coalesce(stddev_samp(o_totalprice), 0), 4) AS desvio_padrao
+FROM orders GROUP BY o_custkey
+""")
+def a02_singleton_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.tables import read_table
+
+    orders = read_table(spark, sf_dir, "orders")
+    return orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("qtd"),
+        F.round(F.coalesce(F.stddev_samp("o_totalprice"), F.lit(0.0)), 4).alias("desvio_padrao"),
+    )
+
+
+@register("a05_period_mean", with_ctes(body=f"""
+SELECT ano, trimestre, CAST(SUM(valor_despesa) AS DOUBLE) AS period_sum, COUNT(*) AS period_rows,
+       {sql_half_up_ratio("SUM(valor_despesa) * 100", "COUNT(*)", 1)} AS media_geral
+FROM despesas GROUP BY ano, trimestre
+"""))
+def a05_period_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.aggregates import period_mean
+
+    _, fact = dim_fact(spark, sf_dir)
+    return edge(period_mean(fact))
+
+
+@register("a07_global_total", with_ctes(body="""
+SELECT CAST(coalesce(SUM(valor_despesa), 0) AS DOUBLE) AS total_despesas FROM despesas
+"""))
+def a07_global_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.aggregates import global_total
+
+    _, fact = dim_fact(spark, sf_dir)
+    return edge(global_total(fact))
+
+
+@register("a08_mean_of_totals", with_ctes(body=f"""
+t AS (SELECT registro_ans, SUM(valor_despesa) AS total FROM despesas GROUP BY registro_ans)
+SELECT coalesce({sql_half_up_ratio("SUM(total) * 100", "COUNT(*)", 1)}, 0) AS media_por_operadora FROM t
+""").replace("\nt AS", ",\nt AS", 1))
+def a08_mean_of_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.aggregates import mean_of_totals
+
+    _, fact = dim_fact(spark, sf_dir)
+    return edge(mean_of_totals(fact))
+
+
+@register("a10_top_operators", with_ctes(body="""
+SELECT o.registro_ans, o.razao_social, CAST(SUM(d.valor_despesa) AS DOUBLE) AS total
+FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
+GROUP BY o.registro_ans, o.razao_social
+ORDER BY SUM(d.valor_despesa) DESC, o.registro_ans
+LIMIT 5
+"""))
+def a10_top_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import top_operators
+
+    dim, fact = dim_fact(spark, sf_dir)
+    return edge(top_operators(fact, dim, 5))
+
+
+@register("a03_top_states", with_ctes(body="""
+SELECT o.uf, CAST(SUM(d.valor_despesa) AS DOUBLE) AS total
+FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
+WHERE o.uf IS NOT NULL
+GROUP BY o.uf
+ORDER BY SUM(d.valor_despesa) DESC, o.uf
+LIMIT 10
+"""))
+def a03_top_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import top_state_totals
+
+    dim, fact = dim_fact(spark, sf_dir)
+    return edge(top_state_totals(fact, dim, 10))
+
+
+@register("r05_chart_series", with_ctes(body="""
+t AS (SELECT o.uf, SUM(d.valor_despesa) AS total
+      FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
+      WHERE o.uf IS NOT NULL GROUP BY o.uf ORDER BY total DESC, o.uf LIMIT 10)
+SELECT CAST(row_number() OVER (ORDER BY total DESC, uf) - 1 AS INTEGER) AS pos,
+       uf AS label, CAST(total AS DOUBLE) AS value
+FROM t
+""").replace("\nt AS", ",\nt AS", 1))
+def r05_chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import chart_series
+
+    dim, fact = dim_fact(spark, sf_dir)
+    series = chart_series(fact, dim, 10)
+    return series.select(F.posexplode(F.arrays_zip("labels", "values")).alias("pos", "z")).select(
+        "pos", F.col("z.labels").alias("label"), F.col("z.values").alias("value")
+    )
+
+
+# --------------------------------------------------------------------------
+# Served listing / detail / history (R1-R3: F4, A9, T3, F5, T4, C11).
+# --------------------------------------------------------------------------
+
+SEARCH_TERM = "0001"
+DETAIL_KEY = 4
+
+
+def detail_argument(key: int = DETAIL_KEY) -> str:
+    """A formatted tax id of an existing operator (even key -> valid digits)."""
+    from ..functions.taxid import cnpj_check_digits_py
+
+    base = f"{key:012d}"
+    d = base + cnpj_check_digits_py(base)
+    return f"{d[:2]}.{d[2:5]}.{d[5:8]}/{d[8:12]}-{d[12:]}"
+
+
+@register("t03_listing_page", with_ctes(body=f"""
+SELECT registro_ans, cnpj, razao_social, uf FROM operadoras
+WHERE razao_social ILIKE '%{SEARCH_TERM}%' OR cnpj ILIKE '%{SEARCH_TERM}%'
+ORDER BY registro_ans LIMIT 10 OFFSET 10
+"""))
+def t03_listing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import listing_rows
+
+    dim = operators_from_testdata(spark, sf_dir)
+    return listing_rows(dim, SEARCH_TERM, page_no=2, limit=10)
+
+
+@register("a09_listing_total", with_ctes(body=f"""
+SELECT COUNT(*) AS total FROM operadoras
+WHERE razao_social ILIKE '%{SEARCH_TERM}%' OR cnpj ILIKE '%{SEARCH_TERM}%'
+"""))
+def a09_listing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import listing_total
+
+    return listing_total(operators_from_testdata(spark, sf_dir), SEARCH_TERM)
+
+
+@register("r02_detail", with_ctes(body=f"""
+SELECT registro_ans, cnpj, razao_social, uf, modalidade FROM operadoras
+WHERE regexp_replace(cnpj, '[^0-9]', '', 'g') = regexp_replace('{detail_argument()}', '[^0-9]', '', 'g')
+ORDER BY registro_ans LIMIT 1
+"""))
+def r02_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import operator_detail
+
+    return operator_detail(operators_from_testdata(spark, sf_dir), detail_argument())
+
+
+@register("r03_history", with_ctes(body=f"""
+SELECT d.ano, d.trimestre, strftime(d.data_referencia, '%Y-%m-%d') AS data_referencia,
+       CAST(d.valor_despesa AS DOUBLE) AS valor_despesa
+FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
+WHERE regexp_replace(o.cnpj, '[^0-9]', '', 'g') = regexp_replace('{detail_argument()}', '[^0-9]', '', 'g')
+ORDER BY d.data_referencia DESC, d.valor_despesa DESC
+"""))
+def r03_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import expense_history
+
+    dim, fact = dim_fact(spark, sf_dir)
+    return expense_history(fact, dim, detail_argument())
+
+
+# --------------------------------------------------------------------------
+# Pipelines: consolidation (R9), enrichment + mart (R10), warehouse fact.
+# --------------------------------------------------------------------------
+
+@register("r09_consolidate", with_ctes(RAW_LEDGER_SQL, CONSOLIDATED_SQL, body="""
+SELECT RegistroANS, CNPJ, RazaoSocial, Ano, Trimestre, CAST(ValorDespesas AS DOUBLE) AS ValorDespesas
+FROM consolidated
+"""))
+def r09_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edge(consolidated(spark, sf_dir))
+
+
+_MART_SQL = f"""
+SELECT c.RegistroANS,
+       coalesce(r.CNPJ, 'N/A') AS CNPJ,
+       coalesce(r.RazaoSocial, 'Operadora ' || c.RegistroANS || ' Desconhecida') AS RazaoSocial,
+       coalesce(r.UF, 'N/A') AS UF,
+       CAST(SUM(c.ValorDespesas) AS DOUBLE) AS ValorTotal,
+       {sql_half_up_ratio("SUM(c.ValorDespesas) * 100", "COUNT(*)", 1)} AS MediaTrimestral,
+       round(coalesce(stddev_samp(c.ValorDespesas), 0), 2) AS DesvioPadrao,
+       COUNT(c.ValorDespesas) AS QtdRegistros
+FROM consolidated c LEFT JOIN registry r ON c.RegistroANS = r.RegistroANS
+WHERE c.RegistroANS IS NOT NULL
+GROUP BY 1, 2, 3, 4
+"""
+
+
+@register("r10_mart", with_ctes(RAW_LEDGER_SQL, CONSOLIDATED_SQL, REGISTRY_SQL, body=_MART_SQL))
+def r10_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.mart import operator_mart
+
+    return edge(operator_mart(consolidated(spark, sf_dir), registry(spark, sf_dir)))
+
+
+@register("r11_fact", with_ctes(RAW_LEDGER_SQL, CONSOLIDATED_SQL, body="""
+SELECT CAST(c.RegistroANS AS BIGINT) AS registro_ans, c.Ano AS ano, c.Trimestre AS trimestre,
+       make_date(c.Ano, (c.Trimestre - 1) * 3 + 1, 1) AS data_referencia,
+       CAST(c.ValorDespesas AS DOUBLE) AS valor_despesa
+FROM consolidated c JOIN operadoras o ON CAST(c.RegistroANS AS BIGINT) = o.registro_ans
+"""))
+def r11_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.warehouse import load_dimension, load_fact
+
+    staging = consolidated(spark, sf_dir).withColumn(
+        "ValorDespesas", F.replace(F.col("ValorDespesas").cast("string"), F.lit("."), F.lit(","))
+    )
+    dim, _ = load_dimension(registry(spark, sf_dir))
+    return edge(load_fact(staging, dim))
+
+
+@register("j01_left_enrich", with_ctes(RAW_LEDGER_SQL, CONSOLIDATED_SQL, REGISTRY_SQL, body=f"""
+SELECT c.RegistroANS, c.Ano, c.Trimestre, CAST(c.ValorDespesas AS DOUBLE) AS ValorDespesas,
+       coalesce(r.CNPJ, 'N/A') AS CNPJ,
+       coalesce(r.RazaoSocial, 'Operadora ' || c.RegistroANS || ' Desconhecida') AS RazaoSocial,
+       coalesce(r.UF, 'N/A') AS UF, r.Modalidade,
+       {sql_cnpj_valid("coalesce(r.CNPJ, 'N/A')")} AS CNPJ_Valido
+FROM consolidated c LEFT JOIN registry r ON c.RegistroANS = r.RegistroANS
+"""))
+def j01_left_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.mart import enriched_ledger
+
+    led = consolidated(spark, sf_dir)
+    return edge(enriched_ledger(led, registry(spark, sf_dir)).select(
+        "RegistroANS", "Ano", "Trimestre", "ValorDespesas", "CNPJ", "RazaoSocial", "UF",
+        "Modalidade", "CNPJ_Valido"))
+
+
+@register("j02_key_clean", r"""
+SELECT l_orderkey, l_linenumber, k AS raw_key,
+       regexp_replace(regexp_replace(k, '^\s+|\s+$', '', 'g'), '\.0$', '') AS clean_key
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE l_returnflag WHEN 'A' THEN ' ' || CAST(l_suppkey AS VARCHAR) || '.0 '
+                               WHEN 'R' THEN CAST(l_suppkey AS VARCHAR) || '.0'
+                               ELSE chr(9) || CAST(l_suppkey AS VARCHAR) END AS k
+      FROM lineitem)
+""")
+def j02_key_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.text import clean_key
+    from ..sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem")
+    key = F.col("l_suppkey").cast("string")
+    raw = (F.when(F.col("l_returnflag") == "A", F.concat(F.lit(" "), key, F.lit(".0 ")))
+           .when(F.col("l_returnflag") == "R", F.concat(key, F.lit(".0")))
+           .otherwise(F.concat(F.lit("\t"), key)))
+    return li.select("l_orderkey", "l_linenumber", raw.alias("raw_key")).withColumn(
+        "clean_key", clean_key(F.col("raw_key")))
+
+
+@register("v03_orphans", with_ctes(body="""
+SELECT COUNT(*) AS orphan_rows, CAST(coalesce(SUM(valor_despesa), 0) AS DOUBLE) AS orphan_value
+FROM despesas d WHERE NOT EXISTS (SELECT 1 FROM operadoras o WHERE o.registro_ans = d.registro_ans)
+"""))
+def v03_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import referential_audit
+
+    dim, fact = dim_fact(spark, sf_dir)
+    return edge(referential_audit(fact, dim))
+
+
+@register("v01_cnpj_valid", with_ctes(body=f"""
+SELECT registro_ans, cnpj, {sql_cnpj_valid('cnpj')} AS cnpj_valido FROM operadoras
+"""))
+def v01_cnpj_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.taxid import cnpj_is_valid
+
+    dim = operators_from_testdata(spark, sf_dir)
+    return dim.select("registro_ans", "cnpj", cnpj_is_valid("cnpj").alias("cnpj_valido"))
+
+
+@register("v02_cnpj_audit", with_ctes(body=f"""
+SELECT o.cnpj, d.registro_ans, COUNT(*) AS qtd_registros,
+       CAST(SUM(d.valor_despesa) AS DOUBLE) AS valor_total
+FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
+GROUP BY o.cnpj, d.registro_ans
+HAVING NOT {sql_cnpj_valid('o.cnpj')}
+"""))
+def v02_cnpj_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import cnpj_audit
+
+    dim, fact = dim_fact(spark, sf_dir)
+    per_op = fact.groupBy("registro_ans").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("valor_despesa").alias("_v"))
+    named = per_op.join(dim.select("registro_ans", "cnpj"), "registro_ans")
+    # per-operator partials are re-summed per tax id: exact, and the check
+    # runs once per operator
+    audit = cnpj_audit(named, "cnpj", "registro_ans", "_v")
+    return edge(audit.select("cnpj", "registro_ans", "valor_total").join(
+        named.groupBy("cnpj", "registro_ans").agg(F.sum("_n").alias("qtd_registros")),
+        ["cnpj", "registro_ans"]).select(
+        "cnpj", "registro_ans", F.col("qtd_registros").cast("bigint").alias("qtd_registros"),
+        "valor_total"))
+
+
+@register("v04_quarantine", """
+SELECT reason, COUNT(*) AS n_rows
+FROM (SELECT CASE WHEN o_custkey IS NULL THEN 'null_key'
+                  WHEN COUNT(*) OVER (PARTITION BY o_custkey) > 1 THEN 'duplicate_key'
+                  ELSE 'clean' END AS reason
+      FROM orders)
+GROUP BY reason
+""")
+def v04_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.quality import quarantine
+    from ..sources.tables import read_table
+
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    clean, bad = quarantine(orders, ["o_custkey"])
+    both = clean.withColumn("reason", F.lit("clean")).unionByName(bad)
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --------------------------------------------------------------------------
+# Sets (X1-X3) and filters (F1, F2).
+# --------------------------------------------------------------------------
+
+@register("x01_union", """
+SELECT 'lineitem' AS source, l_suppkey AS registro, CAST(l_partkey AS VARCHAR) AS conta,
+       CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS DOUBLE) AS valor
+FROM lineitem
+UNION ALL
+SELECT 'orders' AS source, o_custkey AS registro, NULL AS conta,
+       CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS valor
+FROM orders
+""")
+def x01_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.sets import union_all
+    from ..sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.lit("lineitem").alias("source"), F.col("l_suppkey").alias("registro"),
+        F.col("l_partkey").cast("string").alias("conta"),
+        F.col("l_extendedprice").cast("decimal(15,2)").alias("valor"))
+    od = read_table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("source"), F.col("o_custkey").alias("registro"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("valor"))
+    return edge(union_all([li, od]))
+
+
+@register("x02_keep_first", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+      FROM orders)
+WHERE rn = 1
+""")
+def x02_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.sets import keep_first
+    from ..sources.tables import read_table
+
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return keep_first(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@register("x03_distinct", with_ctes(body="""
+SELECT DISTINCT registro_ans, ano, trimestre, data_referencia FROM despesas
+"""))
+def x03_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.sets import distinct_rows
+
+    _, fact = dim_fact(spark, sf_dir)
+    return distinct_rows(fact, ["registro_ans", "ano", "trimestre", "data_referencia"])
+
+
+@register("f01_prefix", """
+SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS Conta FROM lineitem
+WHERE starts_with(CAST(l_partkey AS VARCHAR), '4')
+""")
+def f01_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.filters import account_prefix
+    from ..sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("Conta"))
+    return account_prefix(li, "Conta", "4")
+
+
+@register("f02_positive", """
+SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0
+""")
+def f02_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.filters import positive
+    from ..sources.tables import read_table
+
+    return positive(read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"),
+                    "c_acctbal")
+
+
+# --------------------------------------------------------------------------
+# Scalar functions over table-derived text.
+# --------------------------------------------------------------------------
+
+@register("c01_number_br", with_ctes(RAW_LEDGER_SQL, body=f"""
+SELECT l_orderkey, l_linenumber, VL_SALDO_FINAL,
+       CAST({sql_parse_number('VL_SALDO_FINAL', 'br')} AS DOUBLE) AS valor
+FROM raw_ledger
+"""))
+def c01_number_br(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.numbers import parse_number
+
+    raw = raw_ledger(spark, sf_dir)
+    return edge(raw.select("l_orderkey", "l_linenumber", "VL_SALDO_FINAL",
+                           parse_number(F.col("VL_SALDO_FINAL"), "br").alias("valor")))
+
+
+@register("c02_number_plain", with_ctes(RAW_LEDGER_SQL, body=f"""
+SELECT l_orderkey, l_linenumber, VL_SALDO_FINAL,
+       CAST({sql_parse_number('VL_SALDO_FINAL', 'plain')} AS DOUBLE) AS valor
+FROM raw_ledger
+"""))
+def c02_number_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.numbers import parse_number
+
+    raw = raw_ledger(spark, sf_dir)
+    return edge(raw.select("l_orderkey", "l_linenumber", "VL_SALDO_FINAL",
+                           parse_number(F.col("VL_SALDO_FINAL"), "plain").alias("valor")))
+
+
+@register("c03_decimal", """
+SELECT l_orderkey, l_linenumber, t,
+       CAST(TRY_CAST(replace(t, ',', '.') AS DECIMAL(15,2)) AS DOUBLE) AS valor
+FROM (SELECT l_orderkey, l_linenumber,
+             replace(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR), '.', ',')
+               || CAST(l_linenumber AS VARCHAR) AS t
+      FROM lineitem)
+""")
+def c03_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.numbers import comma_decimal
+    from ..sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem")
+    text = F.concat(F.replace(F.col("l_extendedprice").cast("decimal(15,2)").cast("string"),
+                              F.lit("."), F.lit(",")), F.col("l_linenumber").cast("string"))
+    return edge(li.select("l_orderkey", "l_linenumber", text.alias("t")).withColumn(
+        "valor", comma_decimal(F.col("t"))))
+
+
+@register("c04_digits", with_ctes(body="""
+SELECT registro_ans, CAST(NULLIF(regexp_replace(cnpj, '[^0-9]', '', 'g'), '') AS BIGINT) AS cnpj_digits
+FROM operadoras
+"""))
+def c04_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.text import digits_key
+
+    dim = operators_from_testdata(spark, sf_dir)
+    return dim.select("registro_ans", digits_key(F.col("cnpj")).alias("cnpj_digits"))
+
+
+@register("h01_header_normalise", """
+SELECT p_partkey,
+       replace(replace(translate(upper(trim(p_name)), 'ÇÃÕ', 'CAO'), ' ', '_'), '.', '') AS header
+FROM part
+""")
+def h01_header_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.text import normalise_header_col
+    from ..sources.tables import read_table
+
+    part = read_table(spark, sf_dir, "part")
+    return part.select("p_partkey", normalise_header_col(F.col("p_name")).alias("header"))
+
+
+@register("c07_state", """
+SELECT s.s_suppkey AS registro_ans, r AS uf_raw, left(NULLIF(r, 'N/A'), 2) AS uf
+FROM (SELECT s_suppkey, CASE WHEN s_nationkey = 0 THEN 'N/A' ELSE n.n_name END AS r
+      FROM supplier LEFT JOIN nation n ON s_nationkey = n.n_nationkey) s
+""")
+def c07_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.text import state_code
+    from ..sources.tables import read_table
+
+    sup = read_table(spark, sf_dir, "supplier")
+    nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey, "left")
+    raw = F.when(F.col("s_nationkey") == 0, F.lit("N/A")).otherwise(F.col("n_name"))
+    return j.select(F.col("s_suppkey").alias("registro_ans"), raw.alias("uf_raw")).withColumn(
+        "uf", state_code(F.col("uf_raw")))
+
+
+@register("c08_quarter_start", """
+SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(quarter(l_shipdate) AS INTEGER) AS trimestre,
+       make_date(CAST(year(l_shipdate) AS INTEGER), (CAST(quarter(l_shipdate) AS INTEGER) - 1) * 3 + 1, 1)
+         AS data_referencia
+FROM lineitem
+""")
+def c08_quarter_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact = dim_fact(spark, sf_dir)
+    return fact.select("ano", "trimestre", "data_referencia").distinct()
+
+
+@register("c11_edge_types", with_ctes(body="""
+SELECT registro_ans, ano, trimestre, strftime(data_referencia, '%Y-%m-%d') AS data_referencia,
+       CAST(valor_despesa AS DOUBLE) AS valor_despesa
+FROM despesas
+"""))
+def c11_edge_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.dates import date_text
+
+    _, fact = dim_fact(spark, sf_dir)
+    return fact.select("registro_ans", "ano", "trimestre",
+                       date_text(F.col("data_referencia")).alias("data_referencia"),
+                       F.col("valor_despesa").cast("double").alias("valor_despesa"))
+
+
+@register("s10_null_tokens", """
+SELECT l_orderkey, l_linenumber, t,
+       CASE WHEN t IN ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan',
+                       '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a',
+                       'nan', 'null') THEN NULL ELSE t END AS valor
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE l_linenumber WHEN 1 THEN 'NA' WHEN 2 THEN 'NULL' WHEN 3 THEN 'None'
+                               WHEN 4 THEN '' WHEN 5 THEN 'N/A' ELSE l_returnflag END AS t
+      FROM lineitem)
+""")
+def s10_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.text import null_tokens
+    from ..sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    t = (F.when(ln == 1, "NA").when(ln == 2, "NULL").when(ln == 3, "None").when(ln == 4, "")
+         .when(ln == 5, "N/A").otherwise(F.col("l_returnflag")))
+    return li.select("l_orderkey", "l_linenumber", t.alias("t")).withColumn(
+        "valor", null_tokens(F.col("t")))
+
+
+# --------------------------------------------------------------------------
+# Links over the pages table.
+# --------------------------------------------------------------------------
+
+_LINKS_SQL = r"""
+l AS (SELECT page_id, url,
+             list_transform(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"', 1),
+                            lambda h: replace(h, '&amp;', '&')) AS hs
+      FROM pages),
+x AS (SELECT page_id, url, unnest(hs) AS href, unnest(range(len(hs))) AS pos FROM l),
+links AS (SELECT page_id, url, CAST(pos AS INTEGER) AS pos, href FROM x
+          WHERE href <> '' AND href <> '../' AND NOT starts_with(href, '?'))
+"""
+
+
+@register("s01_links", "WITH " + _LINKS_SQL.strip() + "\nSELECT page_id, url, pos, href FROM links")
+def s01_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.links import extract_links
+    from ..sources.tables import read_table
+
+    return extract_links(read_table(spark, sf_dir, "pages"))
+
+
+@register("s02_resolve", "WITH " + _LINKS_SQL.strip() + r"""
+SELECT page_id, pos,
+       CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+            WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)', 1) || href
+            WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)', 1)
+                 || '//' || regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)', 2) || href
+       END AS absolute_url
+FROM links
+""")
+def s02_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.links import extract_links, resolve
+    from ..sources.tables import read_table
+
+    links = extract_links(read_table(spark, sf_dir, "pages"))
+    return links.select("page_id", "pos", resolve(F.col("url"), F.col("href")).alias("absolute_url"))
+
+
+PICK_KEYWORDS = ("the",)
+
+
+@register("s03_pick", r"""
+SELECT page_id,
+       coalesce(list_filter(list_transform(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"', 1),
+                                           lambda h: replace(h, '&amp;', '&')),
+                            lambda h: h <> '' AND h <> '../' AND NOT starts_with(h, '?')
+                                 AND contains(lower(h), 'the'))[1], 'N/A') AS picked
+FROM pages
+""")
+def s03_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.links import link_array, pick_link
+    from ..sources.tables import read_table
+
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", pick_link(link_array(F.col("html")), PICK_KEYWORDS, "all",
+                                             fallback="N/A").alias("picked"))
+
+
+_PERIOD_LINKS_SQL = r"""
+pl AS (SELECT l_orderkey, l_linenumber,
+              CASE l_returnflag
+                WHEN 'R' THEN CAST(year(l_shipdate) AS VARCHAR) || '/' || CAST(quarter(l_shipdate) AS VARCHAR)
+                              || 't' || CAST(year(l_shipdate) AS VARCHAR) || '.zip'
+                WHEN 'N' THEN CAST(year(l_shipdate) AS VARCHAR) || '/' || CAST(quarter(l_shipdate) AS VARCHAR)
+                              || 'T' || CAST(year(l_shipdate) AS VARCHAR) || '.zip'
+                ELSE 'leia-me.txt' END AS link
+       FROM lineitem),
+pp AS (SELECT l_orderkey, l_linenumber, link,
+              CAST(NULLIF(regexp_extract(link, '(\d{4})', 1), '') AS INTEGER) AS ano,
+              CAST(NULLIF(regexp_extract(link, '(?i)(\d)T', 1), '') AS INTEGER) AS trimestre
+       FROM pl)
+"""
+
+
+def period_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem")
+    y = F.year("l_shipdate").cast("string")
+    q = F.quarter("l_shipdate").cast("string")
+    link = (F.when(F.col("l_returnflag") == "R", F.concat(y, F.lit("/"), q, F.lit("t"), y, F.lit(".zip")))
+            .when(F.col("l_returnflag") == "N", F.concat(y, F.lit("/"), q, F.lit("T"), y, F.lit(".zip")))
+            .otherwise(F.lit("leia-me.txt")))
+    return li.select("l_orderkey", "l_linenumber", link.alias("link"))
+
+
+@register("s04_period", "WITH " + _PERIOD_LINKS_SQL.strip() + """
+SELECT l_orderkey, l_linenumber, link, ano, trimestre FROM pp
+WHERE ano IS NOT NULL AND trimestre IS NOT NULL
+""")
+def s04_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.links import with_period
+
+    return with_period(period_links(spark, sf_dir), "link")
+
+
+@register("s05_latest_periods", "WITH " + _PERIOD_LINKS_SQL.strip() + """
+SELECT DISTINCT ano, trimestre FROM pp WHERE ano IS NOT NULL AND trimestre IS NOT NULL
+ORDER BY ano DESC, trimestre DESC LIMIT 3
+""")
+def s05_latest_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.links import latest_periods, with_period
+
+    return latest_periods(with_period(period_links(spark, sf_dir), "link"), 3)

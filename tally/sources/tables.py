@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import quarter_start
 from ..functions.numbers import MONEY
-from ..functions.taxid import WEIGHTS_1, WEIGHTS_2, check_digit, format_cnpj
+from ..functions.taxid import cnpj_from_key_sql
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -28,23 +28,36 @@ TABLES = (
 )
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table.
+
+    The lazy scan is remembered per session and path, so composing many
+    queries over the same read-only tables lists files and reads parquet
+    footers once; no data is cached.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
-def synthetic_cnpj(key: F.Column) -> F.Column:
-    """Formatted tax id built from an integer key.
+def with_synthetic_cnpj(df: DataFrame, key: str, out: str = "cnpj") -> DataFrame:
+    """Add a formatted tax id built from an integer key column.
 
     Base = the key left-padded to 12 digits; the check digits are correct for
     even keys and the second one is deliberately wrong for odd keys, so the
-    validity check has both outcomes on every scale of data.
+    validity check has both outcomes on every scale of data. Integer
+    arithmetic on the key, staged so each check digit is computed once.
     """
-    base = F.lpad(key.cast("string"), 12, "0")
-    d1 = check_digit(base, WEIGHTS_1)
-    d2 = check_digit(F.concat(base, d1.cast("string")), WEIGHTS_2)
-    d2 = F.when(key % 2 == 1, (d2 + 1) % 10).otherwise(d2)
-    return format_cnpj(F.concat(base, d1.cast("string"), d2.cast("string")))
+    d1, d2, fmt = cnpj_from_key_sql(f"`{key}`", spoil_odd=True)
+    staged = df.withColumn("_d1", F.expr(d1)).withColumn("_d2", F.expr(d2))
+    return staged.withColumn(out, F.expr(fmt)).drop("_d1", "_d2")
 
 
 def operators_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +72,10 @@ def operators_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
     joined = supplier.join(F.broadcast(geo), supplier.s_nationkey == geo.n_nationkey, "left")
+    joined = with_synthetic_cnpj(joined, "s_suppkey")
     return joined.select(
         F.col("s_suppkey").alias("registro_ans"),
-        synthetic_cnpj(F.col("s_suppkey")).alias("cnpj"),
+        F.col("cnpj"),
         F.col("s_name").alias("razao_social"),
         F.col("r_name").alias("modalidade"),
         F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("uf"),
