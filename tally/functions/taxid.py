@@ -66,20 +66,21 @@ def cnpj_is_valid(column: str) -> Column:
     return F.expr(cnpj_valid_sql(_quote(column)))
 
 
-def cnpj_from_key_sql(key_sql: str, spoil_odd: bool = False) -> tuple[str, str, str]:
+def cnpj_from_key_sql(key_sql: str, spoil_sql: str | None = None) -> tuple[str, str, str]:
     """SQL text ``(d1, d2, formatted)`` for the tax id whose 12-digit base is
     an integer key, computed arithmetically (digit i = key div 10^(12-i) mod 10).
 
     ``formatted`` refers to columns ``_d1`` and ``_d2`` that the caller
-    projects from the first two texts.
+    projects from the first two texts. ``spoil_sql`` (0 or 1 per row) is
+    added to the second check digit to make some ids invalid on purpose.
     """
     digit = [f"(({key_sql} div {10 ** (11 - i)}) % 10)" for i in range(12)]
     s1 = " + ".join(f"{w} * {digit[i]}" for i, w in enumerate(WEIGHTS_1))
     d1 = f"((11 - (({s1}) % 11)) % 11 % 10)"
     s2 = " + ".join(f"{w} * {digit[i]}" for i, w in enumerate(WEIGHTS_2[:12]))
     d2 = f"((11 - (({s2} + {WEIGHTS_2[12]} * _d1) % 11)) % 11 % 10)"
-    if spoil_odd:
-        d2 = f"(({d2} + {key_sql} % 2) % 10)"
+    if spoil_sql:
+        d2 = f"(({d2} + {spoil_sql}) % 10)"
 
     def part(div: int, mod: int, width: int) -> str:
         return f"lpad(CAST(({key_sql} div {div}) % {mod} AS STRING), {width}, '0')"

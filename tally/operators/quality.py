@@ -22,14 +22,18 @@ def cnpj_audit(
     cnpj: str = "cnpj",
     key: str = "registro_ans",
     value: str = "valor_despesa",
+    rows: str | None = None,
 ) -> DataFrame:
     """Invalid or missing tax ids with rows and value at stake (V2).
 
     Aggregates first (partial aggregation shrinks each map task to one row
     per id), then evaluates the check once per id instead of once per row.
+    ``rows`` names a column of partial row counts when ``df`` is already
+    pre-aggregated (their sum is the row count); otherwise rows are counted.
     """
+    n = F.sum(rows) if rows else F.count(F.lit(1))
     per_id = df.groupBy(cnpj, key).agg(
-        F.count(F.lit(1)).alias("qtd_registros"), F.sum(value).alias("valor_total")
+        n.cast("bigint").alias("qtd_registros"), F.sum(value).alias("valor_total")
     )
     return per_id.filter(~cnpj_is_valid(cnpj))
 

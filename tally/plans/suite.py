@@ -83,7 +83,7 @@ sup_b AS (
   SELECT s.*, lpad(CAST(s.s_suppkey AS VARCHAR), 12, '0') AS b FROM supplier s),
 sup_d1 AS (SELECT *, {_D1} AS d1 FROM sup_b),
 sup_d2 AS (
-  SELECT *, ({_D2} + s_suppkey % 2) % 10 AS d2
+  SELECT *, ({_D2} + (s_suppkey + s_nationkey) % 2) % 10 AS d2
   FROM sup_d1),
 sup_c AS (SELECT *, b || CAST(d1 AS VARCHAR) || CAST(d2 AS VARCHAR) AS c14 FROM sup_d2),
 operadoras AS (
@@ -447,13 +447,15 @@ SEARCH_TERM = "0001"
 DETAIL_KEY = 4
 
 
-def detail_argument(key: int = DETAIL_KEY) -> str:
-    """A formatted tax id of an existing operator (even key -> valid digits)."""
-    from ..functions.taxid import cnpj_check_digits_py
+def detail_argument(spark: SparkSession, sf_dir: str, key: int = DETAIL_KEY) -> str:
+    """The tax id, as stored, of operator ``key`` (a one-row lookup): the
+    argument a user would type to open that operator."""
+    dim = operators_from_testdata(spark, sf_dir)
+    rows = dim.filter(F.col("registro_ans") == key).select("cnpj").limit(1).collect()
+    return rows[0][0] if rows else ""
+
 
-    base = f"{key:012d}"
-    d = base + cnpj_check_digits_py(base)
-    return f"{d[:2]}.{d[2:5]}.{d[5:8]}/{d[8:12]}-{d[12:]}"
+DETAIL_ARG_SQL = f"(SELECT cnpj FROM operadoras WHERE registro_ans = {DETAIL_KEY} LIMIT 1)"
 
 
 @register("t03_listing_page", with_ctes(body=f"""
@@ -480,27 +482,27 @@ def a09_listing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("r02_detail", with_ctes(body=f"""
 SELECT registro_ans, cnpj, razao_social, uf, modalidade FROM operadoras
-WHERE regexp_replace(cnpj, '[^0-9]', '', 'g') = regexp_replace('{detail_argument()}', '[^0-9]', '', 'g')
+WHERE regexp_replace(cnpj, '[^0-9]', '', 'g') = regexp_replace({DETAIL_ARG_SQL}, '[^0-9]', '', 'g')
 ORDER BY registro_ans LIMIT 1
 """))
 def r02_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.serving import operator_detail
 
-    return operator_detail(operators_from_testdata(spark, sf_dir), detail_argument())
+    return operator_detail(operators_from_testdata(spark, sf_dir), detail_argument(spark, sf_dir))
 
 
 @register("r03_history", with_ctes(body=f"""
 SELECT d.ano, d.trimestre, strftime(d.data_referencia, '%Y-%m-%d') AS data_referencia,
        CAST(d.valor_despesa AS DOUBLE) AS valor_despesa
 FROM despesas d JOIN operadoras o ON d.registro_ans = o.registro_ans
-WHERE regexp_replace(o.cnpj, '[^0-9]', '', 'g') = regexp_replace('{detail_argument()}', '[^0-9]', '', 'g')
+WHERE regexp_replace(o.cnpj, '[^0-9]', '', 'g') = regexp_replace({DETAIL_ARG_SQL}, '[^0-9]', '', 'g')
 ORDER BY d.data_referencia DESC, d.valor_despesa DESC
 """))
 def r03_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.serving import expense_history
 
     dim, fact = dim_fact(spark, sf_dir)
-    return expense_history(fact, dim, detail_argument())
+    return expense_history(fact, dim, detail_argument(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -629,12 +631,8 @@ def v02_cnpj_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = per_op.join(dim.select("registro_ans", "cnpj"), "registro_ans")
     # per-operator partials are re-summed per tax id: exact, and the check
     # runs once per operator
-    audit = cnpj_audit(named, "cnpj", "registro_ans", "_v")
-    return edge(audit.select("cnpj", "registro_ans", "valor_total").join(
-        named.groupBy("cnpj", "registro_ans").agg(F.sum("_n").alias("qtd_registros")),
-        ["cnpj", "registro_ans"]).select(
-        "cnpj", "registro_ans", F.col("qtd_registros").cast("bigint").alias("qtd_registros"),
-        "valor_total"))
+    return edge(cnpj_audit(named, "cnpj", "registro_ans", "_v", rows="_n").select(
+        "cnpj", "registro_ans", "qtd_registros", "valor_total"))
 
 
 @register("v04_quarantine", """

@@ -47,15 +47,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def with_synthetic_cnpj(df: DataFrame, key: str, out: str = "cnpj") -> DataFrame:
+def with_synthetic_cnpj(df: DataFrame, key: str, other: str, out: str = "cnpj") -> DataFrame:
     """Add a formatted tax id built from an integer key column.
 
-    Base = the key left-padded to 12 digits; the check digits are correct for
-    even keys and the second one is deliberately wrong for odd keys, so the
-    validity check has both outcomes on every scale of data. Integer
-    arithmetic on the key, staged so each check digit is computed once.
+    Base = the key left-padded to 12 digits; the check digits are correct
+    when ``key + other`` is even and the second one is deliberately wrong
+    otherwise, so the validity check has both outcomes on every scale of
+    data. Integer arithmetic, staged so each check digit is computed once.
+
+    The id depends on a second column on purpose: an id that is a pure
+    function of the join key would let the optimizer copy any predicate on
+    it across a join onto the (much larger) fact side.
     """
-    d1, d2, fmt = cnpj_from_key_sql(f"`{key}`", spoil_odd=True)
+    d1, d2, fmt = cnpj_from_key_sql(f"`{key}`", spoil_sql=f"((`{key}` + `{other}`) % 2)")
     staged = df.withColumn("_d1", F.expr(d1)).withColumn("_d2", F.expr(d2))
     return staged.withColumn(out, F.expr(fmt)).drop("_d1", "_d2")
 
@@ -72,7 +76,7 @@ def operators_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
     joined = supplier.join(F.broadcast(geo), supplier.s_nationkey == geo.n_nationkey, "left")
-    joined = with_synthetic_cnpj(joined, "s_suppkey")
+    joined = with_synthetic_cnpj(joined, "s_suppkey", "s_nationkey")
     return joined.select(
         F.col("s_suppkey").alias("registro_ans"),
         F.col("cnpj"),
