@@ -1,10 +1,12 @@
 """First / last value per key and growth.
 
 The reference takes ``FIRST_VALUE`` over a window ordered by date, twice, and
-then de-duplicates. Here both ends are one aggregate per key: ``min_by`` /
-``max_by`` with a (date, value) ordering key. That is partial-aggregated in
-every map task (no per-key sort of all rows, which a skewed key would turn
-into one giant task) and yields one row per key without a DISTINCT.
+then de-duplicates. Here both ends come from two hash aggregates: the
+smallest value per (key, date), then ``min_by`` / ``max_by`` over dates that
+are now unique per key. Both levels are partial-aggregated in every map task
+with fixed-width buffers (``HashAggregate``, no sort of the rows, unlike a
+struct ordering key which forces ``SortAggregate``), and a key that holds a
+third of all rows is reduced to one row per date inside each task.
 
 Ties on the date (many ledger rows of one quarter, decision D9) are broken by
 the value, smallest first at both ends, which makes the answer deterministic.
@@ -27,10 +29,10 @@ def first_last(
     last_alias: str = "valor_final",
 ) -> DataFrame:
     """Value at the earliest and at the latest ``order_col`` per key."""
-    v = F.col(value)
-    return df.groupBy(key).agg(
-        F.min_by(v, F.struct(F.col(order_col), v)).alias(first_alias),
-        F.max_by(v, F.struct(F.col(order_col), -v)).alias(last_alias),
+    per_point = df.groupBy(key, order_col).agg(F.min(value).alias("_v"))
+    return per_point.groupBy(key).agg(
+        F.min_by("_v", order_col).alias(first_alias),
+        F.max_by("_v", order_col).alias(last_alias),
     )
 
 
