@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from ..functions.dates import quarter_from_text, year_from_text
 
@@ -50,7 +51,7 @@ def extract_links(pages: DataFrame, html: str = "html", keep: Sequence[str] = ("
     return exploded.filter(is_content_link(F.col("href")))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
     from urllib.parse import urljoin
 
