@@ -195,3 +195,26 @@ def test_streaming_ingest(spark, workdir):
     got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
                  for r in spark.read.parquet(target).collect())
     assert got == [("1", 1, D("1.00")), ("1", 2, D("2.00"))]
+
+
+def test_build_warehouse_end_to_end(spark, workdir):
+    from tally.plans.batch import build_warehouse
+
+    write(f"{workdir}/raw/2023_T1/d.csv",
+          "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;1.000,00\n2;41;5,00\n7;41;3,00\n", "latin-1")
+    write(f"{workdir}/raw/2023_T2/d.csv",
+          "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;500,00\n", "latin-1")
+    write(f"{workdir}/cadop.csv",
+          "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n"
+          "1;11.222.333/0001-81;Alfa;M;SP\n2;11222333000182;Beta;M;N/A\nABC;x;Bad;M;RJ\n", "latin-1")
+    wh = build_warehouse(spark, [f"{workdir}/raw"], f"{workdir}/cadop.csv",
+                         ["REGISTRO_OPERADORA", "CNPJ", "RAZAO_SOCIAL", "MODALIDADE", "UF"],
+                         out=f"{workdir}/wh")
+    assert wh.ledger.count() == 4
+    assert wh.quarantined.count() == 1           # key without digits (D13)
+    facts = sorted((r["registro_ans"], r["trimestre"], r["valor_despesa"]) for r in wh.fact.collect())
+    assert facts == [(1, 1, D("1000.00")), (1, 2, D("500.00")), (2, 1, D("5.00"))]  # 7 unknown
+    dims = {r["registro_ans"]: r["uf"] for r in wh.dimension.collect()}
+    assert dims == {1: "SP", 2: None}            # 'N/A' state -> NULL (D5)
+    marts = {r["RegistroANS"]: r["RazaoSocial"] for r in wh.mart.collect()}
+    assert marts["7"] == "Operadora 7 Desconhecida"
