@@ -44,11 +44,24 @@ def listing(dim: DataFrame, term: str | None = None, page_no: int = 1, limit: in
         ).alias("data")
     )
     total = listing_total(dim, term, literal)
-    return data.crossJoin(total).select(
+    return one_row([data, total]).select(
         "data", "total", F.lit(page_no).alias("page"), F.lit(limit).alias("limit")
     )
 
 
+def one_row(parts: list[DataFrame]) -> DataFrame:
+    """Combine single-row frames with disjoint columns into one row.
+
+    Union by name (each part fills its own columns, NULL elsewhere) and one
+    global aggregate that keeps the non-NULL value of every column: no join
+    of any kind is needed to put the pieces side by side.
+    """
+    from ..operators.sets import union_all
+
+    merged = union_all(parts)
+    return merged.agg(*[F.first(c, ignorenulls=True).alias(c) for c in merged.columns])
+
+
 def operator_detail(dim: DataFrame, cnpj: str) -> DataFrame:
     """The operator whose digits-only tax id equals the argument's (R2).
 
@@ -111,7 +124,7 @@ def statistics(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
     ops = _ranked_pairs(top_operators(fact, dim, 5), "razao_social", "total", "top_5_operadoras")
     sts = _ranked_pairs(top_state_totals(fact, dim, 10), "uf", "total", "top_estados")
-    return total.crossJoin(mean).crossJoin(ops).crossJoin(sts)
+    return one_row([total, mean, ops, sts])
 
 
 def _ranked_pairs(top: DataFrame, name_col: str, total_col: str, alias: str) -> DataFrame:

@@ -973,3 +973,24 @@ def s05_latest_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.links import latest_periods, with_period
 
     return latest_periods(with_period(period_links(spark, sf_dir), "link"), 3)
+
+
+# --------------------------------------------------------------------------
+# Envelopes (R1, R4): one row holding arrays. Their parts are checked above
+# against SQL (t03, a09, a07, a08, a10, a03); the envelopes themselves are
+# array-valued, so they are registered without oracle SQL (rows-only check).
+# --------------------------------------------------------------------------
+
+@register("r01_listing")
+def r01_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import listing
+
+    return listing(operators_from_testdata(spark, sf_dir), SEARCH_TERM, page_no=2, limit=10)
+
+
+@register("r04_statistics")
+def r04_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..plans.serving import statistics
+
+    dim, fact = dim_fact(spark, sf_dir)
+    return statistics(fact, dim)
