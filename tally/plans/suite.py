@@ -900,11 +900,11 @@ SELECT page_id, pos,
 FROM links
 """)
 def s02_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.links import extract_links, resolve
+    from ..sources.links import extract_links, resolve_links
     from ..sources.tables import read_table
 
     links = extract_links(read_table(spark, sf_dir, "pages"))
-    return links.select("page_id", "pos", resolve(F.col("url"), F.col("href")).alias("absolute_url"))
+    return resolve_links(links).select("page_id", "pos", "absolute_url")
 
 
 PICK_KEYWORDS = ("the",)

@@ -61,22 +61,41 @@ def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
     )
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """Absolute URL of ``href`` seen from page ``base``.
-
-    Absolute, scheme-relative (``//host``) and root-relative (``/path``)
-    links are resolved natively; only other relative forms go to an
-    Arrow-batched ``urljoin``.
-    """
+def _native_cases(base: Column, href: Column):
     scheme = F.regexp_extract(base, SCHEME_AUTHORITY, 1)
     authority = F.regexp_extract(base, SCHEME_AUTHORITY, 2)
-    return (
+    is_native = href.rlike(ABSOLUTE) | href.startswith("//") | (
+        href.startswith("/") & (scheme != ""))
+    value = (
         F.when(href.rlike(ABSOLUTE), href)
         .when(href.startswith("//"), F.concat(scheme, href))
         .when(href.startswith("/") & (scheme != ""),
               F.concat(scheme, F.lit("//"), authority, href))
-        .otherwise(_urljoin(base, href))
     )
+    return is_native, value
+
+
+def resolve_native(base: Column, href: Column) -> Column:
+    """Absolute URL for absolute, scheme-relative (``//host``) and
+    root-relative (``/path``) links; NULL for other relative forms (S2)."""
+    return _native_cases(base, href)[1]
+
+
+def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
+                  out: str = "absolute_url") -> DataFrame:
+    """Add the absolute URL of every link.
+
+    Absolute, scheme-relative and root-relative links are resolved natively.
+    Only the remaining relative forms (``../x``, ``x/``, ``?q``) go through an
+    Arrow-batched ``urljoin``; they are split off first, because Spark
+    evaluates a Python UDF for every input row of its node, not only for the
+    rows of the CASE branch that uses it.
+    """
+    is_native, value = _native_cases(F.col(base), F.col(href))
+    flagged = df.withColumn("_native", F.coalesce(is_native, F.lit(False)))
+    native = flagged.filter("_native").withColumn(out, value)
+    other = flagged.filter(~F.col("_native")).withColumn(out, _urljoin(F.col(base), F.col(href)))
+    return native.unionByName(other).drop("_native")
 
 
 def pick_link(links: Column, keywords: Iterable[str], mode: str = "all",

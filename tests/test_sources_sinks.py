@@ -141,11 +141,13 @@ def test_links(spark):
     assert [(r["pos"], r["href"]) for r in ls] == [
         (2, "2023/"), (3, "1T2023.zip"), (4, "/Demonstracoes_Contabeis/"),
         (6, "http://other/x?a=1&b=2")]
-    res = links.extract_links(pages).select(
-        "pos", links.resolve(F.col("url"), F.col("href")).alias("u")).orderBy("pos").collect()
+    res = links.resolve_links(links.extract_links(pages), out="u").orderBy("pos").collect()
     assert [r["u"] for r in res] == [
         "https://h.example:8080/FTP/PDA/2023/", "https://h.example:8080/FTP/PDA/1T2023.zip",
         "https://h.example:8080/Demonstracoes_Contabeis/", "http://other/x?a=1&b=2"]
+    native = links.extract_links(pages).select(
+        links.resolve_native(F.col("url"), F.col("href")).alias("u")).collect()
+    assert sum(r["u"] is None for r in native) == 2  # the two relative links
     arr = links.link_array(F.col("html"))
     pick = pages.select(links.pick_link(arr, ["demonstracoes", "contabeis"], "all").alias("p"),
                         links.pick_link(arr, ["nothing"], "any", "fallback").alias("f")).first()
