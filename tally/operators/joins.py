@@ -1,11 +1,16 @@
 """Joins (J1-J6).
 
-Broadcast policy: a side is broadcast only after a *bounded* size check
-(``df.limit(n + 1).count()`` reads at most n+1 rows per partition), otherwise
-the join is left to a shuffle join, where AQE can still switch to a broadcast
-from runtime sizes and split skewed partitions. Sides that are small by
-construction (one row per period, fixed reference tables) are documented
-where they are hinted.
+Broadcast policy:
+
+* a stored dimension is broadcast only after a *bounded* size check
+  (``df.limit(n + 1).count()`` reads at most n+1 rows per partition of a
+  scan), otherwise the join is left to a shuffle join;
+* a side that only exists after an aggregation is not counted eagerly (that
+  would run the aggregation twice); AQE measures it after its shuffle and
+  switches to a broadcast when it is small, or keeps the shuffle join and
+  splits skewed partitions;
+* sides that are small by construction (one row per period, fixed reference
+  tables) are hinted directly, with the reason where they are hinted.
 """
 
 from __future__ import annotations

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.taxid import cnpj_is_valid
-from .joins import join_dimension, maybe_broadcast
 from .sets import duplicate_keys
 
 
@@ -42,7 +41,9 @@ def referential_audit(
     fact: DataFrame, dim: DataFrame, key: str = "registro_ans", value: str = "valor_despesa"
 ) -> DataFrame:
     """Rows and value of fact rows with no dimension row (V3, J6). One row."""
-    orphans = join_dimension(fact.select(key, value), dim.select(key).distinct(), key, "left_anti")
+    # the key set is derived (distinct), so no eager size check: AQE measures it
+    # after its shuffle and broadcasts it if small, else keeps a shuffle join
+    orphans = fact.select(key, value).join(dim.select(key).distinct(), key, "left_anti")
     return orphans.agg(
         F.count(F.lit(1)).alias("orphan_rows"),
         F.coalesce(F.sum(value), F.lit(0).cast("decimal(25,2)")).alias("orphan_value"),
@@ -54,8 +55,11 @@ def quarantine(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
 
     The quarantined side carries a ``reason`` column (``null_key`` or
     ``duplicate_key``). Duplicates are found with a partial-aggregated count
-    per key, not a window, and joined back (broadcast only behind the size
-    check), so a hot key is never sorted in one task.
+    per key, not a window, and joined back, so a hot key is never sorted in
+    one task. The duplicate-key table exists only after its aggregation, so
+    its size is checked at run time by AQE (broadcast when small, otherwise a
+    shuffle join whose skewed partitions AQE splits) instead of by an eager
+    count that would run the aggregation twice.
     """
     keys = list(keys)
     null_cond = None
@@ -65,7 +69,7 @@ def quarantine(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     nulls = df.filter(null_cond).withColumn("reason", F.lit("null_key"))
     present = df.filter(~null_cond)
     dups = duplicate_keys(present, keys).select(*keys, F.lit(True).alias("_dup"))
-    marked = present.join(maybe_broadcast(dups), keys, "left")
+    marked = present.join(dups, keys, "left")
     clean = marked.filter(F.col("_dup").isNull()).drop("_dup")
     dup_rows = marked.filter(F.col("_dup")).drop("_dup").withColumn("reason", F.lit("duplicate_key"))
     return clean, nulls.unionByName(dup_rows)

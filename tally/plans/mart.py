@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions.taxid import cnpj_is_valid
 from ..functions.text import clean_key, unknown_operator_label
-from ..operators.joins import maybe_broadcast
 from ..operators.ordering import asc, desc, ranked
 from ..operators.sets import keep_first
 
@@ -51,7 +50,9 @@ def operator_mart(ledger: DataFrame, registry: DataFrame, sort: bool = True,
         F.stddev_samp("v").alias("_std"),
     )
     reg = unique_registry(registry).select("RegistroANS", "CNPJ", "RazaoSocial", "UF")
-    joined = per_key.join(maybe_broadcast(reg), "RegistroANS", "left")
+    # both sides are one row per operator and exist only after aggregations:
+    # AQE picks broadcast or shuffle join from their measured sizes
+    joined = per_key.join(reg, "RegistroANS", "left")
     mart = joined.select(
         "RegistroANS",
         F.coalesce("CNPJ", F.lit("N/A")).alias("CNPJ"),
