@@ -51,12 +51,14 @@ def sniff_dialect(header_line: str) -> dict[str, str]:
 
 
 def header_line(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True,
-                glob: str | None = CSV_GLOB) -> str | None:
-    """First line of the first file of a group: a one-row scan (bounded)."""
+                glob: str | None = CSV_GLOB,
+                skip_name_parts: Sequence[str] = SKIP_NAME_PARTS) -> str | None:
+    """First line of the first wanted file of a group: a one-row scan (bounded)."""
     r = spark.read.option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
-    rows = r.text(paths if isinstance(paths, str) else list(paths)).limit(1).collect()
+    text = _skip_names(r.text(paths if isinstance(paths, str) else list(paths)), skip_name_parts)
+    rows = text.limit(1).collect()
     return rows[0][0] if rows else None
 
 
@@ -85,7 +87,7 @@ def read_group(
     The source file path is kept as ``_source_path`` when ``with_path``.
     """
     if sep is None or encoding is None:
-        head = header_line(spark, paths, recursive, glob)
+        head = header_line(spark, paths, recursive, glob, skip_name_parts)
         if head is None:
             return None
         d = sniff_dialect(head)
@@ -130,7 +132,7 @@ def read_tolerant(spark: SparkSession, paths: str | Sequence[str], columns: Sequ
     n_fields = F.size(F.split(F.col(CORRUPT), F.lit(_regex_quote(sep)), -1))
     too_long = F.col(CORRUPT).isNotNull() & (n_fields > len(columns))
     kept = df.filter(~too_long | F.col(CORRUPT).isNull())
-    return kept.select(*[null_tokens(F.col(f"`{c}`")).alias(c) for c in columns])
+    return kept.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in columns])
 
 
 def _regex_quote(s: str) -> str:

@@ -197,6 +197,14 @@ def test_streaming_ingest(spark, workdir):
     got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
                  for r in spark.read.parquet(target).collect())
     assert got == [("1", 1, D("1.00")), ("1", 2, D("2.00"))]
+    # restart on the same checkpoint: already-seen files are not ingested again,
+    # a new file is
+    write(f"{landing}/2024_T2/c.csv", "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n3;41;4,00\n")
+    q = start_ingest(spark, landing, target, cols, name="t_ingest", sep=";", encoding="UTF-8")
+    q.awaitTermination(120)
+    got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
+                 for r in spark.read.parquet(target).collect())
+    assert got == [("1", 1, D("1.00")), ("1", 2, D("2.00")), ("3", 2, D("4.00"))]
 
 
 def test_build_warehouse_end_to_end(spark, workdir):
