@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_text
 from ..functions.text import digits_only
-from ..operators.aggregates import filtered_count, global_total, mean_of_totals
+from ..operators.aggregates import filtered_count
 from ..operators.filters import normalised_key_equals, search
 from ..operators.joins import BROADCAST_MAX_ROWS
 from ..operators.ordering import asc, desc, page, top_k
@@ -117,14 +117,31 @@ def top_state_totals(fact: DataFrame, dim: DataFrame, k: int = 10) -> DataFrame:
 
 def statistics(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Dashboard KPIs as one row (R4): total, mean per operator, top-5
-    operators and top-10 states as ``array<struct<nome, total>>``."""
-    total = global_total(fact).select(F.col("total_despesas").cast("double").alias("total_despesas"))
-    mean = mean_of_totals(fact).select(
-        F.col("media_por_operadora").cast("double").alias("media_por_operadora")
-    )
-    ops = _ranked_pairs(top_operators(fact, dim, 5), "razao_social", "total", "top_5_operadoras")
-    sts = _ranked_pairs(top_state_totals(fact, dim, 10), "uf", "total", "top_estados")
-    return one_row([total, mean, ops, sts])
+    operators and top-10 states as ``array<struct<nome, total>>``.
+
+    All four answers come from one per-operator aggregate (the fact is
+    scanned and shuffled once; the identical exchange is reused by every
+    branch): the grand total is the sum of the operator totals (exact in
+    decimal), the mean is their average, and both rankings join the
+    per-operator table, not the fact, to the dimension.
+    """
+    per_op = fact.groupBy("registro_ans").agg(F.sum("valor_despesa").alias("total"))
+    sums = per_op.agg(F.sum("total").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    total = sums.select(
+        F.coalesce(F.col("_s"), F.lit(0)).cast("double").alias("total_despesas"))
+    mean = sums.select(
+        F.coalesce(F.round(F.col("_s") / F.col("_n").cast("decimal(20,0)"), 2), F.lit(0))
+        .cast("double").alias("media_por_operadora"))
+    named = per_op.join(dim.select("registro_ans", "razao_social", "uf"), "registro_ans", "inner")
+    ops = top_k(named.select("registro_ans", "razao_social", "total"),
+                [desc("total"), asc("registro_ans")], 5)
+    states = named.filter(F.col("uf").isNotNull()).groupBy("uf").agg(F.sum("total").alias("total"))
+    sts = top_k(states, [desc("total"), asc("uf")], 10)
+    return one_row([
+        total, mean,
+        _ranked_pairs(ops, "razao_social", "total", "top_5_operadoras"),
+        _ranked_pairs(sts, "uf", "total", "top_estados"),
+    ])
 
 
 def _ranked_pairs(top: DataFrame, name_col: str, total_col: str, alias: str) -> DataFrame:
