@@ -994,3 +994,24 @@ def r04_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     dim, fact = dim_fact(spark, sf_dir)
     return statistics(fact, dim)
+
+
+@register("v05_domain", """
+SELECT s_suppkey AS registro_ans, s_name AS razao_social, n_name AS uf_raw,
+       length(s_name) > 255 AS razao_social_too_long,
+       length(n_name) > 2 AS uf_raw_too_long
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+WHERE coalesce(length(s_name) > 255, false) OR coalesce(length(n_name) > 2, false)
+""")
+def v05_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry text checked against the warehouse column domains before the
+    load (V5): the raw state text (nation name) breaks ``CHAR(2)``."""
+    from ..operators.quality import domain_violations
+    from ..sources.tables import read_table
+
+    sup = read_table(spark, sf_dir, "supplier")
+    nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    raw = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey, "left").select(
+        F.col("s_suppkey").alias("registro_ans"), F.col("s_name").alias("razao_social"),
+        F.col("n_name").alias("uf_raw"))
+    return domain_violations(raw, {"razao_social": 255, "uf_raw": 2})
