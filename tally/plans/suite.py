@@ -278,7 +278,7 @@ SELECT registro_ans, CAST(vi AS DOUBLE) AS valor_inicial, CAST(vf AS DOUBLE) AS
 FROM e
 """))
 def c09_growth_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return edge(analytics.growth_all(fact, grain="quarter"))
 
 
@@ -367,7 +367,7 @@ FROM despesas GROUP BY ano, trimestre
 def a05_period_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.aggregates import period_mean
 
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return edge(period_mean(fact))
 
 
@@ -377,7 +377,7 @@ SELECT CAST(coalesce(SUM(valor_despesa), 0) AS DOUBLE) AS total_despesas FROM de
 def a07_global_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.aggregates import global_total
 
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return edge(global_total(fact))
 
 
@@ -388,7 +388,7 @@ SELECT coalesce({sql_half_up_ratio("SUM(total) * 100", "COUNT(*)", 1)}, 0) AS me
 def a08_mean_of_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.aggregates import mean_of_totals
 
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return edge(mean_of_totals(fact))
 
 
@@ -702,7 +702,7 @@ SELECT DISTINCT registro_ans, ano, trimestre, data_referencia FROM despesas
 def x03_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.sets import distinct_rows
 
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return distinct_rows(fact, ["registro_ans", "ano", "trimestre", "data_referencia"])
 
 
@@ -827,7 +827,7 @@ SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(quarter(l_shipdat
 FROM lineitem
 """)
 def c08_quarter_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return fact.select("ano", "trimestre", "data_referencia").distinct()
 
 
@@ -839,7 +839,7 @@ FROM despesas
 def c11_edge_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.dates import date_text
 
-    _, fact = dim_fact(spark, sf_dir)
+    fact = expenses_from_testdata(spark, sf_dir)
     return fact.select("registro_ans", "ano", "trimestre",
                        date_text(F.col("data_referencia")).alias("data_referencia"),
                        F.col("valor_despesa").cast("double").alias("valor_despesa"))

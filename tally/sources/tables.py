@@ -64,7 +64,27 @@ def with_synthetic_cnpj(df: DataFrame, key: str, other: str, out: str = "cnpj")
     return staged.withColumn(out, F.expr(fmt)).drop("_d1", "_d2")
 
 
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """Remember a lazy mapping plan per session and folder (no data cached)."""
+    key = (id(spark), f"{kind}:{sf_dir.rstrip('/')}")
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = build()
+        _SCANS[key] = df
+    return df
+
+
 def operators_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator dimension ``operadoras`` (see :func:`build_operators`)."""
+    return _memo("operators", spark, sf_dir, lambda: build_operators(spark, sf_dir))
+
+
+def expenses_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expense fact ``despesas`` (see :func:`build_expenses`)."""
+    return _memo("expenses", spark, sf_dir, lambda: build_expenses(spark, sf_dir))
+
+
+def build_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator dimension ``operadoras`` from supplier/nation/region.
 
     nation (25 rows) and region (5 rows) are fixed-size reference tables, so
@@ -90,7 +110,7 @@ def operators_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def expenses_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expense fact ``despesas`` from lineitem (one ledger row per line item)."""
     li = read_table(spark, sf_dir, "lineitem")
     ano = F.year("l_shipdate")
@@ -105,6 +125,11 @@ def expenses_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ledger_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ledger text rows (see :func:`build_raw_ledger`)."""
+    return _memo("raw_ledger", spark, sf_dir, lambda: build_raw_ledger(spark, sf_dir))
+
+
+def build_raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw quarterly-file rows (all text, reference header names) from lineitem.
 
     Mirrors what a consolidated quarterly file holds before parsing: the
