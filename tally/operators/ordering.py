@@ -41,6 +41,19 @@ def page(df: DataFrame, order: Sequence[Column | str], page_no: int = 1,
     return df.orderBy(*_cols(order)).offset((page_no - 1) * limit).limit(limit)
 
 
+def page_after(df: DataFrame, key: str, after=None, limit: int = 10) -> DataFrame:
+    """Keyset paging: the ``limit`` rows whose unique ``key`` follows ``after`` (T3 variant).
+
+    ``key > after`` is a plain comparison on a stored column, so it reaches
+    the parquet scan and row groups below ``after`` are skipped; the cost of
+    a page does not grow with its depth, unlike an offset.
+    """
+    if limit < 1:
+        raise ValueError("limit must be >= 1")
+    rows = df if after is None else df.filter(F.col(key) > F.lit(after))
+    return rows.orderBy(F.col(key).asc()).limit(limit)
+
+
 def desc(name: str) -> Column:
     """Descending, NULLs last (decision D21: always spelled out)."""
     return F.col(name).desc_nulls_last()

@@ -27,6 +27,15 @@ def listing_rows(dim: DataFrame, term: str | None = None, page_no: int = 1,
     return page(found, [asc("registro_ans")], page_no, limit)
 
 
+def listing_rows_after(dim: DataFrame, term: str | None = None, after=None, limit: int = 10,
+                       literal: bool = False) -> DataFrame:
+    """Keyset-paged listing: the page after operator key ``after`` (F4 + T3 keyset)."""
+    from ..operators.ordering import page_after
+
+    found = search(dim.select(*LISTING_COLUMNS), term, literal=literal)
+    return page_after(found, "registro_ans", after, limit)
+
+
 def listing_total(dim: DataFrame, term: str | None = None, literal: bool = False) -> DataFrame:
     """Number of operators matching the search."""
     return filtered_count(search(dim.select(*LISTING_COLUMNS), term, literal=literal))

@@ -1,19 +1,21 @@
 """ZIP archive scan (S6) and spreadsheet scan.
 
 Archives are read with Spark's ``binaryFile`` source, one row per archive,
-and expanded on the executors by an Arrow-batched ``mapInPandas`` over the
-standard ``zipfile`` module: one output row per text line
-``(archive, member, line_no, line, error)``. A corrupt archive yields a
-single row carrying the error instead of failing the job (the reference logs
-and continues). Lines are then parsed natively with ``from_csv`` per member
-layout, so the per-row work after extraction stays in the JVM.
-
-Limits (documented, not hidden): one archive is expanded by one task, and a
-quoted field spanning lines is not supported by the line splitter.
+and expanded on the executors by an Arrow-batched ``mapInPandas``: the
+standard ``zipfile`` module opens the archive and the C-implemented ``csv``
+reader splits each wanted member into records (quoted delimiters and quoted
+line breaks are handled), one output row per record
+``(archive, member, record_no, fields, encoding, error)``. A corrupt archive
+yields a single row carrying the error instead of failing the job (the
+reference logs and continues). Column naming per member layout is then a
+native projection of the ``fields`` array.
+
+Limit (documented, not hidden): one archive is expanded by one task.
 """
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -21,19 +23,21 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
 from .delimited import SKIP_NAME_PARTS, sniff_dialect
 
-LINES_SCHEMA = StructType([
+RECORDS_SCHEMA = StructType([
     StructField("archive", StringType()),
     StructField("member", StringType()),
-    StructField("line_no", LongType()),
-    StructField("line", StringType()),
+    StructField("record_no", LongType()),
+    StructField("fields", ArrayType(StringType())),
     StructField("encoding", StringType()),
     StructField("error", StringType()),
 ])
+_COLUMNS = [f.name for f in RECORDS_SCHEMA.fields]
+_CHUNK = 100_000  # records per Arrow batch handed back to the JVM
 
 
 def _decode(raw: bytes) -> tuple[str, str]:
@@ -49,8 +53,10 @@ def _member_wanted(name: str, extensions: Sequence[str], skip: Sequence[str]) ->
             and not name.endswith("/"))
 
 
-_COLUMNS = [f.name for f in LINES_SCHEMA.fields]
-_CHUNK = 100_000  # lines per Arrow batch handed back to the JVM
+def _records(text: str):
+    first = text.split("\n", 1)[0]
+    reader = csv.reader(io.StringIO(text, newline=""), delimiter=sniff_dialect(first)["sep"])
+    return reader
 
 
 def _expand(batches: Iterator[pd.DataFrame], extensions, skip) -> Iterator[pd.DataFrame]:
@@ -63,74 +69,71 @@ def _expand(batches: Iterator[pd.DataFrame], extensions, skip) -> Iterator[pd.Da
                         if not _member_wanted(name, extensions, skip):
                             continue
                         text, enc = _decode(zf.read(name))
-                        for i, line in enumerate(text.splitlines()):
-                            out.append((path, name, i, line, enc, None))
+                        for i, rec in enumerate(_records(text)):
+                            out.append((path, name, i, rec, enc, None))
                             if len(out) >= _CHUNK:
                                 yield pd.DataFrame(out, columns=_COLUMNS)
                                 out = []
-            except (zipfile.BadZipFile, OSError, ValueError) as e:
+            except (zipfile.BadZipFile, OSError, ValueError, csv.Error) as e:
                 out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
     if out:
         yield pd.DataFrame(out, columns=_COLUMNS)
 
 
-def archive_lines(spark: SparkSession, paths: str | Sequence[str],
-                  extensions: Sequence[str] = (".csv",),
-                  skip_name_parts: Sequence[str] = SKIP_NAME_PARTS,
-                  glob: str = "*.[zZ][iI][pP]") -> DataFrame:
-    """One row per text line of every wanted member of every archive."""
+def archive_records(spark: SparkSession, paths: str | Sequence[str],
+                    extensions: Sequence[str] = (".csv",),
+                    skip_name_parts: Sequence[str] = SKIP_NAME_PARTS,
+                    glob: str = "*.[zZ][iI][pP]") -> DataFrame:
+    """One row per delimited record of every wanted member of every archive."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true")
              .load(paths if isinstance(paths, str) else list(paths)))
     ext, skip = tuple(extensions), tuple(skip_name_parts)
     return files.select("path", "content").mapInPandas(
-        lambda it: _expand(it, ext, skip), LINES_SCHEMA)
+        lambda it: _expand(it, ext, skip), RECORDS_SCHEMA)
 
 
-def archive_members(lines: DataFrame, limit: int | None = None) -> list[tuple[str, str, str]]:
-    """``(archive, member, header)`` of each member: file metadata, one row per
-    member file, so bounded by the number of files, not by their size."""
-    heads = lines.filter(F.col("line_no") == 0).select("archive", "member", "line")
+def archive_members(records: DataFrame, limit: int | None = None) -> list[tuple]:
+    """``(archive, member, header fields)`` of each member: file metadata, one
+    row per member file, so bounded by the number of files, not their size."""
+    heads = records.filter(F.col("record_no") == 0).select("archive", "member", "fields")
     if limit is not None:
         heads = heads.limit(limit)
-    return [(r[0], r[1], r[2]) for r in heads.collect()]
+    return [(r[0], r[1], tuple(r[2])) for r in heads.collect()]
 
 
-def parse_members(lines: DataFrame, max_members: int = 10_000) -> list[DataFrame]:
-    """All-text frames, one per distinct member header layout, parsed natively.
+def parse_members(records: DataFrame, max_members: int = 10_000) -> list[DataFrame]:
+    """All-text frames, one per distinct member header layout.
 
     Each frame carries ``_source_path`` (``archive!member``) for period
-    extraction. The data rows are never collected; only headers are.
+    extraction. Only header records reach the driver; data rows never do.
+    Short records give NULLs for the missing fields.
     """
-    members = archive_members(lines, max_members + 1)
+    members = archive_members(records, max_members + 1)
     if len(members) > max_members:
         raise ValueError("too many archive members for per-layout parsing")
-    layouts: dict[str, list[tuple[str, str]]] = {}
+    layouts: dict[tuple, list[tuple[str, str]]] = {}
     for archive, member, header in members:
         layouts.setdefault(header, []).append((archive, member))
+    body = records.filter((F.col("record_no") > 0) & F.col("error").isNull()
+                          & (F.size("fields") > 0))
     frames = []
-    body = lines.filter((F.col("line_no") > 0) & F.col("error").isNull()
-                        & (F.length(F.col("line")) > 0))
     for header, where in layouts.items():
-        sep = sniff_dialect(header)["sep"]
-        names = [h.strip().strip('"') for h in header.split(sep)]
-        ddl = ", ".join(f"`c{i}` STRING" for i in range(len(names)))
         cond = None
         for archive, member in where:
             c = (F.col("archive") == archive) & (F.col("member") == member)
             cond = c if cond is None else cond | c
-        parsed = body.filter(cond).select(
+        names = [h.strip() for h in header]
+        frames.append(body.filter(cond).select(
+            *[F.try_element_at("fields", F.lit(i + 1)).alias(n) for i, n in enumerate(names)],
             F.concat(F.col("archive"), F.lit("!"), F.col("member")).alias("_source_path"),
-            F.from_csv(F.col("line"), ddl, {"sep": sep}).alias("r"),
-        )
-        frames.append(parsed.select(
-            *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)], "_source_path"))
+        ))
     return frames
 
 
-def archive_errors(lines: DataFrame) -> DataFrame:
+def archive_errors(records: DataFrame) -> DataFrame:
     """Archives that could not be read, with the error text."""
-    return lines.filter(F.col("error").isNotNull()).select("archive", "error")
+    return records.filter(F.col("error").isNotNull()).select("archive", "error")
 
 
 def read_spreadsheets(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

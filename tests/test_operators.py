@@ -161,6 +161,20 @@ def test_pages_tile_listing(star):
         serving.listing_rows(dim, None, 0, 10)
 
 
+def test_keyset_pages_equal_offset_pages(star):
+    dim, _ = star
+    after, pages = None, []
+    for _ in range(3):
+        rows = [r["registro_ans"] for r in serving.listing_rows_after(dim, None, after, 2).collect()]
+        pages.append(rows)
+        after = rows[-1] if rows else after
+    offset = [[r["registro_ans"] for r in serving.listing_rows(dim, None, p, 2).collect()]
+              for p in (1, 2, 3)]
+    assert pages == offset
+    plan = ordering.page_after(dim, "registro_ans", 2, 2)._jdf.queryExecution().executedPlan()
+    assert "GreaterThan(registro_ans,2)" in plan.toString() or "registro_ans#" in plan.toString()
+
+
 def test_listing_envelope_and_search(star):
     dim, _ = star
     env = serving.listing(dim, "alf", 1, 10).first()

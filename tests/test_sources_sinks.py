@@ -104,22 +104,26 @@ def _zip(path, members):
 def test_zip_archives(spark, workdir):
     _zip(f"{workdir}/2023_T3/a.zip", {
         "x/1.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;2,50\n2;41;3,00\n",
-        "2.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n3;41;4,00\n",
+        "2.csv": 'REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL;OBS\n3;41;4,00;"two\nlines; quoted"\n',
+        "3.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL;OBS\n4;41;1,00\n",
         "ativo.csv": "REG_ANS;VL_SALDO_FINAL\n9;9,00\n",
         "leia-me.txt": "ignored",
     })
     with open(f"{workdir}/2023_T3/broken.zip", "wb") as f:
         f.write(b"not a zip")
-    lines = archives.archive_lines(spark, workdir)
-    errs = archives.archive_errors(lines).collect()
+    records = archives.archive_records(spark, workdir)
+    errs = archives.archive_errors(records).collect()
     assert len(errs) == 1 and errs[0]["archive"].endswith("broken.zip")
-    frames = archives.parse_members(lines)
-    assert len(frames) == 1
+    frames = archives.parse_members(records)
+    assert len(frames) == 2  # two header layouts
+    obs = [r["OBS"] for f in frames if "OBS" in f.columns for r in f.collect()]
+    assert sorted(o for o in obs if o) == ["two\nlines; quoted"] and None in obs
     shaped = [canonical_ledger(delimited.period_from_path(f).drop("_source_path"),
                                period_cols=("ano", "trimestre")) for f in frames]
     got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
                  for r in consolidate(shaped).collect())
-    assert got == [("1", 3, D("2.50")), ("2", 3, D("3.00")), ("3", 3, D("4.00"))]
+    assert got == [("1", 3, D("2.50")), ("2", 3, D("3.00")), ("3", 3, D("4.00")),
+                   ("4", 3, D("1.00"))]
 
 
 def test_spreadsheet_needs_optional_package(spark, workdir):
