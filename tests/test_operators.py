@@ -244,3 +244,24 @@ def test_profile_and_means(star):
     assert prof[3]["DesvioPadrao"] == 0.0 and prof[1]["QtdRegistros"] == 3
     assert aggregates.global_total(fact.limit(0)).first()[0] == 0
     assert aggregates.mean_of_totals(fact.limit(0)).first()[0] == 0
+
+
+def test_service_surface(star, spark):
+    from tally.plans.service import LedgerService, register_views
+
+    dim, fact = star
+    svc = LedgerService(dim, fact)
+    page = svc.operators(1, 2, None)
+    assert page["total"] == 5 and [d["registro_ans"] for d in page["data"]] == [1, 2]
+    assert svc.operator("no digits") is None
+    assert svc.operator("11.222.333/0001-81")["razao_social"] == "Alfa"
+    assert len(svc.history_page("11222333000181", 1, 2)) == 2
+    assert svc.history("11222333000181").count() == 3
+    st = svc.statistics()
+    assert st["top_estados"][0] == {"nome": "RJ", "total": 1700.0}
+    assert svc.chart()["labels"] == ["RJ", "SP"]
+    names = register_views(spark, dim, fact)
+    got = spark.sql(f"SELECT o.uf, SUM(d.valor_despesa) AS t FROM {names['fact']} d "
+                    f"JOIN {names['dimension']} o ON d.registro_ans = o.registro_ans "
+                    f"WHERE o.uf IS NOT NULL GROUP BY o.uf ORDER BY t DESC LIMIT 1").first()
+    assert got["uf"] == "RJ"
