@@ -265,3 +265,15 @@ def test_service_surface(star, spark):
                     f"JOIN {names['dimension']} o ON d.registro_ans = o.registro_ans "
                     f"WHERE o.uf IS NOT NULL GROUP BY o.uf ORDER BY t DESC LIMIT 1").first()
     assert got["uf"] == "RJ"
+
+
+def test_positional_mart_load(spark):
+    from tally.plans.warehouse import load_mart
+
+    staging = spark.createDataFrame(
+        [("100.001", "11.222.333/0001-81", "Alfa", "SP ", "1234,565", "10,00", "0,5", "3")],
+        "a string, b string, c string, d string, e string, f string, g string, h string")
+    r = load_mart(staging).first()
+    assert r["registro_ans"] == 100001 and r["uf"] == "SP"
+    assert r["valor_total"] == D("1234.57") and r["desvio_padrao"] == D("0.50")
+    assert "qtd_registros" not in load_mart(staging).columns  # the load drops the count
