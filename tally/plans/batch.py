@@ -14,11 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import digits_key
+from ..operators.quality import cnpj_audit, referential_audit
 from ..session import scratch_path
 from ..sinks.tables import write_fact, write_table
 from ..sources.delimited import period_from_path, read_group, read_tolerant
 from .consolidate import canonical_ledger, canonical_registry, consolidate
-from .mart import operator_mart
+from .mart import enriched_ledger, operator_mart
 from .warehouse import load_dimension, load_fact
 
 
@@ -35,6 +37,8 @@ class Warehouse:
     dimension: DataFrame
     quarantined: DataFrame
     fact: DataFrame
+    cnpj_audit: DataFrame
+    orphan_audit: DataFrame
 
 
 def build_warehouse(
@@ -69,10 +73,24 @@ def build_warehouse(
     staging = ledger.withColumn(
         "ValorDespesas", F.replace(F.col("ValorDespesas").cast("string"), F.lit("."), F.lit(",")))
     write_fact(load_fact(staging, dim), f"{base}/fact")
+    fact = spark.read.parquet(f"{base}/fact")
+
+    # audits (V2, V3): invalid tax ids with rows and value at stake, and
+    # ledger rows whose operator is not in the registry (kept in the mart,
+    # left out of the fact: decision D23)
+    enriched = enriched_ledger(ledger, registry)
+    write_table(cnpj_audit(enriched, "CNPJ", "RegistroANS", "ValorDespesas"),
+                f"{base}/audit_cnpj")
+    ledger_keys = ledger.select(
+        digits_key(F.col("RegistroANS")).alias("registro_ans"),
+        F.col("ValorDespesas").alias("valor_despesa"))
+    write_table(referential_audit(ledger_keys, dim), f"{base}/audit_orphans")
     return Warehouse(
         ledger=ledger,
         mart=spark.read.parquet(f"{base}/mart"),
         dimension=dim,
         quarantined=spark.read.parquet(f"{base}/quarantine"),
-        fact=spark.read.parquet(f"{base}/fact"),
+        fact=fact,
+        cnpj_audit=spark.read.parquet(f"{base}/audit_cnpj"),
+        orphan_audit=spark.read.parquet(f"{base}/audit_orphans"),
     )

@@ -232,3 +232,21 @@ def test_build_warehouse_end_to_end(spark, workdir):
     assert dims == {1: "SP", 2: None}            # 'N/A' state -> NULL (D5)
     marts = {r["RegistroANS"]: r["RazaoSocial"] for r in wh.mart.collect()}
     assert marts["7"] == "Operadora 7 Desconhecida"
+    audit = {r["RegistroANS"]: r["qtd_registros"] for r in wh.cnpj_audit.collect()}
+    assert audit == {"2": 1, "7": 1}             # wrong check digit; unknown operator ('N/A')
+    orphan = wh.orphan_audit.first()
+    assert orphan["orphan_rows"] == 1 and orphan["orphan_value"] == D("3.00")
+
+
+def test_command_line(spark, workdir, capsys):
+    from tally.__main__ import main
+
+    write(f"{workdir}/raw/2023_T1/d.csv", "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;10,00\n", "latin-1")
+    write(f"{workdir}/raw/2023_T2/d.csv", "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;15,00\n", "latin-1")
+    write(f"{workdir}/cadop.csv", "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n"
+          "1;11.222.333/0001-81;Alfa;M;SP\n", "latin-1")
+    main(["warehouse", f"{workdir}/raw", f"{workdir}/cadop.csv", f"{workdir}/wh"])
+    main(["stats", f"{workdir}/wh"])
+    out = capsys.readouterr().out.strip().splitlines()
+    assert '"ledger_rows": 2' in out[0]
+    assert '"total_despesas": 25.0' in out[-1]
