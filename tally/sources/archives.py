@@ -23,8 +23,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .delimited import SKIP_NAME_PARTS, sniff_dialect
 
@@ -136,30 +135,94 @@ def archive_errors(records: DataFrame) -> DataFrame:
     return records.filter(F.col("error").isNotNull()).select("archive", "error")
 
 
-def read_spreadsheets(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """First sheet of every ``.xlsx`` as all-text rows ``(path, row_no, cells)``.
+# The XML namespaces of the spreadsheet (OOXML) package parts.
+_NS_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_NS_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+_NS_PKG = "{http://schemas.openxmlformats.org/package/2006/relationships}"
+
+
+def _col_index(ref: str) -> int:
+    n = 0
+    for ch in ref:
+        if not ch.isalpha():
+            break
+        n = n * 26 + (ord(ch.upper()) - 64)
+    return n - 1
+
+
+def _first_sheet(zf: zipfile.ZipFile) -> tuple[str, str]:
+    import xml.etree.ElementTree as ET
+
+    book = ET.fromstring(zf.read("xl/workbook.xml"))
+    sheet = book.find(f"{_NS_MAIN}sheets/{_NS_MAIN}sheet")
+    rid = sheet.get(f"{_NS_REL}id")
+    rels = ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))
+    target = next(r.get("Target") for r in rels.iter(f"{_NS_PKG}Relationship") if r.get("Id") == rid)
+    target = target.lstrip("/")
+    return sheet.get("name"), target if target.startswith("xl/") else "xl/" + target
+
+
+def _xlsx_records(content: bytes):
+    """Rows of the first sheet as lists of cell text (``None`` for empty cells)."""
+    import xml.etree.ElementTree as ET
+
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        shared: list[str] = []
+        if "xl/sharedStrings.xml" in zf.namelist():
+            for _, el in ET.iterparse(zf.open("xl/sharedStrings.xml")):
+                if el.tag == f"{_NS_MAIN}si":
+                    shared.append("".join(t.text or "" for t in el.iter(f"{_NS_MAIN}t")))
+                    el.clear()
+        name, part = _first_sheet(zf)
+        for _, el in ET.iterparse(zf.open(part)):
+            if el.tag != f"{_NS_MAIN}row":
+                continue
+            cells: dict[int, str | None] = {}
+            for c in el.iter(f"{_NS_MAIN}c"):
+                kind, v = c.get("t"), c.find(f"{_NS_MAIN}v")
+                if kind == "s" and v is not None:
+                    text = shared[int(v.text)]
+                elif kind == "inlineStr":
+                    text = "".join(t.text or "" for t in c.iter(f"{_NS_MAIN}t"))
+                else:
+                    text = v.text if v is not None else None
+                cells[_col_index(c.get("r", "A"))] = text
+            width = max(cells) + 1 if cells else 0
+            yield name, [cells.get(i) for i in range(width)]
+            el.clear()
+
+
+def _expand_xlsx(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out: list[tuple] = []
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            try:
+                for i, (sheet, rec) in enumerate(_xlsx_records(content)):
+                    out.append((path, sheet, i, rec, None, None))
+                    if len(out) >= _CHUNK:
+                        yield pd.DataFrame(out, columns=_COLUMNS)
+                        out = []
+            except (zipfile.BadZipFile, KeyError, OSError, ValueError, StopIteration) as e:
+                out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
+    if out:
+        yield pd.DataFrame(out, columns=_COLUMNS)
 
-    Needs ``openpyxl`` on the executors; it is optional and absent here, so
-    the call fails with a clear message when it is missing.
-    """
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:  # pragma: no cover - environment dependent
-        raise ImportError("reading .xlsx needs the optional 'openpyxl' package") from e
-    schema = StructType([StructField("path", StringType()), StructField("row_no", IntegerType()),
-                         StructField("cells", StringType())])
-
-    def expand(batches):
-        import json
-        for batch in batches:
-            out = []
-            for path, content in zip(batch["path"], batch["content"]):
-                sheet = pd.read_excel(io.BytesIO(content), dtype=str, header=None)
-                for i, row in enumerate(sheet.itertuples(index=False)):
-                    out.append((path, i, json.dumps([None if pd.isna(x) else x for x in row])))
-            yield pd.DataFrame(out, columns=["path", "row_no", "cells"])
 
+def read_spreadsheets(spark: SparkSession, paths: str | Sequence[str],
+                      skip_name_parts: Sequence[str] = SKIP_NAME_PARTS) -> DataFrame:
+    """Records of the first sheet of every ``.xlsx`` (S9), same shape as
+    :func:`archive_records` (``member`` = sheet name), so
+    :func:`parse_members` names the columns from the header row.
+
+    The workbook package is read with the standard ``zipfile`` and a
+    streaming XML parser on the executors (no spreadsheet library needed);
+    cell text is kept as stored: shared and inline strings, numbers as
+    written in the file.
+    """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
              .option("recursiveFileLookup", "true")
              .load(paths if isinstance(paths, str) else list(paths)))
-    return files.select("path", "content").mapInPandas(expand, schema)
+    name = F.lower(F.element_at(F.split(F.col("path"), "/"), -1))
+    for part in skip_name_parts:
+        files = files.filter(~name.contains(part))
+    return files.select("path", "content").mapInPandas(_expand_xlsx, RECORDS_SCHEMA)

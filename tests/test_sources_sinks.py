@@ -126,13 +126,55 @@ def test_zip_archives(spark, workdir):
                    ("4", 3, D("1.00"))]
 
 
-def test_spreadsheet_needs_optional_package(spark, workdir):
-    try:
-        import openpyxl  # noqa: F401
-        pytest.skip("openpyxl present")
-    except ImportError:
-        with pytest.raises(ImportError):
-            archives.read_spreadsheets(spark, workdir)
+def _xlsx(path, rows):
+    """A minimal workbook: shared strings for text, plain values for numbers."""
+    shared, sheet_rows = [], []
+    for r, row in enumerate(rows, start=1):
+        cells = []
+        for c, v in enumerate(row):
+            ref = f"{chr(65 + c)}{r}"
+            if v is None:
+                continue
+            if isinstance(v, str):
+                shared.append(v)
+                cells.append(f'<c r="{ref}" t="s"><v>{len(shared) - 1}</v></c>')
+            else:
+                cells.append(f'<c r="{ref}"><v>{v}</v></c>')
+        sheet_rows.append(f'<row r="{r}">{"".join(cells)}</row>')
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    pkg = "http://schemas.openxmlformats.org/package/2006/relationships"
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+                           f'<sheet name="Dados" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{pkg}"><Relationship Id="rId1" '
+                                      f'Target="worksheets/sheet1.xml" Type="x"/></Relationships>',
+        "xl/sharedStrings.xml": f'<sst xmlns="{main}">'
+                                + "".join(f"<si><t>{t}</t></si>" for t in shared) + "</sst>",
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>'
+                                    + "".join(sheet_rows) + "</sheetData></worksheet>",
+    }
+    _zip(path, parts)
+
+
+def test_spreadsheets(spark, workdir):
+    _xlsx(f"{workdir}/2024_T1/despesas.xlsx", [
+        ["REG_ANS", "CD_CONTA_CONTABIL", "VL_SALDO_FINAL", "OBS"],
+        ["1", "41", "1.234,56", None],
+        [2, 41, 7.5, "x"],          # numeric cells keep their stored text
+    ])
+    _xlsx(f"{workdir}/2024_T1/ativo.xlsx", [["REG_ANS", "VL_SALDO_FINAL"], ["9", "9,00"]])
+    with open(f"{workdir}/2024_T1/broken.xlsx", "wb") as f:
+        f.write(b"nope")
+    records = archives.read_spreadsheets(spark, workdir)
+    assert len(archives.archive_errors(records).collect()) == 1
+    frames = archives.parse_members(records)
+    shaped = [canonical_ledger(delimited.period_from_path(f).drop("_source_path"),
+                               period_cols=("ano", "trimestre")) for f in frames]
+    got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
+                 for r in consolidate(shaped).collect())
+    # '7.5' read as pt-BR text: the '.' is a thousands mark -> 75
+    assert got == [("1", 1, D("1234.56")), ("2", 1, D("75.00"))]
 
 
 def test_links(spark):
