@@ -18,6 +18,7 @@ from ..functions.text import digits_key
 from ..operators.quality import cnpj_audit, referential_audit
 from ..session import scratch_path
 from ..sinks.tables import write_fact, write_table
+from ..sources.archives import archive_records, parse_members, read_spreadsheets
 from ..sources.delimited import period_from_path, read_group, read_tolerant
 from .consolidate import canonical_ledger, canonical_registry, consolidate
 from .mart import enriched_ledger, operator_mart
@@ -30,6 +31,22 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def raw_frames(spark: SparkSession, group, formats: Sequence[str]) -> list[DataFrame]:
+    """All-text frames (with ``_source_path``) of one group: loose delimited
+    files (one sniffed dialect), and one frame per member layout of the ZIP
+    archives and of the spreadsheets found under it."""
+    frames: list[DataFrame] = []
+    if "csv" in formats:
+        raw = read_group(spark, group)
+        if raw is not None:
+            frames.append(raw)
+    if "zip" in formats:
+        frames += parse_members(archive_records(spark, group))
+    if "xlsx" in formats:
+        frames += parse_members(read_spreadsheets(spark, group))
+    return frames
+
+
 @dataclass
 class Warehouse:
     ledger: DataFrame
@@ -48,17 +65,17 @@ def build_warehouse(
     registry_columns: Sequence[str],
     out: str | None = None,
     path_pattern: str = r"(\d{4})_T(\d)",
+    formats: Sequence[str] = ("csv", "zip", "xlsx"),
 ) -> Warehouse:
     """Run R9, R10 and R11 over files and write every table under ``out``
-    (default: a folder in the shared ``spark.checkpoint.dir``)."""
+    (default: a folder in the shared ``spark.checkpoint.dir``). Each group is
+    searched for loose delimited files, ZIP archives and spreadsheets."""
     base = (out or scratch_path(spark, "warehouse")).rstrip("/")
     shaped = []
     for group in ledger_groups:
-        raw = read_group(spark, group)
-        if raw is None:
-            continue
-        raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
-        shaped.append(canonical_ledger(raw, period_cols=("ano", "trimestre")))
+        for raw in raw_frames(spark, group, formats):
+            raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
+            shaped.append(canonical_ledger(raw, period_cols=("ano", "trimestre")))
     ledger = materialize(consolidate(shaped), f"{base}/ledger")
 
     registry = canonical_registry(read_tolerant(spark, registry_path, list(registry_columns)))

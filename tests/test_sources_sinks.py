@@ -258,8 +258,8 @@ def test_build_warehouse_end_to_end(spark, workdir):
 
     write(f"{workdir}/raw/2023_T1/d.csv",
           "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;1.000,00\n2;41;5,00\n7;41;3,00\n", "latin-1")
-    write(f"{workdir}/raw/2023_T2/d.csv",
-          "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;500,00\n", "latin-1")
+    _zip(f"{workdir}/raw/2023_T2/d.zip",
+         {"d.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;500,00\n"})
     write(f"{workdir}/cadop.csv",
           "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n"
           "1;11.222.333/0001-81;Alfa;M;SP\n2;11222333000182;Beta;M;N/A\nABC;x;Bad;M;RJ\n", "latin-1")
