@@ -2,9 +2,9 @@
 
 Broadcast policy:
 
-* a stored dimension is broadcast only after a *bounded* size check
-  (``df.limit(n + 1).count()`` reads at most n+1 rows per partition of a
-  scan), otherwise the join is left to a shuffle join;
+* a stored dimension is broadcast only after a *bounded* size check that
+  measures its row count and byte size (reads at most n+1 rows per
+  partition of a scan), otherwise the join is left to a shuffle join;
 * a side that only exists after an aggregation is not counted eagerly (that
   would run the aggregation twice); AQE measures it after its shuffle and
   switches to a broadcast when it is small, or keeps the shuffle join and
@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_key, unknown_operator_label
 
-# Largest dimension we broadcast: ~0.5M rows of a handful of short columns
-# stays well under 100 MB per executor.
+# Largest side we broadcast: at most this many rows and this many bytes of
+# column text (measured, not assumed), well under executor memory.
 BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
@@ -32,9 +33,29 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind the size check; else the plain side."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+         max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows whose text rendering
+    totals at most ``max_bytes`` bytes.
+
+    One bounded job over at most ``max_rows + 1`` rows per partition: the
+    row count and the summed byte length of every column rendered as text
+    (plus 8 bytes per value), an upper-side estimate of the hashed relation.
+    """
+    width = None
+    for c in df.columns:
+        w = F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(8)
+        width = w if width is None else width + w
+    probe = df.limit(max_rows + 1)
+    row = probe.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(width if width is not None else F.lit(0)).alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only behind the measured size check; else the plain side."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def join_dimension(

@@ -277,3 +277,15 @@ def test_positional_mart_load(spark):
     assert r["registro_ans"] == 100001 and r["uf"] == "SP"
     assert r["valor_total"] == D("1234.57") and r["desvio_padrao"] == D("0.50")
     assert "qtd_registros" not in load_mart(staging).columns  # the load drops the count
+
+
+def test_broadcast_only_behind_measured_size(spark):
+    small = spark.createDataFrame([(i, "x" * 10) for i in range(50)], "k int, s string")
+    big_rows = spark.range(0, 2000).withColumnRenamed("id", "k")
+    assert joins.fits(small, 100, 10_000)
+    assert not joins.fits(small, 10, 10_000)          # too many rows
+    assert not joins.fits(small, 100, 500)            # too many bytes
+    fact = spark.range(0, 100).withColumnRenamed("id", "k")
+    hinted = joins.join_dimension(fact, small, "k", max_rows=100)
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert joins.maybe_broadcast(big_rows, 100) is big_rows   # no hint beyond the bound
