@@ -25,7 +25,7 @@ REGISTRY_COLUMNS = ["REGISTRO_OPERADORA", "CNPJ", "RAZAO_SOCIAL", "MODALIDADE",
 def _session():
     from pyspark.sql import SparkSession
 
-    from .session import SCALE_CONFS
+    from tally.session import SCALE_CONFS
 
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -51,7 +51,7 @@ def main(argv=None) -> None:
     spark = _session()
 
     if args.cmd == "warehouse":
-        from .plans.batch import build_warehouse
+        from tally.plans.batch import build_warehouse
 
         wh = build_warehouse(spark, [args.raw_dir], args.registry_csv, REGISTRY_COLUMNS,
                              out=args.out_dir)
@@ -62,7 +62,7 @@ def main(argv=None) -> None:
     dim = spark.read.parquet(f"{args.warehouse_dir}/dimension")
     fact = spark.read.parquet(f"{args.warehouse_dir}/fact")
     if args.cmd == "analytics":
-        from .plans import analytics
+        from tally.plans import analytics
 
         for title, df in (("growth_top5", analytics.growth_top(fact, dim, 5)),
                           ("top_states", analytics.top_states(fact, dim, 5)),
@@ -70,7 +70,7 @@ def main(argv=None) -> None:
             print(title)
             df.show(truncate=False)
     else:
-        from .plans.service import LedgerService
+        from tally.plans.service import LedgerService
 
         print(json.dumps(LedgerService(dim, fact).statistics(), default=str))
 
