@@ -48,15 +48,19 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must point at shared storage and is only read.
-    Where it is unset (local tests) a fallback is set once for the session:
-    the given folder, or a fresh temporary folder on this machine.
+    On a cluster this setting must point at shared storage and is only read;
+    if it is missing there, this raises instead of inventing a folder that
+    only one machine can see. Where it is unset on a ``local`` master (tests,
+    a laptop) a fallback is set once for the session: the given folder, or a
+    fresh temporary folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") and fallback is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     folder = fallback or tempfile.mkdtemp(prefix="tally-ckpt-")
     os.makedirs(folder, exist_ok=True)
     spark.conf.set("spark.checkpoint.dir", folder)
