@@ -45,18 +45,21 @@ def search(df: DataFrame, term: str | None, columns=("razao_social", "cnpj"),
     return df.filter(cond)
 
 
-def normalised_key_equals(df: DataFrame, column: str, argument: str) -> DataFrame:
+def normalised_key_equals(df: DataFrame, column: str, argument: str,
+                          stored: str | None = None) -> DataFrame:
     """Rows whose digits-only ``column`` equals the digits of ``argument``.
 
-    An argument without digits matches nothing (decision D15). If the table
-    stores the normalised key as its own column, pass that column: the
-    equality then reaches the parquet scan as a pushed filter.
+    An argument without digits matches nothing (decision D15). When the
+    table stores the normalised key (``stored``, e.g. ``cnpj_digits``) the
+    test is a plain equality on it, which reaches the parquet scan as a
+    pushed filter; otherwise the digits are extracted row by row.
     """
     arg = "".join(ch for ch in argument if "0" <= ch <= "9") if argument else ""
     if not arg:
         return df.limit(0)
-    col = F.col(column)
-    return df.filter(digits_only(col) == F.lit(arg))
+    if stored and stored in df.columns:
+        return df.filter(F.col(stored) == F.lit(arg))
+    return df.filter(digits_only(F.col(column)) == F.lit(arg))
 
 
 def having(df: DataFrame, cond: Column) -> DataFrame:

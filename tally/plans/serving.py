@@ -76,7 +76,7 @@ def operator_detail(dim: DataFrame, cnpj: str) -> DataFrame:
 
     Several matches resolve to the lowest key; no match is an empty frame.
     """
-    hit = normalised_key_equals(dim, "cnpj", cnpj)
+    hit = normalised_key_equals(dim, "cnpj", cnpj, stored="cnpj_digits")
     return top_k(hit.select("registro_ans", "cnpj", "razao_social", "uf", "modalidade"),
                  [asc("registro_ans")], 1)
 
@@ -90,7 +90,7 @@ def expense_history(fact: DataFrame, dim: DataFrame, cnpj: str,
     statistics can use to skip row groups of a key-sorted fact; otherwise a
     semi join does the same work.
     """
-    ops = normalised_key_equals(dim, "cnpj", cnpj).select("registro_ans")
+    ops = normalised_key_equals(dim, "cnpj", cnpj, stored="cnpj_digits").select("registro_ans")
     keys = [r[0] for r in ops.limit(max_keys + 1).collect()]
     if len(keys) <= max_keys:
         rows = fact.filter(F.col("registro_ans").isin(keys)) if keys else fact.limit(0)

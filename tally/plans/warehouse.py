@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import quarter_start
 from ..functions.numbers import MONEY, comma_decimal
-from ..functions.text import digits_key, state_code
+from ..functions.text import digits_key, digits_only, state_code
 from ..operators.joins import join_dimension
 from ..operators.sets import keep_first
 
@@ -39,7 +39,9 @@ def load_dimension(staging: DataFrame, key_type: str = "bigint") -> tuple[DataFr
     bad = keyed.filter(F.col("registro_ans").isNull()).withColumn("reason", F.lit("null_key"))
     good = keyed.filter(F.col("registro_ans").isNotNull()).drop("_raw_key")
     dim = keep_first(good, ["registro_ans"], ["cnpj", "razao_social", "modalidade", "uf"])
-    return dim.select(*DIM_COLUMNS), bad
+    # the digits-only tax id is stored so lookups by tax id (R2, R3) are a
+    # plain equality that reaches the parquet scan
+    return dim.select(*DIM_COLUMNS, digits_only(F.col("cnpj")).alias("cnpj_digits")), bad
 
 
 def load_fact(staging: DataFrame, dim: DataFrame, key_type: str = "bigint",

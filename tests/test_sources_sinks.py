@@ -274,6 +274,10 @@ def test_build_warehouse_end_to_end(spark, workdir):
     assert dims == {1: "SP", 2: None}            # 'N/A' state -> NULL (D5)
     marts = {r["RegistroANS"]: r["RazaoSocial"] for r in wh.mart.collect()}
     assert marts["7"] == "Operadora 7 Desconhecida"
+    from tally.plans.serving import expense_history, operator_detail
+    det = operator_detail(wh.dimension, "11.222.333/0001-81")
+    assert "EqualTo(cnpj_digits,11222333000181)" in det._jdf.queryExecution().executedPlan().toString()
+    assert [r["valor_despesa"] for r in expense_history(wh.fact, wh.dimension, "11222333000181").collect()] == [500.0, 1000.0]
     audit = {r["RegistroANS"]: r["qtd_registros"] for r in wh.cnpj_audit.collect()}
     assert audit == {"2": 1, "7": 1}             # wrong check digit; unknown operator ('N/A')
     orphan = wh.orphan_audit.first()
