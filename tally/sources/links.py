@@ -26,8 +26,15 @@ from ..functions.dates import quarter_from_text, year_from_text
 ANCHOR_HREF = r'(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"'
 PARENT_HREF = "../"
 QUERY_PREFIX = "?"
-ABSOLUTE = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
 SCHEME_AUTHORITY = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)"
+# Link shapes whose resolution is plain concatenation, exactly as ``urljoin``
+# gives it: lower-case scheme with an authority, scheme-relative, and
+# root-relative without '.'/'..' path segments; none may end in an empty
+# query or fragment (``urljoin`` drops those). Any other shape goes to urljoin.
+_TAIL = r"[^?#]*(?:\?[^#]+)?(?:#.+)?$"
+NATIVE_ABSOLUTE = r"^[a-z][a-z0-9+.-]*://" + _TAIL
+NATIVE_SCHEME_RELATIVE = r"^//" + _TAIL
+NATIVE_ROOT_RELATIVE = r"^/(?!/)(?!(?:[^?#]*/)?\.\.?(?:[/?#]|$))" + _TAIL
 
 
 def link_array(html: Column) -> Column:
@@ -62,22 +69,23 @@ def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
 
 
 def _native_cases(base: Column, href: Column):
-    scheme = F.regexp_extract(base, SCHEME_AUTHORITY, 1)
+    scheme = F.lower(F.regexp_extract(base, SCHEME_AUTHORITY, 1))
     authority = F.regexp_extract(base, SCHEME_AUTHORITY, 2)
-    is_native = href.rlike(ABSOLUTE) | href.startswith("//") | (
-        href.startswith("/") & (scheme != ""))
+    absolute = href.rlike(NATIVE_ABSOLUTE)
+    scheme_rel = href.rlike(NATIVE_SCHEME_RELATIVE) & (scheme != "")
+    root_rel = href.rlike(NATIVE_ROOT_RELATIVE) & (scheme != "")
     value = (
-        F.when(href.rlike(ABSOLUTE), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/") & (scheme != ""),
-              F.concat(scheme, F.lit("//"), authority, href))
+        F.when(absolute, href)
+        .when(scheme_rel, F.concat(scheme, href))
+        .when(root_rel, F.concat(scheme, F.lit("//"), authority, href))
     )
-    return is_native, value
+    return absolute | scheme_rel | root_rel, value
 
 
 def resolve_native(base: Column, href: Column) -> Column:
-    """Absolute URL for absolute, scheme-relative (``//host``) and
-    root-relative (``/path``) links; NULL for other relative forms (S2)."""
+    """Absolute URL for the link shapes that resolve by concatenation
+    (absolute, ``//host``, ``/path``; see the patterns above); NULL for the
+    others, which :func:`resolve_links` sends to ``urljoin`` (S2)."""
     return _native_cases(base, href)[1]
 
 

@@ -296,3 +296,18 @@ def test_command_line(spark, workdir, capsys):
     out = capsys.readouterr().out.strip().splitlines()
     assert '"ledger_rows": 2' in out[0]
     assert '"total_despesas": 25.0' in out[-1]
+
+
+def test_resolution_matches_urljoin(spark):
+    import itertools
+    from urllib.parse import urljoin
+
+    bases = ["https://h.example:8080/FTP/PDA/x.html?q=1#f", "HTTP://u:p@h/a/b/", "http://h"]
+    hrefs = ["/a/../b", "/a/./b", "/a/b/", "http://x/./y", "HTTP://x/y", "//x/./y", "//x/y?",
+             "/a?b#c", "/.", "/..", "mailto:x", "https:foo", "/a?", "/a#", "/a?#x", "/a;p?x",
+             "/a/.hidden", "/a/..b", "2023/", "../up", "?C=N", "#top", "x.zip", "./y", "/a//b",
+             "/%41", "https://x/y#", "ftp://x/y"]
+    pairs = list(itertools.product(bases, hrefs))
+    df = spark.createDataFrame(pairs, "url string, href string")
+    got = {(r["url"], r["href"]): r["u"] for r in links.resolve_links(df, out="u").collect()}
+    assert got == {(b, h): urljoin(b, h) for b, h in pairs}
