@@ -26,15 +26,17 @@ from ..functions.dates import quarter_from_text, year_from_text
 ANCHOR_HREF = r'(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"'
 PARENT_HREF = "../"
 QUERY_PREFIX = "?"
-SCHEME_AUTHORITY = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)"
-# Link shapes whose resolution is plain concatenation, exactly as ``urljoin``
-# gives it: lower-case scheme with an authority, scheme-relative, and
-# root-relative without '.'/'..' path segments; none may end in an empty
-# query or fragment (``urljoin`` drops those). Any other shape goes to urljoin.
-_TAIL = r"[^?#]*(?:\?[^#]+)?(?:#.+)?$"
-NATIVE_ABSOLUTE = r"^[a-z][a-z0-9+.-]*://" + _TAIL
-NATIVE_SCHEME_RELATIVE = r"^//" + _TAIL
-NATIVE_ROOT_RELATIVE = r"^/(?!/)(?!(?:[^?#]*/)?\.\.?(?:[/?#]|$))" + _TAIL
+SCHEME_AUTHORITY = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)([^?#]*)"
+# Link shapes resolved natively, each exactly as ``urljoin`` resolves it:
+# lower-case scheme with an authority (kept as is), scheme-relative (base
+# scheme + link), and paths: root-relative or relative, merged with the base
+# path and cleaned of '.'/'..' segments. None may carry ';' parameters or end
+# in an empty query or fragment (``urljoin`` rewrites those); links starting
+# with '?' or '#', empty links and scheme-only links go to ``urljoin``.
+_TAIL = r"(?:\?[^#]+)?(?:#.+)?$"
+NATIVE_ABSOLUTE = r"^[a-z][a-z0-9+.-]*://[^?#;]*" + _TAIL
+NATIVE_SCHEME_RELATIVE = r"^//[^/?#;]+[^?#;]*" + _TAIL
+NATIVE_PATH = r"^(?![a-zA-Z][a-zA-Z0-9+.-]*:)[^?#;]+" + _TAIL
 
 
 def link_array(html: Column) -> Column:
@@ -68,24 +70,59 @@ def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
     )
 
 
+def _clean_segments(segs: Column) -> Column:
+    """Remove '.' and '..' segments with a stack (``aggregate``); a link with
+    n segments takes n steps, whatever n is."""
+    empty = F.array().cast("array<string>")
+    stack = F.aggregate(
+        segs, empty,
+        lambda acc, seg: F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(seg == ".", acc)
+        .otherwise(F.concat(acc, F.array(seg))),
+    )
+    last = F.element_at(segs, -1)
+    return F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+
+
+def _merge_path(base_path: Column, path: Column) -> Column:
+    """Path of a path-shaped link seen from the base path (no dot segments)."""
+    base_parts = F.split(base_path, "/")
+    base_dir = F.when(F.element_at(base_parts, -1) != "",
+                      F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
+    merged = F.concat(base_dir, F.split(path, "/"))
+    n = F.size(merged)
+    # inner empty segments are dropped for relative links (no doubled slashes)
+    inner = F.filter(F.slice(merged, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
+    relative = F.when(n >= 2, F.concat(F.slice(merged, 1, 1), inner, F.slice(merged, n, 1))) \
+        .otherwise(merged)
+    segs = F.when(path.startswith("/"), F.split(path, "/")).otherwise(relative)
+    joined = F.array_join(_clean_segments(segs), "/")
+    joined = F.when(joined == "", F.lit("/")).otherwise(joined)
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+
+
 def _native_cases(base: Column, href: Column):
     scheme = F.lower(F.regexp_extract(base, SCHEME_AUTHORITY, 1))
     authority = F.regexp_extract(base, SCHEME_AUTHORITY, 2)
+    base_path = F.regexp_extract(base, SCHEME_AUTHORITY, 3)
+    has_base = (scheme != "") & ~base.contains(";")
     absolute = href.rlike(NATIVE_ABSOLUTE)
-    scheme_rel = href.rlike(NATIVE_SCHEME_RELATIVE) & (scheme != "")
-    root_rel = href.rlike(NATIVE_ROOT_RELATIVE) & (scheme != "")
+    scheme_rel = href.rlike(NATIVE_SCHEME_RELATIVE) & has_base
+    path_like = ~absolute & ~href.startswith("//") & href.rlike(NATIVE_PATH) & has_base
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    rest = F.substring(href, F.length(path) + 1, 1 << 30)
     value = (
         F.when(absolute, href)
         .when(scheme_rel, F.concat(scheme, href))
-        .when(root_rel, F.concat(scheme, F.lit("//"), authority, href))
+        .when(path_like, F.concat(scheme, F.lit("//"), authority, _merge_path(base_path, path), rest))
     )
-    return absolute | scheme_rel | root_rel, value
+    return absolute | scheme_rel | path_like, value
 
 
 def resolve_native(base: Column, href: Column) -> Column:
-    """Absolute URL for the link shapes that resolve by concatenation
-    (absolute, ``//host``, ``/path``; see the patterns above); NULL for the
-    others, which :func:`resolve_links` sends to ``urljoin`` (S2)."""
+    """Absolute URL for the link shapes resolved natively (absolute,
+    ``//host``, root-relative and relative paths; see the patterns above);
+    NULL for the others, which :func:`resolve_links` sends to ``urljoin`` (S2)."""
     return _native_cases(base, href)[1]
 
 
@@ -93,9 +130,10 @@ def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
                   out: str = "absolute_url") -> DataFrame:
     """Add the absolute URL of every link.
 
-    Absolute, scheme-relative and root-relative links are resolved natively.
-    Only the remaining relative forms (``../x``, ``x/``, ``?q``) go through an
-    Arrow-batched ``urljoin``; they are split off first, because Spark
+    Absolute, scheme-relative, root-relative and relative path links (the
+    bulk of a directory listing) are resolved natively. Only rare shapes
+    (``?q``, ``#f``, empty, ``;params``, scheme without authority) go through
+    an Arrow-batched ``urljoin``; they are split off first, because Spark
     evaluates a Python UDF for every input row of its node, not only for the
     rows of the CASE branch that uses it.
     """
