@@ -18,10 +18,6 @@ from __future__ import annotations
 import argparse
 import json
 
-# The registry columns of the operator registry file.
-REGISTRY_COLUMNS = ["REGISTRO_OPERADORA", "CNPJ", "RAZAO_SOCIAL", "MODALIDADE", "UF"]
-
-
 def _session():
     from pyspark.sql import SparkSession
 
@@ -53,8 +49,7 @@ def main(argv=None) -> None:
     if args.cmd == "warehouse":
         from tally.plans.batch import build_warehouse
 
-        wh = build_warehouse(spark, [args.raw_dir], args.registry_csv, REGISTRY_COLUMNS,
-                             out=args.out_dir)
+        wh = build_warehouse(spark, [args.raw_dir], args.registry_csv, out=args.out_dir)
         print(json.dumps({"ledger_rows": wh.ledger.count(), "operators": wh.dimension.count(),
                           "quarantined": wh.quarantined.count()}))
         return

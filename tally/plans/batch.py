@@ -62,7 +62,7 @@ def build_warehouse(
     spark: SparkSession,
     ledger_groups: Sequence[str | Sequence[str]],
     registry_path: str,
-    registry_columns: Sequence[str],
+    registry_columns: Sequence[str] | None = None,
     out: str | None = None,
     path_pattern: str = r"(\d{4})_T(\d)",
     formats: Sequence[str] = ("csv", "zip", "xlsx"),
@@ -78,7 +78,8 @@ def build_warehouse(
             shaped.append(canonical_ledger(raw, period_cols=("ano", "trimestre")))
     ledger = materialize(consolidate(shaped), f"{base}/ledger")
 
-    registry = canonical_registry(read_tolerant(spark, registry_path, list(registry_columns)))
+    cols = list(registry_columns) if registry_columns else None
+    registry = canonical_registry(read_tolerant(spark, registry_path, cols))
     registry = materialize(registry, f"{base}/registry")
 
     mart = operator_mart(ledger, registry)

@@ -115,14 +115,33 @@ def period_from_path(df: DataFrame, path_col: str = "_source_path",
     })
 
 
-def read_tolerant(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
-                  sep: str = ";", encoding: str = "ISO-8859-1",
+def header_columns(spark: SparkSession, paths: str | Sequence[str], sep: str,
+                   encoding: str) -> list[str]:
+    """Column names of a delimited file's header, decoded with its encoding
+    (reading a header only touches the first line)."""
+    r = (spark.read.option("header", "true").option("inferSchema", "false")
+         .option("sep", sep).option("encoding", encoding))
+    return r.csv(paths if isinstance(paths, str) else list(paths)).columns
+
+
+def read_tolerant(spark: SparkSession, paths: str | Sequence[str],
+                  columns: Sequence[str] | None = None,
+                  sep: str | None = None, encoding: str | None = None,
                   tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """Tolerant all-text scan with a known header (S10, decision D19).
+    """Tolerant all-text scan (S10, decision D19).
 
     Rows with more fields than the header are dropped; short rows are kept
-    with NULLs; any missing-value token becomes NULL.
+    with NULLs; any missing-value token becomes NULL. Without ``columns`` the
+    names come from the file's own header (in file order), so later steps
+    map them by name; the dialect is sniffed when not given.
     """
+    if sep is None or encoding is None:
+        head = header_line(spark, paths, recursive=False, glob=None, skip_name_parts=())
+        d = sniff_dialect(head or ";")
+        sep = sep or d["sep"]
+        encoding = encoding or d["encoding"]
+    if columns is None:
+        columns = header_columns(spark, paths, sep, encoding)
     schema = StructType([StructField(c, StringType()) for c in columns]
                         + [StructField(CORRUPT, StringType())])
     df = (spark.read.schema(schema).option("header", "true").option("sep", sep)

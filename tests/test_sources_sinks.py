@@ -260,12 +260,12 @@ def test_build_warehouse_end_to_end(spark, workdir):
           "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;1.000,00\n2;41;5,00\n7;41;3,00\n", "latin-1")
     _zip(f"{workdir}/raw/2023_T2/d.zip",
          {"d.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;500,00\n"})
+    # a registry with more columns than used, in its own order, latin-1 text
     write(f"{workdir}/cadop.csv",
-          "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n"
-          "1;11.222.333/0001-81;Alfa;M;SP\n2;11222333000182;Beta;M;N/A\nABC;x;Bad;M;RJ\n", "latin-1")
-    wh = build_warehouse(spark, [f"{workdir}/raw"], f"{workdir}/cadop.csv",
-                         ["REGISTRO_OPERADORA", "CNPJ", "RAZAO_SOCIAL", "MODALIDADE", "UF"],
-                         out=f"{workdir}/wh")
+          "Registro_ANS;CNPJ;Razao_Social;Nome_Fantasia;Modalidade;Cidade;UF\n"
+          "1;11.222.333/0001-81;Alfa;A;M;São Paulo;SP\n2;11222333000182;Beta;B;M;Rio;N/A\n"
+          "ABC;x;Bad;C;M;Recife;RJ\n", "latin-1")
+    wh = build_warehouse(spark, [f"{workdir}/raw"], f"{workdir}/cadop.csv", out=f"{workdir}/wh")
     assert wh.ledger.count() == 4
     assert wh.quarantined.count() == 1           # key without digits (D13)
     facts = sorted((r["registro_ans"], r["trimestre"], r["valor_despesa"]) for r in wh.fact.collect())
