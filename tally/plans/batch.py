@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import digits_key
 from ..operators.quality import cnpj_audit, referential_audit
 from ..session import scratch_path
-from ..sinks.tables import write_fact, write_table
+from ..sinks.tables import write_delimited, write_fact, write_table
 from ..sources.archives import archive_records, parse_members, read_spreadsheets
 from ..sources.delimited import period_from_path, read_group, read_tolerant
 from .consolidate import canonical_ledger, canonical_registry, consolidate
@@ -84,6 +84,8 @@ def build_warehouse(
 
     mart = operator_mart(ledger, registry)
     write_table(mart, f"{base}/mart")
+    # the exported artifact: ';' text, header, 2-decimal numbers, gzip (K1, K2)
+    write_delimited(spark.read.parquet(f"{base}/mart"), f"{base}/mart_csv", compression="gzip")
 
     dim, bad = load_dimension(registry)
     dim = materialize(dim, f"{base}/dimension")

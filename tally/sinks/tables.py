@@ -12,12 +12,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = True,
                     compression: str | None = None, encoding: str = "UTF-8",
-                    mode: str = "overwrite") -> None:
-    """Delimited text sink (K1, K2). Decimals print with their scale (2 places)."""
+                    mode: str = "overwrite", float_places: int | None = 2) -> None:
+    """Delimited text sink (K1, K2).
+
+    Decimals print with their scale (money: 2 places); floating columns are
+    rendered with ``float_places`` decimals (``None`` keeps Spark's default).
+    """
+    if float_places is not None:
+        fmt = f"%.{float_places}f"
+        df = df.select(*[
+            F.when(F.col(f.name).isNotNull(), F.format_string(fmt, F.col(f.name))).alias(f.name)
+            if isinstance(f.dataType, (FloatType, DoubleType)) else F.col(f.name)
+            for f in df.schema.fields
+        ])
     w = df.write.mode(mode).option("sep", sep).option("header", header).option("encoding", encoding)
     if compression:
         w = w.option("compression", compression)

@@ -208,12 +208,12 @@ def test_latest_periods_dedupe_quarters(spark):
 
 
 def test_csv_sink_round_trip(spark, workdir):
-    df = spark.createDataFrame([("1", D("1234.50"))], "k string, v decimal(15,2)")
+    df = spark.createDataFrame([("1", D("1234.50"), 0.5)], "k string, v decimal(15,2), s double")
     out = os.path.join(workdir, "mart_csv")
     write_delimited(df, out, compression="gzip")
     assert any(n.endswith(".gz") for n in os.listdir(out))
     back = spark.read.option("sep", ";").option("header", "true").csv(out).first()
-    assert (back["k"], back["v"]) == ("1", "1234.50")
+    assert (back["k"], back["v"], back["s"]) == ("1", "1234.50", "0.50")
 
 
 def test_partitioned_fact_pruning_and_idempotent_reload(spark, workdir):
@@ -280,6 +280,8 @@ def test_build_warehouse_end_to_end(spark, workdir):
     assert [r["valor_despesa"] for r in expense_history(wh.fact, wh.dimension, "11222333000181").collect()] == [500.0, 1000.0]
     audit = {r["RegistroANS"]: r["qtd_registros"] for r in wh.cnpj_audit.collect()}
     assert audit == {"2": 1, "7": 1}             # wrong check digit; unknown operator ('N/A')
+    exported = spark.read.option("sep", ";").option("header", "true").csv(f"{workdir}/wh/mart_csv")
+    assert {r["DesvioPadrao"] for r in exported.collect()} >= {"0.00"}
     orphan = wh.orphan_audit.first()
     assert orphan["orphan_rows"] == 1 and orphan["orphan_value"] == D("3.00")
 
