@@ -14,7 +14,6 @@ from ..functions.dates import date_text
 from ..functions.text import digits_only
 from ..operators.aggregates import filtered_count
 from ..operators.filters import normalised_key_equals, search
-from ..operators.joins import BROADCAST_MAX_ROWS
 from ..operators.ordering import asc, desc, page, top_k
 
 LISTING_COLUMNS = ("registro_ans", "cnpj", "razao_social", "uf")
@@ -81,14 +80,18 @@ def operator_detail(dim: DataFrame, cnpj: str) -> DataFrame:
                  [asc("registro_ans")], 1)
 
 
+# Up to this many operator keys are written into the fact filter as literals.
+IN_LIST_MAX_KEYS = 1_000
+
+
 def expense_history(fact: DataFrame, dim: DataFrame, cnpj: str,
-                    max_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    max_keys: int = IN_LIST_MAX_KEYS) -> DataFrame:
     """Expense rows of the operator(s) with this tax id, latest first.
 
     The operators are looked up first. When few (the usual case: one), their
     keys go into the fact scan as a literal ``IN`` list, which parquet
-    statistics can use to skip row groups of a key-sorted fact; otherwise a
-    semi join does the same work.
+    statistics can use to skip row groups of a key-sorted fact; with more
+    keys a semi join does the same work (every key is kept either way).
     """
     ops = normalised_key_equals(dim, "cnpj", cnpj, stored="cnpj_digits").select("registro_ans")
     keys = [r[0] for r in ops.limit(max_keys + 1).collect()]
