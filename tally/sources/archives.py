@@ -93,37 +93,36 @@ def archive_records(spark: SparkSession, paths: str | Sequence[str],
 
 
 def archive_members(records: DataFrame, limit: int | None = None) -> list[tuple]:
-    """``(archive, member, header fields)`` of each member: file metadata, one
-    row per member file, so bounded by the number of files, not their size."""
+    """``(archive, member, header fields)`` of each member (file metadata)."""
     heads = records.filter(F.col("record_no") == 0).select("archive", "member", "fields")
     if limit is not None:
         heads = heads.limit(limit)
     return [(r[0], r[1], tuple(r[2])) for r in heads.collect()]
 
 
-def parse_members(records: DataFrame, max_members: int = 10_000) -> list[DataFrame]:
-    """All-text frames, one per distinct member header layout.
+def parse_members(records: DataFrame, max_layouts: int = 1_000) -> list[DataFrame]:
+    """All-text frames, one per distinct header layout across all members.
 
-    Each frame carries ``_source_path`` (``archive!member``) for period
-    extraction. Only header records reach the driver; data rows never do.
-    Short records give NULLs for the missing fields.
+    Every data record is joined to its own member's header (one small row
+    per member file), and each layout is one array-equality filter, so the
+    plan does not grow with the number of files. Only the distinct headers
+    (a handful of layouts) reach the driver; data rows never do. Each frame
+    carries ``_source_path`` (``archive!member``); short records give NULLs
+    for the missing fields.
     """
-    members = archive_members(records, max_members + 1)
-    if len(members) > max_members:
-        raise ValueError("too many archive members for per-layout parsing")
-    layouts: dict[tuple, list[tuple[str, str]]] = {}
-    for archive, member, header in members:
-        layouts.setdefault(header, []).append((archive, member))
+    heads = records.filter((F.col("record_no") == 0) & F.col("error").isNull()).select(
+        "archive", "member", F.col("fields").alias("_header"))
+    layouts = [tuple(r[0]) for r in
+               heads.select("_header").distinct().limit(max_layouts + 1).collect()]
+    if len(layouts) > max_layouts:
+        raise ValueError("too many distinct header layouts")
     body = records.filter((F.col("record_no") > 0) & F.col("error").isNull()
-                          & (F.size("fields") > 0))
+                          & (F.size("fields") > 0)).join(heads, ["archive", "member"])
     frames = []
-    for header, where in layouts.items():
-        cond = None
-        for archive, member in where:
-            c = (F.col("archive") == archive) & (F.col("member") == member)
-            cond = c if cond is None else cond | c
+    for header in layouts:
         names = [h.strip() for h in header]
-        frames.append(body.filter(cond).select(
+        same = F.col("_header") == F.array(*[F.lit(h) for h in header])
+        frames.append(body.filter(same).select(
             *[F.try_element_at("fields", F.lit(i + 1)).alias(n) for i, n in enumerate(names)],
             F.concat(F.col("archive"), F.lit("!"), F.col("member")).alias("_source_path"),
         ))
