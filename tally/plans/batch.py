@@ -31,19 +31,25 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def raw_frames(spark: SparkSession, group, formats: Sequence[str]) -> list[DataFrame]:
+def raw_frames(spark: SparkSession, group, formats: Sequence[str],
+               scratch: str) -> list[DataFrame]:
     """All-text frames (with ``_source_path``) of one group: loose delimited
     files (one sniffed dialect), and one frame per member layout of the ZIP
-    archives and of the spreadsheets found under it."""
+    archives and of the spreadsheets found under it.
+
+    Archive and sheet records are expanded once (Python work) and written to
+    ``scratch``; headers and every layout are then read from that table
+    instead of expanding the files again per layout.
+    """
     frames: list[DataFrame] = []
     if "csv" in formats:
         raw = read_group(spark, group)
         if raw is not None:
             frames.append(raw)
     if "zip" in formats:
-        frames += parse_members(archive_records(spark, group))
+        frames += parse_members(materialize(archive_records(spark, group), f"{scratch}_zip"))
     if "xlsx" in formats:
-        frames += parse_members(read_spreadsheets(spark, group))
+        frames += parse_members(materialize(read_spreadsheets(spark, group), f"{scratch}_xlsx"))
     return frames
 
 
@@ -72,8 +78,8 @@ def build_warehouse(
     searched for loose delimited files, ZIP archives and spreadsheets."""
     base = (out or scratch_path(spark, "warehouse")).rstrip("/")
     shaped = []
-    for group in ledger_groups:
-        for raw in raw_frames(spark, group, formats):
+    for i, group in enumerate(ledger_groups):
+        for raw in raw_frames(spark, group, formats, f"{base}/staging/records_{i}"):
             raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
             shaped.append(canonical_ledger(raw, period_cols=("ano", "trimestre")))
     ledger = materialize(consolidate(shaped), f"{base}/ledger")

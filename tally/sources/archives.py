@@ -108,7 +108,9 @@ def parse_members(records: DataFrame, max_layouts: int = 1_000) -> list[DataFram
     plan does not grow with the number of files. Only the distinct headers
     (a handful of layouts) reach the driver; data rows never do. Each frame
     carries ``_source_path`` (``archive!member``); short records give NULLs
-    for the missing fields.
+    for the missing fields. Pass a written (materialised) records table when
+    there are several layouts, so the Python expansion is not repeated per
+    layout.
     """
     heads = records.filter((F.col("record_no") == 0) & F.col("error").isNull()).select(
         "archive", "member", F.col("fields").alias("_header"))
