@@ -62,6 +62,22 @@ def normalised_key_equals(df: DataFrame, column: str, argument: str,
     return df.filter(digits_only(F.col(column)) == F.lit(arg))
 
 
+def keep_rows(df: DataFrame, cond) -> DataFrame:
+    """Keep rows satisfying ``cond(row)`` without recomputing derived columns.
+
+    A plain ``filter`` on a column computed in the same plan (a regex
+    extraction, a parsed number) is pushed by the optimizer below the
+    projection that defines it, with the column's expression copied into the
+    filter, so the expensive expression runs twice per row. Emitting the kept
+    rows through a generator (``inline`` of a filtered one-element array)
+    keeps the test above the projection: each row is computed once.
+    ``cond`` receives the row as a struct column: ``lambda r: r["v"] > 0``.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    kept = F.filter(F.array(row), lambda r: F.coalesce(cond(r), F.lit(False)))
+    return df.select(F.inline(kept))
+
+
 def having(df: DataFrame, cond: Column) -> DataFrame:
     """Filter on an aggregate result."""
     return df.filter(cond)

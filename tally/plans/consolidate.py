@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import MONEY, parse_number
 from ..functions.text import normalise_header
-from ..operators.filters import account_prefix, positive
+from ..operators.filters import account_prefix, keep_rows
 from ..operators.sets import union_all
 
 # Ledger header aliases (after normalisation), tried in order.
@@ -110,7 +110,9 @@ def consolidate(groups: Sequence[DataFrame | None]) -> DataFrame:
         raise MissingColumn("no ledger file with a value column")
     ledger = union_all(usable)
     ledger = ledger.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
-    return positive(ledger, "ValorDespesas").select(*LEDGER_COLUMNS)
+    # F2 on the parsed amount: keep_rows, so the parse is not repeated inside
+    # a pushed-down filter (``positive`` is the form for stored columns)
+    return keep_rows(ledger.select(*LEDGER_COLUMNS), lambda r: r["ValorDespesas"] > 0)
 
 
 def canonical_registry(raw: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 from ..functions.dates import quarter_from_text, year_from_text
+from ..operators.filters import keep_rows
 
 # An anchor's double-quoted href attribute, and the hrefs a
 # directory listing carries that are not content (parent link, sort links).
@@ -170,7 +171,8 @@ def with_period(df: DataFrame, year_text: str, quarter_text: str | None = None)
     """Year and quarter read from link text (S4, C12); links without both are dropped."""
     qt = F.col(quarter_text or year_text)
     out = df.withColumns({"ano": year_from_text(F.col(year_text)), "trimestre": quarter_from_text(qt)})
-    return out.filter(F.col("ano").isNotNull() & F.col("trimestre").isNotNull())
+    # keep_rows: a plain filter would re-run both regexes inside the filter
+    return keep_rows(out, lambda r: r["ano"].isNotNull() & r["trimestre"].isNotNull())
 
 
 def latest_periods(periods: DataFrame, n: int = 3) -> DataFrame:

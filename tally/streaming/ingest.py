@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.filters import keep_rows
 from ..plans.consolidate import LEDGER_COLUMNS, canonical_ledger
 from ..session import scratch_path
 from ..sources.delimited import period_from_path
@@ -47,8 +48,8 @@ def shape_batch(raw: DataFrame, path_pattern: str = r"(\d{4})_T(\d)") -> DataFra
     shaped = canonical_ledger(with_period.drop("_source_path"), period_cols=("ano", "trimestre"))
     if shaped is None:
         return with_period.limit(0).select(*[F.lit(None).alias(c) for c in LEDGER_COLUMNS])
-    return (shaped.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
-            .filter(F.col("ValorDespesas") > 0).select(*LEDGER_COLUMNS))
+    shaped = shaped.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
+    return keep_rows(shaped.select(*LEDGER_COLUMNS), lambda r: r["ValorDespesas"] > 0)
 
 
 def start_ingest(spark: SparkSession, landing: str, target: str, columns: Sequence[str],

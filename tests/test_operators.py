@@ -289,3 +289,15 @@ def test_broadcast_only_behind_measured_size(spark):
     hinted = joins.join_dimension(fact, small, "k", max_rows=100)
     assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
     assert joins.maybe_broadcast(big_rows, 100) is big_rows   # no hint beyond the bound
+
+
+def test_keep_rows_matches_filter_and_computes_once(spark):
+    from tally.operators.filters import keep_rows
+
+    df = spark.createDataFrame([("a1",), ("b",), (None,), ("c22",)], "t string")
+    derived = df.withColumn("d", F.regexp_extract("t", r"(\d+)", 1))
+    a = keep_rows(derived, lambda r: r["d"] != "")
+    b = derived.filter(F.col("d") != "")
+    assert sorted(a.collect()) == sorted(b.collect()) and a.columns == derived.columns
+    plan = a._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1
