@@ -75,9 +75,15 @@ def left_enrich(
     key: str = "RegistroANS",
     null_safe: bool = False,
     max_rows: int = BROADCAST_MAX_ROWS,
+    check_size: bool = True,
 ) -> DataFrame:
     """Left enrichment join (J1) on cleaned text keys (J2), then label fill.
 
+    ``check_size=True`` probes a stored registry and broadcasts it when it is
+    within the bound; pass ``False`` for a registry that is itself derived
+    (e.g. de-duplicated), leaving the choice to the planner's size estimate
+    and AQE instead of running its aggregation an extra time.
+
     ``registry`` must already be unique per key (see ``sets.keep_first``), so
     the join cannot multiply ledger rows. Keys are compared after cleaning
     both sides; a NULL key never matches unless ``null_safe=True``.
@@ -89,7 +95,8 @@ def left_enrich(
     # ledger columns that collide with registry ones are dropped (registry wins)
     led = led.drop(*[c for c in reg_cols if c in led.columns])
     reg = registry.withColumn(key, clean_key(F.col(key).cast("string")))
-    reg = maybe_broadcast(reg, max_rows)
+    if check_size:
+        reg = maybe_broadcast(reg, max_rows)
     if null_safe:
         joined = led.join(reg, led[key].eqNullSafe(reg[key]), "left").drop(reg[key])
     else:

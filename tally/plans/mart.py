@@ -76,5 +76,5 @@ def enriched_ledger(ledger: DataFrame, registry: DataFrame) -> DataFrame:
     from ..operators.joins import left_enrich
 
     reg = unique_registry(registry).select("RegistroANS", "CNPJ", "RazaoSocial", "UF", "Modalidade")
-    out = left_enrich(ledger, reg, "RegistroANS")
+    out = left_enrich(ledger, reg, "RegistroANS", check_size=False)
     return out.withColumn("CNPJ_Valido", cnpj_is_valid("CNPJ"))
