@@ -39,6 +39,8 @@ def main(argv=None) -> None:
     w.add_argument("raw_dir")
     w.add_argument("registry_csv")
     w.add_argument("out_dir")
+    w.add_argument("--latest", type=int, default=None,
+                   help="ingest only the N latest quarters found in the folder names")
     a = sub.add_parser("analytics")
     a.add_argument("warehouse_dir")
     s = sub.add_parser("stats")
@@ -49,7 +51,8 @@ def main(argv=None) -> None:
     if args.cmd == "warehouse":
         from tally.plans.batch import build_warehouse
 
-        wh = build_warehouse(spark, [args.raw_dir], args.registry_csv, out=args.out_dir)
+        wh = build_warehouse(spark, [args.raw_dir], args.registry_csv, out=args.out_dir,
+                             latest_quarters=args.latest)
         print(json.dumps({"ledger_rows": wh.ledger.count(), "operators": wh.dimension.count(),
                           "quarantined": wh.quarantined.count()}))
         return

@@ -20,6 +20,7 @@ from ..session import scratch_path
 from ..sinks.tables import write_delimited, write_fact, write_table
 from ..sources.archives import archive_records, parse_members, read_spreadsheets
 from ..sources.delimited import period_from_path, read_group, read_tolerant
+from ..sources.links import latest_periods, prune_to_periods
 from .consolidate import canonical_ledger, canonical_registry, consolidate
 from .mart import enriched_ledger, operator_mart
 from .warehouse import load_dimension, load_fact
@@ -53,6 +54,19 @@ def raw_frames(spark: SparkSession, group, formats: Sequence[str],
     return frames
 
 
+def folder_periods(spark: SparkSession, groups: Sequence, path_pattern: str) -> DataFrame:
+    """(ano, trimestre) of every file under the groups, from the folder names.
+
+    A file listing only: the binary source does not read file contents when
+    the content column is not selected.
+    """
+    paths = [g for group in groups for g in ([group] if isinstance(group, str) else group)]
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(paths).select(F.col("path").alias("_source_path")))
+    found = period_from_path(listing, "_source_path", path_pattern)
+    return found.filter(F.col("ano").isNotNull() & F.col("trimestre").isNotNull())
+
+
 @dataclass
 class Warehouse:
     ledger: DataFrame
@@ -72,15 +86,24 @@ def build_warehouse(
     out: str | None = None,
     path_pattern: str = r"(\d{4})_T(\d)",
     formats: Sequence[str] = ("csv", "zip", "xlsx"),
+    latest_quarters: int | None = None,
 ) -> Warehouse:
     """Run R9, R10 and R11 over files and write every table under ``out``
     (default: a folder in the shared ``spark.checkpoint.dir``). Each group is
-    searched for loose delimited files, ZIP archives and spreadsheets."""
+    searched for loose delimited files, ZIP archives and spreadsheets.
+    ``latest_quarters=N`` ingests only the N latest quarters found in the
+    folder names (S5), each quarter once however many files it has (D7)."""
     base = (out or scratch_path(spark, "warehouse")).rstrip("/")
+    periods = None
+    if latest_quarters:
+        periods = latest_periods(folder_periods(spark, ledger_groups, path_pattern),
+                                 latest_quarters)
     shaped = []
     for i, group in enumerate(ledger_groups):
         for raw in raw_frames(spark, group, formats, f"{base}/staging/records_{i}"):
             raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
+            if periods is not None:
+                raw = prune_to_periods(raw, periods)
             shaped.append(canonical_ledger(raw, period_cols=("ano", "trimestre")))
     ledger = materialize(consolidate(shaped), f"{base}/ledger")
 

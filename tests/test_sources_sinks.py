@@ -286,6 +286,21 @@ def test_build_warehouse_end_to_end(spark, workdir):
     assert orphan["orphan_rows"] == 1 and orphan["orphan_value"] == D("3.00")
 
 
+def test_latest_quarters_only(spark, workdir):
+    from tally.plans.batch import build_warehouse
+
+    for y, t, v in ((2022, 4, "1,00"), (2023, 1, "2,00"), (2023, 2, "3,00"), (2023, 3, "4,00")):
+        write(f"{workdir}/raw/{y}_T{t}/d.csv", f"REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;{v}\n")
+    # the same quarter in a second file counts once in the selection
+    write(f"{workdir}/raw/2023_T3/e.csv", "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;5,00\n")
+    write(f"{workdir}/cadop.csv", "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n1;x;A;M;SP\n")
+    wh = build_warehouse(spark, [f"{workdir}/raw"], f"{workdir}/cadop.csv", out=f"{workdir}/wh",
+                         formats=("csv",), latest_quarters=3)
+    got = sorted((r["Ano"], r["Trimestre"], r["ValorDespesas"]) for r in wh.ledger.collect())
+    assert got == [(2023, 1, D("2.00")), (2023, 2, D("3.00")), (2023, 3, D("4.00")),
+                   (2023, 3, D("5.00"))]
+
+
 def test_command_line(spark, workdir, capsys):
     from tally.__main__ import main
 
