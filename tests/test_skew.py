@@ -68,3 +68,24 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = windows.first_last(fact, "registro_ans", "data_referencia", "valor_despesa")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in text and "SortAggregate" not in text
+
+
+def test_fact_writer_splits_a_hot_operator(spark, workdir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tally.sinks.tables import write_fact
+
+    rows = [(0 if i % 3 == 0 else i % 50, 2023, 1, Decimal(i % 997) / 100) for i in range(6000)]
+    fact = spark.createDataFrame(rows, "registro_ans bigint, ano int, trimestre int, "
+                                       "valor_despesa decimal(15,2)")
+    out = f"{workdir}/fact"
+    write_fact(fact, out, partitions=8)
+    files = glob.glob(f"{out}/ano=2023/trimestre=1/*.parquet")
+    hot_per_file = [sum(1 for k in pq.read_table(f, columns=["registro_ans"]).column(0).to_pylist()
+                        if k == 0) for f in files]
+    hot = sum(1 for r in rows if r[0] == 0)
+    assert sum(hot_per_file) == hot
+    assert max(hot_per_file) < hot  # the hot operator is spread over several files/tasks
+    assert spark.read.parquet(out).count() == 6000
