@@ -67,3 +67,53 @@ def start_ingest(spark: SparkSession, landing: str, target: str, columns: Sequen
          .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_archive_ingest(spark: SparkSession, landing: str, target: str,
+                         name: str = "archive_ingest", available_now: bool = True,
+                         path_pattern: str = r"(\d{4})_T(\d)",
+                         max_files_per_trigger: int = 10) -> StreamingQuery:
+    """Stream newly landed quarterly ZIP archives into the ledger table.
+
+    A ``binaryFile`` file stream hands each micro-batch of new archives to
+    the same record reader as the batch path (``mapInPandas`` over
+    ``zipfile`` + ``csv``); the batch's records are written once under the
+    checkpoint folder, every member layout is parsed from that table, and
+    the canonical rows go to the period/batch folders as in
+    :func:`start_ingest`.
+    """
+    from ..sources.archives import RECORDS_SCHEMA, _expand, parse_members
+    from ..sources.delimited import SKIP_NAME_PARTS
+
+    # the binary source's fixed schema (streams must declare theirs)
+    binary = ("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+    stream = (spark.readStream.format("binaryFile").schema(binary)
+              .option("pathGlobFilter", "*.[zZ][iI][pP]")
+              .option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
+    staging = scratch_path(spark, f"streams/{name}_records")
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        records = batch.select("path", "content").mapInPandas(
+            lambda it: _expand(it, (".csv",), SKIP_NAME_PARTS), RECORDS_SCHEMA)
+        path = f"{staging}/batch_id={epoch_id}"
+        records.write.mode("overwrite").parquet(path)
+        frames = parse_members(spark.read.parquet(path))
+        shaped = []
+        for raw in frames:
+            raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
+            part = canonical_ledger(raw, period_cols=("ano", "trimestre"))
+            if part is not None:
+                shaped.append(part)
+        if not shaped:
+            return
+        from ..plans.consolidate import consolidate
+
+        rows = consolidate(shaped).withColumn("batch_id", F.lit(epoch_id))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("Ano", "Trimestre", "batch_id").parquet(target))
+
+    w = (stream.writeStream.queryName(name).foreachBatch(write_batch)
+         .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

@@ -355,3 +355,17 @@ def test_random_relative_paths_match_urljoin(spark):
     got = [(r["url"], r["href"], r["u"]) for r in links.resolve_links(df, out="u").collect()]
     bad = [(b, h, u, urljoin(b, h)) for b, h, u in got if u != urljoin(b, h)]
     assert bad == []
+
+
+def test_streaming_archive_ingest(spark, workdir):
+    from tally.streaming.ingest import start_archive_ingest
+
+    landing = os.path.join(workdir, "zips")
+    _zip(f"{landing}/2024_T3/a.zip", {"a.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;1,50\n"})
+    _zip(f"{landing}/2024_T4/b.zip", {"b.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n2;41;2,50\n3;31;9,00\n"})
+    target = os.path.join(workdir, "ledger_zip")
+    q = start_archive_ingest(spark, landing, target, name="t_zip_ingest")
+    q.awaitTermination(180)
+    got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
+                 for r in spark.read.parquet(target).collect())
+    assert got == [("1", 3, D("1.50")), ("2", 4, D("2.50"))]
