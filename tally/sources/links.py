@@ -71,60 +71,57 @@ def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
     )
 
 
-def _clean_segments(segs: Column) -> Column:
-    """Remove '.' and '..' segments with a stack (``aggregate``); a link with
-    n segments takes n steps, whatever n is."""
-    empty = F.array().cast("array<string>")
-    stack = F.aggregate(
-        segs, empty,
-        lambda acc, seg: F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(seg == ".", acc)
-        .otherwise(F.concat(acc, F.array(seg))),
-    )
-    last = F.element_at(segs, -1)
-    return F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
-
-
-def _merge_path(base_path: Column, path: Column) -> Column:
-    """Path of a path-shaped link seen from the base path (no dot segments)."""
-    base_parts = F.split(base_path, "/")
-    base_dir = F.when(F.element_at(base_parts, -1) != "",
-                      F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
-    merged = F.concat(base_dir, F.split(path, "/"))
-    n = F.size(merged)
-    # inner empty segments are dropped for relative links (no doubled slashes)
-    inner = F.filter(F.slice(merged, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
-    relative = F.when(n >= 2, F.concat(F.slice(merged, 1, 1), inner, F.slice(merged, n, 1))) \
-        .otherwise(merged)
-    segs = F.when(path.startswith("/"), F.split(path, "/")).otherwise(relative)
-    joined = F.array_join(_clean_segments(segs), "/")
-    joined = F.when(joined == "", F.lit("/")).otherwise(joined)
-    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-
-
-def _native_cases(base: Column, href: Column):
-    scheme = F.lower(F.regexp_extract(base, SCHEME_AUTHORITY, 1))
-    authority = F.regexp_extract(base, SCHEME_AUTHORITY, 2)
-    base_path = F.regexp_extract(base, SCHEME_AUTHORITY, 3)
-    has_base = (scheme != "") & ~base.contains(";")
-    absolute = href.rlike(NATIVE_ABSOLUTE)
-    scheme_rel = href.rlike(NATIVE_SCHEME_RELATIVE) & has_base
-    path_like = ~absolute & ~href.startswith("//") & href.rlike(NATIVE_PATH) & has_base
-    path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    rest = F.substring(href, F.length(path) + 1, 1 << 30)
-    value = (
-        F.when(absolute, href)
-        .when(scheme_rel, F.concat(scheme, href))
-        .when(path_like, F.concat(scheme, F.lit("//"), authority, _merge_path(base_path, path), rest))
-    )
-    return absolute | scheme_rel | path_like, value
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def resolve_native(base: Column, href: Column) -> Column:
+def _native_sql(b: str, h: str) -> tuple[str, str]:
+    """SQL text ``(is_native, resolved)`` for base column ``b`` and link ``h``.
+
+    Path links are merged with the base directory (inner empty segments of a
+    relative link dropped) and cleaned of '.'/'..' segments with a stack
+    (``aggregate``): a link with n segments takes n steps, whatever n is.
+    Intermediate values are bound once as lambda variables
+    (``transform(array(x), v -> ...)``) so nothing is computed twice.
+    """
+    sa = _sql_str(SCHEME_AUTHORITY)
+    scheme = f"lower(regexp_extract({b}, {sa}, 1))"
+    has_base = f"({scheme} <> '' AND NOT contains({b}, ';'))"
+    absolute = f"({h} RLIKE {_sql_str(NATIVE_ABSOLUTE)})"
+    scheme_rel = f"({h} RLIKE {_sql_str(NATIVE_SCHEME_RELATIVE)} AND {has_base})"
+    path_like = (f"(NOT {absolute} AND NOT startswith({h}, '//') "
+                 f"AND {h} RLIKE {_sql_str(NATIVE_PATH)} AND {has_base})")
+    path = f"regexp_extract({h}, '^([^?#]*)', 1)"
+    rest = f"substring({h}, length({path}) + 1)"
+    base_dir = (f"element_at(transform(array(split(regexp_extract({b}, {sa}, 3), '/')), "
+                f"p -> CASE WHEN element_at(p, -1) <> '' THEN slice(p, 1, size(p) - 1) "
+                f"ELSE p END), 1)")
+    relative = (f"element_at(transform(array(concat({base_dir}, split({path}, '/'))), "
+                f"m -> CASE WHEN size(m) >= 2 THEN concat(slice(m, 1, 1), "
+                f"filter(slice(m, 2, greatest(size(m) - 2, 0)), x -> x <> ''), "
+                f"slice(m, size(m), 1)) ELSE m END), 1)")
+    segs = f"CASE WHEN startswith({path}, '/') THEN split({path}, '/') ELSE {relative} END"
+    stack = ("aggregate(s, cast(array() AS array<string>), (acc, seg) -> "
+             "CASE WHEN seg = '..' THEN slice(acc, 1, greatest(size(acc) - 1, 0)) "
+             "WHEN seg = '.' THEN acc ELSE concat(acc, array(seg)) END)")
+    cleaned = (f"element_at(transform(array({segs}), s -> element_at(transform(array({stack}), "
+               f"st -> CASE WHEN element_at(s, -1) IN ('.', '..') THEN concat(st, array('')) "
+               f"ELSE st END), 1)), 1)")
+    merged = (f"element_at(transform(array(array_join({cleaned}, '/')), j -> "
+              f"CASE WHEN j = '' THEN '/' WHEN startswith(j, '/') THEN j ELSE concat('/', j) END), 1)")
+    authority = f"regexp_extract({b}, {sa}, 2)"
+    value = (f"CASE WHEN {absolute} THEN {h} "
+             f"WHEN {scheme_rel} THEN concat({scheme}, {h}) "
+             f"WHEN {path_like} THEN concat({scheme}, '//', {authority}, {merged}, {rest}) END")
+    return f"({absolute} OR {scheme_rel} OR {path_like})", value
+
+
+def resolve_native(base: str, href: str) -> Column:
     """Absolute URL for the link shapes resolved natively (absolute,
-    ``//host``, root-relative and relative paths; see the patterns above);
-    NULL for the others, which :func:`resolve_links` sends to ``urljoin`` (S2)."""
-    return _native_cases(base, href)[1]
+    ``//host``, root-relative and relative paths; see the patterns above) of
+    the columns named ``base`` and ``href``; NULL for the others, which
+    :func:`resolve_links` sends to ``urljoin`` (S2)."""
+    return F.expr(_native_sql(f"`{base}`", f"`{href}`")[1])
 
 
 def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
@@ -138,9 +135,9 @@ def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
     evaluates a Python UDF for every input row of its node, not only for the
     rows of the CASE branch that uses it.
     """
-    is_native, value = _native_cases(F.col(base), F.col(href))
-    flagged = df.withColumn("_native", F.coalesce(is_native, F.lit(False)))
-    native = flagged.filter("_native").withColumn(out, value)
+    is_native, value = _native_sql(f"`{base}`", f"`{href}`")
+    flagged = df.withColumn("_native", F.expr(f"coalesce({is_native}, false)"))
+    native = flagged.filter("_native").withColumn(out, F.expr(value))
     other = flagged.filter(~F.col("_native")).withColumn(out, _urljoin(F.col(base), F.col(href)))
     return native.unionByName(other).drop("_native")
 

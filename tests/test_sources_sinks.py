@@ -192,7 +192,7 @@ def test_links(spark):
         "https://h.example:8080/FTP/PDA/2023/", "https://h.example:8080/FTP/PDA/1T2023.zip",
         "https://h.example:8080/Demonstracoes_Contabeis/", "http://other/x?a=1&b=2"]
     native = links.extract_links(pages).select(
-        links.resolve_native(F.col("url"), F.col("href")).alias("u")).collect()
+        links.resolve_native("url", "href").alias("u")).collect()
     assert sum(r["u"] is None for r in native) == 0  # every shape here resolves natively
     arr = links.link_array(F.col("html"))
     pick = pages.select(links.pick_link(arr, ["demonstracoes", "contabeis"], "all").alias("p"),
