@@ -552,7 +552,7 @@ def r11_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ValorDespesas", F.replace(F.col("ValorDespesas").cast("string"), F.lit("."), F.lit(","))
     )
     dim, _ = load_dimension(registry(spark, sf_dir))
-    return edge(load_fact(staging, dim))
+    return edge(load_fact(staging, dim, check_size=False))
 
 
 @register("j01_left_enrich", with_ctes(RAW_LEDGER_SQL, CONSOLIDATED_SQL, REGISTRY_SQL, body=f"""

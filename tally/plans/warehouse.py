@@ -45,16 +45,22 @@ def load_dimension(staging: DataFrame, key_type: str = "bigint") -> tuple[DataFr
 
 
 def load_fact(staging: DataFrame, dim: DataFrame, key_type: str = "bigint",
-              strict: bool = True) -> DataFrame:
+              strict: bool = True, check_size: bool = True) -> DataFrame:
     """Staging ledger (RegistroANS, Ano, Trimestre, ValorDespesas as text) -> fact rows
-    of known operators. ``strict`` raises on a malformed amount like the load does."""
+    of known operators. ``strict`` raises on a malformed amount like the load does.
+
+    ``check_size`` probes a stored dimension before broadcasting its keys;
+    pass ``False`` when ``dim`` is still a derived plan (the planner's
+    estimate and AQE decide instead of running it an extra time)."""
     rows = staging.select(
         digits_key(F.col("RegistroANS").cast("string"), key_type).alias("registro_ans"),
         F.col("Ano").cast("int").alias("ano"),
         F.col("Trimestre").cast("int").alias("trimestre"),
         comma_decimal(F.col("ValorDespesas").cast("string"), MONEY, strict).alias("valor_despesa"),
     )
-    known = join_dimension(rows, dim.select("registro_ans"), "registro_ans", "inner")
+    keys = dim.select("registro_ans")
+    known = (join_dimension(rows, keys, "registro_ans", "inner") if check_size
+             else rows.join(keys, "registro_ans", "inner"))
     return known.select(
         "registro_ans", "ano", "trimestre",
         quarter_start(F.col("ano"), F.col("trimestre")).alias("data_referencia"),
