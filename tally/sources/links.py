@@ -142,6 +142,22 @@ def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
     return native.unionByName(other).drop("_native")
 
 
+def archive_links(pages: DataFrame, extension: str = ".zip", html: str = "html",
+                  keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
+    """Absolute URLs of the archive links of each page (S1 + ends-with + S2).
+
+    A quarter folder's page lists its archives; a link qualifies when it
+    ends with ``extension`` (case-insensitive). A page URL that is itself an
+    archive is its own single link.
+    """
+    links = extract_links(pages, html, keep)
+    wanted = links.filter(F.lower(F.col("href")).endswith(extension.lower()))
+    resolved = resolve_links(wanted, "url", "href", "archive_url")
+    direct = pages.filter(F.lower(F.col("url")).endswith(extension.lower())).select(
+        *keep, F.lit(-1).alias("pos"), F.col("url").alias("href"), F.col("url").alias("archive_url"))
+    return resolved.unionByName(direct)
+
+
 def pick_link(links: Column, keywords: Iterable[str], mode: str = "all",
               fallback: str | None = None) -> Column:
     """First content link containing all (or any) keywords, case-insensitive (S3).

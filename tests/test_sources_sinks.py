@@ -200,6 +200,17 @@ def test_links(spark):
     assert pick["p"] == "/Demonstracoes_Contabeis/" and pick["f"] == "fallback"
 
 
+def test_archive_links(spark):
+    html = '<a href="../">up</a><a href="Dados_1T2023.ZIP">z</a><a href="leia-me.txt">t</a>' \
+           '<a href="/outro/2T2023.zip">y</a>'
+    pages = spark.createDataFrame(
+        [(1, "https://h/FTP/2023/1T2023/", html), (2, "https://h/FTP/3T2023.zip", "")],
+        "page_id bigint, url string, html string")
+    got = sorted(r["archive_url"] for r in links.archive_links(pages).collect())
+    assert got == ["https://h/FTP/2023/1T2023/Dados_1T2023.ZIP", "https://h/FTP/3T2023.zip",
+                   "https://h/outro/2T2023.zip"]
+
+
 def test_latest_periods_dedupe_quarters(spark):
     df = spark.createDataFrame([("1T2023.zip",), ("1t2023_parte2.zip",), ("4T2022.zip",),
                                 ("3T2022.zip",), ("2T2022.zip",), ("leia-me.txt",)], "link string")
