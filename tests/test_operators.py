@@ -301,3 +301,16 @@ def test_keep_rows_matches_filter_and_computes_once(spark):
     assert sorted(a.collect()) == sorted(b.collect()) and a.columns == derived.columns
     plan = a._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract") == 1
+
+
+def test_history_page_bounds(star):
+    from tally.plans.service import LedgerService
+
+    dim, fact = star
+    svc = LedgerService(dim, fact)
+    first = svc.history_page("11222333000181", 1, 2)
+    second = svc.history_page("11222333000181", 2, 2)
+    assert len(first) == 2 and len(second) == 1
+    assert [r["data_referencia"] for r in first + second] == ["2023-04-01", "2023-01-01", "2023-01-01"]
+    with pytest.raises(ValueError):
+        svc.history_page("11222333000181", 0, 2)

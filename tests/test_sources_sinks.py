@@ -380,3 +380,14 @@ def test_streaming_archive_ingest(spark, workdir):
     got = sorted((r["RegistroANS"], r["Trimestre"], r["ValorDespesas"])
                  for r in spark.read.parquet(target).collect())
     assert got == [("1", 3, D("1.50")), ("2", 4, D("2.50"))]
+
+
+def test_defaults_and_literal_period(spark):
+    raw = spark.createDataFrame([("41", "3,00", "x")], "CD_CONTA_CONTABIL string, VALOR string, OUTRA string")
+    led = consolidate([canonical_ledger(raw, ano=2022, trimestre=4)]).first()
+    # no key column -> '0' (H4); names are placeholders; period from the arguments (H5)
+    assert (led["RegistroANS"], led["CNPJ"], led["RazaoSocial"], led["Ano"], led["Trimestre"],
+            led["ValorDespesas"]) == ("0", "N/A", "N/A", 2022, 4, D("3.00"))
+    # no account column: the expense-account filter is not applied (F1)
+    raw2 = spark.createDataFrame([("7", "5,00")], "REG_ANS string, VL_SALDO_FINAL string")
+    assert consolidate([canonical_ledger(raw2, 2022, 4)]).count() == 1
