@@ -31,9 +31,10 @@ SCHEME_AUTHORITY = r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//([^/?#]*)([^?#]*)"
 # Link shapes resolved natively, each exactly as ``urljoin`` resolves it:
 # lower-case scheme with an authority (kept as is), scheme-relative (base
 # scheme + link), and paths: root-relative or relative, merged with the base
-# path and cleaned of '.'/'..' segments. None may carry ';' parameters or end
-# in an empty query or fragment (``urljoin`` rewrites those); links starting
-# with '?' or '#', empty links and scheme-only links go to ``urljoin``.
+# path and cleaned of '.'/'..' segments, and query-only / fragment-only
+# links. None may carry ';' parameters or end in an empty query or fragment
+# (``urljoin`` rewrites those); those, empty links and scheme-only links go
+# to ``urljoin``.
 _TAIL = r"(?:\?[^#]+)?(?:#.+)?$"
 NATIVE_ABSOLUTE = r"^[a-z][a-z0-9+.-]*://[^?#;]*" + _TAIL
 NATIVE_SCHEME_RELATIVE = r"^//[^/?#;]+[^?#;]*" + _TAIL
@@ -110,10 +111,19 @@ def _native_sql(b: str, h: str) -> tuple[str, str]:
     merged = (f"element_at(transform(array(array_join({cleaned}, '/')), j -> "
               f"CASE WHEN j = '' THEN '/' WHEN startswith(j, '/') THEN j ELSE concat('/', j) END), 1)")
     authority = f"regexp_extract({b}, {sa}, 2)"
+    base_path = f"regexp_extract({b}, {sa}, 3)"
+    base_query = f"regexp_extract({b}, {_sql_str(r'^[^?#]*(\?[^#]+)')}, 1)"
+    # '?q' keeps the base path; '#f' keeps base path and (non-empty) query
+    query_only = f"({h} RLIKE {_sql_str(r'^\?[^#]+(?:#.+)?$')} AND {has_base})"
+    fragment_only = f"({h} RLIKE {_sql_str(r'^#.+$')} AND {has_base})"
     value = (f"CASE WHEN {absolute} THEN {h} "
              f"WHEN {scheme_rel} THEN concat({scheme}, {h}) "
-             f"WHEN {path_like} THEN concat({scheme}, '//', {authority}, {merged}, {rest}) END")
-    return f"({absolute} OR {scheme_rel} OR {path_like})", value
+             f"WHEN {path_like} THEN concat({scheme}, '//', {authority}, {merged}, {rest}) "
+             f"WHEN {query_only} THEN concat({scheme}, '//', {authority}, {base_path}, {h}) "
+             f"WHEN {fragment_only} THEN concat({scheme}, '//', {authority}, {base_path}, "
+             f"{base_query}, {h}) END")
+    native = f"({absolute} OR {scheme_rel} OR {path_like} OR {query_only} OR {fragment_only})"
+    return native, value
 
 
 def resolve_native(base: str, href: str) -> Column:

@@ -330,13 +330,15 @@ def test_resolution_matches_urljoin(spark):
     import itertools
     from urllib.parse import urljoin
 
-    bases = ["https://h.example:8080/FTP/PDA/x.html?q=1#f", "HTTP://u:p@h/a/b/", "http://h"]
+    bases = ["https://h.example:8080/FTP/PDA/x.html?q=1#f", "HTTP://u:p@h/a/b/", "http://h",
+             "https://h/a/./b?x#y", "https://h/a?#y", "https://h/a#y", "https://h/a;p/b"]
     hrefs = ["/a/../b", "/a/./b", "/a/b/", "http://x/./y", "HTTP://x/y", "//x/./y", "//x/y?",
              "/a?b#c", "/.", "/..", "mailto:x", "https:foo", "/a?", "/a#", "/a?#x", "/a;p?x",
              "/a/.hidden", "/a/..b", "2023/", "../up", "?C=N", "#top", "x.zip", "./y", "/a//b",
              "/%41", "https://x/y#", "ftp://x/y", "a/b/../../../c", "a//b/./c/", "..", ".",
              "../../..", "x/..", "x/.", "2023/1T2023.zip?dl=1#k", "/a/b/../../../c", "a;p",
-             "", "?q", "#f", "x:y", "2023:x", "%2F", "a/b?c/../d", "./../x"]
+             "", "?q", "#f", "x:y", "2023:x", "%2F", "a/b?c/../d", "./../x", "?q#f", "?", "#",
+             "?#f", "#f#g", "??q"]
     pairs = list(itertools.product(bases, hrefs))
     df = spark.createDataFrame(pairs, "url string, href string")
     got = {(r["url"], r["href"]): r["u"] for r in links.resolve_links(df, out="u").collect()}
