@@ -314,3 +314,15 @@ def test_history_page_bounds(star):
     assert [r["data_referencia"] for r in first + second] == ["2023-04-01", "2023-01-01", "2023-01-01"]
     with pytest.raises(ValueError):
         svc.history_page("11222333000181", 0, 2)
+
+
+def test_left_enrich_null_safe(spark):
+    ledger = spark.createDataFrame([(None, D("7.00")), ("5", D("1.00"))],
+                                   "RegistroANS string, ValorDespesas decimal(15,2)")
+    reg = spark.createDataFrame([(None, "x", "NullKeyOp", "SP"), ("5", "y", "Five", "RJ")],
+                                "RegistroANS string, CNPJ string, RazaoSocial string, UF string")
+    plain = {r["ValorDespesas"]: r["RazaoSocial"] for r in joins.left_enrich(ledger, reg).collect()}
+    safe = {r["ValorDespesas"]: r["RazaoSocial"]
+            for r in joins.left_enrich(ledger, reg, null_safe=True).collect()}
+    assert plain[D("1.00")] == "Five" and plain[D("7.00")] is None   # NULL never matches (D4)
+    assert safe[D("7.00")] == "NullKeyOp"                              # opt-in NULL = NULL
