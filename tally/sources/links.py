@@ -143,7 +143,10 @@ def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
     (``?q``, ``#f``, empty, ``;params``, scheme without authority) go through
     an Arrow-batched ``urljoin``; they are split off first, because Spark
     evaluates a Python UDF for every input row of its node, not only for the
-    rows of the CASE branch that uses it.
+    rows of the CASE branch that uses it. Both branches read ``df``; when it
+    is expensive to produce (links extracted from large pages), pass a
+    written table (e.g. ``plans.batch.materialize``) so the extraction runs
+    once.
     """
     is_native, value = _native_sql(f"`{base}`", f"`{href}`")
     flagged = df.withColumn("_native", F.expr(f"coalesce({is_native}, false)"))
