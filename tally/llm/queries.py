@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import read_table
+from .chat_windows import chat_windows, read_windows
 from .line_dedup import line_dedup
+from .url_reputation import judge_urls, page_outcomes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +51,134 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGI
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    out = judge_urls(pages, page_outcomes(read_table(spark, sf_dir, "labels")))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES["op6_url_reputation"] = op6_url_reputation
+_TWO = "('co.uk','org.uk','ac.uk','gov.uk','com.au','net.au','org.au','co.nz','co.jp','or.jp','ne.jp','co.kr','com.br','org.br','gov.br','com.mx','com.ar','com.tr','com.cn','com.tw','co.in','co.za','com.sg','com.hk')"
+_RHO = """greatest(least(coalesce(CASE WHEN sum(CASE WHEN n > 0 THEN (n - 1) * m * (1 - m) END) > 0 THEN
+    (sum(CASE WHEN n > 0 THEN n * (bad / n - m) * (bad / n - m) END) - sum(CASE WHEN n > 0 THEN m * (1 - m) END))
+    / sum(CASE WHEN n > 0 THEN (n - 1) * m * (1 - m) END) END, 0.5), 0.5), 0.0001)"""
+ORACLE["op6_url_reputation"] = rf"""
+WITH parts AS (
+    SELECT page_id,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+split AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+),
+outcome AS (
+    SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END) AS bad
+    FROM labels GROUP BY doc_id
+),
+hosts AS (
+    SELECT host, count(bad) * 1.0::DOUBLE AS n, coalesce(sum(bad), 0) * 1.0::DOUBLE AS bad, string_split(host, '.') AS ls
+    FROM split LEFT JOIN outcome USING (page_id) GROUP BY host
+),
+named AS (
+    SELECT host, n, bad,
+        CASE WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-3:], '.') ELSE array_to_string(ls[-2:], '.') END AS domain,
+        CASE WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-2:], '.') ELSE ls[-1] END AS suffix
+    FROM hosts
+),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM named) AS m FROM named GROUP BY suffix),
+s1 AS (SELECT 1 / {_RHO} - 1 AS s FROM s0),
+s2 AS (SELECT suffix, (m * s + bad) / (s + n) AS mean FROM s0, s1),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(s2.mean) AS m FROM named JOIN s2 USING (suffix) GROUP BY domain, suffix),
+d1 AS (SELECT 1 / {_RHO} - 1 AS s FROM d0),
+d2 AS (SELECT domain, (m * s + bad) / (s + n) AS mean FROM d0, d1),
+h0 AS (SELECT host, n, bad, d2.mean AS m FROM named JOIN d2 USING (domain)),
+h1 AS (SELECT 1 / {_RHO} - 1 AS s FROM h0),
+h2 AS (SELECT host, (m * s + bad) / (s + n) AS mean, s + n AS total FROM h0, h1),
+judged AS (
+    SELECT page_id, host, path, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.3 AS bad,
+        CASE
+            WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+            WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+            WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+            WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
+        END AS rule
+    FROM split JOIN h2 USING (host)
+)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+         WHEN bad THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+
+def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    back = read_windows(chat_windows(turns)).select(
+        "conv_id", "span", "n_chars", F.size("turns").alias("n"),
+        F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns"),
+        F.array_join("targets", "").alias("loss"),
+    )
+    parts = back.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("span", "turns", "loss"))).alias("w"),
+        F.sum("n").alias("n_turns"), F.sum("n_chars").alias("formatted_chars"),
+    )
+    loss = F.array_join(F.transform("w", lambda x: x["loss"]), "")
+    return parts.select(
+        "conv_id", "n_turns",
+        F.sha2(F.array_join(F.transform("w", lambda x: x["turns"]), ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+QUERIES["op7_chat_windows"] = op7_chat_windows
+ORACLE["op7_chat_windows"] = r"""
+WITH src AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 2 AS tok,
+        length(regexp_replace(role, '[\\<\[\n]', 'xx', 'g')) + length(regexp_replace(text, '[\\<\[]', 'xx', 'g')) + 8 AS chars
+    FROM src
+),
+summed AS (
+    SELECT *, i = 1 AND role = 'system' AS lead,
+        sum(CASE WHEN i = 1 AND role = 'system' THEN 0 ELSE tok END) OVER (PARTITION BY conv_id ORDER BY i) AS p_end
+    FROM numbered
+),
+celled AS (
+    SELECT *, p_end - tok AS p, CASE WHEN NOT lead THEN CAST(p_end - 1 AS BIGINT) // 1024 END AS cell FROM summed
+),
+spans AS (
+    SELECT conv_id, cell, min(p) AS p0 FROM celled WHERE NOT lead GROUP BY conv_id, cell
+),
+repeats AS (
+    SELECT t.conv_id, sum(t.chars) AS chars FROM celled t JOIN spans s
+      ON t.conv_id = s.conv_id AND NOT t.lead AND s.cell > t.cell AND s.p0 - t.p <= 512 GROUP BY t.conv_id
+),
+heads AS (
+    SELECT t.conv_id, any_value(t.chars) * greatest(count(s.cell) - 1, 0) AS chars
+    FROM celled t LEFT JOIN spans s ON t.conv_id = s.conv_id WHERE t.lead GROUP BY t.conv_id
+),
+base AS (
+    SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '') AS loss
+    FROM numbered GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+    CAST(base.chars + coalesce(repeats.chars, 0) + coalesce(heads.chars, 0) AS BIGINT) AS formatted_chars
+FROM base LEFT JOIN repeats USING (conv_id) LEFT JOIN heads USING (conv_id)
+"""
