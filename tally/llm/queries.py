@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ._common import read_table
 from .chat_windows import chat_windows, read_windows
+from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
 from .line_dedup import line_dedup
+from .secrets import BASE_KINDS, find_secrets
 from .url_reputation import judge_urls, page_outcomes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,3 +184,33 @@ SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_char
     CAST(base.chars + coalesce(repeats.chars, 0) + coalesce(heads.chars, 0) AS BIGINT) AS formatted_chars
 FROM base LEFT JOIN repeats USING (conv_id) LEFT JOIN heads USING (conv_id)
 """
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return find_secrets(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES["op9_secrets"] = op9_secrets
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = identify_language(docs.select("doc_id", "text"), learn_dictionaries(docs))
+    # the contract wants a learned language for every text with a letter; a narrow margin is told beside it
+    return out.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("lang_best").alias("lang_pred"), "score",
+        (F.col("lang_pred") == UNKNOWN).alias("rejected"),
+    )
+
+
+QUERIES["op2_language_id"] = op2_language_id
