@@ -15,6 +15,7 @@ from ._common import read_table
 from .chat_windows import chat_windows, read_windows
 from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
 from .line_dedup import line_dedup
+from .quality_divergence import learn_reference, quality_scores
 from .secrets import BASE_KINDS, find_secrets
 from .url_reputation import judge_urls, page_outcomes
 
@@ -214,3 +215,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_language_id"] = op2_language_id
+
+
+def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_scores(docs, learn_reference(docs)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    )
+
+
+QUERIES["op3_quality_divergence"] = op3_quality_divergence
