@@ -50,7 +50,7 @@ MIN_BASE_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SLICE_BYTES = 2 << 20
 N_CLASSES = 8
-OVERALL = "*"
+OVERALL = "\0"
 
 # Character classes by UTF-8 byte; 7 (a continuation byte) counts nowhere.
 CLASS = np.full(256, 5, dtype=np.uint8)
@@ -156,13 +156,13 @@ def learn_reference(docs: DataFrame, common_words: int = COMMON_WORDS, text_col:
     rows = docs.select(text_or_empty(text_col).alias("t"), F.col(lang_col).alias("lang"))
     counts = rows.mapInArrow(_totals, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     rank = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "key")
-    top = counts.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= common_words).collect()
+    top = counts.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max(common_words, N_CLASSES)).collect()
     classes: dict[str | None, np.ndarray] = {}
     words: dict[str | None, list[tuple[int, int]]] = {}
     for r in top:
         if r["kind"] == 0:
             classes.setdefault(r["lang"], np.zeros(N_CLASSES))[r["key"]] = r["n"]
-        else:
+        elif r["rank"] <= common_words:
             words.setdefault(r["lang"], []).append((r["key"], r["n"]))
     everything: dict[int, int] = {}
     for pairs in words.values():

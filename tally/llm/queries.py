@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ._common import read_table
 from .chat_windows import chat_windows, read_windows
 from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
+from .lexical_packing import lexical_packing
 from .line_dedup import line_dedup
 from .quality_divergence import learn_reference, quality_scores
 from .secrets import BASE_KINDS, find_secrets
@@ -225,3 +226,10 @@ def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_quality_divergence"] = op3_quality_divergence
+
+
+def op5_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_packing(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_lexical_packing"] = op5_lexical_packing
