@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import read_table
+from .bag_minhash import near_duplicate_classes
 from .chat_windows import chat_windows, read_windows
 from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
 from .lexical_packing import lexical_packing
@@ -233,3 +234,10 @@ def op5_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_lexical_packing"] = op5_lexical_packing
+
+
+def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+QUERIES["op4_bag_minhash"] = op4_bag_minhash
