@@ -12,21 +12,26 @@ shingles plus ``m ln m`` points rather than shingles times ``m``.
 
 Banding and verification. Documents with the same word sequence are first
 collapsed into one node. Nodes that share a band are candidates. In each band
-bucket the smallest node is compared with all others by exact multiset
-overlap; where that leaves more than one component in a bucket, its next
-smallest nodes (64, then 512, then 4096, ...) are compared with those of
-other components, and so on until no bucket holds two nodes that were neither
-compared nor connected. So no link within a bucket is lost, copies are never
+bucket the most central node (the one that meets most others over all its
+bands; ties by id) is compared with all others by exact multiset overlap;
+where that leaves more than one component in a bucket, its next nodes by
+centrality (8, then 64, then 512, ...) are compared with those of other
+components, and so on until no bucket holds two nodes that were neither
+compared nor connected. A shingle that no other node of these buckets has
+cannot be part of an overlap, so pairs are passed over whose possible overlap
+is too small; that keeps a family of copies just below the threshold from
+being compared all with all. So no link within a bucket is lost, copies are never
 expanded to pairs, and only nodes that share a band without being connected
 are compared with each other. Before the exact comparison, pairs are dropped
 whose sketches (one byte a slot) agree in fewer slots than six standard
 errors below the threshold. With 30 bands of 5 a pair of similarity 0.8 meets
 in a bucket with probability 0.99999.
 
-Skew. Bucket leaders are minima, pre-aggregated before the shuffle; the
+Skew. The first leaders are minima, pre-aggregated before the shuffle; the
 members of one leader are dealt in groups of ``GROUP`` with the leader's
-shingles sent to each group. All tables between are staged in the shared
-checkpoint folder, so joins see real sizes.
+shingles sent to each group. Texts are shuffled once, to the nodes that share
+a band with another; their bags of shingles and all tables between are staged
+in the shared checkpoint folder.
 
 Defined results: a null or empty text (no word) equals every other such text;
 one to four words are a single shingle; a null id is no one's class id unless
@@ -52,8 +57,11 @@ from .components import component_labels
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
-GROUP = 256
-FIRST_LEADERS, MORE_LEADERS = 64, 8
+SLOTS = 600
+GROUP, BLOCK = 256, 2048
+SIGMAS = 5
+NEVER, TICKS = np.iinfo(np.int64).max, 2.0**40
+MORE_LEADERS = 8
 SLICE_BYTES = 4 << 20
 _C = U(0x9E3779B97F4A7C15)
 _D = U(0xC2B2AE3D27D4EB4F)
@@ -70,8 +78,12 @@ def weighted(shingle: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def bag_minhash(shingle: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int, m: int) -> np.ndarray:
-    """Signatures, ``n_docs`` by ``m``: the time of each slot's first point; infinite for a document without shingles."""
-    first = np.full(n_docs * m, np.inf)
+    """Signatures, ``n_docs`` by ``m``: the time of each slot's first point; ``NEVER`` for a document without shingles.
+
+    Times are whole numbers, so that their sums do not depend on how many
+    points are drawn at once, which differs from batch to batch.
+    """
+    first = np.full(n_docs * m, NEVER)
     # processes: one per shingle and block that begins below its weight
     key, owner, top, low, rate = [mix(shingle)], [doc], [weight], [np.zeros(len(doc))], [np.ones(len(doc))]
     lo, width, block = 1, 1, 1
@@ -86,14 +98,14 @@ def bag_minhash(shingle: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs
         width = lo
         more = more[weight[more] > lo]
     key, owner, top, low, rate = (np.concatenate(x) for x in (key, owner, top, low, rate))
-    time = np.zeros(len(key))
+    time = np.zeros(len(key), dtype=np.int64)
     point = 0
     while len(key):
         # a point of each process, or several where few processes are left
         g = max(1, min(64, 50_000 // len(key)))
         r = mix(key[:, None] + (np.arange(point + 1, point + 1 + g, dtype=U) * _D)[None, :])
         u = ((r >> U(11)).astype(np.float64) + 0.5) * 2.0**-53
-        times = time[:, None] + np.cumsum(-np.log(u) / rate[:, None], axis=1)
+        times = time[:, None] + np.cumsum((-np.log(u) / rate[:, None] * TICKS).astype(np.int64), axis=1)
         r = mix(r + _C)
         slot = ((r >> U(32)) * U(m)) >> U(32)
         cell = low[:, None] + np.floor((r & U(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 * rate[:, None])
@@ -122,20 +134,32 @@ def sketches(signature: np.ndarray) -> np.ndarray:
     return (mix(np.ascontiguousarray(signature).view(U)) >> U(56)).astype(np.uint8)
 
 
-def likely_pairs(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The ``pairs(leader, node)`` whose sketches do not rule the threshold out."""
-    both = pairs.join(nodes.select(F.col("did").alias("leader"), F.col("sketch").alias("a")), "leader").join(
-        nodes.select(F.col("did").alias("node"), F.col("sketch").alias("b")), "node"
+def likely_pairs(rest: DataFrame, n_leaders: int, threshold: float) -> DataFrame:
+    """``(leader, node)`` of ``rest(b, node, comp, rank, size, alone, sketch, n)`` that may reach the threshold.
+
+    In each bucket ``b`` the nodes of rank ``n_leaders`` or less are leaders;
+    they go to every block of the bucket's ``n`` nodes.
+    """
+    names = ["node", "comp", "rank", "size", "alone", "sketch"]
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    members = rest.select("b", F.pmod(F.xxhash64("node"), blocks).alias("part"), F.lit(False).alias("leads"), *names)
+    leaders = rest.filter(F.col("rank") <= n_leaders).select(
+        "b", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("part"), F.lit(True).alias("leads"), *names
     )
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
-                least = threshold - 6 * np.sqrt(threshold * (1 - threshold) / a.shape[1])
-                yield batch.filter(pa.array((a == b).mean(axis=1) >= least)).select([0, 1])
+    def compare(table: pa.Table) -> pa.Table:
+        leads, node, comp, rank, size, alone = (table.column(c).to_numpy() for c in ("leads", "node", "comp", "rank", "size", "alone"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+        least = threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / sketch.shape[1])
+        pairs = []
+        for k in np.flatnonzero(leads):
+            overlap = np.minimum(size - alone, size[k] - alone[k])
+            at = np.flatnonzero(~leads & (rank > rank[k]) & (comp != comp[k]) & (overlap >= threshold * (size + size[k] - overlap) - 1e-9))
+            hit = at[(sketch[at] == sketch[k]).mean(axis=1) >= least]
+            pairs.append((np.full(len(hit), node[k]), node[hit]))
+        return pa.table({"leader": np.concatenate([p[0] for p in pairs] or [node[:0]]), "node": np.concatenate([p[1] for p in pairs] or [node[:0]])})
 
-    return both.select("leader", "node", "a", "b").mapInArrow(agree, "leader long, node long")
+    return members.unionByName(leaders).groupBy("b", "part").applyInArrow(compare, "leader long, node long").distinct()
 
 
 def sequence_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +188,7 @@ def node_id(id_col: str, text_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), -F.xxhash64(text_or_empty(text_col)).bitwiseAND(MAX_ID) - 1)
 
 
-def signatures(docs: DataFrame, bands: int, rows: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, bands: int, rows: int, slots: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, did, e1, e2, bands, sketch)`` for every row; ``bands`` is empty without words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +196,8 @@ def signatures(docs: DataFrame, bands: int, rows: int, shingle: int, id_col: str
             for i, j, _, _, words in _slices(batch, 2):
                 s, d, _ = words.shingles(shingle)
                 has = words.count > 0
-                sig = bag_minhash(*weighted(s, d), j - i, bands * rows)
-                keys = band_keys(sig, bands, rows)[has]
+                sig = bag_minhash(*weighted(s, d), j - i, slots)
+                keys = band_keys(sig[:, : bands * rows], bands, rows)[has]
                 e1, e2 = sequence_keys(words)
                 yield pa.record_batch(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(e1.view(np.int64)),
@@ -186,26 +210,52 @@ def signatures(docs: DataFrame, bands: int, rows: int, shingle: int, id_col: str
     return rows_in.mapInArrow(scan, "doc_id long, did long, e1 long, e2 long, bands array<long>, sketch binary")
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, threshold: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """Those of ``pairs(leader, node)`` whose multisets of shingles have a Jaccard similarity of ``threshold`` or more."""
-    pairs = staged(pairs.select("leader", "node"), "pairs")
-    groups = pairs.groupBy("leader").agg(F.ceil(F.count("*") / GROUP).alias("n"))
-    members = pairs.join(groups, "leader").select(
-        F.col("node").alias("did"), "leader", F.pmod(F.xxhash64("node"), F.col("n")).cast("long").alias("part")
-    )
-    leaders = groups.select(F.col("leader").alias("did"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("part"))
-    wanted = staged(members.unionByName(leaders), "wanted")
+def shingle_bags(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """``(did, bag)`` of ``nodes(did)``: the sorted shingle hashes with their repetitions."""
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, _, _, words in _slices(batch, 3):
+            for i, j, _, _, words in _slices(batch, 1):
                 s, d, _ = words.shingles(shingle)
                 order = np.lexsort((s, d))
                 n = np.bincount(d, minlength=j - i)
                 s = s[order]
                 at = np.concatenate([[0], np.cumsum(n)])
                 bag = pa.array([s[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
-                yield pa.record_batch([*(batch.column(k).slice(i, j - i) for k in range(3)), bag], names=["leader", "part", "did", "bag"])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), bag], names=["did", "bag"])
+
+    texts = docs.select(node_id(id_col, text_col).alias("did"), text_or_empty(text_col).alias("t"))
+    # one plan at every size: the texts are sorted to the nodes
+    return texts.hint("merge").join(nodes, "did", "left_semi").mapInArrow(bags, "did long, bag binary")
+
+
+def unshared(bags: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, size, alone)``: the bag's size, and how much of it no other of ``nodes(did)`` has."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for did, bag in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                token, n = np.unique(np.frombuffer(bag, dtype=U), return_counts=True)
+                yield pa.record_batch([pa.array(np.full(len(token), did)), pa.array(token.view(np.int64)), pa.array(n)], names=["node", "token", "n"])
+
+    own = (
+        bags.join(nodes, "did", "left_semi").mapInArrow(tokens, "node long, token long, n long")
+        .groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("node"), F.sum("n").alias("n"))
+        .filter("df = 1").groupBy("node").agg(F.sum("n").alias("alone"))
+    )
+    sizes = bags.join(nodes, "did", "left_semi").select(F.col("did").alias("node"), (F.octet_length("bag") / 8).cast("long").alias("size"))
+    return sizes.join(own, "node", "left").select("node", "size", F.coalesce("alone", F.lit(0)).alias("alone"))
+
+
+def similar_pairs(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs(leader, node)`` whose bags have a Jaccard similarity of ``threshold`` or more."""
+    pairs = staged(pairs.select("leader", "node"), "pairs")
+    groups = pairs.groupBy("leader").agg(F.ceil(F.count("*") / GROUP).alias("n"))
+    members = pairs.join(groups, "leader").select(
+        F.col("node").alias("did"), "leader", F.pmod(F.xxhash64("node"), F.col("n")).cast("long").alias("part")
+    )
+    leaders = groups.select(F.col("leader").alias("did"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("part"))
+    wanted = members.unionByName(leaders)
 
     def compare(table: pa.Table) -> pa.Table:
         leader = table.column("leader")[0].as_py()
@@ -225,18 +275,16 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, threshold: float, shingle:
                     hits.add(i)
         return pa.table({"u": pa.array(sorted(hits), pa.int64()), "v": pa.array([leader] * len(hits), pa.int64())})
 
-    texts = docs.select(node_id(id_col, text_col).alias("did"), text_or_empty(text_col).alias("t"))
     return (
-        texts.join(wanted, "did")
-        .select("leader", "part", "did", "t")
-        .mapInArrow(bags, "leader long, part long, did long, bag binary")
+        bags.hint("merge").join(wanted, "did")
+        .select("leader", "part", "did", "bag")
         .groupBy("leader", "part")
         .applyInArrow(compare, "u long, v long")
     )
 
 
 def near_duplicate_classes(
-    docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE,
+    docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, slots: int = SLOTS, shingle: int = SHINGLE,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, did, class_id, first)``: one row per row of ``docs``.
@@ -244,37 +292,44 @@ def near_duplicate_classes(
     ``class_id`` is the smallest id of the class, ``did`` the row's node id
     and ``first`` the node id of the class's smallest document.
     """
-    sig = staged(signatures(docs, bands, rows, shingle, id_col, text_col), "signatures")
+    sig = staged(signatures(docs, bands, rows, slots, shingle, id_col, text_col), "signatures")
     nodes = staged(sig.groupBy("e1", "e2").agg(F.min("did").alias("node")), "nodes")
     member = sig.join(nodes, ["e1", "e2"])
     banded = member.filter(F.col("did") == F.col("node")).select("node", F.explode("bands").alias("b"))
-    shared = banded.groupBy("b").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("b")
-    buckets = staged(banded.join(staged(shared, "buckets"), "b").select("b", "node"), "bucket-members")
-    candidates = buckets.select(F.col("node").alias("did")).distinct()
+    sizes = banded.groupBy("b").agg(F.count("*").alias("size")).filter("size > 1")
+    buckets = staged(banded.join(staged(sizes, "buckets"), "b"), "bucket-members")
+    central = staged(buckets.groupBy("node").agg((-F.sum("size")).alias("s")), "centrality")
+    buckets = buckets.join(central, "node").select("b", "node", "s")
+    candidates = central.select(F.col("node").alias("did"))
     sketched = staged(sig.join(candidates, "did", "left_semi").select("did", "sketch").dropDuplicates(["did"]), "sketches")
+    bags = staged(shingle_bags(docs, candidates, shingle, id_col, text_col), "bags")
     edges = docs.sparkSession.createDataFrame([], "u long, v long")
     labels = edges
     n_leaders = 1
     while True:
         placed = buckets.join(labels.withColumnsRenamed({"u": "node", "v": "comp"}), "node", "left").select(
-            "b", "node", F.coalesce("comp", "node").alias("comp")
+            "b", "node", "s", F.coalesce("comp", "node").alias("comp")
         )
-        mixed = placed.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("first")).filter("lo < hi")
-        rest = placed.join(staged(mixed.select("b", "first"), "mixed-buckets"), "b")
+        mixed = placed.groupBy("b").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("s", "node")).alias("first"), F.count("*").alias("n")
+        ).filter("lo < hi").select("b", "first", "n")
+        rest = placed.join(staged(mixed, "mixed-buckets"), "b")
         if n_leaders == 1:
-            rest = rest.withColumn("rank", F.when(F.col("node") == F.col("first"), 1).otherwise(2))
+            rank = F.when(F.col("node") == F.col("first.node"), 1).otherwise(2).cast("int")
         else:
-            rest = rest.withColumn("rank", F.row_number().over(Window.partitionBy("b").orderBy("node")))
-        rest = staged(rest.select("b", "node", "comp", "rank"), "bucket-rest")
+            rank = F.row_number().over(Window.partitionBy("b").orderBy("s", "node"))
+        rest = staged(rest.withColumn("rank", rank).select("b", "node", "s", "comp", "rank", "n"), "bucket-rest")
         if rest.isEmpty():
             break
-        leaders = staged(rest.filter(F.col("rank") <= n_leaders).select("b", F.col("node").alias("leader"), F.col("comp").alias("leader_comp")), "leaders")
-        pairs = rest.join(leaders, "b").filter("node > leader and comp != leader_comp").select("leader", "node").distinct()
-        found = similar_pairs(docs, likely_pairs(pairs, sketched, threshold), threshold, shingle, id_col, text_col)
+        if n_leaders == MORE_LEADERS:
+            limits = staged(unshared(bags, rest.select(F.col("node").alias("did")).distinct()), "limits")
+        able = rest.join(limits, "node") if n_leaders > 1 else rest.withColumns({"size": F.lit(0).cast("long"), "alone": F.lit(0).cast("long")})
+        able = able.join(sketched.withColumnRenamed("did", "node"), "node")
+        found = similar_pairs(likely_pairs(able, n_leaders, threshold), bags, threshold)
         edges = staged(edges.unionByName(found), "links")
         labels = component_labels(edges)
-        buckets = rest.filter(F.col("rank") > n_leaders).select("b", "node")
-        n_leaders = FIRST_LEADERS if n_leaders == 1 else n_leaders * MORE_LEADERS
+        buckets = rest.filter(F.col("rank") > n_leaders).select("b", "node", "s")
+        n_leaders *= MORE_LEADERS
     member = member.select("doc_id", "did", "node").join(labels.withColumnsRenamed({"u": "node", "v": "comp"}), "node", "left")
     member = staged(member.select("doc_id", "did", F.coalesce("comp", "node").alias("comp")), "membership")
     first = staged(

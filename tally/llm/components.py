@@ -26,8 +26,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` and no ``v`` is itself a ``u``."""
+    twice = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
+    chained = edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi")
+    return twice.unionAll(chained).isEmpty()
 
 
 def component_labels(edges: DataFrame) -> DataFrame:
@@ -37,11 +40,6 @@ def component_labels(edges: DataFrame) -> DataFrame:
     """
     edges = edges.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = staged(edges, "edges")
-    seen = _state(edges)
-    while seen[0]:
+    while not _is_stars(edges):
         edges = staged(_small_star(_large_star(edges)), "stars")
-        now = _state(edges)
-        if now == seen:
-            break
-        seen = now
     return edges
