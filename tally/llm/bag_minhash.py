@@ -135,12 +135,12 @@ def sketches(signature: np.ndarray) -> np.ndarray:
 
 
 def likely_pairs(rest: DataFrame, n_leaders: int, threshold: float) -> DataFrame:
-    """``(leader, node)`` of ``rest(b, node, comp, rank, size, alone, sketch, n)`` that may reach the threshold.
+    """``(leader, node)`` of ``rest(b, k, node, comp, rank, size, alone, sketch, bands, n)`` that may reach the threshold.
 
-    In each bucket ``b`` the nodes of rank ``n_leaders`` or less are leaders;
-    they go to every block of the bucket's ``n`` nodes.
+    In each bucket ``b`` (of band ``k``) the nodes of rank ``n_leaders`` or
+    less are leaders; they go to every block of the bucket's ``n`` nodes.
     """
-    names = ["node", "comp", "rank", "size", "alone", "sketch"]
+    names = ["k", "node", "comp", "rank", "size", "alone", "sketch", "bands"]
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     members = rest.select("b", F.pmod(F.xxhash64("node"), blocks).alias("part"), F.lit(False).alias("leads"), *names)
     leaders = rest.filter(F.col("rank") <= n_leaders).select(
@@ -151,11 +151,14 @@ def likely_pairs(rest: DataFrame, n_leaders: int, threshold: float) -> DataFrame
         leads, node, comp, rank, size, alone = (table.column(c).to_numpy() for c in ("leads", "node", "comp", "rank", "size", "alone"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
         least = threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / sketch.shape[1])
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        before = table.column("k")[0].as_py() if n_leaders > 1 else 0
         pairs = []
         for k in np.flatnonzero(leads):
             overlap = np.minimum(size - alone, size[k] - alone[k])
             at = np.flatnonzero(~leads & (rank > rank[k]) & (comp != comp[k]) & (overlap >= threshold * (size + size[k] - overlap) - 1e-9))
             hit = at[(sketch[at] == sketch[k]).mean(axis=1) >= least]
+            hit = hit[~(bands[hit, :before] == bands[k, :before]).any(axis=1)]
             pairs.append((np.full(len(hit), node[k]), node[hit]))
         return pa.table({"leader": np.concatenate([p[0] for p in pairs] or [node[:0]]), "node": np.concatenate([p[1] for p in pairs] or [node[:0]])})
 
@@ -295,20 +298,20 @@ def near_duplicate_classes(
     sig = staged(signatures(docs, bands, rows, slots, shingle, id_col, text_col), "signatures")
     nodes = staged(sig.groupBy("e1", "e2").agg(F.min("did").alias("node")), "nodes")
     member = sig.join(nodes, ["e1", "e2"])
-    banded = member.filter(F.col("did") == F.col("node")).select("node", F.explode("bands").alias("b"))
+    banded = member.filter(F.col("did") == F.col("node")).select("node", F.posexplode("bands").alias("k", "b"))
     sizes = banded.groupBy("b").agg(F.count("*").alias("size")).filter("size > 1")
     buckets = staged(banded.join(staged(sizes, "buckets"), "b"), "bucket-members")
     central = staged(buckets.groupBy("node").agg((-F.sum("size")).alias("s")), "centrality")
-    buckets = buckets.join(central, "node").select("b", "node", "s")
+    buckets = buckets.join(central, "node").select("b", "k", "node", "s")
     candidates = central.select(F.col("node").alias("did"))
-    sketched = staged(sig.join(candidates, "did", "left_semi").select("did", "sketch").dropDuplicates(["did"]), "sketches")
+    sketched = staged(sig.join(candidates, "did", "left_semi").select("did", "sketch", "bands").dropDuplicates(["did"]), "sketches")
     bags = staged(shingle_bags(docs, candidates, shingle, id_col, text_col), "bags")
     edges = docs.sparkSession.createDataFrame([], "u long, v long")
     labels = edges
     n_leaders = 1
     while True:
         placed = buckets.join(labels.withColumnsRenamed({"u": "node", "v": "comp"}), "node", "left").select(
-            "b", "node", "s", F.coalesce("comp", "node").alias("comp")
+            "b", "k", "node", "s", F.coalesce("comp", "node").alias("comp")
         )
         mixed = placed.groupBy("b").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("s", "node")).alias("first"), F.count("*").alias("n")
@@ -318,7 +321,7 @@ def near_duplicate_classes(
             rank = F.when(F.col("node") == F.col("first.node"), 1).otherwise(2).cast("int")
         else:
             rank = F.row_number().over(Window.partitionBy("b").orderBy("s", "node"))
-        rest = staged(rest.withColumn("rank", rank).select("b", "node", "s", "comp", "rank", "n"), "bucket-rest")
+        rest = staged(rest.withColumn("rank", rank).select("b", "k", "node", "s", "comp", "rank", "n"), "bucket-rest")
         if rest.isEmpty():
             break
         if n_leaders == MORE_LEADERS:
@@ -328,7 +331,7 @@ def near_duplicate_classes(
         found = similar_pairs(likely_pairs(able, n_leaders, threshold), bags, threshold)
         edges = staged(edges.unionByName(found), "links")
         labels = component_labels(edges)
-        buckets = rest.filter(F.col("rank") > n_leaders).select("b", "node", "s")
+        buckets = rest.filter(F.col("rank") > n_leaders).select("b", "k", "node", "s")
         n_leaders *= MORE_LEADERS
     member = member.select("doc_id", "did", "node").join(labels.withColumnsRenamed({"u": "node", "v": "comp"}), "node", "left")
     member = staged(member.select("doc_id", "did", F.coalesce("comp", "node").alias("comp")), "membership")
