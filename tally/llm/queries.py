@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ._common import read_table
 from .bag_minhash import near_duplicate_classes
 from .chat_windows import chat_windows, read_windows
+from .decontaminate import UNITS, leaked_ids, leaks
 from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
 from .lexical_packing import lexical_packing
 from .line_dedup import line_dedup
@@ -241,3 +242,44 @@ def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_bag_minhash"] = op4_bag_minhash
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaked_ids(leaks(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+QUERIES["op8_decontaminate"] = op8_decontaminate
+_WORDS = r"string_split_regex(trim(coalesce(text, '')), '[\x20\x09-\x0D]+')"
+_KINDS = f"""[CASE WHEN regexp_matches(w[i], '[0-9]') THEN chr(1)
+    WHEN i > 1 AND regexp_matches(w[i - 1], '[0-9]') AND lower(regexp_replace(w[i], '[.,;:!?)]*$', '')) IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN chr(2)
+    WHEN regexp_matches(w[i], '^\\pP*\\p{{Lu}}') THEN chr(3) ELSE lower(w[i]) END FOR i IN range(1, len(w) + 1)]"""
+ORACLE["op8_decontaminate"] = rf"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dt AS (SELECT doc_id, w, {_KINDS} AS k FROM dw),
+bw AS (SELECT item_id, {_WORDS} AS w FROM (SELECT item_id, min(coalesce(text, '')) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)),
+bt AS (SELECT item_id, w, {_KINDS} AS k FROM bw),
+dwin AS (SELECT doc_id, i AS pos, array_to_string(k[i:i+4], ' ') AS h FROM (SELECT doc_id, k, unnest(range(1, len(k) - 3)) AS i FROM dt)),
+bwin AS (SELECT item_id, i AS ipos, array_to_string(k[i:i+4], ' ') AS h FROM (SELECT item_id, k, unnest(range(1, len(k) - 3)) AS i FROM bt)
+    WHERE len(list_filter(k[i:i+4], lambda x: x NOT IN (chr(1), chr(2), chr(3)))) >= 2),
+sized AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS n FROM bwin),
+hit AS (SELECT DISTINCT doc_id, item_id, pos, ipos, pos - ipos AS shift, n FROM dwin JOIN sized USING (h)),
+likely AS (SELECT doc_id, item_id FROM hit GROUP BY doc_id, item_id, n HAVING count(DISTINCT ipos) >= n * 0.8 - 1e-9),
+cand AS (SELECT hit.* FROM hit JOIN likely USING (doc_id, item_id)),
+covered AS (SELECT DISTINCT doc_id, item_id, shift, unnest(range(ipos, ipos + 5)) AS iat FROM cand),
+aligned AS (
+    SELECT c.doc_id, c.item_id, c.shift, bt.k[c.iat] AS kind,
+        regexp_replace(lower(bt.w[c.iat]), '^\pP+|\pP+$', '', 'g') AS ivalue,
+        regexp_replace(lower(dt.w[c.iat + c.shift]), '^\pP+|\pP+$', '', 'g') AS value
+    FROM covered c JOIN bt USING (item_id) JOIN dt USING (doc_id) WHERE bt.k[c.iat] IN (chr(1), chr(2), chr(3))
+        AND dt.k[c.iat + c.shift] IN (chr(1), chr(2), chr(3))
+),
+checked AS (
+    SELECT doc_id, item_id, shift, count(DISTINCT (kind, ivalue)) AS vals, count(DISTINCT (kind, ivalue, value)) AS pairs,
+        bool_and(ivalue = value) AS same FROM aligned GROUP BY ALL
+)
+SELECT c.doc_id, c.item_id, count(DISTINCT ipos) AS n_matched, n AS n_windows, bool_and(coalesce(same, true)) AS same_slots
+FROM cand c LEFT JOIN checked x ON c.doc_id = x.doc_id AND c.item_id = x.item_id AND c.shift = x.shift
+WHERE coalesce(vals = pairs, true)
+GROUP BY c.doc_id, c.item_id, n HAVING count(DISTINCT ipos) >= n * 0.8 - 1e-9
+"""
