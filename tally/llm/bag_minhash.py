@@ -61,7 +61,7 @@ SLOTS = 600
 GROUP, BLOCK = 256, 2048
 SIGMAS = 5
 NEVER, TICKS = np.iinfo(np.int64).max, 2.0**40
-MORE_LEADERS = 8
+MORE_LEADERS = 32
 SLICE_BYTES = 4 << 20
 _C = U(0x9E3779B97F4A7C15)
 _D = U(0xC2B2AE3D27D4EB4F)
@@ -304,7 +304,9 @@ def near_duplicate_classes(
     central = staged(buckets.groupBy("node").agg((-F.sum("size")).alias("s")), "centrality")
     buckets = buckets.join(central, "node").select("b", "k", "node", "s")
     candidates = central.select(F.col("node").alias("did"))
-    sketched = staged(sig.join(candidates, "did", "left_semi").select("did", "sketch", "bands").dropDuplicates(["did"]), "sketches")
+    sketched = staged(sig.join(candidates, "did", "left_semi").dropDuplicates(["did"]).select(
+        F.col("did").alias("node"), "sketch", "bands", F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("alone")
+    ), "sketches")
     bags = staged(shingle_bags(docs, candidates, shingle, id_col, text_col), "bags")
     edges = docs.sparkSession.createDataFrame([], "u long, v long")
     labels = edges
@@ -325,10 +327,9 @@ def near_duplicate_classes(
         if rest.isEmpty():
             break
         if n_leaders == MORE_LEADERS:
-            limits = staged(unshared(bags, rest.select(F.col("node").alias("did")).distinct()), "limits")
-        able = rest.join(limits, "node") if n_leaders > 1 else rest.withColumns({"size": F.lit(0).cast("long"), "alone": F.lit(0).cast("long")})
-        able = able.join(sketched.withColumnRenamed("did", "node"), "node")
-        found = similar_pairs(likely_pairs(able, n_leaders, threshold), bags, threshold)
+            limits = unshared(bags, rest.select(F.col("node").alias("did")).distinct())
+            sketched = staged(limits.join(sketched.drop("size", "alone"), "node"), "limits")
+        found = similar_pairs(likely_pairs(rest.join(sketched, "node"), n_leaders, threshold), bags, threshold)
         edges = staged(edges.unionByName(found), "links")
         labels = component_labels(edges)
         buckets = rest.filter(F.col("rank") > n_leaders).select("b", "k", "node", "s")
