@@ -15,7 +15,7 @@ collapsed into one node. Nodes that share a band are candidates. In each band
 bucket the most central node (the one that meets most others over all its
 bands; ties by id) is compared with all others by exact multiset overlap;
 where that leaves more than one component in a bucket, its next nodes by
-centrality (8, then 64, then 512, ...) are compared with those of other
+centrality (32, then 1024, ...) are compared with those of other
 components, and so on until no bucket holds two nodes that were neither
 compared nor connected. A shingle that no other node of these buckets has
 cannot be part of an overlap, so pairs are passed over whose possible overlap

@@ -20,6 +20,7 @@ from .lexical_packing import lexical_packing
 from .line_dedup import line_dedup
 from .quality_divergence import learn_reference, quality_scores
 from .secrets import BASE_KINDS, find_secrets
+from .suffix_dedup import suffix_dedup
 from .url_reputation import judge_urls, page_outcomes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,3 +284,10 @@ FROM cand c LEFT JOIN checked x ON c.doc_id = x.doc_id AND c.item_id = x.item_id
 WHERE coalesce(vals = pairs, true)
 GROUP BY c.doc_id, c.item_id, n HAVING count(DISTINCT ipos) >= n * 0.8 - 1e-9
 """
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_suffix_dedup"] = op1_suffix_dedup
