@@ -113,7 +113,8 @@ def leaks(
     likely = found.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits")).filter(enough).select(*pair)
     found = staged(found.join(likely, pair, "left_semi").withColumn("shift", F.col("pos") - F.col("ipos")), "candidate-windows")
 
-    in_doc = keyed.join(found.select("d", "t").distinct(), ["d", "t"], "left_semi").dropDuplicates(["d", "t"])
+    # one plan at every size: the texts are sorted to the candidates
+    in_doc = keyed.hint("merge").join(found.select("d", "t").distinct(), ["d", "t"], "left_semi").dropDuplicates(["d", "t"])
     in_doc = slots(in_doc, F.col("x"), "d", "t")
     rows = items.filter(F.col(item_col).isNotNull()).groupBy(F.col(item_col).alias("item_id")).agg(F.min(text_or_empty(item_text)).alias("x"))
     in_item = slots(rows.select("item_id", F.trim("x").alias("x")), F.col("x"), "item_id").select(
