@@ -96,15 +96,15 @@ named AS (
         CASE WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-2:], '.') ELSE ls[-1] END AS suffix
     FROM hosts
 ),
-s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM named) AS m FROM named GROUP BY suffix),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM named) AS m, (SELECT sum(n) + 2 FROM named) AS k FROM named GROUP BY suffix),
 s1 AS (SELECT 1 / {_RHO} - 1 AS s FROM s0),
-s2 AS (SELECT suffix, (m * s + bad) / (s + n) AS mean FROM s0, s1),
-d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(s2.mean) AS m FROM named JOIN s2 USING (suffix) GROUP BY domain, suffix),
+s2 AS (SELECT suffix, (m * least(s, k) + bad) / (least(s, k) + n) AS mean, least(s, k) + n AS k FROM s0, s1),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(s2.mean) AS m, any_value(s2.k) AS k FROM named JOIN s2 USING (suffix) GROUP BY domain, suffix),
 d1 AS (SELECT 1 / {_RHO} - 1 AS s FROM d0),
-d2 AS (SELECT domain, (m * s + bad) / (s + n) AS mean FROM d0, d1),
-h0 AS (SELECT host, n, bad, d2.mean AS m FROM named JOIN d2 USING (domain)),
+d2 AS (SELECT domain, (m * least(s, k) + bad) / (least(s, k) + n) AS mean, least(s, k) + n AS k FROM d0, d1),
+h0 AS (SELECT host, n, bad, d2.mean AS m, d2.k AS k FROM named JOIN d2 USING (domain)),
 h1 AS (SELECT 1 / {_RHO} - 1 AS s FROM h0),
-h2 AS (SELECT host, (m * s + bad) / (s + n) AS mean, s + n AS total FROM h0, h1),
+h2 AS (SELECT host, (m * least(s, k) + bad) / (least(s, k) + n) AS mean, least(s, k) + n AS total FROM h0, h1),
 judged AS (
     SELECT page_id, host, path, mean - 1.645 * sqrt(mean * (1 - mean) / (total + 1)) > 0.3 AS bad,
         CASE

@@ -8,7 +8,8 @@ all pages -> suffix -> registered domain -> host. A group with ``bad`` of
 level comes from the data (moment estimate of the intra-group correlation
 ``rho`` over all groups of the level). A host is blocked when the lower
 posterior bound of its bad rate, ``mean - z * sd``, exceeds ``max_bad``; a
-host without labels has its domain's mean and the widest spread. Explicit
+host without labels has its domain's mean, and is judged no surer than its domain
+(the strength is at most the parent's ``a + b``). Explicit
 rules come first; the longest that fits wins.
 
 Plan: outcomes and pages meet on the page id with two narrow columns each;
@@ -89,7 +90,7 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
 
 
 def _posterior(groups: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Adds posterior ``a``, ``b`` and ``mean`` to ``groups(…, n, bad)``; ``parents(key, m)`` has the prior means."""
+    """Adds posterior ``a``, ``b`` and ``mean`` to ``groups(…, n, bad)``; ``parents(key, m, k)`` has the prior means and how much they rest on."""
     g = staged(groups.join(parents, key, "left"), f"level-{key}")
     v = F.col("m") * (1 - F.col("m"))
     miss = F.col("bad") / F.col("n") - F.col("m")
@@ -98,13 +99,13 @@ def _posterior(groups: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     rho = g.filter(F.col("n") > 0).agg(
         F.coalesce(F.when(room > 0, F.least(F.greatest(over / room, F.lit(RHO_MIN)), F.lit(RHO_MAX))), F.lit(RHO_MAX)).alias("rho")
     )
-    s = 1 / rho.scalar() - 1
+    s = F.least(1 / rho.scalar() - 1, F.col("k"))  # no surer of a child than of its parent
     return (
         g.withColumn("_s", s)
         .withColumn("a", F.col("m") * F.col("_s") + F.col("bad"))
         .withColumn("b", (1 - F.col("m")) * F.col("_s") + F.col("n") - F.col("bad"))
         .withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
-        .drop("_s", "m")
+        .drop("_s", "m", "k")
     )
 
 
@@ -133,11 +134,13 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, url_col: str = "url",
     counts = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     suffixes = hosts.groupBy("suffix").agg(*counts)
     overall = hosts.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m")).scalar()
-    suffixes = _posterior(suffixes, suffixes.select("suffix", overall.alias("m")), "suffix")
+    weight = hosts.agg((F.sum("n") + 2).cast("double").alias("k")).scalar()
+    suffixes = _posterior(suffixes, suffixes.select("suffix", overall.alias("m"), weight.alias("k")), "suffix")
+    prior = [F.col("mean").alias("m"), (F.col("a") + F.col("b")).alias("k")]
     domains = _posterior(
-        hosts.groupBy("domain", "suffix").agg(*counts), suffixes.select("suffix", F.col("mean").alias("m")), "suffix"
+        hosts.groupBy("domain", "suffix").agg(*counts), suffixes.select("suffix", *prior), "suffix"
     )
-    out = _posterior(hosts, domains.select("domain", F.col("mean").alias("m")), "domain")
+    out = _posterior(hosts, domains.select("domain", *prior), "domain")
     ab = F.col("a") + F.col("b")
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (ab + 1))
     return out.withColumn("bound", F.col("mean") - z * sd)
