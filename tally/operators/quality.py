@@ -41,12 +41,12 @@ def referential_audit(
     fact: DataFrame, dim: DataFrame, key: str = "registro_ans", value: str = "valor_despesa"
 ) -> DataFrame:
     """Rows and value of fact rows with no dimension row (V3, J6). One row."""
-    # the key set is derived (distinct), so no eager size check: AQE measures it
-    # after its shuffle and broadcasts it if small, else keeps a shuffle join
-    orphans = fact.select(key, value).join(dim.select(key).distinct(), key, "left_anti")
+    # one row per key before the join, so a hot key costs one row per task
+    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_v"))
+    orphans = per_key.join(dim.select(key), key, "left_anti")
     return orphans.agg(
-        F.count(F.lit(1)).alias("orphan_rows"),
-        F.coalesce(F.sum(value), F.lit(0).cast("decimal(25,2)")).alias("orphan_value"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.coalesce(F.sum("_v"), F.lit(0)).cast("decimal(25,2)").alias("orphan_value"),
     )
 
 

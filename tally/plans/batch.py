@@ -19,7 +19,7 @@ from ..operators.quality import cnpj_audit, referential_audit
 from ..session import scratch_path
 from ..sinks.tables import write_delimited, write_fact, write_table
 from ..sources.archives import archive_records, parse_members, read_spreadsheets
-from ..sources.delimited import period_from_path, read_group, read_tolerant
+from ..sources.delimited import period_from_path, read_layouts, read_tolerant
 from ..sources.links import latest_periods, prune_to_periods
 from .consolidate import canonical_ledger, canonical_registry, consolidate
 from .mart import enriched_ledger, operator_mart
@@ -34,9 +34,9 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 def raw_frames(spark: SparkSession, group, formats: Sequence[str],
                scratch: str) -> list[DataFrame]:
-    """All-text frames (with ``_source_path``) of one group: loose delimited
-    files (one sniffed dialect), and one frame per member layout of the ZIP
-    archives and of the spreadsheets found under it.
+    """All-text frames (with ``_source_path``) of one group: one per header
+    and dialect of the loose delimited files, and one per member layout of the
+    ZIP archives and of the spreadsheets found under it.
 
     Archive and sheet records are expanded once (Python work) and written to
     ``scratch``; headers and every layout are then read from that table
@@ -44,9 +44,7 @@ def raw_frames(spark: SparkSession, group, formats: Sequence[str],
     """
     frames: list[DataFrame] = []
     if "csv" in formats:
-        raw = read_group(spark, group)
-        if raw is not None:
-            frames.append(raw)
+        frames += read_layouts(spark, group)
     if "zip" in formats:
         frames += parse_members(materialize(archive_records(spark, group), f"{scratch}_zip"))
     if "xlsx" in formats:

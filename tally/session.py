@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,14 +53,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if it is missing there, this raises instead of inventing a folder that
     only one machine can see. Where it is unset on a ``local`` master (tests,
     a laptop) a fallback is set once for the session: the given folder, or a
-    fresh temporary folder.
+    fresh temporary folder. On a cluster no folder is ever created.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local") and fallback is None:
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     folder = fallback or tempfile.mkdtemp(prefix="tally-ckpt-")
     os.makedirs(folder, exist_ok=True)
@@ -72,3 +74,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context.
+
+    Functions that run in Python tasks are imported there by name; without
+    this (or the package on the executors' path) such a task cannot start.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tally_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="tally-package-")  # the driver serves the file from here
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(folder, "tally.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    zf.write(full, os.path.join("tally", os.path.relpath(full, root)))
+    sc.addPyFile(archive)
+    sc._tally_shipped = True

@@ -30,7 +30,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = Tru
             if isinstance(f.dataType, (FloatType, DoubleType)) else F.col(f.name)
             for f in df.schema.fields
         ])
-    w = df.write.mode(mode).option("sep", sep).option("header", header).option("encoding", encoding)
+    w = df.write.mode(mode).option("sep", sep).option("header", header).option("encoding", encoding).option("escape", '"')
     if compression:
         w = w.option("compression", compression)
     w.csv(path)

@@ -15,9 +15,13 @@ Limit (documented, not hidden): one archive is expanded by one task.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import itertools
+import lzma
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -39,11 +43,25 @@ _COLUMNS = [f.name for f in RECORDS_SCHEMA.fields]
 _CHUNK = 100_000  # records per Arrow batch handed back to the JVM
 
 
-def _decode(raw: bytes) -> tuple[str, str]:
-    try:
-        return raw.decode("utf-8"), "UTF-8"
-    except UnicodeDecodeError:
-        return raw.decode("latin-1"), "ISO-8859-1"
+csv.field_size_limit(2**31 - 1)  # no field is too long for an archive
+
+
+def _encoding(zf: zipfile.ZipFile, name: str) -> str:
+    """UTF-8 if the whole member is; reads it in blocks, which also checks its data."""
+    decoder, encoding = codecs.getincrementaldecoder("utf-8")(), "UTF-8"
+    with zf.open(name) as f:
+        while block := f.read(1 << 20):
+            if encoding == "UTF-8":
+                try:
+                    decoder.decode(block)
+                except UnicodeDecodeError:
+                    encoding = "ISO-8859-1"
+    if encoding == "UTF-8":
+        try:
+            decoder.decode(b"", final=True)
+        except UnicodeDecodeError:
+            encoding = "ISO-8859-1"
+    return encoding
 
 
 def _member_wanted(name: str, extensions: Sequence[str], skip: Sequence[str]) -> bool:
@@ -52,29 +70,40 @@ def _member_wanted(name: str, extensions: Sequence[str], skip: Sequence[str]) ->
             and not name.endswith("/"))
 
 
-def _records(text: str):
-    first = text.split("\n", 1)[0]
-    reader = csv.reader(io.StringIO(text, newline=""), delimiter=sniff_dialect(first)["sep"])
-    return reader
+def _records(zf: zipfile.ZipFile, name: str, encoding: str) -> Iterator[list[str]]:
+    """Records of a member, streamed."""
+    with zf.open(name) as f, io.TextIOWrapper(f, encoding=encoding, newline="") as text:
+        first = text.readline()
+        sep = sniff_dialect(first)["sep"]
+        yield from csv.reader(itertools.chain([first], text) if first else [], delimiter=sep)
 
 
 def _expand(batches: Iterator[pd.DataFrame], extensions, skip) -> Iterator[pd.DataFrame]:
+    """Records of sound archives; one error row for an archive with any damaged member.
+
+    All members are read through once before the first record goes out, so an
+    archive is kept or reported as a whole.
+    """
     out: list[tuple] = []
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for name in zf.namelist():
-                        if not _member_wanted(name, extensions, skip):
-                            continue
-                        text, enc = _decode(zf.read(name))
-                        for i, rec in enumerate(_records(text)):
-                            out.append((path, name, i, rec, enc, None))
-                            if len(out) >= _CHUNK:
-                                yield pd.DataFrame(out, columns=_COLUMNS)
-                                out = []
-            except (zipfile.BadZipFile, OSError, ValueError, csv.Error) as e:
+                zf = zipfile.ZipFile(io.BytesIO(content))
+                names = [n for n in zf.namelist() if _member_wanted(n, extensions, skip)]
+                encodings = {n: _encoding(zf, n) for n in names}
+                for n in names:
+                    for _ in _records(zf, n, encodings[n]):
+                        pass
+            except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError, NotImplementedError,
+                    OSError, ValueError, csv.Error) as e:
                 out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
+                continue
+            for name in names:
+                for i, rec in enumerate(_records(zf, name, encodings[name])):
+                    out.append((path, name, i, rec, encodings[name], None))
+                    if len(out) >= _CHUNK:
+                        yield pd.DataFrame(out, columns=_COLUMNS)
+                        out = []
     if out:
         yield pd.DataFrame(out, columns=_COLUMNS)
 

@@ -17,6 +17,7 @@ Every column is read as text (``inferSchema=False``).
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,7 +95,7 @@ def read_group(
         sep = sep or d["sep"]
         encoding = encoding or d["encoding"]
     r = (spark.read.option("header", "true").option("inferSchema", "false")
-         .option("sep", sep).option("encoding", encoding)
+         .option("sep", sep).option("encoding", encoding).option("escape", '"')
          .option("recursiveFileLookup", str(recursive).lower()))
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -105,6 +106,66 @@ def read_group(
     return df
 
 
+def file_layouts(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True,
+                 glob: str | None = CSV_GLOB,
+                 skip_name_parts: Sequence[str] = SKIP_NAME_PARTS) -> dict[tuple[bytes, str], list[str]]:
+    """Files by (header line, encoding): one small row per file reaches the driver.
+
+    All lines of a file decide its encoding: UTF-8 only if every line is valid.
+    """
+    r = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    lines = _skip_names(r.text(paths if isinstance(paths, str) else list(paths)), skip_name_parts).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        F.col("value").cast("binary").alias("line"),
+        F.is_valid_utf8("value").alias("utf8"),
+    )
+    files = lines.groupBy("file").agg(F.min_by("line", "at").alias("head"), F.bool_and("utf8").alias("utf8"))
+    out: dict[tuple[bytes, str], list[str]] = {}
+    for row in files.orderBy("file").collect():
+        out.setdefault((bytes(row["head"]), "UTF-8" if row["utf8"] else "ISO-8859-1"), []).append(row["file"])
+    return out
+
+
+def read_layouts(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True,
+                 glob: str | None = CSV_GLOB,
+                 skip_name_parts: Sequence[str] = SKIP_NAME_PARTS) -> list[DataFrame]:
+    """All-text scans of loose files, one per distinct header and dialect.
+
+    Every file is read with its own delimiter, encoding and column order; the
+    number of scans follows the layouts, not the files. Each frame carries
+    ``_source_path``.
+    """
+    frames = []
+    for (head, encoding), files in file_layouts(spark, paths, recursive, glob, skip_name_parts).items():
+        line = head.decode("utf-8" if encoding == "UTF-8" else "latin-1").lstrip("\ufeff").rstrip("\r")
+        sep = sniff_dialect(line)["sep"]
+        names = next(csv.reader([line], delimiter=sep), [])
+        seen: set[str] = set()
+        fields = []
+        for i, name in enumerate(names):
+            name = name if name.strip() and name.lower() not in seen else f"_c{i}"
+            seen.add(name.lower())
+            fields.append(StructField(name, StringType()))
+        r = (spark.read.schema(StructType(fields)).option("header", "true").option("sep", sep)
+             .option("encoding", encoding).option("escape", '"').option("multiLine", "true")
+             .option("recursiveFileLookup", str(recursive).lower()))
+        if glob:
+            r = r.option("pathGlobFilter", glob)
+        df = r.csv(paths if isinstance(paths, str) else list(paths))
+        df = df.withColumn("_source_path", F.col("_metadata.file_path"))
+        frames.append(df.filter(F.col("_source_path").isin(files)))
+    return frames
+
+
+def all_utf8(spark: SparkSession, paths: str | Sequence[str]) -> bool:
+    """Whether every line of the files is valid UTF-8."""
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    return lines.filter(~F.is_valid_utf8("value")).isEmpty()
+
+
 def period_from_path(df: DataFrame, path_col: str = "_source_path",
                      pattern: str = r"(\d{4})_T(\d)") -> DataFrame:
     """Year and quarter from the folder name (H5), e.g. ``.../2023_T1/file.csv``."""
@@ -120,7 +181,7 @@ def header_columns(spark: SparkSession, paths: str | Sequence[str], sep: str,
     """Column names of a delimited file's header, decoded with its encoding
     (reading a header only touches the first line)."""
     r = (spark.read.option("header", "true").option("inferSchema", "false")
-         .option("sep", sep).option("encoding", encoding))
+         .option("sep", sep).option("encoding", encoding).option("escape", '"'))
     return r.csv(paths if isinstance(paths, str) else list(paths)).columns
 
 
@@ -139,16 +200,18 @@ def read_tolerant(spark: SparkSession, paths: str | Sequence[str],
         head = header_line(spark, paths, recursive=False, glob=None, skip_name_parts=())
         d = sniff_dialect(head or ";")
         sep = sep or d["sep"]
-        encoding = encoding or d["encoding"]
+        encoding = encoding or ("UTF-8" if all_utf8(spark, paths) else "ISO-8859-1")
     if columns is None:
         columns = header_columns(spark, paths, sep, encoding)
     schema = StructType([StructField(c, StringType()) for c in columns]
                         + [StructField(CORRUPT, StringType())])
     df = (spark.read.schema(schema).option("header", "true").option("sep", sep)
-          .option("encoding", encoding).option("mode", "PERMISSIVE")
+          .option("encoding", encoding).option("escape", '"').option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT)
           .csv(paths if isinstance(paths, str) else list(paths)))
-    n_fields = F.size(F.split(F.col(CORRUPT), F.lit(_regex_quote(sep)), -1))
+    # separators inside quotes do not count
+    bare = F.regexp_replace(F.col(CORRUPT), r'"(?:[^"]|"")*"', "")
+    n_fields = F.size(F.split(bare, F.lit(_regex_quote(sep)), -1))
     too_long = F.col(CORRUPT).isNotNull() & (n_fields > len(columns))
     kept = df.filter(~too_long | F.col(CORRUPT).isNull())
     return kept.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in columns])
@@ -166,5 +229,5 @@ def read_staging(spark: SparkSession, path: str | Sequence[str], schema: StructT
     schema and fail on a mismatch instead of silently mis-assigning columns.
     """
     return (spark.read.schema(schema).option("header", "true").option("sep", sep)
-            .option("encoding", encoding).option("enforceSchema", "false")
+            .option("encoding", encoding).option("escape", '"').option("enforceSchema", "false")
             .csv(path if isinstance(path, str) else list(path)))

@@ -36,7 +36,7 @@ def ledger_stream(spark: SparkSession, landing: str, columns: Sequence[str],
     """Streaming all-text scan of the landing folder (file source needs a schema)."""
     schema = StructType([StructField(c, StringType()) for c in columns])
     raw = (spark.readStream.schema(schema).option("header", "true").option("sep", sep)
-           .option("encoding", encoding).option("maxFilesPerTrigger", max_files_per_trigger)
+           .option("encoding", encoding).option("escape", '"').option("maxFilesPerTrigger", max_files_per_trigger)
            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
            .csv(landing))
     return raw.withColumn("_source_path", F.col("_metadata.file_path"))
