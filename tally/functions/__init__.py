@@ -1,7 +1,7 @@
 """Column -> Column helpers (scalar functions of SURVEY §2.9 and V1)."""
 
 from .dates import date_text, quarter_from_text, quarter_start, year_from_text
-from .numbers import MONEY, comma_decimal, parse_number, round_half_up, safe_ratio
+from .numbers import MONEY, comma_decimal, parse_number, safe_ratio
 from .taxid import cnpj_check_digits_py, cnpj_is_valid, format_cnpj
 from .text import (
     NA_TOKENS,

@@ -20,7 +20,10 @@ NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_number(text: Column, locale: str = "br", dtype=MONEY, default=0) -> Column:
-    """Text to number; anything unparsable becomes ``default``.
+    """Text to number; text that is no number becomes ``default``.
+
+    A number too large for ``dtype`` gives NULL, never the default: a valid
+    amount must not turn into 0 (``consolidate.checked_ledger`` reports it).
 
     ``locale='br'`` first removes every ``.`` and then turns ``,`` into ``.``
     (so a plain ``1234.56`` reads as ``123456``, as the source ledger does).
@@ -35,9 +38,7 @@ def parse_number(text: Column, locale: str = "br", dtype=MONEY, default=0) -> Co
     else:
         raise ValueError(f"unknown locale {locale!r}")
     value = F.when(norm.rlike(NUMERIC_TEXT), F.trim(norm).try_cast(dtype))
-    if default is None:
-        return value
-    return F.coalesce(value, F.lit(default).cast(dtype))
+    return value if default is None else value.otherwise(F.lit(default).cast(dtype))
 
 
 def comma_decimal(text: Column, dtype=MONEY, strict: bool = False) -> Column:
@@ -50,11 +51,6 @@ def comma_decimal(text: Column, dtype=MONEY, strict: bool = False) -> Column:
     return norm.cast(dtype) if strict else norm.try_cast(dtype)
 
 
-def round_half_up(value: Column, scale: int = 2) -> Column:
-    """Decimal rounding, ties away from zero (Spark ``round`` on decimals)."""
-    return F.round(value, scale)
-
-
 def safe_ratio(num: Column, den: Column) -> Column:
     """``num / nullif(den, 0)``: NULL instead of an ANSI divide-by-zero error."""
     return num / F.nullif(den, F.lit(0))

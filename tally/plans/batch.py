@@ -8,22 +8,29 @@ a lost executor only recomputes the current stage, never the whole chain
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import digits_key
+from ..functions.text import clean_key, digits_key
+from ..operators.ordering import asc, desc, ranked
 from ..operators.quality import cnpj_audit, referential_audit
+from ..operators.sets import union_all
 from ..session import scratch_path
 from ..sinks.tables import write_delimited, write_fact, write_table
-from ..sources.archives import archive_records, parse_members, read_spreadsheets
+from ..sources.archives import archive_errors, archive_records, parse_members, read_spreadsheets
 from ..sources.delimited import period_from_path, read_layouts, read_tolerant
 from ..sources.links import latest_periods, prune_to_periods
-from .consolidate import canonical_ledger, canonical_registry, consolidate
+from .consolidate import LEDGER_COLUMNS, canonical_ledger, canonical_registry, checked_ledger
 from .mart import enriched_ledger, operator_mart
-from .warehouse import load_dimension, load_fact
+from .warehouse import load_dimension, load_fact, load_mart
+
+
+# a sum of money amounts
+TOTAL = "decimal(25,2)"
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -33,23 +40,26 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def raw_frames(spark: SparkSession, group, formats: Sequence[str],
-               scratch: str) -> list[DataFrame]:
+               scratch: str) -> tuple[list[DataFrame], list[DataFrame]]:
     """All-text frames (with ``_source_path``) of one group: one per header
     and dialect of the loose delimited files, and one per member layout of the
-    ZIP archives and of the spreadsheets found under it.
+    ZIP archives and of the spreadsheets found under it. The second list holds
+    the unreadable archives and spreadsheets with their errors.
 
     Archive and sheet records are expanded once (Python work) and written to
     ``scratch``; headers and every layout are then read from that table
     instead of expanding the files again per layout.
     """
     frames: list[DataFrame] = []
+    errors: list[DataFrame] = []
     if "csv" in formats:
         frames += read_layouts(spark, group)
-    if "zip" in formats:
-        frames += parse_members(materialize(archive_records(spark, group), f"{scratch}_zip"))
-    if "xlsx" in formats:
-        frames += parse_members(materialize(read_spreadsheets(spark, group), f"{scratch}_xlsx"))
-    return frames
+    for fmt, expand in (("zip", archive_records), ("xlsx", read_spreadsheets)):
+        if fmt in formats:
+            records = materialize(expand(spark, group), f"{scratch}_{fmt}")
+            frames += parse_members(records)
+            errors.append(archive_errors(records))
+    return frames, errors
 
 
 def folder_periods(spark: SparkSession, groups: Sequence, path_pattern: str) -> DataFrame:
@@ -65,15 +75,38 @@ def folder_periods(spark: SparkSession, groups: Sequence, path_pattern: str) ->
     return found.filter(F.col("ano").isNotNull() & F.col("trimestre").isNotNull())
 
 
+def folders_of(files: DataFrame, periods: Sequence) -> list[str]:
+    """Folders that hold files of the chosen ``periods`` (ano, trimestre), as read paths.
+
+    One row per folder reaches the driver. A folder inside another chosen one
+    is left out, because folders are read with all that lies under them.
+    """
+    chosen = [(F.col("ano") == p["ano"]) & (F.col("trimestre") == p["trimestre"]) for p in periods]
+    cond = F.lit(False)
+    for c in chosen:
+        cond = cond | c
+    folder = F.regexp_replace("_source_path", "/[^/]*$", "")
+    found = sorted(r[0] for r in files.filter(cond).select(folder).distinct().collect())
+    tops: list[str] = []
+    for f in found:
+        if not any(f.startswith(t + "/") for t in tops):
+            tops.append(f)
+    # the reader takes paths as globs
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", t) for t in tops]
+
+
 @dataclass
 class Warehouse:
     ledger: DataFrame
     mart: DataFrame
+    mart_table: DataFrame
     dimension: DataFrame
     quarantined: DataFrame
     fact: DataFrame
     cnpj_audit: DataFrame
     orphan_audit: DataFrame
+    rejected_amounts: DataFrame
+    archive_errors: DataFrame
 
 
 def build_warehouse(
@@ -90,20 +123,37 @@ def build_warehouse(
     (default: a folder in the shared ``spark.checkpoint.dir``). Each group is
     searched for loose delimited files, ZIP archives and spreadsheets.
     ``latest_quarters=N`` ingests only the N latest quarters found in the
-    folder names (S5), each quarter once however many files it has (D7)."""
+    folder names (S5), each quarter once however many files it has (D7), and
+    opens only folders that hold files of those quarters.
+
+    The ledger table is partitioned by ``rejected``: amounts beyond the money
+    type lie in its ``rejected=true`` folder (``Warehouse.rejected_amounts``),
+    and unreadable archives are listed in ``audit_archives``."""
     base = (out or scratch_path(spark, "warehouse")).rstrip("/")
     periods = None
     if latest_quarters:
-        periods = latest_periods(folder_periods(spark, ledger_groups, path_pattern),
-                                 latest_quarters)
-    shaped = []
+        chosen = latest_periods(folder_periods(spark, ledger_groups, path_pattern), latest_quarters)
+        periods = spark.createDataFrame(chosen.collect(), "ano int, trimestre int")
+    shaped, unread = [], []
     for i, group in enumerate(ledger_groups):
-        for raw in raw_frames(spark, group, formats, f"{base}/staging/records_{i}"):
+        if periods is not None:
+            group = folders_of(folder_periods(spark, [group], path_pattern), periods.collect())
+            if not group:
+                continue
+        frames, errors = raw_frames(spark, group, formats, f"{base}/staging/records_{i}")
+        unread += errors
+        for raw in frames:
             raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
-            if periods is not None:
+            if periods is not None:  # a chosen folder may hold files of other quarters
                 raw = prune_to_periods(raw, periods)
             shaped.append(canonical_ledger(raw, period_cols=("ano", "trimestre")))
-    ledger = materialize(consolidate(shaped), f"{base}/ledger")
+    checked = checked_ledger(shaped)
+    checked.write.mode("overwrite").partitionBy("rejected").parquet(f"{base}/ledger")
+    stored = spark.read.schema(checked.schema).parquet(f"{base}/ledger")
+    ledger = stored.filter(~F.col("rejected")).select(*LEDGER_COLUMNS)
+    rejected = stored.filter("rejected").select("RegistroANS", "Ano", "Trimestre", "ValorTexto")
+    no_errors = spark.createDataFrame([], "archive string, error string")
+    write_table(union_all([no_errors, *unread]), f"{base}/audit_archives")
 
     cols = list(registry_columns) if registry_columns else None
     registry = canonical_registry(read_tolerant(spark, registry_path, cols))
@@ -111,8 +161,14 @@ def build_warehouse(
 
     mart = operator_mart(ledger, registry)
     write_table(mart, f"{base}/mart")
-    # the exported artifact: ';' text, header, 2-decimal numbers, gzip (K1, K2)
-    write_delimited(spark.read.parquet(f"{base}/mart"), f"{base}/mart_csv", compression="gzip")
+    stored_mart = spark.read.parquet(f"{base}/mart")
+    # the exported artifact: ';' text, header, 2-decimal numbers, gzip (K1, K2),
+    # sorted in the export itself, as a re-read table keeps no order
+    write_delimited(ranked(stored_mart, [desc("ValorTotal"), asc("RegistroANS")]),
+                    f"{base}/mart_csv", compression="gzip")
+    # the served table, under its own column names and types
+    write_table(load_mart(stored_mart.select([F.col(c).cast("string") for c in stored_mart.columns]),
+                          TOTAL), f"{base}/mart_table")
 
     dim, bad = load_dimension(registry)
     dim = materialize(dim, f"{base}/dimension")
@@ -124,9 +180,10 @@ def build_warehouse(
 
     # audits (V2, V3): invalid tax ids with rows and value at stake, and
     # ledger rows whose operator is not in the registry (kept in the mart,
-    # left out of the fact: decision D23)
-    enriched = enriched_ledger(ledger, registry)
-    write_table(cnpj_audit(enriched, "CNPJ", "RegistroANS", "ValorDespesas"),
+    # left out of the fact: decision D23). One row per key before the join.
+    per_key = ledger.groupBy(clean_key(F.col("RegistroANS")).alias("RegistroANS")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("ValorDespesas").alias("_v"))
+    write_table(cnpj_audit(enriched_ledger(per_key, registry), "CNPJ", "RegistroANS", "_v", rows="_n"),
                 f"{base}/audit_cnpj")
     ledger_keys = ledger.select(
         digits_key(F.col("RegistroANS")).alias("registro_ans"),
@@ -134,10 +191,13 @@ def build_warehouse(
     write_table(referential_audit(ledger_keys, dim), f"{base}/audit_orphans")
     return Warehouse(
         ledger=ledger,
-        mart=spark.read.parquet(f"{base}/mart"),
+        mart=stored_mart,
+        mart_table=spark.read.parquet(f"{base}/mart_table"),
         dimension=dim,
         quarantined=spark.read.parquet(f"{base}/quarantine"),
         fact=fact,
         cnpj_audit=spark.read.parquet(f"{base}/audit_cnpj"),
         orphan_audit=spark.read.parquet(f"{base}/audit_orphans"),
+        rejected_amounts=rejected,
+        archive_errors=spark.read.parquet(f"{base}/audit_archives"),
     )

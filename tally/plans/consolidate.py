@@ -43,6 +43,8 @@ REGISTRY_ALIASES = {
 # Defaults for missing ledger columns and the final layout.
 LEDGER_DEFAULTS = {"RegistroANS": "0", "CNPJ": "N/A", "RazaoSocial": "N/A"}
 LEDGER_COLUMNS = ("RegistroANS", "CNPJ", "RazaoSocial", "Ano", "Trimestre", "ValorDespesas")
+LEDGER_TYPES = {"RegistroANS": "string", "CNPJ": "string", "RazaoSocial": "string",
+                "Ano": "int", "Trimestre": "int", "ValorDespesas": MONEY}
 REGISTRY_COLUMNS = ("RegistroANS", "CNPJ", "RazaoSocial", "Modalidade", "UF")
 
 
@@ -96,25 +98,45 @@ def canonical_ledger(raw: DataFrame, ano=None, trimestre=None,
     shaped = account_prefix(shaped, "Conta", "4")  # F1 only if the column exists
     return shaped.select(
         "RegistroANS", "CNPJ", "RazaoSocial", "Ano", "Trimestre",
-        parse_number(F.col("ValorTexto"), locale).alias("ValorDespesas"),
+        parse_number(F.col("ValorTexto"), locale).alias("ValorDespesas"), "ValorTexto",
     )
 
 
+def _placeholders(groups: Sequence[DataFrame | None]) -> DataFrame:
+    """The canonical groups as one table, with the name placeholders set."""
+    usable = [g for g in groups if g is not None]
+    if not usable:
+        raise MissingColumn("no ledger file with a value column")
+    ledger = union_all(usable)
+    return ledger.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
+
+
 def consolidate(groups: Sequence[DataFrame | None]) -> DataFrame:
     """Union the canonical groups and finish the ledger.
 
     Raises :class:`MissingColumn` when no group had a value column.
     """
-    usable = [g for g in groups if g is not None]
-    if not usable:
-        raise MissingColumn("no ledger file with a value column")
-    ledger = union_all(usable)
-    ledger = ledger.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
+    ledger = _placeholders(groups)
     # F2 on the parsed amount: keep_rows, so the parse is not repeated inside
     # a pushed-down filter (``positive`` is the form for stored columns)
     return keep_rows(ledger.select(*LEDGER_COLUMNS), lambda r: r["ValorDespesas"] > 0)
 
 
+def checked_ledger(groups: Sequence[DataFrame | None]) -> DataFrame:
+    """The ledger rows of :func:`consolidate` plus the amounts that it cannot hold.
+
+    ``rejected`` marks a positive amount beyond the money type; such a row has
+    a NULL ``ValorDespesas`` and its amount as written in ``ValorTexto``,
+    which is NULL in every other row. Partitioning the written table by
+    ``rejected`` separates both in one pass over the files.
+    """
+    rows = _placeholders(groups).select(
+        *LEDGER_COLUMNS, "ValorTexto",
+        (F.col("ValorDespesas").isNull() & ~F.trim("ValorTexto").startswith("-")).alias("rejected"))
+    kept = keep_rows(rows, lambda r: r["rejected"] | (r["ValorDespesas"] > 0))
+    return kept.withColumn("ValorTexto", F.when(F.col("rejected"), F.col("ValorTexto")))
+
+
 def canonical_registry(raw: DataFrame) -> DataFrame:
     """Registry text -> ``RegistroANS, CNPJ, RazaoSocial, Modalidade, UF`` (H2, H3).
 
@@ -130,5 +152,5 @@ def canonical_registry(raw: DataFrame) -> DataFrame:
 
 __all__ = [
     "LEDGER_ALIASES", "REGISTRY_ALIASES", "MissingColumn", "canonical_ledger",
-    "canonical_registry", "consolidate", "MONEY",
+    "canonical_registry", "checked_ledger", "consolidate", "MONEY",
 ]

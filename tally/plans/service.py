@@ -24,7 +24,10 @@ VIEW_NAMES = {"dimension": "operadoras", "fact": "despesas_contabeis",
 
 def register_views(spark: SparkSession, dim: DataFrame, fact: DataFrame,
                    mart: DataFrame | None = None) -> dict[str, str]:
-    """Register the tables as temporary views under their warehouse names."""
+    """Register the tables as temporary views under their warehouse names.
+
+    ``mart`` is the typed mart (``Warehouse.mart_table``), whose column names
+    are those that SQL over that view uses."""
     dim.createOrReplaceTempView(VIEW_NAMES["dimension"])
     fact.createOrReplaceTempView(VIEW_NAMES["fact"])
     if mart is not None:

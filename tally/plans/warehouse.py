@@ -68,15 +68,18 @@ def load_fact(staging: DataFrame, dim: DataFrame, key_type: str = "bigint",
     )
 
 
-def load_mart(staging: DataFrame) -> DataFrame:
-    """Staging mart text columns (positional) -> typed mart rows."""
+def load_mart(staging: DataFrame, dtype=MONEY) -> DataFrame:
+    """Staging mart text columns (positional) -> typed mart rows.
+
+    ``dtype`` is the type of the amounts: totals of large ledgers need more
+    digits than one amount."""
     c = staging.columns
     return staging.select(
         digits_key(F.col(c[0]), "bigint").alias("registro_ans"),
         F.col(c[1]).alias("cnpj"),
         F.col(c[2]).alias("razao_social"),
         F.left(F.col(c[3]), F.lit(2)).alias("uf"),
-        comma_decimal(F.col(c[4])).alias("valor_total"),
-        comma_decimal(F.col(c[5])).alias("media_trimestral"),
-        comma_decimal(F.col(c[6])).alias("desvio_padrao"),
+        comma_decimal(F.col(c[4]), dtype).alias("valor_total"),
+        comma_decimal(F.col(c[5]), dtype).alias("media_trimestral"),
+        comma_decimal(F.col(c[6]), dtype).alias("desvio_padrao"),
     )

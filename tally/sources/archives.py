@@ -121,15 +121,7 @@ def archive_records(spark: SparkSession, paths: str | Sequence[str],
         lambda it: _expand(it, ext, skip), RECORDS_SCHEMA)
 
 
-def archive_members(records: DataFrame, limit: int | None = None) -> list[tuple]:
-    """``(archive, member, header fields)`` of each member (file metadata)."""
-    heads = records.filter(F.col("record_no") == 0).select("archive", "member", "fields")
-    if limit is not None:
-        heads = heads.limit(limit)
-    return [(r[0], r[1], tuple(r[2])) for r in heads.collect()]
-
-
-def parse_members(records: DataFrame, max_layouts: int = 1_000) -> list[DataFrame]:
+def parse_members(records: DataFrame) -> list[DataFrame]:
     """All-text frames, one per distinct header layout across all members.
 
     Every data record is joined to its own member's header (one small row
@@ -143,10 +135,7 @@ def parse_members(records: DataFrame, max_layouts: int = 1_000) -> list[DataFram
     """
     heads = records.filter((F.col("record_no") == 0) & F.col("error").isNull()).select(
         "archive", "member", F.col("fields").alias("_header"))
-    layouts = [tuple(r[0]) for r in
-               heads.select("_header").distinct().limit(max_layouts + 1).collect()]
-    if len(layouts) > max_layouts:
-        raise ValueError("too many distinct header layouts")
+    layouts = [tuple(r[0]) for r in heads.select("_header").distinct().collect()]
     body = records.filter((F.col("record_no") > 0) & F.col("error").isNull()
                           & (F.size("fields") > 0)).join(heads, ["archive", "member"])
     frames = []

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.filters import keep_rows
-from ..plans.consolidate import LEDGER_COLUMNS, canonical_ledger
+from ..plans.consolidate import LEDGER_COLUMNS, LEDGER_TYPES, canonical_ledger
 from ..session import scratch_path
 from ..sources.delimited import period_from_path
 
@@ -47,7 +47,9 @@ def shape_batch(raw: DataFrame, path_pattern: str = r"(\d{4})_T(\d)") -> DataFra
     with_period = period_from_path(raw, "_source_path", path_pattern)
     shaped = canonical_ledger(with_period.drop("_source_path"), period_cols=("ano", "trimestre"))
     if shaped is None:
-        return with_period.limit(0).select(*[F.lit(None).alias(c) for c in LEDGER_COLUMNS])
+        # no value column (H3): no rows, with the types of the ledger
+        return with_period.limit(0).select(
+            *[F.lit(None).cast(LEDGER_TYPES[c]).alias(c) for c in LEDGER_COLUMNS])
     shaped = shaped.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
     return keep_rows(shaped.select(*LEDGER_COLUMNS), lambda r: r["ValorDespesas"] > 0)
 

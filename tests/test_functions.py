@@ -24,6 +24,8 @@ def test_parse_number_br(spark):
     want = ["1234.56", "123456.00", "10.00", "-5.00", "0.00", "0.00", "0.00", "0.00", "0.00",
             "0.00", "0.00", "0.00", "7.00", "1000.00"]
     assert got == [Decimal(w) for w in want]
+    # a number beyond the type is NULL (reported by the ledger), never the default
+    assert col_values(spark, ["99999999999999,00", "1e400"], lambda c: parse_number(c, "br")) == [None, None]
 
 
 def test_parse_number_plain(spark):

@@ -295,6 +295,56 @@ def test_build_warehouse_end_to_end(spark, workdir):
     assert {r["DesvioPadrao"] for r in exported.collect()} >= {"0.00"}
     orphan = wh.orphan_audit.first()
     assert orphan["orphan_rows"] == 1 and orphan["orphan_value"] == D("3.00")
+    # the export itself is in rank order (T1); one file at this size
+    text = spark.read.option("sep", ";").option("header", "true").csv(f"{workdir}/wh/mart_csv")
+    assert [r["RegistroANS"] for r in text.collect()] == ["1", "2", "7"]
+    # the typed mart is served under its own column names
+    from tally.plans.service import register_views
+    register_views(spark, wh.dimension, wh.fact, wh.mart_table)
+    top = spark.sql("SELECT registro_ans, valor_total, media_trimestral, desvio_padrao "
+                    "FROM despesas_agregadas_final ORDER BY valor_total DESC LIMIT 1").first()
+    assert tuple(top) == (1, D("1500.00"), D("750.00"), D("353.55"))
+
+
+def test_no_amount_or_archive_is_lost_silently(spark, workdir):
+    from tally.plans.batch import build_warehouse
+
+    write(f"{workdir}/raw/2023_T1/d.csv",
+          "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;1.000,00\n2;41;99999999999999,00\n"
+          "3;41;-99999999999999,00\n4;41;abc\n")
+    _zip(f"{workdir}/raw/2023_T1/good.zip",
+         {"d.csv": "REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;500,00\n"})
+    with open(f"{workdir}/raw/2023_T1/bad.zip", "wb") as f:
+        f.write(b"no archive")
+    write(f"{workdir}/cadop.csv", "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n1;x;A;M;SP\n")
+    wh = build_warehouse(spark, [f"{workdir}/raw"], f"{workdir}/cadop.csv", out=f"{workdir}/wh")
+    assert sorted(r["ValorDespesas"] for r in wh.ledger.collect()) == [D("500.00"), D("1000.00")]
+    assert [tuple(r) for r in wh.rejected_amounts.collect()] == [("2", 2023, 1, "99999999999999,00")]
+    assert [r["archive"].rsplit("/", 1)[1] for r in wh.archive_errors.collect()] == ["bad.zip"]
+
+
+def test_latest_quarters_open_only_their_folders(spark, workdir):
+    from tally.plans.batch import build_warehouse
+
+    for t in (1, 2, 3):
+        _zip(f"{workdir}/raw/2023_T{t} [a]/d.zip",
+             {"d.csv": f"REG_ANS;CD_CONTA_CONTABIL;VL_SALDO_FINAL\n1;41;{t},00\n"})
+    write(f"{workdir}/cadop.csv", "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;MODALIDADE;UF\n1;x;A;M;SP\n")
+    wh = build_warehouse(spark, [f"{workdir}/raw"], f"{workdir}/cadop.csv", out=f"{workdir}/wh",
+                         formats=("zip",), latest_quarters=2)
+    assert sorted(r["Trimestre"] for r in wh.ledger.collect()) == [2, 3]
+    records = spark.read.parquet(f"{workdir}/wh/staging/records_0_zip")
+    assert records.select("archive").distinct().count() == 2  # the first quarter was never expanded
+
+
+def test_stream_batch_without_value_column(spark, workdir):
+    from tally.streaming.ingest import start_ingest
+
+    write(f"{workdir}/landing/2023_T1/a.csv", "REG_ANS;CD_CONTA_CONTABIL;OUTRA\n1;41;9,00\n")
+    q = start_ingest(spark, f"{workdir}/landing", f"{workdir}/target",
+                     ["REG_ANS", "CD_CONTA_CONTABIL", "OUTRA"], name="no_value")
+    q.awaitTermination(60)
+    assert q.exception() is None
 
 
 def test_latest_quarters_only(spark, workdir):
