@@ -2,7 +2,7 @@
 
 from .dates import date_text, quarter_from_text, quarter_start, year_from_text
 from .numbers import MONEY, comma_decimal, parse_number, safe_ratio
-from .taxid import cnpj_check_digits_py, cnpj_is_valid, format_cnpj
+from .taxid import cnpj_is_valid
 from .text import (
     NA_TOKENS,
     ci_contains,

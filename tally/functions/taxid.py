@@ -1,8 +1,8 @@
 """Company tax id (CNPJ) mod-11 check (op V1) as a native Column expression.
 
-The weighted sums are unrolled into plain arithmetic over ``substring``, so
-the whole check stays in whole-stage codegen (no higher-order lambdas, no
-UDF). The expression is generated as SQL text from the weights and handed to
+The weighted sums are unrolled into plain arithmetic over ``substring``; one
+``transform`` over a one-element array binds the digit string, so it is
+extracted once per row. No UDF. The expression is generated as SQL text from the weights and handed to
 Spark in one piece (one driver round trip instead of hundreds of Column
 calls); the text only names a column.
 """
@@ -91,25 +91,9 @@ def cnpj_from_key_sql(key_sql: str, spoil_sql: str | None = None) -> tuple[str,
     return d1, d2, fmt
 
 
-def cnpj_check_digits_py(base12: str) -> str:
-    """Plain-Python helper for arguments and tests: the two check digits."""
-    def one(ds: str, weights) -> int:
-        r = 11 - sum(int(c) * w for c, w in zip(ds, weights)) % 11
-        return 0 if r >= 10 else r
-
-    d1 = one(base12, WEIGHTS_1)
-    d2 = one(base12 + str(d1), WEIGHTS_2)
-    return f"{d1}{d2}"
-
-
 def format_cnpj_sql(digits_sql: str) -> str:
     """SQL text rendering 14 digits as ``NN.NNN.NNN/NNNN-NN``."""
     def s(p: int, n: int) -> str:
         return f"substring({digits_sql}, {p}, {n})"
     return (f"concat({s(1, 2)}, '.', {s(3, 3)}, '.', {s(6, 3)}, '/', {s(9, 4)}, '-', "
             f"{s(13, 2)})")
-
-
-def format_cnpj(column: str) -> Column:
-    """``NN.NNN.NNN/NNNN-NN`` rendering of the 14 digits in ``column``."""
-    return F.expr(format_cnpj_sql(_quote(column)))

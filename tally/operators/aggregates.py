@@ -48,15 +48,6 @@ def _all_not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def totals_by(df: DataFrame, keys: Sequence[str], value: str, alias: str = "total",
-              count_alias: str | None = None) -> DataFrame:
-    """Group sum (A3, A10); optionally also the row count."""
-    aggs = [F.sum(value).alias(alias)]
-    if count_alias:
-        aggs.append(F.count(F.lit(1)).alias(count_alias))
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def per_member_mean(total: Column, members: Column, scale: int = 2) -> Column:
     """``round(sum / count(distinct member), 2)`` (A4), exact decimal HALF_UP."""
     return F.round(safe_ratio(total, members.cast("decimal(20,0)")), scale)

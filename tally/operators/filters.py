@@ -21,15 +21,6 @@ def positive(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) > 0)
 
 
-def not_null(df: DataFrame, *columns: str) -> DataFrame:
-    """IS NOT NULL on every listed column."""
-    cond = None
-    for c in columns:
-        p = F.col(c).isNotNull()
-        cond = p if cond is None else cond & p
-    return df if cond is None else df.filter(cond)
-
-
 def search(df: DataFrame, term: str | None, columns=("razao_social", "cnpj"),
            literal: bool = False) -> DataFrame:
     """Case-insensitive substring search over several columns, OR-ed.
@@ -76,8 +67,3 @@ def keep_rows(df: DataFrame, cond) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     kept = F.filter(F.array(row), lambda r: F.coalesce(cond(r), F.lit(False)))
     return df.select(F.inline(kept))
-
-
-def having(df: DataFrame, cond: Column) -> DataFrame:
-    """Filter on an aggregate result."""
-    return df.filter(cond)

@@ -28,11 +28,6 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; bounded work (reads <= n+1 rows/partition)."""
-    return df.limit(n + 1).count() <= n
-
-
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
          max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows whose text rendering
@@ -113,11 +108,6 @@ def left_enrich(
     return out
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str = "registro_ans") -> DataFrame:
-    """Fact rows whose key has no dimension row (J6): a left anti join."""
-    return join_dimension(fact, dim.select(key), key, "left_anti")
-
-
 def join_group_stats(
     detail: DataFrame, stats: DataFrame, keys: Sequence[str]
 ) -> DataFrame:

@@ -11,11 +11,6 @@ from ..functions.taxid import cnpj_is_valid
 from .sets import duplicate_keys
 
 
-def with_cnpj_flag(df: DataFrame, column: str = "CNPJ", flag: str = "CNPJ_Valido") -> DataFrame:
-    """Add the tax-id validity flag as a column (V1); rows are kept."""
-    return df.withColumn(flag, cnpj_is_valid(F.col(column)))
-
-
 def cnpj_audit(
     df: DataFrame,
     cnpj: str = "cnpj",
@@ -50,11 +45,10 @@ def referential_audit(
     )
 
 
-def quarantine(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (clean, quarantined) on NULL or duplicated keys (V4).
+def with_reason(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows with a ``reason``: ``null_key``, ``duplicate_key`` or NULL (clean) (V4).
 
-    The quarantined side carries a ``reason`` column (``null_key`` or
-    ``duplicate_key``). Duplicates are found with a partial-aggregated count
+    Two scans: the keys alone for the counts, and the rows once. Duplicates are found with a partial-aggregated count
     per key, not a window, and joined back, so a hot key is never sorted in
     one task. The duplicate-key table exists only after its aggregation, so
     its size is checked at run time by AQE (broadcast when small, otherwise a
@@ -66,13 +60,20 @@ def quarantine(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     for k in keys:
         p = F.col(k).isNull()
         null_cond = p if null_cond is None else null_cond | p
-    nulls = df.filter(null_cond).withColumn("reason", F.lit("null_key"))
-    present = df.filter(~null_cond)
-    dups = duplicate_keys(present, keys).select(*keys, F.lit(True).alias("_dup"))
-    marked = present.join(dups, keys, "left")
-    clean = marked.filter(F.col("_dup").isNull()).drop("_dup")
-    dup_rows = marked.filter(F.col("_dup")).drop("_dup").withColumn("reason", F.lit("duplicate_key"))
-    return clean, nulls.unionByName(dup_rows)
+    dups = duplicate_keys(df.filter(~null_cond), keys).select(*keys, F.lit(True).alias("_dup"))
+    reason = F.when(null_cond, F.lit("null_key")).when(F.col("_dup"), F.lit("duplicate_key"))
+    # NULL keys match nothing, so their rows pass the left join unmarked
+    return df.join(dups, keys, "left").withColumn("reason", reason).drop("_dup").select(*df.columns, "reason")
+
+
+def quarantine(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (clean, quarantined with their ``reason``) (V4).
+
+    Both sides read the same plan; to use both, write :func:`with_reason`
+    (partitioned by ``reason``) and read its folders instead.
+    """
+    marked = with_reason(df, keys)
+    return marked.filter(F.col("reason").isNull()).drop("reason"), marked.filter(F.col("reason").isNotNull())
 
 
 def domain_violations(

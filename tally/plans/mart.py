@@ -71,10 +71,19 @@ def operator_mart(ledger: DataFrame, registry: DataFrame, sort: bool = True,
     return mart
 
 
-def enriched_ledger(ledger: DataFrame, registry: DataFrame) -> DataFrame:
-    """Row-level enriched ledger with the tax-id flag kept."""
+def enriched_ledger(ledger: DataFrame, registry: DataFrame, stored: str | None = None) -> DataFrame:
+    """Row-level enriched ledger with the tax-id flag kept.
+
+    With ``stored`` (a path on shared storage) the unique registry is written
+    there once, measured, and broadcast when it is within the bound, so the
+    ledger rows are not shuffled on a skewed key; beyond the bound, and
+    without ``stored``, AQE chooses the join.
+    """
     from ..operators.joins import left_enrich
 
     reg = unique_registry(registry).select("RegistroANS", "CNPJ", "RazaoSocial", "UF", "Modalidade")
-    out = left_enrich(ledger, reg, "RegistroANS", check_size=False)
+    if stored:
+        reg.write.mode("overwrite").parquet(stored)
+        reg = ledger.sparkSession.read.parquet(stored)
+    out = left_enrich(ledger, reg, "RegistroANS", check_size=bool(stored))
     return out.withColumn("CNPJ_Valido", cnpj_is_valid("CNPJ"))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_text
-from ..functions.text import digits_only
 from ..operators.aggregates import filtered_count
 from ..operators.filters import normalised_key_equals, search
 from ..operators.ordering import asc, desc, page, top_k
@@ -144,7 +143,12 @@ def statistics(fact: DataFrame, dim: DataFrame) -> DataFrame:
     mean = sums.select(
         F.coalesce(F.round(F.col("_s") / F.col("_n").cast("decimal(20,0)"), 2), F.lit(0))
         .cast("double").alias("media_por_operadora"))
-    named = per_op.join(dim.select("registro_ans", "razao_social", "uf"), "registro_ans", "inner")
+    d = dim.filter(F.col("registro_ans").isNotNull()).select(
+        F.col("registro_ans").alias("_key"), "razao_social", "uf")
+    # null-safe on keys that are never NULL: the same rows as a plain equality,
+    # but no filter is inferred for the fact side, which would make its scan
+    # and exchange differ from those of the totals
+    named = per_op.join(d, F.col("registro_ans").eqNullSafe(F.col("_key")), "inner").drop("_key")
     ops = top_k(named.select("registro_ans", "razao_social", "total"),
                 [desc("total"), asc("registro_ans")], 5)
     states = named.filter(F.col("uf").isNotNull()).groupBy("uf").agg(F.sum("total").alias("total"))
@@ -180,8 +184,3 @@ def chart_series(fact: DataFrame, dim: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def normalised_dim(dim: DataFrame) -> DataFrame:
-    """Dimension with a stored digits-only tax id (``cnpj_digits``) so the
-    lookup of R2/R3 becomes a plain equality that reaches the parquet scan
-    once the dimension is written with it."""
-    return dim.withColumn("cnpj_digits", digits_only(F.col("cnpj")))

@@ -13,6 +13,7 @@ value types line up with the oracle statement of the same key:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql.types import DecimalType
 
 from ..functions.taxid import WEIGHTS_1, WEIGHTS_2
 from ..plans import analytics
+from ..session import scratch_path
 from ..sources.tables import expenses_from_testdata, operators_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +50,11 @@ def edge(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def scratch_folder(spark: SparkSession, key: str) -> str:
+    """A new folder for the tables that one run of a query writes (shared checkpoint folder)."""
+    return scratch_path(spark, f"suite/{key}-{uuid.uuid4().hex}")
+
+
 def dim_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return operators_from_testdata(spark, sf_dir), expenses_from_testdata(spark, sf_dir)
 
@@ -172,8 +179,8 @@ NUMERIC_SQL = r"'\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*'"
 
 def sql_parse_number(text: str, locale: str = "br") -> str:
     norm = f"translate({text}, ',.', '.')" if locale == "br" else text
-    return (f"coalesce(CASE WHEN regexp_full_match({norm}, {NUMERIC_SQL}) "
-            f"THEN TRY_CAST(trim({norm}) AS DECIMAL(15,2)) END, CAST(0 AS DECIMAL(15,2)))")
+    return (f"CASE WHEN regexp_full_match({norm}, {NUMERIC_SQL}) "
+            f"THEN TRY_CAST(trim({norm}) AS DECIMAL(15,2)) ELSE CAST(0 AS DECIMAL(15,2)) END")
 
 
 CONSOLIDATED_SQL = f"""
@@ -345,18 +352,17 @@ def a01_operator_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("a02_singleton_std", """
-SELECT o_custkey, COUNT(*) AS qtd,
+SELECT o_custkey, COUNT(o_totalprice) AS qtd,
        round(coalesce(stddev_samp(o_totalprice), 0), 4) AS desvio_padrao
-FROM orders GROUP BY o_custkey
+FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey
 """)
 def a02_singleton_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.aggregates import operator_profile
     from ..sources.tables import read_table
 
-    orders = read_table(spark, sf_dir, "orders")
-    return orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("qtd"),
-        F.round(F.coalesce(F.stddev_samp("o_totalprice"), F.lit(0.0)), 4).alias("desvio_padrao"),
-    )
+    profile = operator_profile(read_table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice")
+    return profile.select("o_custkey", F.col("QtdRegistros").alias("qtd"),
+                          F.round("DesvioPadrao", 4).alias("desvio_padrao"))
 
 
 @register("a05_period_mean", with_ctes(body=f"""
@@ -567,7 +573,8 @@ def j01_left_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.mart import enriched_ledger
 
     led = consolidated(spark, sf_dir)
-    return edge(enriched_ledger(led, registry(spark, sf_dir)).select(
+    stored = scratch_folder(spark, "j01")
+    return edge(enriched_ledger(led, registry(spark, sf_dir), stored).select(
         "RegistroANS", "Ano", "Trimestre", "ValorDespesas", "CNPJ", "RazaoSocial", "UF",
         "Modalidade", "CNPJ_Valido"))
 
@@ -644,13 +651,13 @@ FROM (SELECT CASE WHEN o_custkey IS NULL THEN 'null_key'
 GROUP BY reason
 """)
 def v04_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.quality import quarantine
+    from ..operators.quality import with_reason
     from ..sources.tables import read_table
 
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    clean, bad = quarantine(orders, ["o_custkey"])
-    both = clean.withColumn("reason", F.lit("clean")).unionByName(bad)
-    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    marked = with_reason(orders, ["o_custkey"])
+    return marked.groupBy(F.coalesce("reason", F.lit("clean")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
 
 
 # --------------------------------------------------------------------------
@@ -736,7 +743,8 @@ def f02_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("c01_number_br", with_ctes(RAW_LEDGER_SQL, body=f"""
 SELECT l_orderkey, l_linenumber, VL_SALDO_FINAL,
-       CAST({sql_parse_number('VL_SALDO_FINAL', 'br')} AS DOUBLE) AS valor
+       CAST({sql_parse_number('VL_SALDO_FINAL', 'br')} AS DOUBLE) AS valor,
+       CAST({sql_parse_number("('99999999999' || VL_SALDO_FINAL)", 'br')} AS DOUBLE) AS valor_longo
 FROM raw_ledger
 """))
 def c01_number_br(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -744,7 +752,10 @@ def c01_number_br(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     raw = raw_ledger(spark, sf_dir)
     return edge(raw.select("l_orderkey", "l_linenumber", "VL_SALDO_FINAL",
-                           parse_number(F.col("VL_SALDO_FINAL"), "br").alias("valor")))
+                           parse_number(F.col("VL_SALDO_FINAL"), "br").alias("valor"),
+                           # mostly beyond the money type: NULL, not 0
+                           parse_number(F.concat(F.lit("99999999999"), "VL_SALDO_FINAL"), "br")
+                           .alias("valor_longo")))
 
 
 @register("c02_number_plain", with_ctes(RAW_LEDGER_SQL, body=f"""
@@ -915,7 +926,11 @@ SELECT page_id,
        coalesce(list_filter(list_transform(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"', 1),
                                            lambda h: replace(h, '&amp;', '&')),
                             lambda h: h <> '' AND h <> '../' AND NOT starts_with(h, '?')
-                                 AND contains(lower(h), 'the'))[1], 'N/A') AS picked
+                                 AND contains(lower(h), 'the'))[1], 'N/A') AS picked,
+       list_filter(list_transform(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href="([^"]*)"', 1),
+                                  lambda h: replace(h, '&amp;', '&')),
+                   lambda h: h <> '' AND h <> '../' AND NOT starts_with(h, '?') AND ends_with(lower(h), 'e')
+                        AND (contains(lower(h), 'the') OR contains(lower(h), 'de')))[1] AS picked_file
 FROM pages
 """)
 def s03_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -923,8 +938,11 @@ def s03_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import read_table
 
     pages = read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", pick_link(link_array(F.col("html")), PICK_KEYWORDS, "all",
-                                             fallback="N/A").alias("picked"))
+    arr = link_array(F.col("html"))
+    return pages.select(
+        "page_id",
+        pick_link(arr, PICK_KEYWORDS, "all", fallback="N/A").alias("picked"),
+        pick_link(arr, (*PICK_KEYWORDS, "de"), "any", suffix="e").alias("picked_file"))
 
 
 _PERIOD_LINKS_SQL = r"""
@@ -976,24 +994,61 @@ def s05_latest_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Envelopes (R1, R4): one row holding arrays. Their parts are checked above
-# against SQL (t03, a09, a07, a08, a10, a03); the envelopes themselves are
-# array-valued, so they are registered without oracle SQL (rows-only check).
+# Envelopes (R1, R4): one row holding arrays, exploded to rows for the check.
 # --------------------------------------------------------------------------
 
-@register("r01_listing")
+@register("r01_listing", with_ctes(body=f"""
+hits AS (SELECT registro_ans, cnpj, razao_social, uf FROM operadoras
+         WHERE razao_social ILIKE '%{SEARCH_TERM}%' OR cnpj ILIKE '%{SEARCH_TERM}%'),
+p AS (SELECT * FROM hits ORDER BY registro_ans LIMIT 10 OFFSET 10),
+n AS (SELECT COUNT(*) AS total FROM hits)
+SELECT n.total, CAST(2 AS INTEGER) AS page, CAST(10 AS INTEGER) AS "limit",
+       CAST(row_number() OVER (ORDER BY p.registro_ans) - 1 AS INTEGER) AS pos,
+       p.registro_ans, p.cnpj, p.razao_social, p.uf
+FROM p, n
+""").replace("\nhits AS", ",\nhits AS", 1))
 def r01_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.serving import listing
 
-    return listing(operators_from_testdata(spark, sf_dir), SEARCH_TERM, page_no=2, limit=10)
-
-
-@register("r04_statistics")
+    page = listing(operators_from_testdata(spark, sf_dir), SEARCH_TERM, page_no=2, limit=10)
+    return page.select("total", "page", "limit", F.posexplode("data").alias("pos", "d")).select(
+        "total", "page", "limit", "pos", "d.*")
+
+
+@register("r04_statistics", with_ctes(body=f"""
+t AS (SELECT registro_ans, SUM(valor_despesa) AS total FROM despesas GROUP BY registro_ans),
+ops AS (SELECT o.razao_social AS nome, t.total,
+               row_number() OVER (ORDER BY t.total DESC, t.registro_ans) AS r
+        FROM t JOIN operadoras o ON t.registro_ans = o.registro_ans),
+ufs AS (SELECT uf AS nome, total, row_number() OVER (ORDER BY total DESC, uf) AS r
+        FROM (SELECT o.uf, SUM(t.total) AS total FROM t JOIN operadoras o ON t.registro_ans = o.registro_ans
+              WHERE o.uf IS NOT NULL GROUP BY o.uf))
+SELECT 'total_despesas' AS parte, CAST(0 AS INTEGER) AS pos, CAST(NULL AS VARCHAR) AS nome,
+       CAST(coalesce(SUM(total), 0) AS DOUBLE) AS valor FROM t
+UNION ALL
+SELECT 'media_por_operadora', 0, NULL, coalesce({sql_half_up_ratio("SUM(total) * 100", "COUNT(*)", 1)}, 0) FROM t
+UNION ALL
+SELECT 'top_5_operadoras', CAST(r - 1 AS INTEGER), nome, CAST(total AS DOUBLE) FROM ops WHERE r <= 5
+UNION ALL
+SELECT 'top_estados', CAST(r - 1 AS INTEGER), nome, CAST(total AS DOUBLE) FROM ufs WHERE r <= 10
+""").replace("\nt AS", ",\nt AS", 1))
 def r04_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.serving import statistics
 
     dim, fact = dim_fact(spark, sf_dir)
-    return statistics(fact, dim)
+    pair = "array<struct<nome:string,total:double>>"
+
+    def single(name: str):
+        return F.array(F.struct(F.lit(None).cast("string").alias("nome"), F.col(name).alias("total"))).cast(pair)
+
+    parts = F.create_map(
+        F.lit("total_despesas"), single("total_despesas"),
+        F.lit("media_por_operadora"), single("media_por_operadora"),
+        F.lit("top_5_operadoras"), F.col("top_5_operadoras").cast(pair),
+        F.lit("top_estados"), F.col("top_estados").cast(pair))
+    return (statistics(fact, dim).select(F.explode(parts).alias("parte", "pairs"))
+            .select("parte", F.posexplode("pairs").alias("pos", "p"))
+            .select("parte", "pos", F.col("p.nome").alias("nome"), F.col("p.total").alias("valor")))
 
 
 @register("v05_domain", """
@@ -1015,3 +1070,89 @@ def v05_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("registro_ans"), F.col("s_name").alias("razao_social"),
         F.col("n_name").alias("uf_raw"))
     return domain_violations(raw, {"razao_social": 255, "uf_raw": 2})
+
+
+# --------------------------------------------------------------------------
+# Files written out of the driver tables and read back (S7, S8, H1-H5, R9;
+# K1, K3, K4).
+# --------------------------------------------------------------------------
+
+@register("s08_layouts", ORACLE["r09_consolidate"])
+def s08_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw ledger as loose files of two dialects and column orders, beside
+    files without a value column, consolidated from the folder: the same rows
+    as from the table."""
+    from ..plans.consolidate import canonical_ledger, consolidate
+    from ..sources.delimited import period_from_path, read_layouts
+
+    folder = scratch_folder(spark, "s08")
+    raw = raw_ledger(spark, sf_dir).withColumn(
+        "quarter", F.concat(F.col("ano").cast("string"), F.lit("_T"), F.col("trimestre").cast("string")))
+    odd = F.col("l_orderkey") % 2 == 1
+    account, value, op = F.col("CD_CONTA_CONTABIL"), F.col("VL_SALDO_FINAL"), F.col("REG_ANS")
+    note = F.lit("Saúde").alias("OBSERVAÇÃO")
+
+    def write(df: DataFrame, name: str, sep: str, encoding: str) -> None:
+        (df.repartition("quarter", F.rand(0)).write.partitionBy("quarter").option("header", "true")
+         .option("sep", sep).option("encoding", encoding).option("escape", '"').csv(f"{folder}/{name}"))
+
+    write(raw.filter(odd).select(op, account, note, value, "quarter"), "a", ";", "ISO-8859-1")
+    write(raw.filter(~odd).select(note, value.alias("VALOR"), op.alias("CD_OPS"), account, "quarter"),
+          "b", ",", "UTF-8")
+    write(raw.filter(odd).groupBy(op, "quarter").agg(F.first(account).alias("CD_CONTA_CONTABIL")),
+          "c", ";", "UTF-8")
+    shaped = [canonical_ledger(period_from_path(f, "_source_path", r"(\d{4})_T(\d)").drop("_source_path"),
+                               period_cols=("ano", "trimestre")) for f in read_layouts(spark, folder)]
+    return edge(consolidate(shaped))
+
+
+@register("k01_delimited_sink", """
+SELECT s_suppkey, s_name || ' "a;b"; "' AS texto, CAST(s_acctbal AS DOUBLE) AS saldo FROM supplier
+""")
+def k01_delimited_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with quotes and separators, written and read back (K1, K2)."""
+    from ..sinks.tables import write_delimited
+    from ..sources.tables import read_table
+
+    path = scratch_folder(spark, "k01")
+    sup = read_table(spark, sf_dir, "supplier")
+    write_delimited(sup.select("s_suppkey", F.concat("s_name", F.lit(' "a;b"; "')).alias("texto"),
+                               F.col("s_acctbal").alias("saldo")), path, compression="gzip")
+    back = (spark.read.option("header", "true").option("sep", ";").option("escape", '"')
+            .schema("s_suppkey bigint, texto string, saldo double").csv(path))
+    return back.select("s_suppkey", "texto", "saldo")
+
+
+def stored_fact(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, str]:
+    from ..sinks.tables import write_fact
+
+    path = scratch_folder(spark, key)
+    fact = expenses_from_testdata(spark, sf_dir)
+    write_fact(fact, path)
+    return fact, path
+
+
+@register("k03_reload", with_ctes(body="""
+SELECT ano, trimestre, COUNT(*) AS n_rows, CAST(SUM(valor_despesa) AS DOUBLE) AS total
+FROM despesas GROUP BY ano, trimestre
+"""))
+def k03_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after a second load of every first quarter: equal to the first load (K3)."""
+    from ..sinks.tables import write_fact
+
+    fact, path = stored_fact(spark, sf_dir, "k03")
+    write_fact(fact.filter(F.col("trimestre") == 1), path, dynamic=True)
+    return edge(spark.read.parquet(path).groupBy("ano", "trimestre").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("valor_despesa").alias("total")))
+
+
+@register("k04_period_folders", with_ctes(body="""
+SELECT registro_ans, COUNT(*) AS n_rows, CAST(SUM(valor_despesa) AS DOUBLE) AS total
+FROM despesas WHERE ano = 1995 AND trimestre = 2 GROUP BY registro_ans
+"""))
+def k04_period_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quarter of the stored fact: only its folder is read (K4)."""
+    _, path = stored_fact(spark, sf_dir, "k04")
+    quarter = spark.read.parquet(path).filter("ano = 1995 AND trimestre = 2")
+    return edge(quarter.groupBy("registro_ans").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("valor_despesa").alias("total")))

@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from ..functions.dates import quarter_from_text, year_from_text
-from ..operators.filters import keep_rows
+from ..functions.dates import QUARTER_PATTERN, YEAR_PATTERN, quarter_from_text, year_from_text
 
 # An anchor's double-quoted href attribute, and the hrefs a
 # directory listing carries that are not content (parent link, sort links).
@@ -140,19 +139,14 @@ def resolve_links(df: DataFrame, base: str = "url", href: str = "href",
 
     Absolute, scheme-relative, root-relative and relative path links (the
     bulk of a directory listing) are resolved natively. Only rare shapes
-    (``?q``, ``#f``, empty, ``;params``, scheme without authority) go through
-    an Arrow-batched ``urljoin``; they are split off first, because Spark
-    evaluates a Python UDF for every input row of its node, not only for the
-    rows of the CASE branch that uses it. Both branches read ``df``; when it
-    is expensive to produce (links extracted from large pages), pass a
-    written table (e.g. ``plans.batch.materialize``) so the extraction runs
-    once.
+    (empty, ``;params``, empty ``?``/``#`` parts, scheme without authority)
+    need an Arrow-batched ``urljoin``. ``df`` is read once: every row passes
+    the Python node, but the rows resolved natively hand it two NULLs.
     """
     is_native, value = _native_sql(f"`{base}`", f"`{href}`")
-    flagged = df.withColumn("_native", F.expr(f"coalesce({is_native}, false)"))
-    native = flagged.filter("_native").withColumn(out, F.expr(value))
-    other = flagged.filter(~F.col("_native")).withColumn(out, _urljoin(F.col(base), F.col(href)))
-    return native.unionByName(other).drop("_native")
+    native = df.withColumn("_resolved", F.expr(f"CASE WHEN coalesce({is_native}, false) THEN {value} END"))
+    rare = [F.when(F.col("_resolved").isNull(), F.col(f"`{c}`")) for c in (base, href)]
+    return native.withColumn(out, F.coalesce("_resolved", _urljoin(*rare))).drop("_resolved")
 
 
 def archive_links(pages: DataFrame, extension: str = ".zip", html: str = "html",
@@ -172,10 +166,10 @@ def archive_links(pages: DataFrame, extension: str = ".zip", html: str = "html",
 
 
 def pick_link(links: Column, keywords: Iterable[str], mode: str = "all",
-              fallback: str | None = None) -> Column:
+              fallback: str | None = None, suffix: str | None = None) -> Column:
     """First content link containing all (or any) keywords, case-insensitive (S3).
 
-    Works on the page's link array, so the pick is a per-row expression;
+    With ``suffix`` the link must end with it too, in either case. Works on the page's link array, so the pick is a per-row expression;
     ``fallback`` is used when nothing matches.
     """
     kws = [k.lower() for k in keywords]
@@ -187,6 +181,8 @@ def pick_link(links: Column, keywords: Iterable[str], mode: str = "all",
         out = conds[0]
         for c in conds[1:]:
             out = (out & c) if mode == "all" else (out | c)
+        if suffix is not None:
+            out = out & F.lower(h).endswith(suffix.lower())
         return is_content_link(h) & out
 
     first = F.try_element_at(F.filter(links, match), F.lit(1))
@@ -195,10 +191,10 @@ def pick_link(links: Column, keywords: Iterable[str], mode: str = "all",
 
 def with_period(df: DataFrame, year_text: str, quarter_text: str | None = None) -> DataFrame:
     """Year and quarter read from link text (S4, C12); links without both are dropped."""
-    qt = F.col(quarter_text or year_text)
-    out = df.withColumns({"ano": year_from_text(F.col(year_text)), "trimestre": quarter_from_text(qt)})
-    # keep_rows: a plain filter would re-run both regexes inside the filter
-    return keep_rows(out, lambda r: r["ano"].isNotNull() & r["trimestre"].isNotNull())
+    yt, qt = F.col(year_text), F.col(quarter_text or year_text)
+    # the texts are tested, not the extracted numbers, so unused columns are still pruned
+    both = df.filter(yt.rlike(YEAR_PATTERN) & qt.rlike(QUARTER_PATTERN))
+    return both.withColumns({"ano": year_from_text(yt), "trimestre": quarter_from_text(qt)})
 
 
 def latest_periods(periods: DataFrame, n: int = 3) -> DataFrame:

@@ -6,10 +6,21 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tally.functions import (clean_key, cnpj_check_digits_py, cnpj_is_valid, comma_decimal,
-                             digits_key, normalise_header, normalise_header_col, null_tokens,
+from tally.functions import (clean_key, cnpj_is_valid, comma_decimal, digits_key,
+                             normalise_header, normalise_header_col, null_tokens,
                              parse_number, quarter_from_text, quarter_start, state_code,
                              year_from_text)
+from tally.functions.taxid import WEIGHTS_1, WEIGHTS_2
+
+
+def cnpj_check_digits_py(base12):
+    """The two check digits, restated in plain Python."""
+    def one(ds, weights):
+        r = 11 - sum(int(c) * w for c, w in zip(ds, weights)) % 11
+        return 0 if r >= 10 else r
+
+    d1 = one(base12, WEIGHTS_1)
+    return f"{d1}{one(base12 + str(d1), WEIGHTS_2)}"
 
 
 def col_values(spark, values, expr, dtype="string"):

@@ -47,7 +47,12 @@ def star(spark):
 def test_first_last_matches_window_form(star):
     _, fact = star
     a = windows.first_last(fact, "registro_ans", "data_referencia", "valor_despesa")
-    b = windows.first_last_window(fact, "registro_ans", "data_referencia", "valor_despesa")
+    v = F.col("valor_despesa")
+    by = Window.partitionBy("registro_ans")
+    b = fact.select(
+        "registro_ans",
+        F.first_value(v).over(by.orderBy("data_referencia", v)).alias("valor_inicial"),
+        F.first_value(v).over(by.orderBy(F.desc("data_referencia"), v)).alias("valor_final")).distinct()
     assert sorted(a.collect()) == sorted(b.collect())
     got = {r[0]: (r[1], r[2]) for r in a.collect()}
     assert got[1] == (D("100.00"), D("150.00"))   # smallest value on the tied first date

@@ -59,6 +59,37 @@ def test_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<l_suppkey:bigint,l_extendedprice:double>" in p
 
 
+def scans_of(df, column):
+    """Scans of the final plan that read ``column``; a reused exchange shows none."""
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and column in line for line in final.splitlines())
+
+
+def test_one_scan_where_one_is_enough(spark):
+    import __spark_entry__ as E
+
+    queries = E.queries()
+    assert scans_of(queries["s02_resolve"](spark, SF), "html") == 1
+    assert scans_of(queries["r04_statistics"](spark, SF), "l_suppkey") == 1
+    # the keys for the counts, and the rows
+    assert scans_of(queries["v04_quarantine"](spark, SF), "o_custkey") <= 2
+
+
+def test_unused_columns_are_pruned_below_the_period(spark):
+    import __spark_entry__ as E
+
+    plan = plan_of(E.queries()["s05_latest_periods"](spark, SF))
+    assert "ReadSchema: struct<l_returnflag:string,l_shipdate" in plan and "l_orderkey" not in plan
+
+
+def test_written_quarters_are_pruned(spark):
+    import __spark_entry__ as E
+
+    plan = plan_of(E.queries()["k04_period_folders"](spark, SF))
+    assert "(ano#" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
 def test_tax_id_check_stays_in_jvm(spark):
     import __spark_entry__ as E
 

@@ -63,6 +63,23 @@ def test_hot_key_above_mean(spark):
     assert got == want
 
 
+def test_hot_key_enrichment_does_not_shuffle_the_ledger(spark, workdir):
+    from tally.plans.mart import enriched_ledger
+
+    rows = [("0" if i % 3 == 0 else str(i % 50), 2023, 1, Decimal(i % 997) / 100) for i in range(3000)]
+    ledger = spark.createDataFrame(rows, "RegistroANS string, Ano int, Trimestre int, ValorDespesas decimal(15,2)")
+    registry = spark.createDataFrame(
+        [(str(k), "x", f"op {k}", "M", "SP") for k in range(40)],
+        "RegistroANS string, CNPJ string, RazaoSocial string, Modalidade string, UF string")
+    out = enriched_ledger(ledger, registry, f"{workdir}/registry")
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r[0]: r[1] for r in out.groupBy("RazaoSocial").count().collect()}
+    want = defaultdict(int)
+    for k, *_ in rows:
+        want[f"op {k}" if int(k) < 40 else f"Operadora {k} Desconhecida"] += 1
+    assert got == want
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     fact = spark.createDataFrame(make_rows(), SCHEMA)
     plan = windows.first_last(fact, "registro_ans", "data_referencia", "valor_despesa")

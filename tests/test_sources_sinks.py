@@ -198,6 +198,8 @@ def test_links(spark):
     pick = pages.select(links.pick_link(arr, ["demonstracoes", "contabeis"], "all").alias("p"),
                         links.pick_link(arr, ["nothing"], "any", "fallback").alias("f")).first()
     assert pick["p"] == "/Demonstracoes_Contabeis/" and pick["f"] == "fallback"
+    files = spark.createDataFrame([(["ativa/", "relatorio.pdf", "x.csv", "Relatorio_Cadop.CSV"],)], "a array<string>")
+    assert files.select(links.pick_link(F.col("a"), ["relatorio", "cadop"], "any", suffix=".csv")).first()[0] == "Relatorio_Cadop.CSV"
 
 
 def test_archive_links(spark):
