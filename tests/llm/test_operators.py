@@ -246,6 +246,155 @@ def test_secrets(docs, empty):
     assert [k for k, _, _ in linked] == ["ident", "key", "endpoint"]
 
 
+def brute_quality(rows):
+    """Ids kept, and ids whose distance lies so near a threshold that the order of tied words decides."""
+    q = quality_divergence
+    signs = set(".,;:!?'\"()-")
+
+    def classes(t):
+        n = collections.Counter(
+            0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 if c in " \t\n\x0b\f\r"
+            else 4 if c in signs else 5 if ord(c) < 128 else 6 for c in t)
+        return np.array([n[k] for k in range(7)], dtype=float)
+
+    def distance(a, b):
+        a, b = a / a.sum(), b / b.sum()
+        m = (a + b) / 2
+        half = lambda x: sum(v * np.log2(v / w) for v, w in zip(x, m, strict=True) if v > 0)
+        return max(0.0, (half(a) + half(b)) / 2) ** 0.5
+
+    words, chars = collections.defaultdict(collections.Counter), collections.defaultdict(lambda: np.zeros(7))
+    for _, t, lang in rows:
+        words[lang].update(WORDS.findall(t or ""))
+        chars[lang] += classes(t or "")
+    best = lambda n: sorted(n.items(), key=lambda x: (-x[1], x[0]))[: q.COMMON_WORDS]
+    top = {lang: dict(best(n)) for lang, n in words.items()}
+    total = {lang: sum(n.values()) for lang, n in words.items()}
+    every = collections.Counter()
+    for n in top.values():
+        every.update(n)
+    top[q.OVERALL], total[q.OVERALL], chars[q.OVERALL] = dict(best(every)), sum(total.values()), sum(chars.values())
+    kept, narrow = set(), set()
+    for i, t, lang in rows:
+        t, w = t or "", WORDS.findall(t or "")
+        n = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        cover = {j for k in range(len(w) - 4) if n[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+        if len(w) < 10 or 100 * len(cover) > 20 * len(w):
+            continue
+        ref = lang if total[lang] >= q.MIN_REFERENCE else q.OVERALL
+        mine, common = collections.Counter(w), list(top[ref])
+        hist = np.array([mine[c] for c in common] + [len(w) - sum(mine[c] for c in common)], dtype=float)
+        share = np.array([top[ref][c] for c in common] + [total[ref] - sum(top[ref].values())], dtype=float)
+        far = []
+        if len(t) >= q.MIN_CHARS:
+            far.append(distance(classes(t), chars[ref]) - q.MAX_CLASS_DISTANCE)
+        if len(w) >= q.MIN_WORDS:
+            far.append(distance(hist, share) - q.MAX_WORD_DISTANCE)
+        if any(abs(x) < 0.02 for x in far):
+            narrow.add(i)
+        if all(x <= 0 for x in far):
+            kept.add(i)
+    return kept, narrow
+
+
+def brute_lines(texts):
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    key = lambda x: x.strip(" \t\n\x0b\f\r").translate(table)
+    first = {}
+    for i in sorted(texts):
+        for x in texts[i].split("\n"):
+            first.setdefault(key(x), i)
+    return {i: "\n".join(x for x in t.split("\n") if len(key(x)) < 10 or first[key(x)] == i) for i, t in texts.items()}
+
+
+def brute_near(texts):
+    """Texts without those near a text of a smaller id, through any chain."""
+    bags = {i: bag(t) for i, t in texts.items()}
+    size = {i: sum(b.values()) for i, b in bags.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in texts:
+        for j in texts:
+            if i < j and min(size[i], size[j]) >= 0.8 * max(size[i], size[j]):
+                both = sum((bags[i] & bags[j]).values())
+                if both >= 0.8 * (size[i] + size[j] - both):
+                    a, b = find(i), find(j)
+                    root[max(a, b)] = min(a, b)
+    return {i: t for i, t in texts.items() if root[i] == i}
+
+
+def brute_leaks(texts, items):
+    import regex
+
+    def kinds(text):
+        w = WORDS.findall(text)
+        out = []
+        for i, x in enumerate(w):
+            unit = i and re.search("[0-9]", w[i - 1]) and re.sub(r"[.,;:!?)]*$", "", x).lower() in decontaminate.UNITS
+            out.append("\1" if re.search("[0-9]", x) else "\2" if unit else "\3" if regex.match(r"\p{P}*\p{Lu}", x) else x.lower())
+        return out, [regex.sub(r"^\p{P}+|\p{P}+$", "", x.lower()) for x in w]
+
+    known = []
+    for t in items:
+        k, v = kinds(t)
+        win = {i: tuple(k[i : i + 5]) for i in range(len(k) - 4) if sum(x not in "\1\2\3" for x in k[i : i + 5]) >= 2}
+        if win:
+            known.append((k, v, win))
+    kept = {}
+    for i, t in texts.items():
+        k, v = kinds(t)
+        at = collections.defaultdict(list)
+        for p in range(len(k) - 4):
+            at[tuple(k[p : p + 5])].append(p)
+        leak = False
+        for ik, iv, win in known:
+            hits = [(p, ip) for ip, x in win.items() for p in at.get(x, ())]
+            if len({ip for _, ip in hits}) < 0.8 * len(win):
+                continue
+            good = set()
+            for shift in {p - ip for p, ip in hits}:
+                here = [ip for p, ip in hits if p - ip == shift]
+                slot = {a for ip in here for a in range(ip, ip + 5) if ik[a] in "\1\2\3" and k[a + shift] in "\1\2\3"}
+                if len({(ik[a], iv[a]) for a in slot}) == len({(ik[a], iv[a], v[a + shift]) for a in slot}):
+                    good.update(here)
+            leak = leak or len(good) >= 0.8 * len(win)
+        if not leak:
+            kept[i] = t
+    return kept
+
+
+def test_pipeline_equals_brute_force(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    source = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    pieces = corpus_pipeline.run(spark, sf).collect()
+
+    kept, narrow = brute_quality(source)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, sf).collect()}
+    assert not (got ^ kept) - narrow and len(narrow) < 10
+    texts = brute_leaks(brute_near(brute_lines({i: t for i, t, _ in source if i in got})), items)
+    assert {r.doc_id for r in pieces} == set(texts)
+    assert len(got) > len(texts) > len(got) // 3
+    t = Tokenizer.from_file(lexical_packing.tokenizer_files()[0])
+    ids = {i: t.encode(x, add_special_tokens=False).ids + [1] for i, x in texts.items()}
+    held = collections.Counter()
+    for r in pieces:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.doc_tokens == len(ids[r.doc_id]) and len(part) == r.length
+        assert r.ids_crc32 == zlib.crc32(np.array(part, dtype="<u4").tobytes())
+        held[r.doc_id] += r.length
+    assert all(held[i] == len(x) for i, x in ids.items())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
