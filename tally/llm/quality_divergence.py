@@ -3,10 +3,17 @@
 Two histograms describe a text: its characters by class (small and capital
 letters, digits, white space, sentence punctuation, other ASCII signs, other
 code points) and its words by the common words of its language (everything
-else is one bin). Each is compared with the language's histogram by the
-Jensen-Shannon distance (base 2, so 0 to 1). A text is rejected when a
-distance is over its threshold and the text is long enough for that
-histogram to mean anything.
+else is one bin), in small letters and without punctuation at their edges.
+Each is compared with the language's histogram by the Jensen-Shannon distance
+(base 2, so 0 to 1). A text is rejected when a distance is over its threshold
+and the text is long enough for that histogram to mean anything.
+
+A text without any common word has a distance of its own to each reference,
+and a good text lies the nearer to it the longer it is. So the threshold of
+the words follows reference and length: from the distance that ``OWN_SHARE``
+of texts drawn from the reference stay under, it goes by ``MARGIN`` of the way
+to the distance of no common word, and it is never over ``max_word``. The reference of all languages
+says nothing on the spread of one, there ``max_word`` holds alone.
 
 The references are counted over all documents: one pass adds up classes and
 words per task, the counts are summed per language and word hash after a
@@ -30,10 +37,11 @@ through ``quality_filter`` and are dropped by ``quality_scores``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +54,9 @@ MIN_CHARS = 200
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.48
+OWN_SHARE = 0.995
+MARGIN = 0.2
+DRAWS = 2000
 MIN_BASE_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SLICE_BYTES = 1 << 20
@@ -63,15 +74,25 @@ CLASS[0xC0:] = 6
 CLASS[0x80:0xC0] = 7
 SYMBOL = np.zeros(256, dtype=np.int64)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
+# Punctuation: ASCII, and by its first bytes that of Latin-1 and U+2000 to U+206F.
+EDGE = np.zeros(256, dtype=bool)
+EDGE[[ord(c) for c in "!\"#%&'()*,-./:;?@[\\]_{}"]] = True
+EDGE_C2 = np.zeros(256, dtype=bool)
+EDGE_C2[[0xA1, 0xA7, 0xAB, 0xB6, 0xB7, 0xBB, 0xBF]] = True
+LENGTHS = np.array([10, 20, 35, 50, 70, 100, 150, 200, 300, 500, 1000, 2000, 5000, 20000])
 
 
 @dataclass(frozen=True)
 class Reference:
-    """Histograms by language; ``words`` are hashes, ``shares`` end with the bin of all other words."""
+    """Histograms by language; ``words`` are hashes, ``shares`` end with the bin of all other words.
+
+    ``cuts`` has the largest word distance of a good text for each of ``LENGTHS``.
+    """
 
     classes: dict[str, np.ndarray]
     words: dict[str, np.ndarray]
     shares: dict[str, np.ndarray]
+    cuts: dict[str, np.ndarray] = field(default_factory=dict)
 
     def of(self, lang: str | None) -> str:
         return lang if lang in self.classes else OVERALL
@@ -92,6 +113,35 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, out, 0.0)
 
 
+def word_cuts(share: np.ndarray) -> np.ndarray:
+    """For each of ``LENGTHS``, between own texts and a text without a common word."""
+    none = js_distance(np.eye(len(share))[-1:], share)[0]
+    draw = np.random.default_rng(0)
+    own = [np.quantile(js_distance(draw.multinomial(n, share, DRAWS).astype(float), share), OWN_SHARE) for n in LENGTHS]
+    own = np.minimum(own, none)
+    return own + MARGIN * (none - own)
+
+
+def plain_words(texts: pa.Array) -> Words:
+    """The words in small letters, hashed without punctuation at their edges; one of nothing else stays as it is."""
+    buf, offsets = text_bytes(pc.utf8_lower(texts))
+    spans = Spans(buf)
+    words = Words(buf, offsets, spans)
+    after = np.append(buf, np.zeros(2, np.uint8))
+    edge = EDGE[buf]
+    two = np.flatnonzero((buf == 0xC2) & EDGE_C2[after[1:-1]])
+    three = np.flatnonzero((buf == 0xE2) & ((after[1:-1] == 0x80) | ((after[1:-1] == 0x81) & (after[2:] < 0xB0))))
+    for at in (two, two + 1, three, three + 1, three + 2):
+        edge[at] = True
+    core = np.flatnonzero(~edge)
+    a, b = np.searchsorted(core, words.start), np.searchsorted(core, words.end)
+    has = b > a
+    start, end = words.start.copy(), words.end.copy()
+    start[has], end[has] = core[a[has]], core[b[has] - 1] + 1
+    words.hash = spans.hash(start, end)
+    return words
+
+
 def _class_counts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     row = np.repeat(np.arange(n, dtype=np.int64) * N_CLASSES, np.diff(offsets))
@@ -122,7 +172,7 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column(1).to_pylist()
         for i, j, buf, offsets in _slices(batch, 0):
-            words = Words(buf, offsets)
+            words = plain_words(batch.column(0).slice(i, j - i))
             classes = _class_counts(buf, offsets)
             by: dict[str | None, list[int]] = {}
             for r in range(i, j):
@@ -185,6 +235,8 @@ def learn_reference(docs: DataFrame, common_words: int = COMMON_WORDS, text_col:
         order = np.argsort(keys)
         out.words[lang] = keys[order]
         out.shares[lang] = np.append(out.shares[lang][:-1][order], out.shares[lang][-1])
+        if lang != OVERALL:
+            out.cuts[lang] = word_cuts(out.shares[lang])
     return out
 
 
@@ -258,6 +310,16 @@ def distances(
     return chars, by_class, by_word
 
 
+def word_limits(counts: np.ndarray, langs: list[str | None], ref: Reference, most: float) -> np.ndarray:
+    """Per text: the largest word distance that a text of so many words may have."""
+    out = np.full(len(langs), most)
+    names = [ref.of(x) for x in langs]
+    for lang in set(names) & set(ref.cuts):
+        rows = np.array([i for i, x in enumerate(names) if x == lang])
+        out[rows] = np.minimum(most, np.interp(np.log(np.maximum(counts[rows], 1)), np.log(LENGTHS), ref.cuts[lang]))
+    return out
+
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -275,9 +337,11 @@ def quality_scores(
                 spans = Spans(buf)
                 words = Words(buf, offsets, spans)
                 base = base_counts(buf, offsets, spans, words)
-                chars, by_class, by_word = distances(buf, offsets, words, langs[i:j], ref)
+                plain = plain_words(batch.column(1).slice(i, j - i))
+                chars, by_class, by_word = distances(buf, offsets, plain, langs[i:j], ref)
+                limit = word_limits(plain.count, langs[i:j], ref, max_word)
                 failed = (base["n_words"] < MIN_BASE_WORDS) | (100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"])
-                far = ((chars >= min_chars) & (by_class > max_class)) | ((base["n_words"] >= min_words) & (by_word > max_word))
+                far = ((chars >= min_chars) & (by_class > max_class)) | ((base["n_words"] >= min_words) & (by_word > limit))
                 yield pa.record_batch(
                     [batch.column(0).slice(i, j - i), *(pa.array(base[c]) for c in COUNTS), pa.array(failed),
                      pa.array(by_class), pa.array(by_word), pa.array(~failed & ~far)],

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,28 @@ def test_quality(docs, empty):
     assert quality_divergence.quality_scores(empty, quality_divergence.learn_reference(empty)).count() == 0
 
 
+def test_quality_rejects_wrong_language_and_gibberish(spark):
+    q = quality_divergence
+    rng = np.random.default_rng(5)
+
+    def rare(n):
+        return ["".join(rng.choice(list("bcdfgmpstv"), 7)) for _ in range(n)]
+
+    def prose(lang, n=300):
+        rank = 1 / np.arange(1, 51)
+        common = rng.choice([f"{lang}{chr(97 + i // 10)}{chr(97 + i % 10)}" for i in range(50)], n, p=rank / rank.sum())
+        return " ".join(np.where(rng.random(n) < 0.36, common, rare(n)))
+
+    rows = [(i, prose("xy"[i % 2]), "xy"[i % 2]) for i in range(400)]
+    edged = " ".join(f"\u201c{w.capitalize()}\u201d," for w in prose("x").split())
+    more = [(1000, prose("x"), "y"), (1001, prose("y"), "x"), (1002, " ".join(rare(300)), "x"), (1003, " ".join(rare(60)), "y"), (1004, edged, "x"),
+            (1005, prose("y", 60), "x"), (1006, prose("x", 60), "x")]
+    table = spark.createDataFrame(rows + more, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in q.quality_scores(table, q.learn_reference(table), min_chars=1 << 40).filter("kept").collect()}
+    assert kept & set(range(1000, 1010)) == {1004, 1006}
+    assert len(kept & set(range(400))) >= 396
+
+
 def test_packing(docs, empty):
     files = lexical_packing.tokenizer_files()
     from tokenizers import Tokenizer
