@@ -17,8 +17,8 @@ says nothing on the spread of one, there ``max_word`` holds alone.
 
 The references are counted over all documents: one pass adds up classes and
 words per task, the counts are summed per language and word hash after a
-partial aggregation, and the most frequent words per language are ranked with
-a limit per task. Only the references (``common_words + 9`` numbers per
+partial aggregation, and the most frequent words per language, and of all
+languages together, are ranked with a limit per task. Only the references (``common_words + 9`` numbers per
 language) pass the driver. The second pass judges text by text; there is no
 other shuffle. A language with fewer than ``MIN_REFERENCE`` words uses the
 reference of all languages together.
@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._bytes import Spans, U, Words, mix, row_slices, text_bytes
-from ._common import text_or_empty
+from ._common import staged, text_or_empty
 
 COMMON_WORDS = 50
 MIN_REFERENCE = 2000
@@ -205,6 +205,7 @@ def learn_reference(docs: DataFrame, common_words: int = COMMON_WORDS, text_col:
     """Histograms of every language, counted over all documents."""
     rows = docs.select(text_or_empty(text_col).alias("t"), F.col(lang_col).alias("lang"))
     counts = rows.mapInArrow(_totals, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    counts = staged(counts, "quality-counts")
     rank = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "key")
     top = counts.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max(common_words, N_CLASSES)).collect()
     classes: dict[str | None, np.ndarray] = {}
@@ -214,11 +215,8 @@ def learn_reference(docs: DataFrame, common_words: int = COMMON_WORDS, text_col:
             classes.setdefault(r["lang"], np.zeros(N_CLASSES))[r["key"]] = r["n"]
         elif r["rank"] <= common_words:
             words.setdefault(r["lang"], []).append((r["key"], r["n"]))
-    everything: dict[int, int] = {}
-    for pairs in words.values():
-        for key, n in pairs:
-            everything[key] = everything.get(key, 0) + n
-    words[OVERALL] = sorted(everything.items(), key=lambda x: (-x[1], x[0]))[:common_words]
+    everything = counts.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "key").limit(common_words)
+    words[OVERALL] = [(r["key"], r["n"]) for r in everything.collect()]
     classes[OVERALL] = sum(classes.values(), np.zeros(N_CLASSES))
     out = Reference({}, {}, {})
     for lang, c in classes.items():

@@ -178,6 +178,14 @@ def test_quality_rejects_wrong_language_and_gibberish(spark):
     assert len(kept & set(range(400))) >= 396
 
 
+def test_quality_overall_reference_counts_every_word(spark):
+    q = quality_divergence
+    rows = [(k, " ".join([f"{lang}{i}x" for i in range(q.COMMON_WORDS)] * 6 + ["shared"] * 5), lang) for k, lang in enumerate("abcd")]
+    ref = q.learn_reference(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    at = np.flatnonzero(ref.words[q.OVERALL] == q.plain_words(pa.array(["shared"])).hash[0])
+    assert ref.shares[q.OVERALL][at].tolist() == [20 / (4 * (6 * q.COMMON_WORDS + 5))]
+
+
 def test_packing(docs, empty):
     files = lexical_packing.tokenizer_files()
     from tokenizers import Tokenizer
