@@ -1,27 +1,30 @@
-"""Benchmark decontamination by template canonicalisation.
+"""Benchmark decontamination by template canonicalisation and plain words.
 
 Words with a digit become a number placeholder, unit words right after one a
 unit placeholder, words that begin with a capital a name placeholder; other
 words are lower-cased. Benchmark items and documents are cut into windows of
-five such words, hashed, and joined. A document that holds at least
+five such words, hashed, and joined; so are, beside them, the windows of the
+plain words: small letters, no punctuation at the edges, no placeholder. A
+window of an item is matched if either form is. A document that holds at least
 ``threshold`` of an item's windows is a candidate. Then the slots are
 compared: along one alignment (document position minus item position) each
-value of the item must stand for one value of the document, else that
-alignment does not count. So an item is found as it is, and also with other
-numbers, names and units, but not where the placeholders merely happen to
-line up.
+value of the item must stand for one value of the document. An
+alignment with a value that does not counts only where it matches in the plain form. So an
+item is found as it is, in any case, and also with other numbers, names and
+units, but not where the placeholders merely happen to line up.
 
 Plan: native functions only. The item windows are staged, so the planner
 broadcasts them if they are measured small, and otherwise sorts both sides,
 where adaptive execution splits a hot window. The document side carries three
-longs a window and no text; only windows that match go on. Slot values are
-read from candidate documents alone.
-
-Defined results: a null or empty text, or one under five words, has no
-window; item windows with under ``MIN_LITERALS`` literal words say too little
-and do not count, and an item without any other cannot be found; repeated
-rows of an item are one item (the smallest text counts); rows with a null
-item id are ignored; repeated rows of a document are judged as one, and a
+longs a window and form, and no text; only windows that match go on. Slot
+values are read from candidate documents alone.
+
+Defined results: item windows with under ``MIN_LITERALS`` literal words say
+too little and do not count, unless the item has no other: then all its windows
+count, in the plain form. An item under five words is one window of all its
+words, plain. A null or empty text has no window; repeated rows of
+an item are one item (the smallest text that is not empty counts); ``n_matched`` has the template
+windows where these alone reach the threshold; rows with a null item id are ignored; repeated rows of a document are judged as one, and a
 null ``doc_id`` is an id of its own; an empty table gives an empty result;
 other columns pass through ``decontaminate`` and are dropped by ``leaks``.
 """
@@ -51,6 +54,7 @@ _NUMBER = r"(?<!\S)\S*?[0-9]\S*"
 _UNIT = r"(?i)(?<=\x01\s{1,8})(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")[.,;:!?)]*(?!\S)"
 _NAME = r"(?<!\S)\p{P}*\p{Lu}\S*"
 _PUNCTUATION = r"^\p{P}+|\p{P}+$"
+_EDGES = r"(?<!\S)\p{P}+(?=[^\s\p{P}])|(?<=[^\s\p{P}])\p{P}+(?!\S)"
 
 
 def template(text: Column) -> Column:
@@ -64,24 +68,52 @@ def words_of(text: Column) -> Column:
     return F.split(text, r"\s+")
 
 
+def plain(text: Column) -> Column:
+    """The text in small letters without punctuation at word edges; words of nothing else stay, so positions do too."""
+    return F.regexp_replace(F.lower(text), _EDGES, "")
+
+
+def _hashes(words: Column, size: int, *more: Column) -> Column:
+    def of(w: Column) -> Column:
+        at = F.when(F.size(w) >= size, F.sequence(F.lit(1), F.size(w) - (size - 1)))
+        return F.transform(at, lambda i: F.xxhash64(F.slice(w, i, size), *more))
+
+    return F.transform(F.array(words), of)[0]
+
+
 def window_hashes(text: Column, size: int = WINDOW) -> Column:
     """One hash for each window of template words, by position; the words are bound once."""
+    return _hashes(words_of(template(text)), size)
+
 
-    def hashes(words: Column) -> Column:
-        at = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - (size - 1)))
-        return F.transform(at, lambda i: F.xxhash64(F.slice(words, i, size)))
+def plain_hashes(text: Column, size: int = WINDOW) -> Column:
+    """One hash for each window of plain words, by position; never that of a template window."""
+    return _hashes(words_of(plain(text)), size, F.lit(size))
 
-    return F.transform(F.array(words_of(template(text))), hashes)[0]
 
+def item_texts(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(item_id, v, x, m)``: the distinct texts of every item, numbered by hash, and their words."""
+    x = F.trim(text_or_empty(text_col))
+    rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), F.xxhash64(x).alias("v"), x.alias("x"))
+    return rows.filter("x != ''").groupBy("item_id").agg(F.min(F.struct("x", "v")).alias("b")).select("item_id", "b.v", "b.x").withColumn("m", F.size(words_of(F.col("x"))))
 
-def item_windows(items: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """``(item_id, ipos, h, n)``: the windows of every item that say enough, and how many it has."""
-    rows = items.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("item_id")).agg(F.min(text_or_empty(text_col)).alias("t"))
-    words = words_of(template(F.trim("t")))
-    w = rows.select("item_id", words.alias("w"), F.posexplode(window_hashes(F.trim("t"), size)).alias("ipos", "h"))
+
+def item_windows(texts: DataFrame, size: int) -> DataFrame:
+    """``(item_id, v, ipos, h, plain, n)``: the windows of every text that count, in both forms, and how many count.
+
+    The windows that say enough count; in a text without any, all do, in the plain form alone.
+    """
+    words = words_of(template(F.col("x")))
+    w = texts.select("item_id", "v", words.alias("w"), F.posexplode(window_hashes(F.col("x"), size)).alias("ipos", "h"))
     literal = F.size(F.filter(F.slice("w", F.col("ipos") + 1, size), lambda x: ~x.isin(NUMBER, UNIT, NAME)))
-    w = staged(w.filter(literal >= MIN_LITERALS).select("item_id", "ipos", "h"), "item-windows")
-    return w.join(w.groupBy("item_id").agg(F.count("*").alias("n")), "item_id")
+    w = staged(w.filter(literal >= MIN_LITERALS).select("item_id", "v", "ipos", "h"), "item-windows")
+    whole = F.when(F.col("m") < size, F.array(*[F.coalesce(plain_hashes(F.col("x"), k)[0], F.lit(0)) for k in range(1, size)])[F.col("m") - 1])
+    h = F.when(F.col("m") < size, F.array(whole)).otherwise(plain_hashes(F.col("x"), size))
+    p = texts.select("item_id", "v", F.posexplode(h).alias("ipos", "h"))
+    key = ["item_id", "v"]
+    p = p.join(w.select(*key, "ipos"), [*key, "ipos"], "left_semi").unionByName(p.join(w.select(*key), key, "left_anti"))
+    n = p.groupBy(*key).agg(F.count("*").alias("n"))
+    return w.withColumn("plain", F.lit(False)).unionByName(p.withColumn("plain", F.lit(True))).join(n, key)
 
 
 def slots(rows: DataFrame, text: Column, *keys: str) -> DataFrame:
@@ -103,37 +135,45 @@ def leaks(
     ``d`` and ``t`` are the document's key: its id (null: the largest long)
     and the hash of its text.
     """
-    windows = staged(item_windows(items, size, item_col, item_text), "benchmark-windows")
+    texts = staged(item_texts(items, item_col, item_text), "benchmark-texts")
+    windows = staged(item_windows(texts, size), "benchmark-windows")
+    short = sorted(r[0] for r in texts.filter(F.col("m") < size).select("m").distinct().collect())
     trimmed = F.trim(text_or_empty(text_col))
     keyed = docs.select(order_id(id_col).alias("d"), F.xxhash64(text_or_empty(text_col)).alias("t"), trimmed.alias("x"))
-    found = keyed.select("d", "t", F.posexplode(window_hashes(F.col("x"), size)).alias("pos", "h")).join(windows, "h")
-    found = staged(found.select("d", "t", "item_id", "pos", "ipos", "n").distinct(), "matched-windows")
-    pair = ["d", "t", "item_id"]
+    forms = [window_hashes(F.col("x"), size), *[plain_hashes(F.col("x"), k) for k in [*short, size]]]
+    forms = F.filter(F.array(*forms), lambda x: x.isNotNull())
+    found = keyed.select("d", "t", F.explode(forms).alias("f")).select("d", "t", F.posexplode("f").alias("pos", "h")).join(windows, "h")
+    pair = ["d", "t", "item_id", "v"]
+    found = found.groupBy(*pair, "n", "pos", "ipos").agg(F.bool_or("plain").alias("plain"), F.bool_or(~F.col("plain")).alias("typed"))
+    found = staged(found, "matched-windows")
     enough = F.col("hits") >= F.col("n") * threshold - 1e-9
     likely = found.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits")).filter(enough).select(*pair)
     found = staged(found.join(likely, pair, "left_semi").withColumn("shift", F.col("pos") - F.col("ipos")), "candidate-windows")
 
-    # one plan at every size: the texts are sorted to the candidates
-    in_doc = keyed.hint("merge").join(found.select("d", "t").distinct(), ["d", "t"], "left_semi").dropDuplicates(["d", "t"])
-    in_doc = slots(in_doc, F.col("x"), "d", "t")
-    rows = items.filter(F.col(item_col).isNotNull()).groupBy(F.col(item_col).alias("item_id")).agg(F.min(text_or_empty(item_text)).alias("x"))
-    in_item = slots(rows.select("item_id", F.trim("x").alias("x")), F.col("x"), "item_id").select(
-        "item_id", F.col("at").alias("iat"), F.col("kind").alias("ikind"), F.col("value").alias("ivalue")
+    # one plan at every size: the texts are sorted to the candidates; plain windows have the item's values
+    in_doc = keyed.hint("merge").join(found.filter("not plain").select("d", "t").distinct(), ["d", "t"], "left_semi").dropDuplicates(["d", "t"])
+    in_doc = slots(in_doc, F.col("x"), "d", "t").select("d", "t", "at", "value")
+    in_item = slots(texts, F.col("x"), "item_id", "v").select(
+        "item_id", "v", F.col("at").alias("iat"), F.col("kind").alias("ikind"), F.col("value").alias("ivalue")
     )
     line = [*pair, "shift"]
-    covered = found.select(*line, F.explode(F.sequence("ipos", F.col("ipos") + (size - 1))).alias("iat")).distinct()
-    aligned = covered.join(in_item, ["item_id", "iat"]).withColumn("at", F.col("iat") + F.col("shift")).join(in_doc, ["d", "t", "at"])
-    checked = aligned.groupBy(*line).agg(
-        F.count_distinct("ikind", "ivalue").alias("values"),
-        F.count_distinct("ikind", "ivalue", "value").alias("pairs"),
-        F.bool_and(F.col("ivalue") == F.col("value")).alias("same"),
-    )
-    whole = found.join(checked, line, "left").filter(F.coalesce(F.col("values") == F.col("pairs"), F.lit(True)))
-    return (
-        whole.groupBy(*pair, "n")
-        .agg(F.count_distinct("ipos").alias("hits"), F.bool_and(F.coalesce("same", F.lit(True))).alias("same_slots"))
-        .filter(enough)
-        .select(*pair, F.col("hits").alias("n_matched"), F.col("n").alias("n_windows"), "same_slots")
+    covered = found.select(*line, "plain", F.explode(F.sequence("ipos", F.col("ipos") + (size - 1))).alias("iat"))
+    covered = covered.groupBy(*line, "iat").agg(F.bool_or("plain").alias("plain"))
+    aligned = covered.join(in_item, ["item_id", "v", "iat"]).withColumn("at", F.col("iat") + F.col("shift"))
+    values = aligned.filter("not plain").join(in_doc, ["d", "t", "at"]).select(*line, "iat", "ikind", "ivalue", "value")
+    values = staged(values.unionByName(aligned.filter("plain").select(*line, "iat", "ikind", "ivalue", F.col("ivalue").alias("value"))), "slot-values")
+    torn = values.groupBy(*line, "ikind", "ivalue").agg(F.min("value").alias("a"), F.max("value").alias("b")).filter("a != b")
+    torn = values.join(torn, [*line, "ikind", "ivalue"], "left_semi")
+    torn = torn.select(*line, F.lit(True).alias("torn")).distinct()
+    whole = found.join(torn, line, "left").filter("plain or torn is null")
+    typed = F.count_distinct(F.when(F.col("typed"), F.col("ipos")))
+    rows = whole.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits"), typed.alias("typed"), F.bool_and("plain").alias("same_slots")).filter(enough)
+    # where the template windows alone are enough, they are the ones reported
+    rows = rows.withColumn("hits", F.when(F.col("typed") >= F.col("n") * threshold - 1e-9, F.col("typed")).otherwise(F.col("hits")))
+    # of several texts of an item, the one most of which is found
+    best = F.struct(F.col("hits") / F.col("n"), "hits", "v", "n", "same_slots")
+    return rows.groupBy("d", "t", "item_id").agg(F.max(best).alias("b")).select(
+        "d", "t", "item_id", F.col("b.hits").alias("n_matched"), F.col("b.n").alias("n_windows"), F.col("b.same_slots").alias("same_slots")
     )
 
 

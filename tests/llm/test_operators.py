@@ -262,6 +262,20 @@ def test_decontaminate(spark, docs, empty):
     assert decontaminate.leaks(empty, items).count() == 0 and decontaminate.leaks(docs, items.filter("1 = 0")).count() == 0
 
 
+def leak_pairs(spark, docs, items):
+    items = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    return {(r.doc_id, r.item_id) for r in decontaminate.leaked_ids(found).collect()}
+
+
+def test_decontaminate_finds_copies_in_any_case(spark):
+    item = "Maria bought 12 apples for 3 dollars and gave 5 apples to Maria who then walked 4 km back to her house alone"
+    items = [(1, item), (2, "THE CAPITAL OF NORWAY IS OSLO AND NOT BERGEN"), (3, "1 2 3 4 5 6 7 8"), (4, "Sum of primes?"), (5, "Red Fox Runs Over Hills Today")]
+    texts = [item.lower(), item.upper(), item.title(), items[1][1], "x the capital of norway is oslo and not bergen y", "Now 1 2 3 4 5 6 7 8 9", "the sum of primes, it", "Red Fox Runs Over Hills Today", "9 8 7 6 5 4 3 2 1"]
+    want = {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 4), (7, 5)}
+    assert leak_pairs(spark, list(enumerate(texts)), items) == want
+
+
 def test_secrets(docs, empty):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     for r in secrets.find_secrets(docs).collect():
