@@ -8,8 +8,8 @@ plain words: small letters, no punctuation at the edges, no placeholder. A
 window of an item is matched if either form is. A document that holds at least
 ``threshold`` of an item's windows is a candidate. Then the slots are
 compared: along one alignment (document position minus item position) each
-value of the item must stand for one value of the document. An
-alignment with a value that does not counts only where it matches in the plain form. So an
+value of the item must stand for one value of the document. A window with a
+value that does not is dropped, unless it matches in the plain form. So an
 item is found as it is, in any case, and also with other numbers, names and
 units, but not where the placeholders merely happen to line up.
 
@@ -22,8 +22,8 @@ values are read from candidate documents alone.
 Defined results: item windows with under ``MIN_LITERALS`` literal words say
 too little and do not count, unless the item has no other: then all its windows
 count, in the plain form. An item under five words is one window of all its
-words, plain. A null or empty text has no window; repeated rows of
-an item are one item (the smallest text that is not empty counts); ``n_matched`` has the template
+words, plain. A null or empty text has no window; every distinct text of an
+item is searched, and the one most of which is found is reported; ``n_matched`` has the template
 windows where these alone reach the threshold; rows with a null item id are ignored; repeated rows of a document are judged as one, and a
 null ``doc_id`` is an id of its own; an empty table gives an empty result;
 other columns pass through ``decontaminate`` and are dropped by ``leaks``.
@@ -95,7 +95,7 @@ def item_texts(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(item_id, v, x, m)``: the distinct texts of every item, numbered by hash, and their words."""
     x = F.trim(text_or_empty(text_col))
     rows = items.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("item_id"), F.xxhash64(x).alias("v"), x.alias("x"))
-    return rows.filter("x != ''").groupBy("item_id").agg(F.min(F.struct("x", "v")).alias("b")).select("item_id", "b.v", "b.x").withColumn("m", F.size(words_of(F.col("x"))))
+    return rows.filter("x != ''").dropDuplicates(["item_id", "v"]).withColumn("m", F.size(words_of(F.col("x"))))
 
 
 def item_windows(texts: DataFrame, size: int) -> DataFrame:
@@ -164,8 +164,8 @@ def leaks(
     values = staged(values.unionByName(aligned.filter("plain").select(*line, "iat", "ikind", "ivalue", F.col("ivalue").alias("value"))), "slot-values")
     torn = values.groupBy(*line, "ikind", "ivalue").agg(F.min("value").alias("a"), F.max("value").alias("b")).filter("a != b")
     torn = values.join(torn, [*line, "ikind", "ivalue"], "left_semi")
-    torn = torn.select(*line, F.lit(True).alias("torn")).distinct()
-    whole = found.join(torn, line, "left").filter("plain or torn is null")
+    torn = torn.select(*line, F.explode(F.sequence(F.col("iat") - (size - 1), "iat")).alias("ipos"), F.lit(True).alias("torn")).distinct()
+    whole = found.join(torn, [*line, "ipos"], "left").filter("plain or torn is null")
     typed = F.count_distinct(F.when(F.col("typed"), F.col("ipos")))
     rows = whole.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits"), typed.alias("typed"), F.bool_and("plain").alias("same_slots")).filter(enough)
     # where the template windows alone are enough, they are the ones reported

@@ -276,6 +276,13 @@ def test_decontaminate_finds_copies_in_any_case(spark):
     assert leak_pairs(spark, list(enumerate(texts)), items) == want
 
 
+def test_decontaminate_drops_windows_not_alignments_and_searches_all_texts(spark):
+    item = "The boy with a red hat went to the old market by the river and sold his goods there. " + "The girl then paid for the fish and took it all the way back to her home near the big hill"
+    items = [(1, item), (2, "aa first text of this item here"), (2, "zz second text of this item with more words")]
+    docs = [(0, item.replace("The girl", "Some girl")), (1, "pre zz second text of this item with more words"), (2, "aa first text of this item here")]
+    assert leak_pairs(spark, docs, items) == {(0, 1), (1, 2), (2, 2)}
+
+
 def test_secrets(docs, empty):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     for r in secrets.find_secrets(docs).collect():
