@@ -7,10 +7,13 @@ shards by a hash of their row; the number of shards follows the number of
 documents, so a shard stays of one size and a hot source, or a group of
 copies, spreads over all of them. In a shard an inverted index with BM25
 weights is built over the words of the rests (ids from one word start to the
-next). Seeds are taken in order; the unused neighbours of a seed, best score
-first, fill its window as far as they fit whole; what then gapes is filled by
-cutting the best neighbour left (without one, the next unused rest), whose
-remainder stays in the pool and is the next seed. So every window is full.
+next). Seeds are taken in order and searched with all their terms, in their
+shard alone; the unused neighbours of a seed, best score first and all that
+have a score, fill its window as far as they fit whole, until ``BLOCK`` that
+do not fit have been met; what then gapes is filled by cutting the best of
+those, whose remainder stays in the pool and is the next seed. Where a seed
+has no neighbour left, the documents just added are searched for; without any,
+the next unused rest follows. So every window is full.
 What is left at the end of a shard is cut into sequences whose lengths are
 powers of two: no padding at all.
 
@@ -44,9 +47,8 @@ from ._common import order_id, parts_for, text_or_empty
 WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 2048
-QUERY_TERMS = 16
 K1, B = 1.2, 0.75
-NEIGHBOURS = 32
+BLOCK = 32
 
 # Other characters than these may be classed differently by the two libraries' tables.
 _OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ]")
@@ -127,14 +129,14 @@ class Index:
         idf = np.log1p((n - self.df + 0.5) / (self.df + 0.5))[number]
         norm = K1 * (1 - B + B * words / max(words.mean(), 1))
         self.weight = idf * tf * (K1 + 1) / (tf + norm[self.docs])
-        # per document, its terms with the largest weights that occur elsewhere too
+        # per document, all its terms that occur elsewhere too
         shared = np.flatnonzero(self.df[number] > 1)
-        mine = shared[np.lexsort((number[shared], -self.weight[shared], self.docs[shared]))]
+        mine = shared[np.lexsort((number[shared], self.docs[shared]))]
         self.query, self.query_at = number[mine], np.searchsorted(self.docs[mine], np.arange(n + 1))
         self.n = n
 
     def scores(self, seed: int) -> np.ndarray:
-        q = self.query[self.query_at[seed] : self.query_at[seed + 1]][:QUERY_TERMS]
+        q = self.query[self.query_at[seed] : self.query_at[seed + 1]]
         if not len(q):
             return np.zeros(self.n)
         spans = [slice(b, b + d) for b, d in zip(self.begin[q], self.df[q], strict=True)]
@@ -143,6 +145,20 @@ class Index:
         )
 
 
+def best_first(score: np.ndarray) -> Iterator[int]:
+    """Numbers of all positive scores, best first, ties to the smaller; sorted block by block, as far as they are read."""
+    some = np.flatnonzero(score > 0)
+    size = BLOCK
+    while len(some):
+        if len(some) > size:
+            least = np.partition(score[some], len(some) - size)[len(some) - size]
+            head, some = some[score[some] >= least], some[score[some] < least]
+        else:
+            head, some = some, some[:0]
+        yield from head[np.lexsort((head, -score[head]))].tolist()
+        size *= 4
+
+
 Piece = tuple[int, int, int]  # number of the rest, from, to
 
 
@@ -170,17 +186,22 @@ def pack(sizes: np.ndarray, index: Index | None, window: int = WINDOW) -> list[l
         line: list[Piece] = []
         gap = window - take(seed, window)
         again = -1
-        if gap and index is not None:
-            score = index.scores(seed)
+        asked = 0
+        while gap and index is not None and asked < len(line):
+            score = index.scores(line[asked][0])
+            asked += 1
             score[left == 0] = 0
-            top = np.argpartition(-score, min(NEIGHBOURS, n - 1))[:NEIGHBOURS]
-            top = top[np.lexsort((top, -score[top]))]
-            top = [int(i) for i in top if score[i] > 0]
-            for i in top:
-                if gap and left[i] <= gap:
+            order = best_first(score)
+            held = []
+            for i in order:
+                if left[i] <= gap:
                     gap -= take(i, gap)
-            for i in top:
-                if gap and left[i]:
+                else:
+                    held.append(i)
+                if not gap or len(held) >= BLOCK:
+                    break
+            for i in held:
+                if gap:
                     gap -= take(i, gap)
                     again = i
         at = cursor

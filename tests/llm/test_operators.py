@@ -210,6 +210,16 @@ def test_packing(docs, empty):
     assert lexical_packing.lexical_packing(empty).count() == 0
 
 
+def test_packing_fills_a_window_with_neighbours():
+    rng = np.random.default_rng(3)
+    topic = rng.permutation(np.repeat([0, 1], 100))
+    # ids 0 to 19 are in every text; each of 100 to 299 in texts of one topic
+    rests = [np.concatenate([rng.permutation(20), 100 + 100 * k + rng.choice(100, 12, replace=False)]) for k in topic]
+    index = lexical_packing.Index(rests, np.ones(300, dtype=bool))
+    lines = lexical_packing.pack(np.array([len(r) for r in rests]), index, 32 * 60)
+    assert {topic[i] for i, _, _ in lines[0]} == {topic[0]} and len(lines[0]) == 60
+
+
 def test_urls(spark):
     urls = [
         (1, "http://A.b.ORG/en/1?x"), (2, "https://example.org/es/q"), (3, "http://x.example.org/en/12"), (4, "ftp://shop.com/de/1"), (5, "x.com/fr/"),
