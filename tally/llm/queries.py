@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ._common import read_table
 from .bag_minhash import near_duplicate_classes
+from .bpe_rounds import bpe_encode
 from .chat_windows import chat_windows, read_windows
 from .decontaminate import UNITS, leaked_ids, leaks
 from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
@@ -291,3 +292,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_suffix_dedup"] = op1_suffix_dedup
+
+
+def op13_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_encode(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES["op13_bpe_rounds"] = op13_bpe_rounds
