@@ -19,6 +19,7 @@ from .decontaminate import UNITS, leaked_ids, leaks
 from .language_id import UNKNOWN, held_out, identify_language, learn_dictionaries
 from .lexical_packing import lexical_packing
 from .line_dedup import line_dedup
+from .merkle_manifest import folded, merkle_manifest, proof_text, row_digest
 from .quality_divergence import learn_reference, quality_scores
 from .secrets import BASE_KINDS, find_secrets
 from .suffix_dedup import suffix_dedup
@@ -303,3 +304,71 @@ def op13_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op13_bpe_rounds"] = op13_bpe_rounds
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    front = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaf = row_digest(*front, F.col("text"))
+    shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, row_digest(*front, small)).otherwise(leaf)
+    rows = docs.select("doc_id", "lang", leaf.alias("leaf"), shown.alias("shown"))
+    return merkle_manifest(rows, "leaf", "lang", ["doc_id"]).proofs().select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("steps")), 256).alias("proof_sha256"),
+        folded(F.col("shown"), F.col("steps")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES["op12_merkle_manifest"] = op12_merkle_manifest
+
+
+def _merkle_sql(prefix: str, n_levels: int, leaves: str) -> str:
+    """Levels, siblings and proofs of the trees over ``leaves`` (id, tree, pos, m, h), for up to 8 ** n_levels leaves."""
+    out = [f"{prefix}0 AS ({leaves})"]
+    for k in range(n_levels):
+        out.append(f"""{prefix}{k + 1} AS (SELECT tree, pos // 8 AS pos, any_value((m + 7) // 8) AS m,
+            CASE WHEN any_value(m) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+            FROM {prefix}{k} GROUP BY tree, pos // 8)""")
+        run = "string_agg(h, '') OVER (PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+        out.append(f"""{prefix}s{k} AS (SELECT tree, pos, m, coalesce({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+            coalesce({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {prefix}{k})""")
+    return ",\n".join(out)
+
+
+def _merkle_fold_sql(prefix: str, n_levels: int, start: str) -> str:
+    """Proof text and folded node of each row of ``start`` (id, tree, pos, node, proof)."""
+    out = [f"{prefix}p0 AS ({start})"]
+    for k in range(n_levels):
+        out.append(f"""{prefix}p{k + 1} AS (SELECT p.id, p.tree, p.pos // 8 AS pos, CASE WHEN s.m > 1 THEN p.proof || s.l || s.r ELSE p.proof END AS proof,
+            CASE WHEN s.m > 1 THEN sha256(s.l || p.node || s.r) ELSE p.node END AS node
+            FROM {prefix}p{k} p JOIN {prefix}s{k} s ON p.tree = s.tree AND p.pos = s.pos)""")
+    return ",\n".join(out)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+_FRONT = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)"""
+ORACLE["op12_merkle_manifest"] = f"""
+WITH leaf AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({_FRONT} || {_field_sql("text")}) AS leaf,
+        CASE WHEN {_CRC} % 3 = 0 THEN sha256({_FRONT} || {_field_sql(_SMALL)}) ELSE sha256({_FRONT} || {_field_sql("text")}) END AS shown
+    FROM documents
+),
+numbered AS (
+    SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS id,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS m
+    FROM leaf
+),
+{_merkle_sql("a", 7, "SELECT tree, pos, m, leaf AS h FROM numbered")},
+subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS m FROM a7),
+{_merkle_sql("b", 3, "SELECT '' AS tree, pos, m, subroot AS h FROM subroots")},
+{_merkle_fold_sql("a", 7, "SELECT id, tree, pos, shown AS node, '' AS proof FROM numbered")},
+{_merkle_fold_sql("b", 3, "SELECT p.id, '' AS tree, s.pos, p.node, p.proof FROM ap7 p JOIN subroots s ON p.tree = s.tree")}
+SELECT n.doc_id, n.leaf, s.subroot, b3.h AS root, sha256(p.proof) AS proof_sha256, p.node AS folded_root, p.node = b3.h AS verified
+FROM numbered n JOIN subroots s ON n.tree = s.tree JOIN bp3 p ON n.id = p.id, b3
+"""
