@@ -20,6 +20,7 @@ from .language_id import UNKNOWN, held_out, identify_language, learn_dictionarie
 from .lexical_packing import lexical_packing
 from .line_dedup import line_dedup
 from .merkle_manifest import folded, merkle_manifest, proof_text, row_digest
+from .qdwh_whitening import fit_whitening
 from .quality_divergence import learn_reference, quality_scores
 from .secrets import BASE_KINDS, find_secrets
 from .suffix_dedup import suffix_dedup
@@ -372,3 +373,17 @@ subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)
 SELECT n.doc_id, n.leaf, s.subroot, b3.h AS root, sha256(p.proof) AS proof_sha256, p.node AS folded_root, p.node = b3.h AS verified
 FROM numbered n JOIN subroots s ON n.tree = s.tree JOIN bp3 p ON n.id = p.id, b3
 """
+
+
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    fit = fit_whitening(rows, components=4)
+    out = fit.apply(rows).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*[F.lit(v) for v in fit.explained()]).cast("array<double>")
+    return out.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fit.n).cast("long").alias("n"), "deviation", "whitened",
+        F.try_element_at(explained, F.col("at") + 1).alias("explained"), F.lit(fit.identity_error).alias("identity_error"),
+    )
+
+
+QUERIES["op11_qdwh_whitening"] = op11_qdwh_whitening
