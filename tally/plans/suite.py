@@ -1156,3 +1156,37 @@ def k04_period_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter = spark.read.parquet(path).filter("ano = 1995 AND trimestre = 2")
     return edge(quarter.groupBy("registro_ans").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("valor_despesa").alias("total")))
+
+
+@register("s06_archives", ORACLE["r09_consolidate"])
+def s06_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger from ZIP archives written from the line items (S6, K2): one
+    archive a quarter, members in two layouts with quoted line breaks, and
+    members that the scan skips by name or kind."""
+    from ..plans.consolidate import canonical_ledger, consolidate
+    from ..sinks.archives import member_lines, write_archives
+    from ..sources.archives import archive_records, parse_members
+    from ..sources.delimited import period_from_path
+
+    folder = scratch_folder(spark, "s06")
+    raw = raw_ledger(spark, sf_dir).withColumn("NOTA", F.lit('fim "de\nlinha"; ok'))
+    archive = F.concat(F.col("ano").cast("string"), F.lit("_T"), F.col("trimestre").cast("string"), F.lit("/q.zip"))
+    part = (F.col("l_orderkey") % 4).cast("string")
+    odd = F.col("l_orderkey") % 2 == 1
+    swapped = raw.filter(~odd).withColumns({"VALOR": F.col("VL_SALDO_FINAL"), "CD_OPS": F.col("REG_ANS")})
+    lines = (
+        member_lines(raw.filter(odd), archive, F.concat(F.lit("d/"), part, F.lit(".csv")),
+                     ["REG_ANS", "NOTA", "CD_CONTA_CONTABIL", "VL_SALDO_FINAL"])
+        .union(member_lines(swapped, archive, F.concat(part, F.lit(".CSV")),
+                            ["VALOR", "CD_CONTA_CONTABIL", "CD_OPS"], sep=","))
+        .union(member_lines(raw, archive, F.lit("receitas.csv"), ["REG_ANS", "VL_SALDO_FINAL"]))
+        .union(member_lines(raw, archive, F.lit("leia.txt"), ["REG_ANS"])))
+    write_archives(lines, folder)
+    records = archive_records(spark, folder)
+    stored = scratch_folder(spark, "s06")
+    records.write.parquet(stored)
+    shaped = []
+    for frame in parse_members(spark.read.parquet(stored)):
+        frame = period_from_path(frame, "_source_path").drop("_source_path")
+        shaped.append(canonical_ledger(frame, period_cols=("ano", "trimestre")))
+    return edge(consolidate(shaped))

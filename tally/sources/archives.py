@@ -1,16 +1,16 @@
 """ZIP archive scan (S6) and spreadsheet scan.
 
-Archives are read with Spark's ``binaryFile`` source, one row per archive,
-and expanded on the executors by an Arrow-batched ``mapInPandas``: the
-standard ``zipfile`` module opens the archive and the C-implemented ``csv``
-reader splits each wanted member into records (quoted delimiters and quoted
+Spark lists the archives; tasks read each archive's directory by range and
+give one row per wanted member; the members are dealt over tasks again, and
+each is inflated as a stream, once to check it and once to split it into
+records with the C-implemented ``csv`` reader (quoted delimiters and quoted
 line breaks are handled), one output row per record
-``(archive, member, record_no, fields, encoding, error)``. A corrupt archive
-yields a single row carrying the error instead of failing the job (the
-reference logs and continues). Column naming per member layout is then a
-native projection of the ``fields`` array.
+``(archive, member, record_no, fields, encoding, error)``. A damaged archive
+yields a single row carrying the error instead of failing the job. Column
+naming per member layout is then a native projection of the ``fields`` array.
 
-Limit (documented, not hidden): one archive is expanded by one task.
+Limits: a member is one task (its compression can only be read in order); an
+archive on storage without byte access is one task and at most 2 GB.
 """
 
 from __future__ import annotations
@@ -20,16 +20,21 @@ import csv
 import io
 import itertools
 import lzma
+import math
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from ..session import scratch_path
 from .delimited import SKIP_NAME_PARTS, sniff_dialect
+from .files import DIRECT, open_input, scheme_of
 
 RECORDS_SCHEMA = StructType([
     StructField("archive", StringType()),
@@ -41,12 +46,14 @@ RECORDS_SCHEMA = StructType([
 ])
 _COLUMNS = [f.name for f in RECORDS_SCHEMA.fields]
 _CHUNK = 100_000  # records per Arrow batch handed back to the JVM
+_CHUNK_CHARS = 16 << 20  # or so much text
+TASK_BYTES = 64 << 20  # inflated bytes of members that one task takes
 
 
 csv.field_size_limit(2**31 - 1)  # no field is too long for an archive
 
 
-def _encoding(zf: zipfile.ZipFile, name: str) -> str:
+def _encoding(zf: zipfile.ZipFile, name: str | zipfile.ZipInfo) -> str:
     """UTF-8 if the whole member is; reads it in blocks, which also checks its data."""
     decoder, encoding = codecs.getincrementaldecoder("utf-8")(), "UTF-8"
     with zf.open(name) as f:
@@ -70,7 +77,7 @@ def _member_wanted(name: str, extensions: Sequence[str], skip: Sequence[str]) ->
             and not name.endswith("/"))
 
 
-def _records(zf: zipfile.ZipFile, name: str, encoding: str) -> Iterator[list[str]]:
+def _records(zf: zipfile.ZipFile, name: str | zipfile.ZipInfo, encoding: str) -> Iterator[list[str]]:
     """Records of a member, streamed."""
     with zf.open(name) as f, io.TextIOWrapper(f, encoding=encoding, newline="") as text:
         first = text.readline()
@@ -89,7 +96,7 @@ def _expand(batches: Iterator[pd.DataFrame], extensions, skip) -> Iterator[pd.Da
         for path, content in zip(batch["path"], batch["content"]):
             try:
                 zf = zipfile.ZipFile(io.BytesIO(content))
-                names = [n for n in zf.namelist() if _member_wanted(n, extensions, skip)]
+                names = [n for n in dict.fromkeys(zf.namelist()) if _member_wanted(n, extensions, skip)]
                 encodings = {n: _encoding(zf, n) for n in names}
                 for n in names:
                     for _ in _records(zf, n, encodings[n]):
@@ -108,17 +115,149 @@ def _expand(batches: Iterator[pd.DataFrame], extensions, skip) -> Iterator[pd.Da
         yield pd.DataFrame(out, columns=_COLUMNS)
 
 
+MEMBERS_SCHEMA = "archive string, entry int, member string, size long, encoding string, error string"
+_DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError, NotImplementedError, OSError, ValueError, KeyError)
+
+
+def _rows(rows: list[tuple], names: Sequence[str], types: Sequence[pa.DataType]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], list(names))
+
+
+_MEMBER_NAMES = ("archive", "entry", "member", "size", "encoding", "error")
+_MEMBER_TYPES = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string())
+_RECORD_TYPES = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.string())
+
+
+class _Archives:
+    """The archive opened last: a task reads its directory once for all members it has."""
+
+    def __init__(self):
+        self.path, self.zf = None, None
+
+    def open(self, path: str) -> zipfile.ZipFile:
+        if path != self.path:
+            self.close()
+            self.zf, self.path = zipfile.ZipFile(open_input(path)), path
+        return self.zf
+
+    def close(self) -> None:
+        if self.zf is not None:
+            self.zf.fp.close()
+            self.zf.close()
+        self.path = self.zf = None
+
+
+def _list_members(batches: Iterator[pa.RecordBatch], extensions, skip) -> Iterator[pa.RecordBatch]:
+    """Wanted members from each archive's directory, which lies at its end and is read alone."""
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            archives, out = _Archives(), []
+            try:
+                last = {info.filename: (i, info) for i, info in enumerate(archives.open(path).infolist())}  # as unpacking leaves it
+                out = [(path, i, name, info.file_size, None, None) for name, (i, info) in last.items()
+                       if _member_wanted(name, extensions, skip)]
+            except _DAMAGE as e:
+                out = [(path, None, None, None, None, f"{type(e).__name__}: {e}")]
+            archives.close()
+            for i in range(0, len(out), _CHUNK):
+                yield _rows(out[i : i + _CHUNK], _MEMBER_NAMES, _MEMBER_TYPES)
+
+
+def _check_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member inflated once as a stream: its checksum holds, and the encoding it is in."""
+    archives = _Archives()
+    for batch in batches:
+        out = []
+        for path, entry, member, size in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+            try:
+                zf = archives.open(path)
+                out.append((path, entry, member, size, _encoding(zf, zf.infolist()[entry]), None))
+            except _DAMAGE as e:
+                out.append((path, entry, member, size, None, f"{type(e).__name__}: {e}"))
+        yield _rows(out, _MEMBER_NAMES, _MEMBER_TYPES)
+    archives.close()
+
+
+def _expand_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of each member, inflated and split as a stream."""
+    archives = _Archives()
+    for batch in batches:
+        for path, entry, member, _, encoding, _ in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            zf = archives.open(path)
+            out, size = [], 0
+            for i, fields in enumerate(_records(zf, zf.infolist()[entry], encoding)):
+                out.append((path, member, i, fields, encoding, None))
+                size += sum(map(len, fields))
+                if len(out) >= _CHUNK or size >= _CHUNK_CHARS:
+                    yield _rows(out, _COLUMNS, _RECORD_TYPES)
+                    out, size = [], 0
+            if out:
+                yield _rows(out, _COLUMNS, _RECORD_TYPES)
+    archives.close()
+
+
+def _files(spark: SparkSession, paths: str | Sequence[str], glob: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true")
+            .load(paths if isinstance(paths, str) else list(paths)))
+
+
+def archive_members(spark: SparkSession, paths: str | Sequence[str],
+                    extensions: Sequence[str] = (".csv",),
+                    skip_name_parts: Sequence[str] = SKIP_NAME_PARTS,
+                    glob: str = "*.[zZ][iI][pP]") -> DataFrame:
+    """One checked row per wanted member (archive, entry, member, size, encoding, error),
+    or one with the error per archive whose directory cannot be read.
+
+    The directories are read by range in the tasks; then the members, however
+    many an archive has, are dealt over tasks by themselves, and each is
+    inflated once to check it. The rows are written to the shared scratch
+    folder, as both the errors and the records follow from them.
+    """
+    ext, skip = tuple(extensions), tuple(skip_name_parts)
+    listing = _files(spark, paths, glob).select("path")  # no content column: files are listed, not read
+    base = scratch_path(spark, f"archives/{uuid.uuid4().hex}")
+    (listing.repartition("path").mapInArrow(lambda it: _list_members(it, ext, skip), MEMBERS_SCHEMA)
+     .write.parquet(f"{base}/listed"))
+    listed = spark.read.parquet(f"{base}/listed")
+    sound = listed.filter(F.col("error").isNull())
+    checked = _dealt(sound).mapInArrow(_check_members, MEMBERS_SCHEMA)
+    checked.union(listed.filter(F.col("error").isNotNull())).write.parquet(f"{base}/checked")
+    return spark.read.parquet(f"{base}/checked")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members over tasks: one for about ``TASK_BYTES``, and no fewer than members or twice the cores ask for."""
+    n, size = members.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    cores = members.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil(size / TASK_BYTES), min(n, 2 * cores))
+    return members.repartition(tasks, "archive", "entry").sortWithinPartitions("archive", "entry")
+
+
 def archive_records(spark: SparkSession, paths: str | Sequence[str],
                     extensions: Sequence[str] = (".csv",),
                     skip_name_parts: Sequence[str] = SKIP_NAME_PARTS,
                     glob: str = "*.[zZ][iI][pP]") -> DataFrame:
-    """One row per delimited record of every wanted member of every archive."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true")
-             .load(paths if isinstance(paths, str) else list(paths)))
+    """One row per delimited record of every wanted member of every archive.
+
+    Members, not archives, are the unit of work, so neither an archive's size
+    nor its number of members bounds the parallelism; a member is read as a
+    stream. An archive with any damaged member gives one error row and no
+    records. Where the storage has no byte access (``files.DIRECT``), an
+    archive is one value of one task, up to the 2 GB of such a value.
+    """
     ext, skip = tuple(extensions), tuple(skip_name_parts)
-    return files.select("path", "content").mapInPandas(
-        lambda it: _expand(it, ext, skip), RECORDS_SCHEMA)
+    schemes = {scheme_of(r[0]) for r in _files(spark, paths, glob).select(F.regexp_extract("path", "^[^:]+:/", 0)).distinct().collect()}
+    if not schemes <= set(DIRECT):
+        return _files(spark, paths, glob).select("path", "content").mapInPandas(
+            lambda it: _expand(it, ext, skip), RECORDS_SCHEMA)
+    members = archive_members(spark, paths, extensions, skip_name_parts, glob)
+    bad = members.filter(F.col("error").isNotNull()).groupBy("archive").agg(F.min("error").alias("error"))
+    good = _dealt(members.join(bad, "archive", "left_anti"))
+    none = {"member": "string", "record_no": "long", "fields": "array<string>", "encoding": "string"}
+    errors = bad.select("archive", *[F.lit(None).cast(t).alias(c) for c, t in none.items()], "error")
+    return good.mapInArrow(_expand_members, RECORDS_SCHEMA).union(errors)
 
 
 def parse_members(records: DataFrame) -> list[DataFrame]:
