@@ -57,8 +57,10 @@ def main(argv=None) -> None:
                           "quarantined": wh.quarantined.count()}))
         return
 
-    dim = spark.read.parquet(f"{args.warehouse_dir}/dimension")
-    fact = spark.read.parquet(f"{args.warehouse_dir}/fact")
+    from tally.sinks.snapshots import open_table
+
+    dim = open_table(spark, args.warehouse_dir, "dimension")
+    fact = open_table(spark, args.warehouse_dir, "fact")
     if args.cmd == "analytics":
         from tally.plans import analytics
 

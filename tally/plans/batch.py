@@ -20,7 +20,8 @@ from ..operators.ordering import asc, desc, ranked
 from ..operators.quality import cnpj_audit, referential_audit
 from ..operators.sets import union_all
 from ..session import scratch_path
-from ..sinks.tables import write_delimited, write_fact, write_table
+from ..sinks.snapshots import Snapshots
+from ..sinks.tables import write_delimited, write_fact, write_lookup, write_table
 from ..sources.archives import archive_errors, archive_records, parse_members, read_spreadsheets
 from ..sources.delimited import period_from_path, read_layouts, read_tolerant
 from ..sources.links import latest_periods, prune_to_periods
@@ -29,6 +30,9 @@ from .mart import enriched_ledger, operator_mart
 from .warehouse import load_dimension, load_fact, load_mart
 
 
+# what one refresh publishes together
+TABLES = ("ledger", "registry", "mart", "mart_table", "dimension", "quarantine", "fact",
+          "audit_cnpj", "audit_orphans", "audit_archives")
 # a sum of money amounts
 TOTAL = "decimal(25,2)"
 
@@ -119,8 +123,9 @@ def build_warehouse(
     formats: Sequence[str] = ("csv", "zip", "xlsx"),
     latest_quarters: int | None = None,
 ) -> Warehouse:
-    """Run R9, R10 and R11 over files and write every table under ``out``
-    (default: a folder in the shared ``spark.checkpoint.dir``). Each group is
+    """Run R9, R10 and R11 over files and write every table as a new version
+    under ``out`` (default: a folder in the shared ``spark.checkpoint.dir``),
+    which becomes current as a whole when all of them are written (K3). Each group is
     searched for loose delimited files, ZIP archives and spreadsheets.
     ``latest_quarters=N`` ingests only the N latest quarters found in the
     folder names (S5), each quarter once however many files it has (D7), and
@@ -129,7 +134,10 @@ def build_warehouse(
     The ledger table is partitioned by ``rejected``: amounts beyond the money
     type lie in its ``rejected=true`` folder (``Warehouse.rejected_amounts``),
     and unreadable archives are listed in ``audit_archives``."""
-    base = (out or scratch_path(spark, "warehouse")).rstrip("/")
+    root = (out or scratch_path(spark, "warehouse")).rstrip("/")
+    snapshots = Snapshots(spark, root)
+    version = snapshots.begin()
+    base = version.path
     periods = None
     if latest_quarters:
         chosen = latest_periods(folder_periods(spark, ledger_groups, path_pattern), latest_quarters)
@@ -140,7 +148,7 @@ def build_warehouse(
             group = folders_of(folder_periods(spark, [group], path_pattern), periods.collect())
             if not group:
                 continue
-        frames, errors = raw_frames(spark, group, formats, f"{base}/staging/records_{i}")
+        frames, errors = raw_frames(spark, group, formats, f"{root}/staging/records_{i}")
         unread += errors
         for raw in frames:
             raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
@@ -162,16 +170,13 @@ def build_warehouse(
     mart = operator_mart(ledger, registry)
     write_table(mart, f"{base}/mart")
     stored_mart = spark.read.parquet(f"{base}/mart")
-    # the exported artifact: ';' text, header, 2-decimal numbers, gzip (K1, K2),
-    # sorted in the export itself, as a re-read table keeps no order
-    write_delimited(ranked(stored_mart, [desc("ValorTotal"), asc("RegistroANS")]),
-                    f"{base}/mart_csv", compression="gzip")
     # the served table, under its own column names and types
     write_table(load_mart(stored_mart.select([F.col(c).cast("string") for c in stored_mart.columns]),
                           TOTAL), f"{base}/mart_table")
 
     dim, bad = load_dimension(registry)
-    dim = materialize(dim, f"{base}/dimension")
+    write_lookup(dim, f"{base}/dimension", ["cnpj_digits", "registro_ans"])
+    dim = spark.read.parquet(f"{base}/dimension")
     write_table(bad, f"{base}/quarantine")
     staging = ledger.withColumn(
         "ValorDespesas", F.replace(F.col("ValorDespesas").cast("string"), F.lit("."), F.lit(",")))
@@ -189,6 +194,11 @@ def build_warehouse(
         digits_key(F.col("RegistroANS")).alias("registro_ans"),
         F.col("ValorDespesas").alias("valor_despesa"))
     write_table(referential_audit(ledger_keys, dim), f"{base}/audit_orphans")
+    snapshots.commit(version, TABLES)
+    # the exported artifact: ';' text, header, 2-decimal numbers, gzip (K1, K2),
+    # sorted in the export itself, as a re-read table keeps no order
+    write_delimited(ranked(stored_mart, [desc("ValorTotal"), asc("RegistroANS")]),
+                    f"{root}/mart_csv", compression="gzip")
     return Warehouse(
         ledger=ledger,
         mart=stored_mart,

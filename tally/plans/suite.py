@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from ..functions.taxid import WEIGHTS_1, WEIGHTS_2
 from ..plans import analytics
@@ -1190,3 +1190,160 @@ def s06_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = period_from_path(frame, "_source_path").drop("_source_path")
         shaped.append(canonical_ledger(frame, period_cols=("ano", "trimestre")))
     return edge(consolidate(shaped))
+
+
+@register("s08_split_records", ORACLE["r09_consolidate"])
+def s08_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger from quoted files whose notes hold separators, quotes and
+    line breaks, each file read by as many tasks as it has pieces (S8)."""
+    from ..plans.consolidate import canonical_ledger, consolidate
+    from ..sources.delimited import period_from_path, read_layouts
+
+    folder = scratch_folder(spark, "s08q")
+    quarter = F.concat(F.col("ano").cast("string"), F.lit("_T"), F.col("trimestre").cast("string"))
+    note = F.concat(F.lit('obs; "item"\n'), F.col("CD_CONTA_CONTABIL"), F.lit('\r\n"",;fim'))
+    (raw_ledger(spark, sf_dir).select("REG_ANS", note.alias("NOTA"), "CD_CONTA_CONTABIL", "VL_SALDO_FINAL", quarter.alias("quarter"))
+     .repartition("quarter").write.partitionBy("quarter").option("header", "true").option("sep", ";").option("escape", '"').csv(folder))
+    shaped = [canonical_ledger(period_from_path(f, "_source_path", r"(\d{4})_T(\d)").drop("_source_path"),
+                               period_cols=("ano", "trimestre")) for f in read_layouts(spark, folder)]
+    return edge(consolidate(shaped))
+
+
+@register("s10_scan", """
+SELECT CAST(o_orderkey AS VARCHAR) AS chave,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'a;"b"' || chr(10) || 'c' END AS nota,
+       CASE WHEN o_orderkey % 4 IN (0, 3) THEN o_orderstatus END AS situacao
+FROM orders WHERE o_orderkey % 4 <> 1
+""")
+def s10_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tolerant scan (S10): quoted separators and line breaks kept, rows with
+    too many fields dropped, short rows filled, missing-value tokens NULL."""
+    from ..sources.delimited import read_tolerant
+    from ..sources.tables import read_table
+
+    folder = scratch_folder(spark, "s10")
+    key, status, kind = F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), F.col("o_orderkey") % 4
+    line = (F.when(kind == 0, F.concat(key, F.lit(';"a;""b""\nc";'), status))
+            .when(kind == 1, F.concat(key, F.lit(';x;y;"too\nlong"')))
+            .when(kind == 2, key)
+            .otherwise(F.concat(key, F.lit(";NA;"), status)))
+    rows = read_table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") % 8).alias("part"), F.lit(1).alias("ord"), line.alias("line"))
+    heads = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("ord"), F.lit("chave;nota;situacao").alias("line"))
+    (rows.union(heads).repartition(8, "part").sortWithinPartitions("part", "ord").drop("ord")
+     .write.partitionBy("part").text(folder))
+    return read_tolerant(spark, folder)
+
+
+@register("s07_selection", """
+SELECT CAST(s_suppkey AS VARCHAR) AS chave, s_name AS nome FROM supplier
+""")
+def s07_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in nested folders, of which those with unwanted names or kinds are left out."""
+    from ..sources.delimited import read_layouts
+    from ..sources.files import move_single
+    from ..sources.tables import read_table
+
+    folder = scratch_folder(spark, "s07")
+    sup = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("chave"), F.col("s_name").alias("nome"))
+    for name, rows in (("2023/a/Despesas.CSV", sup.filter("chave % 2 = 0")), ("2023/despesas_b.csv", sup.filter("chave % 2 = 1")),
+                       ("2023/a/RECEITAS_1.csv", sup), ("Ativos.csv", sup), ("2023/despesas.txt", sup)):
+        part = scratch_folder(spark, "s07-part")
+        rows.coalesce(1).write.option("header", "true").option("sep", ";").csv(part)
+        move_single(spark, part, f"{folder}/{name}")
+    (frame,) = read_layouts(spark, folder)
+    return frame.drop("_source_path")
+
+
+@register("s12_staging", """
+SELECT 'operadoras' AS tabela, COUNT(*) AS n_rows, CAST(SUM(s_suppkey) AS BIGINT) AS total FROM supplier
+UNION ALL SELECT 'despesas', COUNT(*), CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * 100 AS BIGINT)) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'agregadas', COUNT(*), CAST(SUM(t) AS BIGINT) FROM (
+  SELECT SUM(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * 100 AS BIGINT)) AS t FROM lineitem GROUP BY l_suppkey)
+""")
+def s12_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files of declared text columns, loaded as staging tables."""
+    from ..functions.numbers import comma_decimal
+    from ..sinks.tables import write_delimited
+    from ..sources.delimited import read_staging
+    from ..sources.tables import read_table
+
+    folder = scratch_folder(spark, "s12")
+    comma = F.translate(F.col("l_extendedprice").cast("decimal(15,2)").cast("string"), ".", ",")
+    cents = F.sum((F.col("l_extendedprice").cast("decimal(15,2)") * 100).cast("long"))
+    items = read_table(spark, sf_dir, "lineitem")
+    tables = {
+        "operadoras": read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("registro"), F.col("s_name").alias("nome")),
+        "despesas": items.select(F.col("l_suppkey").alias("registro"), comma.alias("valor")),
+        "agregadas": items.groupBy(F.col("l_suppkey").alias("registro")).agg(cents.alias("total")),
+    }
+    out = []
+    for name, df in tables.items():
+        write_delimited(df, f"{folder}/{name}")
+        schema = StructType([StructField(c, StringType()) for c in df.columns])
+        staged = read_staging(spark, f"{folder}/{name}", schema)
+        number = {"operadoras": F.col("registro").cast("long"), "agregadas": F.col(df.columns[-1]).cast("long"),
+                  "despesas": (comma_decimal(F.col(df.columns[-1])) * 100).cast("long")}[name]
+        out.append(staged.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("n_rows"), F.sum(number).alias("total")))
+    return out[0].union(out[1]).union(out[2]).select("tabela", "n_rows", "total")
+
+
+@register("c06_accent_headers", ORACLE["r09_consolidate"])
+def c06_accent_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger under accented, spaced and dotted headers that fold to its names."""
+    from ..plans.consolidate import canonical_ledger, consolidate
+
+    raw = raw_ledger(spark, sf_dir)
+    named = raw.select(
+        F.col("REG_ANS").alias(" Registro Ans"), F.col("CD_CONTA_CONTABIL").alias("cd.cõntã.çontãbil"),
+        F.col("VL_SALDO_FINAL").alias("Vl. Sãldo Finãl "), "ano", "trimestre")
+    named = named.withColumnRenamed("cd.cõntã.çontãbil", "cd cõntã çontãbil")
+    return edge(consolidate([canonical_ledger(named, period_cols=("ano", "trimestre"))]))
+
+
+@register("t01_ranked_export", with_ctes(RAW_LEDGER_SQL, CONSOLIDATED_SQL, REGISTRY_SQL, body=f"""
+SELECT row_number() OVER (ORDER BY ValorTotal DESC, RegistroANS) AS pos, RegistroANS, ValorTotal
+FROM (SELECT * FROM ({_MART_SQL}))
+"""))
+def t01_ranked_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every operator in the exported file."""
+    from ..operators.ordering import asc, desc, ranked
+    from ..plans.mart import operator_mart
+    from ..sinks.tables import write_delimited
+    from ..sources.delimited import read_ranked
+
+    path = scratch_folder(spark, "t01")
+    mart = operator_mart(consolidated(spark, sf_dir), registry(spark, sf_dir)).select("RegistroANS", "ValorTotal")
+    write_delimited(ranked(mart, [desc("ValorTotal"), asc("RegistroANS")]), path, compression="gzip")
+    return read_ranked(spark, path, "RegistroANS string, ValorTotal double").select("pos", "RegistroANS", "ValorTotal")
+
+
+@register("k03_refresh_all", with_ctes(body="""
+SELECT 'operadoras' AS tabela, COUNT(*) AS n_rows, CAST(SUM(registro_ans) AS DOUBLE) AS total FROM operadoras
+UNION ALL SELECT 'despesas', COUNT(*), CAST(SUM(valor_despesa) AS DOUBLE) FROM despesas
+UNION ALL SELECT 'agregadas', COUNT(DISTINCT registro_ans), CAST(SUM(valor_despesa) AS DOUBLE) FROM despesas
+"""))
+def k03_refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension, fact and mart after an old version, a full refresh of all
+    three, and a refresh that stops after the dimension (K3): the second holds."""
+    from ..sinks.snapshots import Snapshots
+    from ..sinks.tables import write_fact, write_lookup, write_table
+
+    dim, fact = dim_fact(spark, sf_dir)
+    snapshots = Snapshots(spark, scratch_folder(spark, "k03all"))
+
+    def refresh(dim: DataFrame, fact: DataFrame, complete: bool = True) -> None:
+        version = snapshots.begin()
+        write_lookup(dim, version.table("dimension"), ["registro_ans"])
+        if complete:
+            write_fact(fact, version.table("fact"))
+            mart = fact.groupBy("registro_ans").agg(F.sum("valor_despesa").alias("total"))
+            write_table(mart, version.table("mart"))
+            snapshots.commit(version, ["dimension", "fact", "mart"])
+
+    refresh(dim.filter("registro_ans % 2 = 0"), fact.filter("trimestre = 1"))
+    refresh(dim, fact)
+    refresh(dim.filter("registro_ans % 3 = 0"), fact, complete=False)
+    counts = [snapshots.read(t).agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("double").alias("total"))
+              for t, name, c in (("dimension", "operadoras", "registro_ans"), ("fact", "despesas", "valor_despesa"), ("mart", "agregadas", "total"))]
+    return counts[0].union(counts[1]).union(counts[2])

@@ -268,7 +268,7 @@ def parse_members(records: DataFrame) -> list[DataFrame]:
     plan does not grow with the number of files. Only the distinct headers
     (a handful of layouts) reach the driver; data rows never do. Each frame
     carries ``_source_path`` (``archive!member``); short records give NULLs
-    for the missing fields. Pass a written (materialised) records table when
+    for the missing fields, and so do empty ones. Pass a written (materialised) records table when
     there are several layouts, so the Python expansion is not repeated per
     layout.
     """
@@ -282,7 +282,7 @@ def parse_members(records: DataFrame) -> list[DataFrame]:
         names = [h.strip() for h in header]
         same = F.col("_header") == F.array(*[F.lit(h) for h in header])
         frames.append(body.filter(same).select(
-            *[F.try_element_at("fields", F.lit(i + 1)).alias(n) for i, n in enumerate(names)],
+            *[F.nullif(F.try_element_at("fields", F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)],
             F.concat(F.col("archive"), F.lit("!"), F.col("member")).alias("_source_path"),
         ))
     return frames

@@ -3,12 +3,11 @@
 * S7  file selection: recursive listing, extension filter (case-insensitive)
       and name exclusions, expressed as reader options and a filter on the
       ``_metadata`` file name (Spark prunes files by it).
-* S8  dialect per file group: the header line of the group is read with a
-      one-row scan and the delimiter / encoding decided from it (decision
-      D18) instead of the reference's try-one-then-the-other.
-* S10 tolerant scan: PERMISSIVE mode with a corrupt-record column; rows with
-      too many fields are dropped, short rows are kept NULL-padded (D19), and
-      missing-value tokens become NULL.
+* S8  dialect per file: the delimiter from its first line and the encoding
+      from all its lines (decision D18) instead of trying one after the other
+      (:mod:`tally.sources.records`), or per group of like files.
+* S10 tolerant scan: rows with too many fields are dropped, short rows are
+      kept NULL-padded (D19), and missing-value tokens become NULL.
 * S12 staging load with a declared schema whose header is checked.
 * H5  period columns taken from the folder path.
 
@@ -17,20 +16,22 @@ Every column is read as text (``inferSchema=False``).
 
 from __future__ import annotations
 
-import csv
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.text import NA_TOKENS, null_tokens
+from ..operators.sets import union_all
+from ..session import scratch_path
+from .records import empty_frame, record_frames
 
 # File-name fragments the ledger scan skips (revenue and asset
 # statements), and the accepted extensions.
 SKIP_NAME_PARTS = ("receita", "ativo")
 CSV_GLOB = "*.[cC][sS][vV]"
-CORRUPT = "_corrupt_record"
 
 
 def sniff_dialect(header_line: str) -> dict[str, str]:
@@ -106,64 +107,16 @@ def read_group(
     return df
 
 
-def file_layouts(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True,
-                 glob: str | None = CSV_GLOB,
-                 skip_name_parts: Sequence[str] = SKIP_NAME_PARTS) -> dict[tuple[bytes, str], list[str]]:
-    """Files by (header line, encoding): one small row per file reaches the driver.
-
-    All lines of a file decide its encoding: UTF-8 only if every line is valid.
-    """
-    r = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    lines = _skip_names(r.text(paths if isinstance(paths, str) else list(paths)), skip_name_parts).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        F.col("value").cast("binary").alias("line"),
-        F.is_valid_utf8("value").alias("utf8"),
-    )
-    files = lines.groupBy("file").agg(F.min_by("line", "at").alias("head"), F.bool_and("utf8").alias("utf8"))
-    out: dict[tuple[bytes, str], list[str]] = {}
-    for row in files.orderBy("file").collect():
-        out.setdefault((bytes(row["head"]), "UTF-8" if row["utf8"] else "ISO-8859-1"), []).append(row["file"])
-    return out
-
-
 def read_layouts(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True,
                  glob: str | None = CSV_GLOB,
                  skip_name_parts: Sequence[str] = SKIP_NAME_PARTS) -> list[DataFrame]:
-    """All-text scans of loose files, one per distinct header and dialect.
+    """All-text frames of loose files, one per distinct header.
 
-    Every file is read with its own delimiter, encoding and column order; the
-    number of scans follows the layouts, not the files. Each frame carries
-    ``_source_path``.
+    Every file is read once, in as many tasks as its size asks for, with its
+    own delimiter, encoding and column order (:mod:`tally.sources.records`).
+    Each frame carries ``_source_path``.
     """
-    frames = []
-    for (head, encoding), files in file_layouts(spark, paths, recursive, glob, skip_name_parts).items():
-        line = head.decode("utf-8" if encoding == "UTF-8" else "latin-1").lstrip("\ufeff").rstrip("\r")
-        sep = sniff_dialect(line)["sep"]
-        names = next(csv.reader([line], delimiter=sep), [])
-        seen: set[str] = set()
-        fields = []
-        for i, name in enumerate(names):
-            name = name if name.strip() and name.lower() not in seen else f"_c{i}"
-            seen.add(name.lower())
-            fields.append(StructField(name, StringType()))
-        r = (spark.read.schema(StructType(fields)).option("header", "true").option("sep", sep)
-             .option("encoding", encoding).option("escape", '"').option("multiLine", "true")
-             .option("recursiveFileLookup", str(recursive).lower()))
-        if glob:
-            r = r.option("pathGlobFilter", glob)
-        df = r.csv(paths if isinstance(paths, str) else list(paths))
-        df = df.withColumn("_source_path", F.col("_metadata.file_path"))
-        frames.append(df.filter(F.col("_source_path").isin(files)))
-    return frames
-
-
-def all_utf8(spark: SparkSession, paths: str | Sequence[str]) -> bool:
-    """Whether every line of the files is valid UTF-8."""
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return lines.filter(~F.is_valid_utf8("value")).isEmpty()
+    return record_frames(spark, paths, recursive, glob, skip_name_parts)
 
 
 def period_from_path(df: DataFrame, path_col: str = "_source_path",
@@ -176,49 +129,44 @@ def period_from_path(df: DataFrame, path_col: str = "_source_path",
     })
 
 
-def header_columns(spark: SparkSession, paths: str | Sequence[str], sep: str,
-                   encoding: str) -> list[str]:
-    """Column names of a delimited file's header, decoded with its encoding
-    (reading a header only touches the first line)."""
-    r = (spark.read.option("header", "true").option("inferSchema", "false")
-         .option("sep", sep).option("encoding", encoding).option("escape", '"'))
-    return r.csv(paths if isinstance(paths, str) else list(paths)).columns
-
-
 def read_tolerant(spark: SparkSession, paths: str | Sequence[str],
                   columns: Sequence[str] | None = None,
                   sep: str | None = None, encoding: str | None = None,
                   tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Tolerant all-text scan (S10, decision D19).
 
-    Rows with more fields than the header are dropped; short rows are kept
-    with NULLs; any missing-value token becomes NULL. Without ``columns`` the
-    names come from the file's own header (in file order), so later steps
-    map them by name; the dialect is sniffed when not given.
+    Fields are counted on whole records, so separators and line breaks inside
+    quotes count for nothing: records with more fields than the header are
+    dropped, short ones are kept with NULLs, and any missing-value token
+    becomes NULL. Without ``columns`` the names come from each file's own
+    header, so later steps map them by name; the dialect is sniffed when not
+    given.
     """
-    if sep is None or encoding is None:
-        head = header_line(spark, paths, recursive=False, glob=None, skip_name_parts=())
-        d = sniff_dialect(head or ";")
-        sep = sep or d["sep"]
-        encoding = encoding or ("UTF-8" if all_utf8(spark, paths) else "ISO-8859-1")
-    if columns is None:
-        columns = header_columns(spark, paths, sep, encoding)
-    schema = StructType([StructField(c, StringType()) for c in columns]
-                        + [StructField(CORRUPT, StringType())])
-    df = (spark.read.schema(schema).option("header", "true").option("sep", sep)
-          .option("encoding", encoding).option("escape", '"').option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .csv(paths if isinstance(paths, str) else list(paths)))
-    # separators inside quotes do not count
-    bare = F.regexp_replace(F.col(CORRUPT), r'"(?:[^"]|"")*"', "")
-    n_fields = F.size(F.split(bare, F.lit(_regex_quote(sep)), -1))
-    too_long = F.col(CORRUPT).isNotNull() & (n_fields > len(columns))
-    kept = df.filter(~too_long | F.col(CORRUPT).isNull())
-    return kept.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in columns])
-
-
-def _regex_quote(s: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
+    frames = record_frames(spark, paths, recursive=False, sep=sep, encoding=encoding, tolerant=True, columns=columns)
+    rows = union_all(frames).drop("_source_path") if frames else empty_frame(spark, columns or [])
+    return rows.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in rows.columns])
+
+
+def read_ranked(spark: SparkSession, path: str, schema: StructType | str, sep: str = ";",
+                encoding: str = "UTF-8", position: str = "pos") -> DataFrame:
+    """An exported table with the place of each row in the export.
+
+    A globally sorted write numbers its files in order, and a row's place in a
+    file is its order. Rows are numbered without a sort: each piece of a file
+    counts its own, and the counts of the pieces before it (one row a piece)
+    are added. The rows are written once, so that both see the same pieces.
+    """
+    rows = (spark.read.schema(schema).option("header", "true").option("sep", sep).option("encoding", encoding)
+            .option("escape", '"').csv(path))
+    base = scratch_path(spark, f"ranked/{uuid.uuid4().hex}")
+    rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                F.monotonically_increasing_id().alias("_at")).write.parquet(base)
+    rows = spark.read.parquet(base)
+    pieces = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_block")) - F.col("_n")
+    pieces = pieces.select("_file", "_block", (before - F.col("_first")).alias("_shift"))
+    placed = rows.join(pieces, ["_file", "_block"]).withColumn(position, F.col("_at") + F.col("_shift") + 1)
+    return placed.drop("_file", "_block", "_at", "_shift")
 
 
 def read_staging(spark: SparkSession, path: str | Sequence[str], schema: StructType,

@@ -62,3 +62,14 @@ class Output:
             self.system.move(self.part, self.name)
         else:
             self.system.delete_file(self.part)
+
+
+def move_single(spark, folder: str, path: str) -> None:
+    """Move the one data file of a written folder to ``path``, on the cluster's file system."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    source = make(folder)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in system.listStatus(source) if s.getPath().getName().startswith("part-")]
+    system.mkdirs(make(path).getParent())
+    if not system.rename(part, make(path)):
+        raise OSError(f"{path} could not be written")
