@@ -22,7 +22,7 @@ file is split, whatever it holds:
 
 A record is a task's to hold, and so is a piece (``spark.sql.files.
 maxPartitionBytes``); a file is not. Nothing is grouped by file but a row a
-piece. A compressed file is one piece, as its bytes can only be read in order.
+piece. The table of files is written, so joins with it know its size. A compressed file is one piece, as its bytes can only be read in order.
 
 Quoting is as CSV readers elsewhere take it: a quote opens a field only at its
 start, two within it stand for one, and text after the closing quote belongs
@@ -43,7 +43,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.joins import maybe_broadcast
 from ..session import scratch_path
 
 SEPARATORS = (";", ",", "\t")
@@ -209,7 +208,8 @@ def store_lines(spark: SparkSession, paths: str | Sequence[str], base: str, recu
 
 def store_files(lines: DataFrame, base: str, sep: str | None = None, encoding: str | None = None) -> DataFrame:
     """Step 2: one row per file."""
-    flags = lines.groupBy("file").agg(F.bool_and("utf8").alias("utf8"), F.bool_or("quoted").alias("quoted"))
+    flags = lines.groupBy("file").agg(
+        F.bool_and("utf8").alias("utf8"), F.bool_or("quoted").alias("quoted"), (F.max("block") > 0).alias("many"))
     head = lines.filter("block = 0").groupBy("file").agg(F.min_by("line", "at").alias("head"), F.min("at").alias("first"))
     files = flags.join(head, "file")
     if encoding is not None:
@@ -219,19 +219,22 @@ def store_files(lines: DataFrame, base: str, sep: str | None = None, encoding: s
     if sep is None:
         for s in reversed(SEPARATORS):
             found = F.when(F.contains(text, F.lit(s)), F.lit(s)).otherwise(found)
-    files = files.select("file", "utf8", "quoted", "first", text.alias("head"), found.alias("sep"))
+    files = files.select("file", "utf8", "quoted", "many", "first", text.alias("head"), found.alias("sep"))
     files.write.parquet(f"{base}/files")
     return lines.sparkSession.read.parquet(f"{base}/files")
 
 
 def _quoted_records(lines: DataFrame, files: DataFrame, base: str) -> DataFrame:
     """Step 4: (file, block, at, fields) of the files that have quotes."""
-    some = maybe_broadcast(files.filter("quoted").select("file", "utf8", "sep"))
+    some = files.filter("quoted").select("file", "utf8", "sep", "many")
     mine = lines.drop("utf8").join(some, "file")
-    maps = mine.filter("quoted").select("file", "block", "at", "line", "sep").groupBy("file", "block").applyInArrow(
+    # a file of one piece begins outside
+    maps = mine.filter("quoted and many").select("file", "block", "at", "line", "sep").groupBy("file", "block").applyInArrow(
         _block_map, "file string, block long, from_out boolean, from_in boolean, closes boolean")
-    blocks = lines.select("file", "block").distinct().join(some.select("file"), "file")
+    blocks = lines.select("file", "block").distinct().join(some.filter("many").select("file"), "file")
     begin = blocks.join(maps, ["file", "block"], "left").groupBy("file").applyInArrow(_begin, "file string, block long, since long")
+    alone = files.filter("quoted and not many")
+    begin = begin.union(alone.select("file", F.lit(0).cast("long").alias("block"), F.lit(None).cast("long").alias("since")))
     rows = mine.select("file", "block", "at", "line", "sep", "utf8")
     (rows.groupBy("file", "block").cogroup(begin.groupBy("file", "block")).applyInArrow(_parse_block, _PARSED)
      .write.parquet(f"{base}/parsed"))
@@ -264,14 +267,14 @@ def store_records(spark: SparkSession, paths: str | Sequence[str], base: str, re
     plain = files.filter("not quoted")
     plain_heads = plain.select("file", _split(F.col("head"), sep).alias("header")).select("file", layout, "header")
     parts = [plain_heads]
-    body = lines.drop("utf8").join(maybe_broadcast(plain.select("file", "utf8", "sep", "first")), "file")
+    body = lines.drop("utf8").join(plain.select("file", "utf8", "sep", "first"), "file")
     text = F.rtrim(_in_file_encoding(F.col("line")), F.lit("\r"))
     body = body.filter(~((F.col("block") == 0) & (F.col("at") == F.col("first")))).select("file", "sep", text.alias("text"))
     bodies = [body.filter("text <> ''").select("file", _split(F.col("text"), sep).alias("fields"))]
 
     if not files.filter("quoted").isEmpty():
         records = _quoted_records(lines, files, base)
-        whose = maybe_broadcast(files.filter("quoted").select("file", "first"))
+        whose = files.filter("quoted").select("file", "first")
         marked = records.join(whose, "file").withColumn("is_head", (F.col("block") == 0) & (F.col("at") == F.col("first")))
         parts.append(marked.filter("is_head").select("file", F.col("fields").alias("header")).select("file", layout, "header"))
         rest = marked.filter(~F.col("is_head") & (F.size("fields") > 0))
@@ -281,7 +284,7 @@ def store_records(spark: SparkSession, paths: str | Sequence[str], base: str, re
     heads.write.parquet(f"{base}/heads")
     heads = spark.read.parquet(f"{base}/heads")
     body = bodies[0] if len(bodies) == 1 else bodies[0].union(bodies[1])
-    stored = body.join(maybe_broadcast(heads.select("file", "layout")), "file")
+    stored = body.join(heads.select("file", "layout"), "file")
     stored.write.partitionBy("layout").parquet(f"{base}/records")
     return spark.read.schema("file string, fields array<string>, layout string").parquet(f"{base}/records"), heads
 
