@@ -1347,3 +1347,28 @@ def k03_refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [snapshots.read(t).agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("double").alias("total"))
               for t, name, c in (("dimension", "operadoras", "registro_ans"), ("fact", "despesas", "valor_despesa"), ("mart", "agregadas", "total"))]
     return counts[0].union(counts[1]).union(counts[2])
+
+
+@register("s09_spreadsheet", """
+SELECT CAST(o_orderkey AS VARCHAR) AS chave, strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00' AS data,
+       CAST(o_totalprice AS DOUBLE) AS total, CASE WHEN o_orderstatus = 'O' THEN 'True' ELSE 'False' END AS aberto,
+       'São <' || o_orderpriority || '>' AS nota, strftime(o_orderdate, '%Y-%m-%d') || ' 12:34:56' AS hora
+FROM orders
+""")
+def s09_spreadsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed cells of workbooks written from the orders, read back as text."""
+    from ..sinks.workbooks import write_workbooks
+    from ..sources.archives import parse_members, read_spreadsheets
+    from ..sources.tables import read_table
+
+    folder = scratch_folder(spark, "s09")
+    rows = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("chave"), F.col("o_orderdate").cast("date").alias("data"),
+        F.col("o_totalprice").cast("double").alias("total"), (F.col("o_orderstatus") == "O").alias("aberto"),
+        F.concat(F.lit("São <"), "o_orderpriority", F.lit(">")).alias("nota"),
+        F.to_timestamp(F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" 12:34:56"))).alias("hora"))
+    write_workbooks(rows, folder, F.concat((F.col("chave") % 12).cast("string"), F.lit("/livro.xlsx")))
+    stored = scratch_folder(spark, "s09")
+    read_spreadsheets(spark, folder).write.parquet(stored)
+    (frame,) = parse_members(spark.read.parquet(stored))
+    return frame.drop("_source_path").withColumn("total", F.col("total").cast("double"))

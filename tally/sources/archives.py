@@ -22,9 +22,11 @@ import itertools
 import lzma
 import math
 import uuid
+import xml.etree.ElementTree as ET
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
+from typing import BinaryIO
 
 import pandas as pd
 import pyarrow as pa
@@ -35,6 +37,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from ..session import scratch_path
 from .delimited import SKIP_NAME_PARTS, sniff_dialect
 from .files import DIRECT, open_input, scheme_of
+from .workbooks import sheet_records
 
 RECORDS_SCHEMA = StructType([
     StructField("archive", StringType()),
@@ -203,6 +206,12 @@ def _files(spark: SparkSession, paths: str | Sequence[str], glob: str) -> DataFr
             .load(paths if isinstance(paths, str) else list(paths)))
 
 
+def _direct(files: DataFrame) -> bool:
+    """Whether tasks can read parts of all these files."""
+    schemes = files.select(F.regexp_extract("path", "^[^:]+:/", 0)).distinct().collect()
+    return {scheme_of(r[0]) for r in schemes} <= set(DIRECT)
+
+
 def archive_members(spark: SparkSession, paths: str | Sequence[str],
                     extensions: Sequence[str] = (".csv",),
                     skip_name_parts: Sequence[str] = SKIP_NAME_PARTS,
@@ -248,8 +257,7 @@ def archive_records(spark: SparkSession, paths: str | Sequence[str],
     archive is one value of one task, up to the 2 GB of such a value.
     """
     ext, skip = tuple(extensions), tuple(skip_name_parts)
-    schemes = {scheme_of(r[0]) for r in _files(spark, paths, glob).select(F.regexp_extract("path", "^[^:]+:/", 0)).distinct().collect()}
-    if not schemes <= set(DIRECT):
+    if not _direct(_files(spark, paths, glob)):
         return _files(spark, paths, glob).select("path", "content").mapInPandas(
             lambda it: _expand(it, ext, skip), RECORDS_SCHEMA)
     members = archive_members(spark, paths, extensions, skip_name_parts, glob)
@@ -293,77 +301,45 @@ def archive_errors(records: DataFrame) -> DataFrame:
     return records.filter(F.col("error").isNotNull()).select("archive", "error")
 
 
-# The XML namespaces of the spreadsheet (OOXML) package parts.
-_NS_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_NS_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-_NS_PKG = "{http://schemas.openxmlformats.org/package/2006/relationships}"
-
+_SHEET_DAMAGE = (*_DAMAGE, IndexError, AttributeError, StopIteration, ET.ParseError)
 
-def _col_index(ref: str) -> int:
-    n = 0
-    for ch in ref:
-        if not ch.isalpha():
-            break
-        n = n * 26 + (ord(ch.upper()) - 64)
-    return n - 1
 
+def _expand_sheets(books: Iterator[tuple[str, BinaryIO]]) -> Iterator[pa.RecordBatch]:
+    """Records of sound workbooks; one error row for a damaged one.
 
-def _first_sheet(zf: zipfile.ZipFile) -> tuple[str, str]:
-    import xml.etree.ElementTree as ET
+    A workbook is read through once before its first record goes out.
+    """
+    for path, handle in books:
+        try:
+            with zipfile.ZipFile(handle) as zf:
+                for _ in sheet_records(zf):
+                    pass
+        except _SHEET_DAMAGE as e:
+            yield _rows([(path, None, None, None, None, f"{type(e).__name__}: {e}")], _COLUMNS, _RECORD_TYPES)
+            continue
+        out, size = [], 0
+        with zipfile.ZipFile(handle) as zf:
+            for i, (sheet, fields) in enumerate(sheet_records(zf)):
+                out.append((path, sheet, i, fields, None, None))
+                size += sum(len(c) for c in fields if c)
+                if len(out) >= _CHUNK or size >= _CHUNK_CHARS:
+                    yield _rows(out, _COLUMNS, _RECORD_TYPES)
+                    out, size = [], 0
+        if out:
+            yield _rows(out, _COLUMNS, _RECORD_TYPES)
 
-    book = ET.fromstring(zf.read("xl/workbook.xml"))
-    sheet = book.find(f"{_NS_MAIN}sheets/{_NS_MAIN}sheet")
-    rid = sheet.get(f"{_NS_REL}id")
-    rels = ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))
-    target = next(r.get("Target") for r in rels.iter(f"{_NS_PKG}Relationship") if r.get("Id") == rid)
-    target = target.lstrip("/")
-    return sheet.get("name"), target if target.startswith("xl/") else "xl/" + target
 
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, BinaryIO]]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            with open_input(path) as f:
+                yield path, f
 
-def _xlsx_records(content: bytes):
-    """Rows of the first sheet as lists of cell text (``None`` for empty cells)."""
-    import xml.etree.ElementTree as ET
 
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        shared: list[str] = []
-        if "xl/sharedStrings.xml" in zf.namelist():
-            for _, el in ET.iterparse(zf.open("xl/sharedStrings.xml")):
-                if el.tag == f"{_NS_MAIN}si":
-                    shared.append("".join(t.text or "" for t in el.iter(f"{_NS_MAIN}t")))
-                    el.clear()
-        name, part = _first_sheet(zf)
-        for _, el in ET.iterparse(zf.open(part)):
-            if el.tag != f"{_NS_MAIN}row":
-                continue
-            cells: dict[int, str | None] = {}
-            for c in el.iter(f"{_NS_MAIN}c"):
-                kind, v = c.get("t"), c.find(f"{_NS_MAIN}v")
-                if kind == "s" and v is not None:
-                    text = shared[int(v.text)]
-                elif kind == "inlineStr":
-                    text = "".join(t.text or "" for t in c.iter(f"{_NS_MAIN}t"))
-                else:
-                    text = v.text if v is not None else None
-                cells[_col_index(c.get("r", "A"))] = text
-            width = max(cells) + 1 if cells else 0
-            yield name, [cells.get(i) for i in range(width)]
-            el.clear()
-
-
-def _expand_xlsx(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    out: list[tuple] = []
+def _loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, BinaryIO]]:
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                for i, (sheet, rec) in enumerate(_xlsx_records(content)):
-                    out.append((path, sheet, i, rec, None, None))
-                    if len(out) >= _CHUNK:
-                        yield pd.DataFrame(out, columns=_COLUMNS)
-                        out = []
-            except (zipfile.BadZipFile, KeyError, OSError, ValueError, StopIteration) as e:
-                out.append((path, None, None, None, None, f"{type(e).__name__}: {e}"))
-    if out:
-        yield pd.DataFrame(out, columns=_COLUMNS)
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            yield path, io.BytesIO(content.as_py())
 
 
 def read_spreadsheets(spark: SparkSession, paths: str | Sequence[str],
@@ -372,15 +348,13 @@ def read_spreadsheets(spark: SparkSession, paths: str | Sequence[str],
     :func:`archive_records` (``member`` = sheet name), so
     :func:`parse_members` names the columns from the header row.
 
-    The workbook package is read with the standard ``zipfile`` and a
-    streaming XML parser on the executors (no spreadsheet library needed);
-    cell text is kept as stored: shared and inline strings, numbers as
-    written in the file.
+    Cells become text as :mod:`tally.sources.workbooks` says: dates, times and
+    logical values by their kind, numbers without a needless point.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][lL][sS][xX]")
-             .option("recursiveFileLookup", "true")
-             .load(paths if isinstance(paths, str) else list(paths)))
+    files = _files(spark, paths, "*.[xX][lL][sS][xX]")
     name = F.lower(F.element_at(F.split(F.col("path"), "/"), -1))
     for part in skip_name_parts:
         files = files.filter(~name.contains(part))
-    return files.select("path", "content").mapInPandas(_expand_xlsx, RECORDS_SCHEMA)
+    if _direct(files):
+        return files.select("path").repartition("path").mapInArrow(lambda it: _expand_sheets(_opened(it)), RECORDS_SCHEMA)
+    return files.select("path", "content").mapInArrow(lambda it: _expand_sheets(_loaded(it)), RECORDS_SCHEMA)
