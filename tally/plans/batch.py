@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_key, digits_key
 from ..operators.ordering import asc, desc, ranked
+from ..operators.search_index import SearchIndex
 from ..operators.quality import cnpj_audit, referential_audit
 from ..operators.sets import union_all
 from ..session import scratch_path
@@ -32,7 +33,7 @@ from .warehouse import load_dimension, load_fact, load_mart
 
 # what one refresh publishes together
 TABLES = ("ledger", "registry", "mart", "mart_table", "dimension", "quarantine", "fact",
-          "audit_cnpj", "audit_orphans", "audit_archives")
+          "audit_cnpj", "audit_orphans", "audit_archives", "search/postings", "search/counts")
 # a sum of money amounts
 TOTAL = "decimal(25,2)"
 
@@ -111,6 +112,7 @@ class Warehouse:
     orphan_audit: DataFrame
     rejected_amounts: DataFrame
     archive_errors: DataFrame
+    search_index: SearchIndex
 
 
 def build_warehouse(
@@ -177,6 +179,7 @@ def build_warehouse(
     dim, bad = load_dimension(registry)
     write_lookup(dim, f"{base}/dimension", ["cnpj_digits", "registro_ans"])
     dim = spark.read.parquet(f"{base}/dimension")
+    index = SearchIndex.build(dim, f"{base}/search")
     write_table(bad, f"{base}/quarantine")
     staging = ledger.withColumn(
         "ValorDespesas", F.replace(F.col("ValorDespesas").cast("string"), F.lit("."), F.lit(",")))
@@ -210,4 +213,5 @@ def build_warehouse(
         orphan_audit=spark.read.parquet(f"{base}/audit_orphans"),
         rejected_amounts=rejected,
         archive_errors=spark.read.parquet(f"{base}/audit_archives"),
+        search_index=index,
     )

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.search_index import SearchIndex
 from . import serving
 
 VIEW_NAMES = {"dimension": "operadoras", "fact": "despesas_contabeis",
@@ -47,10 +48,11 @@ def _plain(v):
 class LedgerService:
     dim: DataFrame
     fact: DataFrame
+    index: SearchIndex | None = None  # of the dimension's names and tax ids
 
     def operators(self, page: int = 1, limit: int = 10, search: str | None = None) -> dict:
         """``{data: [...], total, page, limit}`` for one listing page."""
-        row = serving.listing(self.dim, search, page, limit).first()
+        row = serving.listing(self.dim, search, page, limit, index=self.index).first()
         return _plain(row)
 
     def operator(self, cnpj: str) -> dict | None:

@@ -13,15 +13,22 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_text
 from ..operators.aggregates import filtered_count
 from ..operators.filters import normalised_key_equals, search
+from ..operators.search_index import SearchIndex
 from ..operators.ordering import asc, desc, page, top_k
 
 LISTING_COLUMNS = ("registro_ans", "cnpj", "razao_social", "uf")
 
 
+def _found(dim: DataFrame, term: str | None, literal: bool, index: SearchIndex | None) -> DataFrame:
+    """The operators that match, through the search index where there is one."""
+    rows = dim.select(*LISTING_COLUMNS)
+    return search(rows, term, literal=literal) if index is None else index.search(rows, term, literal=literal)
+
+
 def listing_rows(dim: DataFrame, term: str | None = None, page_no: int = 1,
-                 limit: int = 10, literal: bool = False) -> DataFrame:
+                 limit: int = 10, literal: bool = False, index: SearchIndex | None = None) -> DataFrame:
     """One page of the operator listing ordered by key (F4 + T3)."""
-    found = search(dim.select(*LISTING_COLUMNS), term, literal=literal)
+    found = _found(dim, term, literal, index)
     return page(found, [asc("registro_ans")], page_no, limit)
 
 
@@ -34,15 +41,16 @@ def listing_rows_after(dim: DataFrame, term: str | None = None, after=None, limi
     return page_after(found, "registro_ans", after, limit)
 
 
-def listing_total(dim: DataFrame, term: str | None = None, literal: bool = False) -> DataFrame:
+def listing_total(dim: DataFrame, term: str | None = None, literal: bool = False,
+                  index: SearchIndex | None = None) -> DataFrame:
     """Number of operators matching the search."""
-    return filtered_count(search(dim.select(*LISTING_COLUMNS), term, literal=literal))
+    return filtered_count(_found(dim, term, literal, index))
 
 
 def listing(dim: DataFrame, term: str | None = None, page_no: int = 1, limit: int = 10,
-            literal: bool = False) -> DataFrame:
+            literal: bool = False, index: SearchIndex | None = None) -> DataFrame:
     """Envelope ``{data[], total, page, limit}`` as one row."""
-    rows = listing_rows(dim, term, page_no, limit, literal)
+    rows = listing_rows(dim, term, page_no, limit, literal, index)
     data = rows.agg(
         F.coalesce(
             F.sort_array(F.collect_list(F.struct(*LISTING_COLUMNS))),
@@ -50,7 +58,7 @@ def listing(dim: DataFrame, term: str | None = None, page_no: int = 1, limit: in
                            "razao_social:string,uf:string>>"),
         ).alias("data")
     )
-    total = listing_total(dim, term, literal)
+    total = listing_total(dim, term, literal, index)
     return one_row([data, total]).select(
         "data", "total", F.lit(page_no).alias("page"), F.lit(limit).alias("limit")
     )

@@ -1372,3 +1372,24 @@ def s09_spreadsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     read_spreadsheets(spark, folder).write.parquet(stored)
     (frame,) = parse_members(spark.read.parquet(stored))
     return frame.drop("_source_path").withColumn("total", F.col("total").cast("double"))
+
+
+SEARCH_TERMS = ("supplier#00000001", "ER#0000000", "0001", "9-", "%00_05%", "#", "nothing like it", "12", "/0000")
+_TERMS_SQL = ", ".join(f"('{t}')" for t in SEARCH_TERMS)
+
+
+@register("f04_search_index", with_ctes(body=f"""
+SELECT term, registro_ans, cnpj, razao_social FROM operadoras, (VALUES {_TERMS_SQL}) AS v(term)
+WHERE razao_social ILIKE '%' || term || '%' OR cnpj ILIKE '%' || term || '%'
+"""))
+def f04_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every operator found for each of several terms, through trigram postings of the dimension."""
+    from ..operators.search_index import SearchIndex
+    from ..operators.sets import union_all
+    from ..sinks.tables import write_lookup
+
+    folder = scratch_folder(spark, "f04")
+    write_lookup(operators_from_testdata(spark, sf_dir), f"{folder}/dimension", ["registro_ans"])
+    dim = spark.read.parquet(f"{folder}/dimension")
+    index = SearchIndex.build(dim, f"{folder}/search")
+    return union_all([index.search(dim, t).select(F.lit(t).alias("term"), "registro_ans", "cnpj", "razao_social") for t in SEARCH_TERMS])
