@@ -15,17 +15,20 @@ units, but not where the placeholders merely happen to line up.
 
 Plan: native functions only. The item windows are staged, so the planner
 broadcasts them if they are measured small, and otherwise sorts both sides,
-where adaptive execution splits a hot window. The document side carries three
-longs a window and form, and no text; only windows that match go on. Slot
+where adaptive execution splits a hot window. A document's words are split off
+and hashed once a form; a window's hash is made of its words'. The document
+side carries three longs a window and form, and no text; only windows that match go on. Slot
 values are read from candidate documents alone.
 
 Defined results: item windows with under ``MIN_LITERALS`` literal words say
 too little and do not count, unless the item has no other: then all its windows
 count, in the plain form. An item under five words is one window of all its
-words, plain. A null or empty text has no window; every distinct text of an
-item is searched, and the one most of which is found is reported; ``n_matched`` has the template
-windows where these alone reach the threshold; rows with a null item id are ignored; repeated rows of a document are judged as one, and a
-null ``doc_id`` is an id of its own; an empty table gives an empty result;
+words, plain; one under ``MIN_WORDS`` words is found only in a document that has
+no others, as such words stand in any text. A null or empty text has no window;
+every distinct text of an item is searched, and the one most of which is found
+is reported, with the windows that match in either form; rows with a null item
+id are ignored; repeated rows of a document are judged as one, and a null
+``doc_id`` is an id of its own; an empty table gives an empty result;
 other columns pass through ``decontaminate`` and are dropped by ``leaks``.
 """
 
@@ -39,6 +42,7 @@ from ._common import MAX_ID, order_id, staged, text_or_empty
 WINDOW = 5
 THRESHOLD = 0.8
 MIN_LITERALS = 2
+MIN_WORDS = 3
 NUMBER, UNIT, NAME = "\x01", "\x02", "\x03"
 
 # Unit words that make a slot when they follow a number.
@@ -51,16 +55,17 @@ UNITS = (
 )
 
 _NUMBER = r"(?<!\S)\S*?[0-9]\S*"
-_UNIT = r"(?i)(?<=\x01\s{1,8})(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")[.,;:!?)]*(?!\S)"
-_NAME = r"(?<!\S)\p{P}*\p{Lu}\S*"
+_UNIT = r"(?i)\x01(\s{1,8})(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")[.,;:!?)]*(?!\S)"
+# the look ahead turns most places away at once
+_NAME = r"(?=[\p{P}\p{Lu}])(?<!\S)\p{P}*+\p{Lu}\S*"
 _PUNCTUATION = r"^\p{P}+|\p{P}+$"
-_EDGES = r"(?<!\S)\p{P}+(?=[^\s\p{P}])|(?<=[^\s\p{P}])\p{P}+(?!\S)"
+_EDGES = r"(?=\p{P})(?:(?<!\S)\p{P}++(?=\S)|(?<=[^\s\p{P}])\p{P}++(?!\S))"
 
 
 def template(text: Column) -> Column:
     """The text with typed placeholders; it has the same white space, so words keep their positions."""
     t = F.regexp_replace(text, _NUMBER, NUMBER)
-    t = F.regexp_replace(t, _UNIT, UNIT)
+    t = F.regexp_replace(t, _UNIT, f"{NUMBER}$1{UNIT}")
     return F.lower(F.regexp_replace(t, _NAME, NAME))
 
 
@@ -73,22 +78,34 @@ def plain(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), _EDGES, "")
 
 
-def _hashes(words: Column, size: int, *more: Column) -> Column:
-    def of(w: Column) -> Column:
-        at = F.when(F.size(w) >= size, F.sequence(F.lit(1), F.size(w) - (size - 1)))
-        return F.transform(at, lambda i: F.xxhash64(F.slice(w, i, size), *more))
+def _windows(hashes: Column, size: int, *more: Column) -> Column:
+    """One hash for each window, from the hashes of its words; null where there are fewer words."""
+    at = F.sequence(F.lit(0), F.size(hashes) - size)
+    every = F.transform(at, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)], *more))
+    return F.when(F.size(hashes) >= size, every)
 
-    return F.transform(F.array(words), of)[0]
+
+def _of_words(words: Column, windows) -> Column:
+    """``windows(hashes)`` where each word is split off and hashed once."""
+    once = F.transform(words, lambda w: F.xxhash64(w))
+    return F.transform(F.array(once), windows)[0]
 
 
 def window_hashes(text: Column, size: int = WINDOW) -> Column:
-    """One hash for each window of template words, by position; the words are bound once."""
-    return _hashes(words_of(template(text)), size)
+    """One hash for each window of template words, by position."""
+    return _of_words(words_of(template(text)), lambda h: _windows(h, size))
+
+
+def plain_hashes(text: Column, *sizes: int) -> Column:
+    """For each size, one hash for each window of plain words, by position; never that of a template window.
+
+    Windows under ``MIN_WORDS`` words count only where they are the whole text.
+    """
 
+    def all_sizes(h: Column) -> Column:
+        return F.array(*[_windows(h, k, F.lit(k)) if k >= MIN_WORDS else F.when(F.size(h) == k, _windows(h, k, F.lit(k))) for k in sizes])
 
-def plain_hashes(text: Column, size: int = WINDOW) -> Column:
-    """One hash for each window of plain words, by position; never that of a template window."""
-    return _hashes(words_of(plain(text)), size, F.lit(size))
+    return _of_words(words_of(plain(text)), all_sizes)
 
 
 def item_texts(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -107,8 +124,8 @@ def item_windows(texts: DataFrame, size: int) -> DataFrame:
     w = texts.select("item_id", "v", words.alias("w"), F.posexplode(window_hashes(F.col("x"), size)).alias("ipos", "h"))
     literal = F.size(F.filter(F.slice("w", F.col("ipos") + 1, size), lambda x: ~x.isin(NUMBER, UNIT, NAME)))
     w = staged(w.filter(literal >= MIN_LITERALS).select("item_id", "v", "ipos", "h"), "item-windows")
-    whole = F.when(F.col("m") < size, F.array(*[F.coalesce(plain_hashes(F.col("x"), k)[0], F.lit(0)) for k in range(1, size)])[F.col("m") - 1])
-    h = F.when(F.col("m") < size, F.array(whole)).otherwise(plain_hashes(F.col("x"), size))
+    # a text under the window's size is one window of all its words
+    h = F.get(plain_hashes(F.col("x"), *range(1, size + 1)), F.least("m", F.lit(size)) - 1)
     p = texts.select("item_id", "v", F.posexplode(h).alias("ipos", "h"))
     key = ["item_id", "v"]
     p = p.join(w.select(*key, "ipos"), [*key, "ipos"], "left_semi").unionByName(p.join(w.select(*key), key, "left_anti"))
@@ -140,11 +157,11 @@ def leaks(
     short = sorted(r[0] for r in texts.filter(F.col("m") < size).select("m").distinct().collect())
     trimmed = F.trim(text_or_empty(text_col))
     keyed = docs.select(order_id(id_col).alias("d"), F.xxhash64(text_or_empty(text_col)).alias("t"), trimmed.alias("x"))
-    forms = [window_hashes(F.col("x"), size), *[plain_hashes(F.col("x"), k) for k in [*short, size]]]
-    forms = F.filter(F.array(*forms), lambda x: x.isNotNull())
+    forms = F.concat(F.array(window_hashes(F.col("x"), size)), plain_hashes(F.col("x"), *short, size))
+    forms = F.filter(forms, lambda x: x.isNotNull())
     found = keyed.select("d", "t", F.explode(forms).alias("f")).select("d", "t", F.posexplode("f").alias("pos", "h")).join(windows, "h")
     pair = ["d", "t", "item_id", "v"]
-    found = found.groupBy(*pair, "n", "pos", "ipos").agg(F.bool_or("plain").alias("plain"), F.bool_or(~F.col("plain")).alias("typed"))
+    found = found.groupBy(*pair, "n", "pos", "ipos").agg(F.bool_or("plain").alias("plain"))
     found = staged(found, "matched-windows")
     enough = F.col("hits") >= F.col("n") * threshold - 1e-9
     likely = found.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits")).filter(enough).select(*pair)
@@ -166,10 +183,7 @@ def leaks(
     torn = values.join(torn, [*line, "ikind", "ivalue"], "left_semi")
     torn = torn.select(*line, F.explode(F.sequence(F.col("iat") - (size - 1), "iat")).alias("ipos"), F.lit(True).alias("torn")).distinct()
     whole = found.join(torn, [*line, "ipos"], "left").filter("plain or torn is null")
-    typed = F.count_distinct(F.when(F.col("typed"), F.col("ipos")))
-    rows = whole.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits"), typed.alias("typed"), F.bool_and("plain").alias("same_slots")).filter(enough)
-    # where the template windows alone are enough, they are the ones reported
-    rows = rows.withColumn("hits", F.when(F.col("typed") >= F.col("n") * threshold - 1e-9, F.col("typed")).otherwise(F.col("hits")))
+    rows = whole.groupBy(*pair, "n").agg(F.count_distinct("ipos").alias("hits"), F.bool_and("plain").alias("same_slots")).filter(enough)
     # of several texts of an item, the one most of which is found
     best = F.struct(F.col("hits") / F.col("n"), "hits", "v", "n", "same_slots")
     return rows.groupBy("d", "t", "item_id").agg(F.max(best).alias("b")).select(

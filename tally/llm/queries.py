@@ -258,34 +258,57 @@ _WORDS = r"string_split_regex(trim(coalesce(text, '')), '[\x20\x09-\x0D]+')"
 _KINDS = f"""[CASE WHEN regexp_matches(w[i], '[0-9]') THEN chr(1)
     WHEN i > 1 AND regexp_matches(w[i - 1], '[0-9]') AND lower(regexp_replace(w[i], '[.,;:!?)]*$', '')) IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN chr(2)
     WHEN regexp_matches(w[i], '^\\pP*\\p{{Lu}}') THEN chr(3) ELSE lower(w[i]) END FOR i IN range(1, len(w) + 1)]"""
+_PLAIN = """[CASE WHEN regexp_matches(w[i], '^\\pP*$') THEN lower(w[i]) ELSE regexp_replace(lower(w[i]), '^\\pP+|\\pP+$', '', 'g') END FOR i IN range(1, len(w) + 1)]"""
 ORACLE["op8_decontaminate"] = rf"""
-WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-dt AS (SELECT doc_id, w, {_KINDS} AS k FROM dw),
-bw AS (SELECT item_id, {_WORDS} AS w FROM (SELECT item_id, min(coalesce(text, '')) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)),
-bt AS (SELECT item_id, w, {_KINDS} AS k FROM bw),
-dwin AS (SELECT doc_id, i AS pos, array_to_string(k[i:i+4], ' ') AS h FROM (SELECT doc_id, k, unnest(range(1, len(k) - 3)) AS i FROM dt)),
-bwin AS (SELECT item_id, i AS ipos, array_to_string(k[i:i+4], ' ') AS h FROM (SELECT item_id, k, unnest(range(1, len(k) - 3)) AS i FROM bt)
-    WHERE len(list_filter(k[i:i+4], lambda x: x NOT IN (chr(1), chr(2), chr(3)))) >= 2),
-sized AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS n FROM bwin),
-hit AS (SELECT DISTINCT doc_id, item_id, pos, ipos, pos - ipos AS shift, n FROM dwin JOIN sized USING (h)),
-likely AS (SELECT doc_id, item_id FROM hit GROUP BY doc_id, item_id, n HAVING count(DISTINCT ipos) >= n * 0.8 - 1e-9),
-cand AS (SELECT hit.* FROM hit JOIN likely USING (doc_id, item_id)),
-covered AS (SELECT DISTINCT doc_id, item_id, shift, unnest(range(ipos, ipos + 5)) AS iat FROM cand),
-aligned AS (
-    SELECT c.doc_id, c.item_id, c.shift, bt.k[c.iat] AS kind,
-        regexp_replace(lower(bt.w[c.iat]), '^\pP+|\pP+$', '', 'g') AS ivalue,
-        regexp_replace(lower(dt.w[c.iat + c.shift]), '^\pP+|\pP+$', '', 'g') AS value
-    FROM covered c JOIN bt USING (item_id) JOIN dt USING (doc_id) WHERE bt.k[c.iat] IN (chr(1), chr(2), chr(3))
-        AND dt.k[c.iat + c.shift] IN (chr(1), chr(2), chr(3))
+WITH dw AS (SELECT DISTINCT doc_id, coalesce(text, '') AS x, {_WORDS} AS w FROM documents),
+dt AS (SELECT doc_id, x, w, {_KINDS} AS k, {_PLAIN} AS p FROM dw),
+bw AS (SELECT DISTINCT item_id, trim(text) AS x, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL AND trim(coalesce(text, '')) <> ''),
+bt AS (SELECT item_id, x AS v, w, {_KINDS} AS k, {_PLAIN} AS p FROM bw),
+ball AS (SELECT item_id, v, i - 1 AS ipos, len(w) AS m, k[i:i+4] AS kw, array_to_string(p[i:i+4], ' ') AS h,
+    len(k) >= 5 AND len(list_filter(k[i:i+4], lambda x: x NOT IN (chr(1), chr(2), chr(3)))) >= 2 AS says
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM bt)),
+told AS (SELECT *, bool_or(says) OVER (PARTITION BY item_id, v) AS any_says FROM ball),
+bwin AS (SELECT *, count(*) OVER (PARTITION BY item_id, v) AS n FROM told WHERE says OR NOT any_says),
+bform AS (
+    SELECT item_id, v, ipos, n, m, 5 AS size, false AS plain, array_to_string(kw, ' ') AS h FROM bwin WHERE says
+    UNION ALL SELECT item_id, v, ipos, n, m, least(m, 5), true, h FROM bwin
 ),
-checked AS (
-    SELECT doc_id, item_id, shift, count(DISTINCT (kind, ivalue)) AS vals, count(DISTINCT (kind, ivalue, value)) AS pairs,
-        bool_and(ivalue = value) AS same FROM aligned GROUP BY ALL
-)
-SELECT c.doc_id, c.item_id, count(DISTINCT ipos) AS n_matched, n AS n_windows, bool_and(coalesce(same, true)) AS same_slots
-FROM cand c LEFT JOIN checked x ON c.doc_id = x.doc_id AND c.item_id = x.item_id AND c.shift = x.shift
-WHERE coalesce(vals = pairs, true)
-GROUP BY c.doc_id, c.item_id, n HAVING count(DISTINCT ipos) >= n * 0.8 - 1e-9
+dform AS (
+    SELECT doc_id, x, i - 1 AS pos, len(w) AS m, 5 AS size, false AS plain, array_to_string(k[i:i+4], ' ') AS h
+    FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM dt)
+    UNION ALL SELECT doc_id, x, i - 1, len(w), s, true, array_to_string(p[i:i+s-1], ' ')
+    FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS i FROM dt, (SELECT DISTINCT size AS s FROM bform))
+),
+hit AS (
+    SELECT d.doc_id, d.x, b.item_id, b.v, b.n, d.pos, b.ipos, d.pos - b.ipos AS shift, bool_or(b.plain) AS plain
+    FROM dform d JOIN bform b ON d.h = b.h AND d.plain = b.plain AND d.size = b.size AND (d.size >= 3 OR d.m = d.size) GROUP BY ALL
+),
+likely AS (SELECT doc_id, x, item_id, v FROM hit GROUP BY doc_id, x, item_id, v, n HAVING count(DISTINCT ipos) >= n * 0.8 - 1e-9),
+cand AS (SELECT hit.* FROM hit JOIN likely USING (doc_id, x, item_id, v)),
+covered AS (
+    SELECT doc_id, x, item_id, v, shift, iat, bool_or(plain) AS plain
+    FROM (SELECT *, unnest(range(ipos, ipos + 5)) AS iat FROM cand) GROUP BY ALL
+),
+slotted AS (
+    SELECT c.doc_id, c.x, c.item_id, c.v, c.shift, c.iat, bt.k[c.iat + 1] AS kind, regexp_replace(lower(bt.w[c.iat + 1]), '^\pP+|\pP+$', '', 'g') AS ivalue,
+        CASE WHEN c.plain THEN regexp_replace(lower(bt.w[c.iat + 1]), '^\pP+|\pP+$', '', 'g')
+             WHEN dt.k[c.iat + c.shift + 1] IN (chr(1), chr(2), chr(3)) THEN regexp_replace(lower(dt.w[c.iat + c.shift + 1]), '^\pP+|\pP+$', '', 'g') END AS value
+    FROM covered c JOIN bt ON c.item_id = bt.item_id AND c.v = bt.v JOIN dt ON c.doc_id IS NOT DISTINCT FROM dt.doc_id AND c.x = dt.x
+    WHERE bt.k[c.iat + 1] IN (chr(1), chr(2), chr(3))
+),
+torn AS (
+    SELECT DISTINCT s.doc_id, s.x, s.item_id, s.v, s.shift, unnest(range(s.iat - 4, s.iat + 1)) AS ipos
+    FROM slotted s JOIN (SELECT doc_id, x, item_id, v, shift, kind, ivalue FROM slotted WHERE value IS NOT NULL GROUP BY ALL HAVING min(value) <> max(value)) t
+      ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.x = t.x AND s.item_id = t.item_id AND s.v = t.v AND s.shift = t.shift AND s.kind = t.kind AND s.ivalue = t.ivalue
+    WHERE s.value IS NOT NULL
+),
+judged AS (
+    SELECT c.doc_id, c.x, c.item_id, c.v, c.n, count(DISTINCT c.ipos) AS hits, bool_and(c.plain) AS same
+    FROM cand c LEFT JOIN torn t ON c.doc_id IS NOT DISTINCT FROM t.doc_id AND c.x = t.x AND c.item_id = t.item_id AND c.v = t.v AND c.shift = t.shift AND c.ipos = t.ipos
+    WHERE c.plain OR t.ipos IS NULL GROUP BY ALL HAVING count(DISTINCT c.ipos) >= c.n * 0.8 - 1e-9
+),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, x, item_id ORDER BY hits / n DESC, hits DESC, v DESC) AS place FROM judged)
+SELECT doc_id, item_id, hits AS n_matched, n AS n_windows, same AS same_slots FROM best WHERE place = 1
 """
 
 
