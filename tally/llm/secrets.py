@@ -6,11 +6,13 @@ key ids and long hex runs. Weak parts (an identifier assignment, a bare
 reported only where complementary parts co-occur: the parts of a document
 are interval-joined by distance, and a weak identifier needs a secret, a
 weak key needs an identifier, and an endpoint needs both within ``scope``
-code points.
+code points. A part is never its own partner: only spans that share no
+character with it count, and an identifier whose value looks like a key is an
+identifier alone.
 
 Each document is judged on its own inside one Arrow task; there is no
-shuffle. The join is a binary search per part on sorted, non-overlapping
-intervals, so a very long text costs n log n of its finds.
+shuffle. The join is a binary search per part for the nearest partner on
+either side, so a very long text costs n log n of its finds.
 
 Defined results: a null or empty text has no spans; each row gets one result
 row, also repeated ones and ones with a null id; at equal start the order of
@@ -21,7 +23,7 @@ dropped.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -58,10 +60,17 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     return found
 
 
-def _near(spans: list[Span], at: Span, scope: int) -> bool:
-    """Whether one of the sorted, disjoint spans lies within ``scope`` of ``at``."""
-    k = bisect_left(spans, at)
-    return any(max(s - at[1], at[0] - e) <= scope for s, e in spans[max(k - 1, 0) : k + 1])
+class _Partners:
+    """Spans that a part may be linked with."""
+
+    def __init__(self, *lists: list[Span]):
+        self.starts = sorted(s for one in lists for s, _ in one)
+        self.ends = sorted(e for one in lists for _, e in one)
+
+    def near(self, at: Span, scope: int) -> bool:
+        """Whether a span without a character of ``at`` lies within ``scope`` of it: the nearest on either side."""
+        before, after = bisect_right(self.ends, at[0]) - 1, bisect_left(self.starts, at[1])
+        return (before >= 0 and at[0] - self.ends[before] <= scope) or (after < len(self.starts) and self.starts[after] - at[1] <= scope)
 
 
 def _clear_of(spans: list[Span], taken: list[Span]) -> list[Span]:
@@ -93,12 +102,13 @@ def secret_spans(text: str, scope: int = SCOPE) -> list[tuple[str, int, int]]:
     keys = [m.span() for m in KEY.finditer(text) if _mixed(m.group())]
     ends = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
     idents, keys, ends = (_clear_of(x, taken) for x in (idents, keys, ends))
+    keys = _clear_of(keys, idents)  # an identifier whose value looks like a key is one part
     if idents or keys or ends:
-        all_ids = _merged(found["access"], idents)
-        all_secrets = _merged(found["assign"], found["hex"], keys)
-        found["ident"] = [x for x in idents if _near(all_secrets, x, scope)]
-        found["key"] = [x for x in keys if _near(all_ids, x, scope)]
-        found["endpoint"] = [x for x in ends if _near(all_ids, x, scope) and _near(all_secrets, x, scope)]
+        all_ids = _Partners(found["access"], idents)
+        all_secrets = _Partners(found["assign"], found["hex"], keys)
+        found["ident"] = [x for x in idents if all_secrets.near(x, scope)]
+        found["key"] = [x for x in keys if all_ids.near(x, scope)]
+        found["endpoint"] = [x for x in ends if all_ids.near(x, scope) and all_secrets.near(x, scope)]
     return sorted(((k, s, e) for k, v in found.items() for s, e in v), key=lambda x: (x[1], KINDS.index(x[0])))
 
 
