@@ -11,6 +11,9 @@ folders with dynamic partition overwrite, so a replayed batch replaces
 exactly its own files (idempotent) and never touches rows that an earlier
 batch wrote for the same quarter.
 
+What a batch cannot take is written beside the target by batch: amounts beyond
+the money type (``rejected_path``) and unreadable archives (``errors_path``).
+
 There is no event-time logic here (the reference has none): no watermark or
 state store is needed, only exactly-once file tracking.
 """
@@ -24,8 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.filters import keep_rows
-from ..plans.consolidate import LEDGER_COLUMNS, LEDGER_TYPES, canonical_ledger
+from ..plans.consolidate import LEDGER_COLUMNS, LEDGER_TYPES, canonical_ledger, checked_ledger
 from ..session import scratch_path
 from ..sources.delimited import period_from_path
 
@@ -42,16 +44,46 @@ def ledger_stream(spark: SparkSession, landing: str, columns: Sequence[str],
     return raw.withColumn("_source_path", F.col("_metadata.file_path"))
 
 
-def shape_batch(raw: DataFrame, path_pattern: str = r"(\d{4})_T(\d)") -> DataFrame:
-    """Canonical ledger rows of one micro-batch (same rules as R9)."""
+def checked_batch(raw: DataFrame, path_pattern: str = r"(\d{4})_T(\d)") -> DataFrame:
+    """Canonical rows of one micro-batch (same rules as R9), with the amounts that the ledger cannot hold marked."""
     with_period = period_from_path(raw, "_source_path", path_pattern)
     shaped = canonical_ledger(with_period.drop("_source_path"), period_cols=("ano", "trimestre"))
     if shaped is None:
         # no value column (H3): no rows, with the types of the ledger
-        return with_period.limit(0).select(
-            *[F.lit(None).cast(LEDGER_TYPES[c]).alias(c) for c in LEDGER_COLUMNS])
-    shaped = shaped.withColumns({"CNPJ": F.lit("N/A"), "RazaoSocial": F.lit("N/A")})
-    return keep_rows(shaped.select(*LEDGER_COLUMNS), lambda r: r["ValorDespesas"] > 0)
+        none = {**{c: LEDGER_TYPES[c] for c in LEDGER_COLUMNS}, "ValorTexto": "string", "rejected": "boolean"}
+        return with_period.limit(0).select(*[F.lit(None).cast(t).alias(c) for c, t in none.items()])
+    return checked_ledger([shaped])
+
+
+def shape_batch(raw: DataFrame, path_pattern: str = r"(\d{4})_T(\d)") -> DataFrame:
+    """Canonical ledger rows of one micro-batch (same rules as R9)."""
+    return checked_batch(raw, path_pattern).filter(~F.col("rejected")).select(*LEDGER_COLUMNS)
+
+
+def rejected_path(target: str) -> str:
+    """Where the amounts beyond the money type go, as written, by batch."""
+    return target.rstrip("/") + "_rejected"
+
+
+def errors_path(target: str) -> str:
+    """Where the archives that could not be read go, with the error, by batch."""
+    return target.rstrip("/") + "_errors"
+
+
+def _write_checked(checked: DataFrame, target: str, staging: str, epoch_id: int) -> None:
+    """One pass over the batch's files, then the ledger rows and the rejected amounts from what it wrote.
+
+    Every folder holds the batch id, so a batch that runs again replaces its own rows.
+    """
+    spark = checked.sparkSession
+    path = f"{staging}/batch_id={epoch_id}"
+    checked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    stored = spark.read.schema(checked.schema).parquet(path)
+    rows = stored.filter(~F.col("rejected")).select(*LEDGER_COLUMNS).withColumn("batch_id", F.lit(epoch_id))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("Ano", "Trimestre", "batch_id").parquet(target))
+    bad = stored.filter("rejected").select("RegistroANS", "Ano", "Trimestre", "ValorTexto")
+    bad.write.mode("overwrite").parquet(f"{rejected_path(target)}/batch_id={epoch_id}")
 
 
 def start_ingest(spark: SparkSession, landing: str, target: str, columns: Sequence[str],
@@ -59,11 +91,10 @@ def start_ingest(spark: SparkSession, landing: str, target: str, columns: Sequen
                  sep: str = ";", encoding: str = "ISO-8859-1") -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
     stream = ledger_stream(spark, landing, columns, sep, encoding)
+    staging = scratch_path(spark, f"streams/{name}_checked")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = shape_batch(batch).withColumn("batch_id", F.lit(epoch_id))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("Ano", "Trimestre", "batch_id").parquet(target))
+        _write_checked(checked_batch(batch), target, staging, epoch_id)
 
     w = (stream.writeStream.queryName(name).foreachBatch(write_batch)
          .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))
@@ -84,7 +115,7 @@ def start_archive_ingest(spark: SparkSession, landing: str, target: str,
     the canonical rows go to the period/batch folders as in
     :func:`start_ingest`.
     """
-    from ..sources.archives import RECORDS_SCHEMA, _expand, parse_members
+    from ..sources.archives import RECORDS_SCHEMA, _expand, archive_errors, parse_members
     from ..sources.delimited import SKIP_NAME_PARTS
 
     # the binary source's fixed schema (streams must declare theirs)
@@ -100,7 +131,9 @@ def start_archive_ingest(spark: SparkSession, landing: str, target: str,
             lambda it: _expand(it, (".csv",), SKIP_NAME_PARTS), RECORDS_SCHEMA)
         path = f"{staging}/batch_id={epoch_id}"
         records.write.mode("overwrite").parquet(path)
-        frames = parse_members(spark.read.parquet(path))
+        stored = spark.read.parquet(path)
+        archive_errors(stored).write.mode("overwrite").parquet(f"{errors_path(target)}/batch_id={epoch_id}")
+        frames = parse_members(stored)
         shaped = []
         for raw in frames:
             raw = period_from_path(raw, "_source_path", path_pattern).drop("_source_path")
@@ -109,11 +142,7 @@ def start_archive_ingest(spark: SparkSession, landing: str, target: str,
                 shaped.append(part)
         if not shaped:
             return
-        from ..plans.consolidate import consolidate
-
-        rows = consolidate(shaped).withColumn("batch_id", F.lit(epoch_id))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("Ano", "Trimestre", "batch_id").parquet(target))
+        _write_checked(checked_ledger(shaped), target, f"{staging}_checked", epoch_id)
 
     w = (stream.writeStream.queryName(name).foreachBatch(write_batch)
          .option("checkpointLocation", scratch_path(spark, f"streams/{name}")))
