@@ -229,12 +229,14 @@ def _quoted_records(lines: DataFrame, files: DataFrame, base: str) -> DataFrame:
     some = files.filter("quoted").select("file", "utf8", "sep", "many")
     mine = lines.drop("utf8").join(some, "file")
     # a file of one piece begins outside
-    maps = mine.filter("quoted and many").select("file", "block", "at", "line", "sep").groupBy("file", "block").applyInArrow(
-        _block_map, "file string, block long, from_out boolean, from_in boolean, closes boolean")
-    blocks = lines.select("file", "block").distinct().join(some.filter("many").select("file"), "file")
-    begin = blocks.join(maps, ["file", "block"], "left").groupBy("file").applyInArrow(_begin, "file string, block long, since long")
-    alone = files.filter("quoted and not many")
-    begin = begin.union(alone.select("file", F.lit(0).cast("long").alias("block"), F.lit(None).cast("long").alias("since")))
+    begin = files.filter("quoted and not many").select(
+        "file", F.lit(0).cast("long").alias("block"), F.lit(None).cast("long").alias("since"))
+    if not files.filter("quoted and many").isEmpty():
+        maps = mine.filter("quoted and many").select("file", "block", "at", "line", "sep").groupBy("file", "block").applyInArrow(
+            _block_map, "file string, block long, from_out boolean, from_in boolean, closes boolean")
+        blocks = lines.select("file", "block").distinct().join(some.filter("many").select("file"), "file")
+        states = blocks.join(maps, ["file", "block"], "left").groupBy("file")
+        begin = begin.union(states.applyInArrow(_begin, "file string, block long, since long"))
     rows = mine.select("file", "block", "at", "line", "sep", "utf8")
     (rows.groupBy("file", "block").cogroup(begin.groupBy("file", "block")).applyInArrow(_parse_block, _PARSED)
      .write.parquet(f"{base}/parsed"))
