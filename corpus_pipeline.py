@@ -5,8 +5,13 @@ writes each stage's result to the shared checkpoint folder as Parquet and
 reads it back as the next stage's documents. All stages but the last keep the
 columns of ``documents``.
 
-Null and empty texts fail the quality rules; a document that loses all its
-lines stays as an empty text, of which near-dedup keeps one.
+Defined results: null and empty texts fail the quality rules; a document that
+loses all its lines stays as an empty text, of which near-dedup keeps one. Of
+repeated rows, and of documents that are near copies, the one with the smallest
+id stays; a null id counts as larger than every other. Very long texts are
+taken whole by every stage. Other columns, whatever their names, are kept as
+they are by all stages but the last, which has its own; ``n_chars`` follows the
+text and must be there. An empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations

@@ -541,3 +541,24 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         before, docs = docs, stage(spark, docs, sf)
         assert docs.columns == before.columns
+
+
+def test_pipeline_odd_cases(spark):
+    """Nulls, empty and long texts, repeated rows, clashing columns and an empty table, stage by stage."""
+    import corpus_pipeline
+
+    other = "other words follow here one by one until there are enough of them to make a text that passes every base rule at once"
+    rows = [(None, "null id " + BASE), (1, None), (2, ""), (3, BASE), (3, BASE), (4, BASE), (5, other), (6, "y " * 3000), (7, "word word")]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, item_id string, h long"
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "clash", 1) for i, t in rows], schema).repartition(2)
+    want = [[3, 3, 4, 5, None], [3, 3, 4, 5, None], [3, 4, 5], [3, 4, 5], None]
+    for table, expected in ((docs, want), (docs.filter("1 = 0"), [[], [], [], [], []])):
+        now = table
+        for (name, stage), ids in zip(corpus_pipeline.STAGES, expected, strict=True):
+            out = stage(spark, now, "/root/testdata/sf0.001")
+            found = out.collect()
+            if name == "packing":
+                assert {r.doc_id for r in found} == ({3, 4, 5} if ids is None else set())
+            else:
+                assert out.columns == docs.columns and sorted((r.doc_id for r in found), key=order) == ids, name
+            now = spark.createDataFrame(found, out.schema)
