@@ -2,25 +2,35 @@
 
 Texts are tokenised in the tasks that read them. Pieces of a full window are
 sequences by themselves; of each document only the rest (shorter than a
-window) takes part in the packing, as its token ids. The rests are dealt to
-shards by a hash of their row; the number of shards follows the number of
-documents, so a shard stays of one size and a hot source, or a group of
-copies, spreads over all of them. In a shard an inverted index with BM25
-weights is built over the words of the rests (ids from one word start to the
-next). Seeds are taken in order and searched with all their terms, in their
-shard alone; the unused neighbours of a seed, best score first and all that
-have a score, fill its window as far as they fit whole, until ``BLOCK`` that
-do not fit have been met; what then gapes is filled by cutting the best of
-those, whose remainder stays in the pool and is the next seed. Where a seed
-has no neighbour left, the documents just added are searched for; without any,
-the next unused rest follows. So every window is full.
-What is left at the end of a shard is cut into sequences whose lengths are
-powers of two: no padding at all.
-
-One shuffle, of token ids, crc and numbers; no text. Token ids are those of
-the ``tokenizers`` file. Where both give the same ids (plain Latin text
-without an added token), the same vocabulary is applied through ``tiktoken``,
-which is several times faster; anything else goes to ``tokenizers``.
+window) takes part in the packing, as its token ids.
+
+Related rests are brought together by content. A bounded sample (``SAMPLE``
+documents) gives k-means centres of their word vectors; every rest goes to the
+leaf of its nearest centre. The number of leaves follows the number of
+documents up to ``LEAVES``; a leaf that is larger is split by sign bits of the
+vector's difference from the centre, and what is still too large (a group of
+copies) is dealt by a hash, so a shard is bounded in documents and tokens, and
+a hot source or a third of all rows as copies spread over many.
+
+In a shard an inverted index with BM25 weights is built over the words of the
+rests (ids from one word start to the next). Document frequencies and the mean
+length are those of all documents: every shard counts its terms, the counts
+are added by term, and a shard gets those that two of its documents have.
+Seeds are taken in order and searched with all their terms in their shard; the
+unused neighbours of a seed, best score first and all that have a score, fill
+its window as far as they fit whole, until ``BLOCK`` that do not fit have been
+met; what then gapes is filled by cutting the best of those, whose remainder
+stays in the pool and is the next seed. Where a seed has no neighbour left, the
+documents just added are searched for; without any, the next unused rest
+follows. So every window is full. What is left at the end of a shard is cut
+into sequences whose lengths are powers of two: no padding at all.
+
+The rests are written once, as token ids; the driver gets the sample's ids
+(at most ``SAMPLE`` windows), one row per leaf, and no text. Token ids are
+those of the ``tokenizers`` file. Where both give the same ids (plain Latin
+text without an added token), the same vocabulary is applied through
+``tiktoken``, which is several times faster; anything else goes to
+``tokenizers``.
 
 Defined results: a null or empty text is the single id 1; repeated rows and
 null ids are documents of their own; ties go to the earlier row by id and
@@ -42,13 +52,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import U, mix
-from ._common import order_id, parts_for, text_or_empty
+from ._common import order_id, parts_for, staged, text_or_empty
 
 WINDOW = 2048
 END_ID = 1
-SHARD_DOCS = 2048
+SHARD_DOCS = 4096
+SHARD_MEAN = 1024
 K1, B = 1.2, 0.75
 BLOCK = 32
+DENSE = 12
+SAMPLE = 4096
+LEAVES = 128
+DIMS = 512
+BUCKETS = 1 << 16
+ROUNDS = 12
+CODE_BITS = 12
+DEAL_BITS = 22
+SEQUENCE_BITS = 22
+DOC_BITS = 20
+ROWS = 1024
+_SPREAD = U(0x9E3779B97F4A7C15)
 
 # Other characters than these may be classed differently by the two libraries' tables.
 _OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ]")
@@ -99,50 +122,130 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-class Index:
-    """BM25 over one shard. Terms are hashes of the ids of a word."""
+def words_of(rests: list[np.ndarray], opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of every word: the ids from one word start to the next."""
+    size = np.array([len(r) for r in rests])
+    ids = np.concatenate(rests)
+    start = opens[ids]
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    start[first] = True
+    at = np.flatnonzero(start)
+    place = np.arange(len(ids)) - np.repeat(at, np.diff(np.append(at, len(ids))))
+    term = mix(np.add.reduceat(mix(ids.astype(U) * _SPREAD + place.astype(U)), at))
+    return term, np.searchsorted(first, at, side="right") - 1
+
+
+class Postings:
+    """Documents and counts of every term of some documents; a term keeps the upper 44 bits of its hash."""
 
     def __init__(self, rests: list[np.ndarray], opens: np.ndarray):
-        n = len(rests)
-        size = np.array([len(r) for r in rests])
-        ids = np.concatenate(rests)
-        doc = np.repeat(np.arange(n), size)
-        start = opens[ids]
-        start[np.concatenate([[0], np.cumsum(size)[:-1]])] = True
-        at = np.flatnonzero(start)
-        place = np.arange(len(ids)) - np.repeat(at, np.diff(np.append(at, len(ids))))
-        term = np.add.reduceat(mix(ids.astype(U) * U(0x9E3779B97F4A7C15) + place.astype(U)), at)
-        term, doc = mix(term), doc[at]
-        words = np.bincount(doc, minlength=n)
-        order = np.lexsort((doc, term))
-        term, doc = term[order], doc[order]
-        new = np.ones(len(term), dtype=bool)
-        new[1:] = (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])
-        first = np.flatnonzero(new)
-        tf = np.diff(np.append(first, len(term)))
-        term, self.docs = term[first], doc[first]
-        head = np.ones(len(term), dtype=bool)
-        head[1:] = term[1:] != term[:-1]
-        self.begin = np.flatnonzero(head)
+        self.n = len(rests)
+        bits = U(DOC_BITS)
+        term, doc = words_of(rests, opens)
+        self.words = np.bincount(doc, minlength=self.n)
+        key = np.sort((term >> bits << bits) | doc.astype(U))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        self.tf = np.diff(np.append(first, len(key)))
+        key = key[first]
+        self.docs = (key & ((U(1) << bits) - U(1))).astype(np.int64)
+        term = key >> bits
+        self.begin = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+        self.term = term[self.begin].astype(np.int64)
         self.df = np.diff(np.append(self.begin, len(term)))
-        number = np.cumsum(head) - 1
-        idf = np.log1p((n - self.df + 0.5) / (self.df + 0.5))[number]
-        norm = K1 * (1 - B + B * words / max(words.mean(), 1))
-        self.weight = idf * tf * (K1 + 1) / (tf + norm[self.docs])
+
+
+class Index:
+    """BM25 over one shard.
+
+    ``total`` is the number and ``mean`` the mean length of all documents,
+    ``known`` the sorted terms of the shard that several of its documents have
+    and ``df`` how many of all documents have each; without them the shard is
+    all there is. Terms that many documents of the shard have lie as dense rows.
+    """
+
+    def __init__(self, p: Postings, total: int = 0, mean: float = 0.0, known: np.ndarray | None = None, df: np.ndarray | None = None):
+        n = self.n = p.n
+        whole = p.df
+        if known is not None:
+            whole = p.df.copy()
+            whole[np.searchsorted(p.term, known)] = df
+        total, mean = total or n, mean or float(p.words.mean())
+        number = np.repeat(np.arange(len(p.df)), p.df)
+        idf = np.log1p((total - whole + 0.5) / (whole + 0.5))[number]
+        norm = K1 * (1 - B + B * p.words / max(mean, 1))
+        self.weight = (idf * p.tf * (K1 + 1) / (p.tf + norm[p.docs])).astype(np.float32)
+        self.docs, self.begin, self.df = p.docs, p.begin, p.df
+        often = np.flatnonzero(p.df > max(n // DENSE, 1))
+        self.row = np.full(len(p.df), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n), dtype=np.float32)
+        at = self.row[number] >= 0
+        self.dense[self.row[number[at]], p.docs[at]] = self.weight[at]
         # per document, all its terms that occur elsewhere too
-        shared = np.flatnonzero(self.df[number] > 1)
-        mine = shared[np.lexsort((number[shared], self.docs[shared]))]
-        self.query, self.query_at = number[mine], np.searchsorted(self.docs[mine], np.arange(n + 1))
-        self.n = n
+        shared = np.flatnonzero(p.df[number] > 1)
+        mine = shared[np.argsort(p.docs[shared], kind="stable")]
+        self.query, self.query_at = number[mine], np.searchsorted(p.docs[mine], np.arange(n + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         q = self.query[self.query_at[seed] : self.query_at[seed + 1]]
-        if not len(q):
-            return np.zeros(self.n)
-        spans = [slice(b, b + d) for b, d in zip(self.begin[q], self.df[q], strict=True)]
-        return np.bincount(
-            np.concatenate([self.docs[s] for s in spans]), weights=np.concatenate([self.weight[s] for s in spans]), minlength=self.n
-        )
+        row = self.row[q]
+        out = np.zeros(self.n, dtype=np.float32)
+        for r in row[row >= 0].tolist():
+            out += self.dense[r]
+        q = q[row < 0]
+        if len(q):
+            size = self.df[q]
+            at = np.repeat(self.begin[q] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            out += np.bincount(self.docs[at], weights=self.weight[at], minlength=self.n).astype(np.float32)
+        return out
+
+
+class Router:
+    """Leads a document to a leaf of related ones, and tells by sign bits where in the leaf it lies.
+
+    A document is the signed sum, in ``DIMS`` columns, of the weights of its
+    words; a word's weight is that of its bucket, by the documents of a bounded
+    sample that fill the bucket. Leaves are spherical k-means centres of the sample.
+    """
+
+    def __init__(self, rests: list[np.ndarray], opens: np.ndarray, leaves: int):
+        self.opens = opens
+        self.weight = np.ones(BUCKETS, dtype=np.float32)
+        self.centres = np.zeros((1, DIMS), dtype=np.float32)
+        rng = np.random.default_rng(1)
+        self.planes = rng.choice(np.array([-1, 1], dtype=np.float32), (DIMS, CODE_BITS))
+        if not rests or leaves < 2:
+            return
+        term, doc = words_of(rests, opens)
+        pair = np.unique(doc * BUCKETS + (term >> U(40)).astype(np.int64) % BUCKETS)
+        df = np.bincount(pair % BUCKETS, minlength=BUCKETS)
+        self.weight = np.log1p((len(rests) - df + 0.5) / (df + 0.5)).astype(np.float32)
+        x, _ = self.vectors(rests)
+        centres = x[rng.permutation(len(x))[:leaves]]
+        for _ in range(ROUNDS):
+            leaf = (x @ centres.T).argmax(axis=1)
+            total = np.zeros_like(centres)
+            np.add.at(total, leaf, x)
+            size = np.linalg.norm(total, axis=1, keepdims=True)
+            centres = np.where(size > 0, total / np.maximum(size, 1e-9), centres)
+        self.centres = centres
+
+    def vectors(self, rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vectors, and the number of words."""
+        term, doc = words_of(rests, self.opens)
+        weight = self.weight[(term >> U(40)).astype(np.int64) % BUCKETS]
+        weight = np.where(term & U(1), weight, -weight)
+        column = (term >> U(1)).astype(np.int64) % DIMS
+        x = np.bincount(doc * DIMS + column, weights=weight, minlength=len(rests) * DIMS).reshape(-1, DIMS).astype(np.float32)
+        x = np.sign(x) * np.sqrt(np.abs(x))
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), np.bincount(doc, minlength=len(rests))
+
+    def places(self, rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf, code and number of words of every document."""
+        x, words = self.vectors(rests)
+        leaf = (x @ self.centres.T).argmax(axis=1)
+        bits = (x - self.centres[leaf]) @ self.planes > 0
+        return leaf, bits @ (1 << np.arange(CODE_BITS)[::-1]), words
 
 
 def best_first(score: np.ndarray) -> Iterator[int]:
@@ -236,9 +339,10 @@ def powers_of_two(line: list[Piece]) -> list[list[Piece]]:
 
 
 _MIDDLE = [
-    ("shard", pa.int32()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-    ("crc", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary()),
+    ("leaf", pa.int32()), ("code", pa.int32()), ("salt", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()),
+    ("length", pa.int64()), ("crc", pa.int64()), ("doc_tokens", pa.int64()), ("words", pa.int64()), ("ids", pa.binary()),
 ]
+_PACKED = ["shard", "doc_id", "tie", "start", "length", "crc", "doc_tokens", "ids"]
 _OUT = [
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -255,55 +359,128 @@ def _table(fields: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.Table
     return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
+def _sampled(docs: DataFrame, n_docs: int, window: int, files: tuple[str, str | None], text_col: str) -> list[np.ndarray]:
+    """The rests of about ``SAMPLE`` documents, as token ids: at most 4 bytes a token of a window each."""
+
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(*files)
+        for batch in batches:
+            ids = (enc.ids(t) for t in batch.column(0).to_pylist())
+            yield pa.record_batch([pa.array([x[len(x) - len(x) % window :].tobytes() for x in ids], pa.binary())], names=["ids"])
+
+    some = docs.sample(min(1.0, SAMPLE / n_docs), seed=1).select(text_or_empty(text_col).alias("t"))
+    dtype = encoder(*files).dtype
+    return [x for x in (np.frombuffer(r.ids, dtype=dtype) for r in some.mapInArrow(tokenise, "ids binary").collect()) if len(x)]
+
+
+def placed(
+    docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, files: tuple[str, str | None] | None = None,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> tuple[DataFrame, int, float]:
+    """Full pieces and rests with the ``shard`` of each; number of the rests, and their mean length in words."""
+    files = files or tokenizer_files()
+    json_path, ranks_path = files
+    n_docs = docs.count()
+    leaves = min(parts_for(n_docs, shard_docs, least=1), LEAVES)
+    opens = encoder(json_path, ranks_path).opens
+    router = Router(_sampled(docs, n_docs, window, files, text_col) if leaves > 1 else [], opens, leaves)
+
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(json_path, ranks_path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                yield from rows_of(enc, *(batch.column(i).slice(at, ROWS).to_pylist() for i in range(3)))
+
+    def rows_of(enc: Encoder, doc_ids: list, ties: list, texts: list) -> Iterator[pa.RecordBatch]:
+        every = [enc.ids(t) for t in texts]
+        rests = [ids[len(ids) - len(ids) % window :] for ids in every]
+        some = [k for k, r in enumerate(rests) if len(r)]
+        leaf, code, words = (np.zeros(len(every), dtype=np.int64) for _ in range(3))
+        if some:
+            leaf[some], code[some], words[some] = router.places([rests[k] for k in some])
+        # repeated rows differ by their place in the batch
+        salt = (mix(np.array(ties, dtype=np.int64).view(U) + np.arange(len(ties), dtype=U) * _SPREAD) >> U(1)).astype(np.int64)
+        rows = []
+        for k, (doc_id, tie, ids) in enumerate(zip(doc_ids, ties, every, strict=True)):
+            n, place = len(ids), (int(leaf[k]), int(code[k]), int(salt[k]))
+            for at in range(0, n - n % window, window):
+                rows.append((*place, doc_id, tie, at, window, crc(ids[at : at + window]), n, 0, None))
+            if n % window:
+                rows.append((*place, doc_id, tie, n - n % window, n % window, None, n, int(words[k]), rests[k].tobytes()))
+        yield from _table(_MIDDLE, rows).to_batches(max_chunksize=10_000)
+
+    tie = F.xxhash64(order_id(id_col), text_or_empty(text_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), tie.alias("tie"), text_or_empty(text_col).alias("t"))
+    rows = staged(rows.mapInArrow(tokenise, _ddl(_MIDDLE)), "packing")
+
+    rests = rows.filter("ids IS NOT NULL")
+    size = rests.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("length").alias("tokens"), F.sum("words").alias("words")).collect()
+    total, words = sum(r.n for r in size), sum(r.words for r in size)
+    drop = [CODE_BITS] * LEAVES  # of each leaf, the code's bits that its size does not need
+    for r in size:
+        shards = max(r.n // shard_docs, r.tokens // (shard_docs * SHARD_MEAN), 1)
+        drop[r.leaf] = CODE_BITS - min(int(shards).bit_length() - 1, CODE_BITS)
+    prefix = F.expr(f"shiftright(code, element_at(array({', '.join(map(str, drop))}), leaf + 1))")
+    rows = rows.withColumn("prefix", prefix)
+    # at most LEAVES << CODE_BITS cells: 524,288 rows of three numbers, whatever the input
+    cells = rows.filter("ids IS NOT NULL").groupBy("leaf", "prefix").agg(
+        F.expr(f"greatest(ceil(count(*) / {2 * shard_docs}), ceil(sum(length) / {2 * shard_docs * SHARD_MEAN}))").cast("long").alias("deals")
+    )
+    deal = F.pmod("salt", F.coalesce("deals", F.lit(1)))
+    shard = F.shiftleft(F.col("leaf").cast("long"), CODE_BITS + DEAL_BITS) + F.shiftleft(F.col("prefix").cast("long"), DEAL_BITS) + deal
+    return rows.join(F.broadcast(cells), ["leaf", "prefix"], "left").withColumn("shard", shard).select(*_PACKED), total, words / max(total, 1)
+
+
 def lexical_packing(
     docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, files: tuple[str, str | None] | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Pieces: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     json_path, ranks_path = files or tokenizer_files()
-    shards = parts_for(docs.count(), shard_docs, least=1)
+    rows, total, mean = placed(docs, window, shard_docs, files, id_col, text_col)
 
-    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rests_of(table: pa.Table, enc: Encoder) -> list[np.ndarray]:
+        return [np.frombuffer(x, dtype=enc.dtype) for x in table.column("ids").to_pylist() if x is not None]
+
+    def count_terms(table: pa.Table) -> pa.Table:
         enc = encoder(json_path, ranks_path)
-        for batch in batches:
-            rows = []
-            for shard, doc_id, tie, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                ids = enc.ids(text)
-                n = len(ids)
-                for at in range(0, n - n % window, window):
-                    rows.append((shard, doc_id, tie, at, window, crc(ids[at : at + window]), n, None))
-                if n % window:
-                    rows.append((shard, doc_id, tie, n - n % window, n % window, None, n, ids[n - n % window :].tobytes()))
-            yield from _table(_MIDDLE, rows).to_batches(max_chunksize=10_000)
-
-    def pack_shard(table: pa.Table) -> pa.Table:
+        rests = rests_of(table, enc)
+        if not rests:
+            return pa.table({"shard": pa.array([], pa.int64()), "term": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
+        p = Postings(rests, enc.opens)
+        return pa.table({"shard": np.full(len(p.term), table.column("shard")[0].as_py()), "term": p.term, "df": p.df.astype(np.int64)})
+
+    def pack_shard(table: pa.Table, counts: pa.Table) -> pa.Table:
         enc = encoder(json_path, ranks_path)
-        shard, *columns = (table.column(i).to_pylist() for i in range(len(_MIDDLE)))
+        shard, *columns = (table.column(c).to_pylist() for c in _PACKED)
         rows = sorted(zip(*columns, strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
         out: list[tuple] = []
-        sequence = shard[0] << 32
+        sequence = (shard[0] << SEQUENCE_BITS) if shard else 0
         rests = []
-        for doc_id, _, start, length, code, total, ids in rows:
+        for doc_id, _, start, length, code, n, ids in rows:
             if ids is None:
-                out.append((doc_id, start, length, code, total, sequence, 0))
+                out.append((doc_id, start, length, code, n, sequence, 0))
                 sequence += 1
             else:
-                rests.append((doc_id, start, total, np.frombuffer(ids, dtype=enc.dtype)))
+                rests.append((doc_id, start, n, np.frombuffer(ids, dtype=enc.dtype)))
         if rests:
             sizes = np.array([len(r[3]) for r in rests])
-            lines = pack(sizes, Index([r[3] for r in rests], enc.opens), window)
+            known, df = (counts.column(c).to_numpy() for c in ("term", "df"))
+            order = np.argsort(known)
+            index = Index(Postings([r[3] for r in rests], enc.opens), total, mean, known[order], df[order])
+            lines = pack(sizes, index, window)
             full = [x for x in lines if sum(b - a for _, a, b in x) == window]
             partial = [y for x in lines if sum(b - a for _, a, b in x) < window for y in powers_of_two(x)]
             for line in full + partial:
                 offset = 0
                 for i, a, b in line:
-                    doc_id, start, total, ids = rests[i]
-                    out.append((doc_id, start + a, b - a, crc(ids[a:b]), total, sequence, offset))
+                    doc_id, start, n, ids = rests[i]
+                    out.append((doc_id, start + a, b - a, crc(ids[a:b]), n, sequence, offset))
                     offset += b - a
                 sequence += 1
         return _table(_OUT, out)
 
-    tie = F.xxhash64(text_or_empty(text_col))
-    shard = F.pmod(F.xxhash64(order_id(id_col), tie), F.lit(shards)).cast("int")
-    rows = docs.select(shard.alias("shard"), F.col(id_col).cast("long").alias("id"), tie.alias("tie"), text_or_empty(text_col).alias("t"))
-    return rows.mapInArrow(tokenise, _ddl(_MIDDLE)).groupBy("shard").applyInArrow(pack_shard, _ddl(_OUT))
+    in_shards = staged(rows.filter("ids IS NOT NULL").groupBy("shard").applyInArrow(count_terms, "shard long, term long, df long"), "packing-terms")
+    # in a query only terms that several documents of the shard have can find one
+    asked = in_shards.filter("df > 1").select("shard", "term").join(in_shards.groupBy("term").agg(F.sum("df").alias("df")), "term")
+    return rows.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(pack_shard, _ddl(_OUT))

@@ -215,11 +215,92 @@ def test_packing_fills_a_window_with_neighbours():
     topic = rng.permutation(np.repeat([0, 1], 100))
     # ids 0 to 19 are in every text; each of 100 to 299 in texts of one topic
     rests = [np.concatenate([rng.permutation(20), 100 + 100 * k + rng.choice(100, 12, replace=False)]) for k in topic]
-    index = lexical_packing.Index(rests, np.ones(300, dtype=bool))
+    index = lexical_packing.Index(lexical_packing.Postings(rests, np.ones(300, dtype=bool)))
     lines = lexical_packing.pack(np.array([len(r) for r in rests]), index, 32 * 60)
     assert {topic[i] for i, _, _ in lines[0]} == {topic[0]} and len(lines[0]) == 60
 
 
+def plain_bm25(bags, seed, total, mean, df):
+    """Scores of all bags of words for the distinct words of one of them, with the given statistics."""
+    k1, b = lexical_packing.K1, lexical_packing.B
+    out = []
+    for bag_ in bags:
+        n = sum(bag_.values())
+        out.append(sum(
+            np.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) * bag_[w] * (k1 + 1) / (bag_[w] + k1 * (1 - b + b * n / mean)) for w in bags[seed] if w in bag_
+        ))
+    return np.array(out)
+
+
+def test_packing_scores_against_plain_bm25():
+    """A shard's scores with the statistics of all documents equal the formula over all of them; rare and frequent terms."""
+    rng = np.random.default_rng(8)
+    rests = [np.minimum(rng.zipf(1.3, rng.integers(1, 90)), 499) for _ in range(240)]
+    opens = np.ones(500, dtype=bool)
+    bags = [collections.Counter(r.tolist()) for r in rests]
+    df = collections.Counter(w for b in bags for w in b)
+    every, shard = lexical_packing.Postings(rests, opens), lexical_packing.Postings(rests[:100], opens)
+    mean = float(every.words.mean())
+    known = shard.term[shard.df > 1]
+    index = lexical_packing.Index(shard, len(rests), mean, known, every.df[np.searchsorted(every.term, known)])
+    assert len(index.dense) and len(index.dense) < len(index.df)
+    for seed in range(100):
+        want = plain_bm25(bags[:100], seed, len(rests), mean, df)
+        got = index.scores(seed)
+        others = np.arange(100) != seed  # terms that only the seed has find nothing
+        assert np.allclose(got[others], want[others], rtol=1e-4)
+
+
+def test_packing_gathers_corpus_statistics(spark, monkeypatch):
+    """What reaches a shard's index: number, mean length and frequencies of all documents, however they are dealt."""
+    texts = [f"alpha beta {'gamma ' * (k % 7)} word{k % 30} tail{k}" for k in range(200)] + ["same copy of one text"] * 100 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    enc = lexical_packing.encoder(*lexical_packing.tokenizer_files())
+    whole = lexical_packing.Postings([enc.ids(t or "") for t in texts], enc.opens)
+    rows, total, mean = lexical_packing.placed(docs, shard_docs=16)
+    assert total == len(texts) and abs(mean - whole.words.mean()) < 1e-9
+    sizes = collections.Counter(r.shard for r in rows.collect())
+    assert sum(sizes.values()) == len(texts) and len(sizes) > 4 and max(sizes.values()) <= 64
+    got = lexical_packing.lexical_packing(docs, shard_docs=16).collect()
+    spans = collections.defaultdict(list)
+    for r in got:
+        spans[r.doc_id].append((r.start, r.length))
+    for k, t in enumerate(texts):
+        at = 0
+        for start, length in sorted(spans[k]):
+            assert start == at
+            at += length
+        assert at == len(enc.ids(t or ""))
+    ends = collections.defaultdict(int)
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    assert all(n & (n - 1) == 0 for n in ends.values())
+
+
+def packing_recall(spark, shard_docs, n_seeds=200):
+    """Share of the ten best BM25 neighbours over all rests (brute force) that lie in the seed's shard, and the number of shards."""
+    rows, total, _ = lexical_packing.placed(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), shard_docs=shard_docs)
+    rows = rows.filter("ids IS NOT NULL").select("doc_id", "shard", "ids").orderBy("doc_id", "shard").collect()
+    enc = lexical_packing.encoder(*lexical_packing.tokenizer_files())
+    index = lexical_packing.Index(lexical_packing.Postings([np.frombuffer(r.ids, dtype=enc.dtype) for r in rows], enc.opens))
+    shard = np.array([r.shard for r in rows])
+    found = []
+    for seed in np.random.default_rng(0).choice(total, n_seeds, replace=False):
+        score = index.scores(int(seed))
+        score[seed] = 0
+        found.append((shard[np.lexsort((np.arange(total), -score))[:10]] == shard[seed]).mean())
+    return float(np.mean(found)), len(set(shard.tolist()))
+
+
+def test_packing_recall_against_brute_force(spark):
+    recall, shards = packing_recall(spark, lexical_packing.SHARD_DOCS)
+    assert shards > 1 and recall >= 0.9, (recall, shards)
+    # many small shards of this small table: far from all neighbours, yet several times a random deal's share
+    recall, shards = packing_recall(spark, 500)
+    assert shards >= 15 and recall >= 4 / shards, (recall, shards)
+
+
 def test_urls(spark):
     urls = [
         (1, "http://A.b.ORG/en/1?x"), (2, "https://example.org/es/q"), (3, "http://x.example.org/en/12"), (4, "ftp://shop.com/de/1"), (5, "x.com/fr/"),
