@@ -107,7 +107,7 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None and not _OTHER.search(text) and not any(t in text for t in self.added):
-            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            ids = self.fast.encode_ordinary(text)
         else:
             ids = self.slow.encode(text, add_special_tokens=False).ids
         return np.append(np.asarray(ids, dtype=self.dtype), self.dtype.type(END_ID))
@@ -122,6 +122,11 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+@lru_cache(maxsize=2)
+def _spread(size: int) -> np.ndarray:
+    return mix((np.arange(size, dtype=U) + U(1)) * _SPREAD)
+
+
 def words_of(rests: list[np.ndarray], opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document of every word: the ids from one word start to the next."""
     size = np.array([len(r) for r in rests])
@@ -130,9 +135,9 @@ def words_of(rests: list[np.ndarray], opens: np.ndarray) -> tuple[np.ndarray, np
     first = np.concatenate([[0], np.cumsum(size)[:-1]])
     start[first] = True
     at = np.flatnonzero(start)
-    place = np.arange(len(ids)) - np.repeat(at, np.diff(np.append(at, len(ids))))
-    term = mix(np.add.reduceat(mix(ids.astype(U) * _SPREAD + place.astype(U)), at))
-    return term, np.searchsorted(first, at, side="right") - 1
+    odd = np.arange(1, 2 * len(ids), 2) - np.repeat(2 * at, np.diff(np.append(at, len(ids))))  # 1, 3, 5, ... in a word
+    term = mix(np.add.reduceat(_spread(len(opens))[ids] * odd.view(U), at))
+    return term, np.repeat(np.arange(len(rests)), np.diff(np.append(np.searchsorted(at, first), len(at))))
 
 
 class Postings:
