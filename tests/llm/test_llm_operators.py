@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import string
 import zlib
 
 import numpy as np
@@ -434,17 +435,31 @@ def brute_quality(rows):
         half = lambda x: sum(v * np.log2(v / w) for v, w in zip(x, m, strict=True) if v > 0)
         return max(0.0, (half(a) + half(b)) / 2) ** 0.5
 
+    def plain(t):
+        low = [w.lower() for w in WORDS.findall(t)]
+        return [w.strip(string.punctuation + "¡¿«»…“”„‘’–—") or w for w in low]
+
     words, chars = collections.defaultdict(collections.Counter), collections.defaultdict(lambda: np.zeros(7))
     for _, t, lang in rows:
-        words[lang].update(WORDS.findall(t or ""))
+        words[lang].update(plain(t or ""))
         chars[lang] += classes(t or "")
     best = lambda n: sorted(n.items(), key=lambda x: (-x[1], x[0]))[: q.COMMON_WORDS]
     top = {lang: dict(best(n)) for lang, n in words.items()}
     total = {lang: sum(n.values()) for lang, n in words.items()}
-    every = collections.Counter()
-    for n in top.values():
-        every.update(n)
+    every = sum(words.values(), collections.Counter())
     top[q.OVERALL], total[q.OVERALL], chars[q.OVERALL] = dict(best(every)), sum(total.values()), sum(chars.values())
+    draw, cuts = np.random.default_rng(4), {}
+
+    def word_cut(ref, share, n):
+        """Between drawn texts of the language of so many words, and a text without a common word."""
+        if ref == q.OVERALL:
+            return q.MAX_WORD_DISTANCE
+        if ref not in cuts:
+            none = distance(np.eye(len(share))[-1], share)
+            own = [min(none, np.quantile([distance(d, share) for d in draw.multinomial(m, share / share.sum(), 600).astype(float)], q.OWN_SHARE)) for m in q.LENGTHS]
+            cuts[ref] = [o + q.MARGIN * (none - o) for o in own]
+        return min(q.MAX_WORD_DISTANCE, np.interp(np.log(max(n, 1)), np.log(q.LENGTHS), cuts[ref]))
+
     kept, narrow = set(), set()
     for i, t, lang in rows:
         t, w = t or "", WORDS.findall(t or "")
@@ -453,15 +468,15 @@ def brute_quality(rows):
         if len(w) < 10 or 100 * len(cover) > 20 * len(w):
             continue
         ref = lang if total[lang] >= q.MIN_REFERENCE else q.OVERALL
-        mine, common = collections.Counter(w), list(top[ref])
+        mine, common = collections.Counter(plain(t)), list(top[ref])
         hist = np.array([mine[c] for c in common] + [len(w) - sum(mine[c] for c in common)], dtype=float)
         share = np.array([top[ref][c] for c in common] + [total[ref] - sum(top[ref].values())], dtype=float)
         far = []
         if len(t) >= q.MIN_CHARS:
             far.append(distance(classes(t), chars[ref]) - q.MAX_CLASS_DISTANCE)
         if len(w) >= q.MIN_WORDS:
-            far.append(distance(hist, share) - q.MAX_WORD_DISTANCE)
-        if any(abs(x) < 0.02 for x in far):
+            far.append(distance(hist, share) - word_cut(ref, share, len(w)))
+        if any(abs(x) < 0.01 for x in far):
             narrow.add(i)
         if all(x <= 0 for x in far):
             kept.add(i)
