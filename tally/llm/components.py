@@ -36,7 +36,8 @@ def _is_stars(edges: DataFrame) -> bool:
 def component_labels(edges: DataFrame) -> DataFrame:
     """``(u, v)``: each node that is not its component's smallest, and that smallest.
 
-    ``edges(u, v)`` may point either way; loops are ignored.
+    ``edges(u, v)`` may point either way and repeat; loops, and edges with a null
+    at either end, are ignored. An empty table gives an empty result.
     """
     edges = edges.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = staged(edges, "edges")

@@ -23,7 +23,8 @@ Defined results: a null url or one without ``://`` has empty host and path,
 and is judged like any host (the empty one); null ids and labels with no
 outcome count nowhere; repeated label rows of a page count once (bad wins);
 repeated pages each get a row; with no labels at all everything is allowed;
-other columns pass through.
+other columns pass through, except ones named as a result column, which the
+result replaces.
 """
 
 from __future__ import annotations

@@ -302,6 +302,15 @@ def test_packing_recall_against_brute_force(spark):
     assert shards >= 15 and recall >= 4 / shards, (recall, shards)
 
 
+def test_components_odd_edges(spark):
+    from tally.llm.components import component_labels
+
+    rows = [(1, 2), (2, 1), (2, 3), (3, 3), (7, 7), (None, 1), (9, None), (None, None), (12, 11), (13, 12), (14, 13)]
+    got = {tuple(r) for r in component_labels(spark.createDataFrame(rows, "u long, v long")).collect()}
+    assert got == {(2, 1), (3, 1), (12, 11), (13, 11), (14, 11)}
+    assert component_labels(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 def test_urls(spark):
     urls = [
         (1, "http://A.b.ORG/en/1?x"), (2, "https://example.org/es/q"), (3, "http://x.example.org/en/12"), (4, "ftp://shop.com/de/1"), (5, "x.com/fr/"),
