@@ -91,6 +91,24 @@ def test_suffix_dedup(spark, docs, empty):
     assert result(suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"))) == removed(rows)
 
 
+def test_suffix_dedup_of_a_passage_in_a_third_of_the_documents(spark, monkeypatch):
+    """Many parts and shards; a long passage, a short one with other text around it, and repeated rows."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "FLUSH_ANCHORS", 50)
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(rng.choice(list(string.ascii_lowercase + " "), n))
+    long, short = word(170), word(33)
+    rows = []
+    for i in rng.permutation(240):
+        middle = long if i % 3 == 0 else short if i % 3 == 1 else word(60)
+        rows.append((int(i), word(int(rng.integers(0, 90))) + middle + word(int(rng.integers(0, 90)))))
+    rows += rows[:5]
+    got = result(suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)))
+    assert got == removed(rows)
+    assert sum(r[2] for r in got) >= 79 * 170
+
+
 def bag(text):
     w = WORDS.findall(text or "")
     return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
