@@ -3,13 +3,15 @@
 Prefix sums of the turn tokens choose the spans: the turns of a conversation
 whose last token falls into the same cell of ``span_tokens`` form one span,
 so a span never cuts a turn. A window is the leading system turn, the last
-turns before the span as far as ``history_tokens`` reach, and the span. The
+turns before the span as far as ``history_tokens`` reach, less the tokens of
+the system turn, and the span. The
 mask covers the assistant turns of the span only: what is repeated as
 history, or as system turn, is never a target again, and each assistant turn
 is a target exactly once.
 
-A span holds less than ``span_tokens`` plus its first turn; a turn longer
-than a cell is not cut. Turn tokens are its words plus two marks (a real
+A window holds at most ``history_tokens`` (or its system turn, if that is
+longer), less than ``span_tokens``, and its first new turn: turns are never
+cut, so one longer than a cell makes its window as much longer. Turn tokens are its words plus two marks (a real
 tokenizer would need Python, which this native operator does without).
 
 Template: ``<s>role\\ntext</s>`` per turn. In roles and texts ``\\``, ``<``
@@ -89,6 +91,7 @@ def chat_windows(
         .withColumn("opens", (~F.col("lead") & ~F.lag("cell").over(turn).eqNullSafe(F.col("cell"))).cast("long"))
         .withColumn("s", F.sum("opens").over(turn.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("spans", F.greatest(F.sum("opens").over(whole), F.lit(1)))
+        .withColumn("system", F.sum(F.when(F.col("lead"), F.col("tok")).otherwise(0)).over(whole))
     )
     # the spans, counted from 1, in which a turn appears; its own is the first of them
     reach = math.ceil(history_tokens / span_tokens) + 1
@@ -102,7 +105,7 @@ def chat_windows(
         rows.withColumn("span", F.explode(F.sequence(first, last)))
         .withColumn("new", F.col("span") == first)
         .withColumn("p0", F.min(F.when(F.col("new") & ~F.col("lead"), F.col("p"))).over(span))
-        .filter(F.col("new") | F.col("lead") | (F.col("p0") - F.col("p") <= history_tokens))
+        .filter(F.col("new") | F.col("lead") | (F.col("system") + F.col("p0") - F.col("p") <= history_tokens))
         .withColumn("head", head)
         .withColumn("body", body)
         .withColumn("seg", F.concat("head", "body", F.lit(CLOSE)))

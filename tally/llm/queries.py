@@ -90,14 +90,18 @@ outcome AS (
     FROM labels GROUP BY doc_id
 ),
 hosts AS (
-    SELECT host, count(bad) * 1.0::DOUBLE AS n, coalesce(sum(bad), 0) * 1.0::DOUBLE AS bad, string_split(host, '.') AS ls
+    SELECT host, count(bad) * 1.0::DOUBLE AS n, coalesce(sum(bad), 0) * 1.0::DOUBLE AS bad,
+        regexp_replace(regexp_replace(regexp_replace(host, '^.*@', '', 's'), ':[0-9]*$', ''), '\.$', '') AS site
     FROM split LEFT JOIN outcome USING (page_id) GROUP BY host
 ),
+labelled AS (
+    SELECT *, string_split(site, '.') AS ls, regexp_full_match(site, '\[.*\]|[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}') AS address FROM hosts
+),
 named AS (
     SELECT host, n, bad,
-        CASE WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-3:], '.') ELSE array_to_string(ls[-2:], '.') END AS domain,
-        CASE WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-2:], '.') ELSE ls[-1] END AS suffix
-    FROM hosts
+        CASE WHEN address THEN site WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-3:], '.') ELSE array_to_string(ls[-2:], '.') END AS domain,
+        CASE WHEN address THEN '[]' WHEN array_to_string(ls[-2:], '.') IN {_TWO} THEN array_to_string(ls[-2:], '.') ELSE ls[-1] END AS suffix
+    FROM labelled
 ),
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM named) AS m, (SELECT sum(n) + 2 FROM named) AS k FROM named GROUP BY suffix),
 s1 AS (SELECT 1 / {_RHO} - 1 AS s FROM s0),
@@ -174,9 +178,12 @@ celled AS (
 spans AS (
     SELECT conv_id, cell, min(p) AS p0 FROM celled WHERE NOT lead GROUP BY conv_id, cell
 ),
+system AS (
+    SELECT conv_id, sum(CASE WHEN lead THEN tok ELSE 0 END) AS tok FROM celled GROUP BY conv_id
+),
 repeats AS (
-    SELECT t.conv_id, sum(t.chars) AS chars FROM celled t JOIN spans s
-      ON t.conv_id = s.conv_id AND NOT t.lead AND s.cell > t.cell AND s.p0 - t.p <= 512 GROUP BY t.conv_id
+    SELECT t.conv_id, sum(t.chars) AS chars FROM celled t JOIN system y ON t.conv_id = y.conv_id JOIN spans s
+      ON t.conv_id = s.conv_id AND NOT t.lead AND s.cell > t.cell AND y.tok + s.p0 - t.p <= 512 GROUP BY t.conv_id
 ),
 heads AS (
     SELECT t.conv_id, any_value(t.chars) * greatest(count(s.cell) - 1, 0) AS chars

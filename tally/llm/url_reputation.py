@@ -12,6 +12,11 @@ host without labels has its domain's mean, and is judged no surer than its domai
 (the strength is at most the parent's ``a + b``). Explicit
 rules come first; the longest that fits wins.
 
+The registered domain comes from a table of public suffixes (an argument; by
+default the few in this module): the tails of each host, as many labels as the
+longest rule has, are joined with it. Users, ports and a closing dot are no
+part of a domain; IP addresses are domains of their own under one suffix.
+
 Plan: outcomes and pages meet on the page id with two narrow columns each;
 everything after that works on one row per host, pre-aggregated before its
 shuffle. The reputation table is staged, so the last join broadcasts it only
@@ -31,7 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import staged
@@ -49,7 +54,9 @@ MAX_BAD = 0.3
 Z = 1.645
 RHO_MIN, RHO_MAX = 1e-4, 0.5
 
-# Public suffixes of two labels that are common on the web.
+ADDRESSES = "[]"  # no host name has this suffix
+
+# Public suffixes of two labels that are common on the web; pass the whole list as ``suffixes``.
 TWO_LABEL_SUFFIXES = (
     "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp",
     "ne.jp", "co.kr", "com.br", "org.br", "gov.br", "com.mx", "com.ar", "com.tr", "com.cn", "com.tw",
@@ -67,14 +74,64 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
-def host_suffix(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def host_site(host: Column) -> Column:
+    """The host without user, port and closing dot."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@|:[0-9]*$", ""), r"\.$", "")
 
 
-def host_domain(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+def is_address(site: Column) -> Column:
+    return site.rlike(r"(?s)^(\[.*\]|[0-9]{1,3}(\.[0-9]{1,3}){3})$")
+
+
+def registered_domains(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """``host, domain, suffix`` of the distinct ``hosts(host)``, by the public suffixes in ``suffixes(suffix)``.
+
+    The longest rule that fits counts; ``*.x`` stands for any label below ``x``
+    and ``!y.x`` is an exception to it, under which ``x`` is the suffix. Without
+    a rule the last label is the suffix. The domain has one label more. An IP
+    address is its own domain, and all of them share the suffix ``ADDRESSES``.
+    """
+    rules = suffixes.select(F.col("suffix").alias("key")).distinct()
+    longest = F.coalesce(rules.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).scalar(), F.lit(0))
+    sites = hosts.select("host", host_site(F.col("host")).alias("site")).withColumn("labels", F.split("site", r"\."))
+    last = lambda n: F.array_join(F.slice("labels", -n, n), ".")
+    n = F.col("n")
+    tails = (
+        sites.filter(~is_address(F.col("site")))
+        .select("host", "labels", F.size("labels").alias("all"))
+        .select("host", "labels", "all", F.explode(F.sequence(F.lit(1), F.least("all", longest))).alias("n"))
+        .filter("n <= all")  # sequence(1, 0) counts down
+        .filter("n > 0")
+        .withColumn("tail", last(n))
+    )
+    tries = F.array(
+        F.struct(F.col("tail").alias("key"), F.lit(0).alias("exception"), n.alias("n")),
+        F.struct(F.concat(F.lit("*."), F.col("tail")).alias("key"), F.lit(0).alias("exception"), (n + 1).alias("n")),
+        F.struct(F.concat(F.lit("!"), F.col("tail")).alias("key"), F.lit(1).alias("exception"), (n - 1).alias("n")),
+    )
+    found = (
+        tails.select("host", "all", F.inline(tries))
+        .filter("n <= all")
+        .join(rules, "key")
+        .groupBy("host")
+        .agg(F.max(F.struct("exception", "n")).alias("best"))
+    )
+    size = F.coalesce(F.col("best.n"), F.lit(1))
+    address = is_address(F.col("site"))
+    return (
+        sites.join(found, "host", "left")
+        .withColumn("n", size)
+        .withColumn("m", F.least(n + 1, F.size("labels")))
+        .select(
+            "host",
+            F.when(address, F.col("site")).otherwise(last(F.col("m"))).alias("domain"),
+            F.when(address, F.lit(ADDRESSES)).otherwise(last(n)).alias("suffix"),
+        )
+    )
+
+
+def default_suffixes(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in TWO_LABEL_SUFFIXES])).alias("suffix"))
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]], value: str) -> Column:
@@ -121,17 +178,19 @@ def page_outcomes(labels: DataFrame) -> DataFrame:
     )
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, url_col: str = "url", id_col: str = "page_id", z: float = Z) -> DataFrame:
+def host_reputation(
+    pages: DataFrame, outcomes: DataFrame, url_col: str = "url", id_col: str = "page_id", z: float = Z, suffixes: DataFrame | None = None
+) -> DataFrame:
     """One row per host: ``host, domain, suffix, n, bad, a, b, mean, bound`` (lower bound of the bad rate)."""
     seen = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"))
     hosts = (
         seen.join(outcomes.select("page_id", "bad"), "page_id", "left")
         .groupBy("host")
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        .withColumn("domain", host_domain(F.col("host")))
-        .withColumn("suffix", host_suffix(F.col("host")))
     )
     hosts = staged(hosts, "hosts")
+    names = registered_domains(hosts.select("host"), default_suffixes(pages.sparkSession) if suffixes is None else suffixes)
+    hosts = staged(hosts.join(names, "host"), "named-hosts")
     counts = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     suffixes = hosts.groupBy("suffix").agg(*counts)
     overall = hosts.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("m")).scalar()
@@ -155,12 +214,13 @@ def judge_urls(
     z: float = Z,
     url_col: str = "url",
     id_col: str = "page_id",
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """All columns of ``pages`` plus ``host, path, rule, verdict, bad_bound``."""
     made = ("host", "path", "rule", "verdict", "bad_bound")
     old = [c for c in pages.columns if c not in made]
     rep = staged(
-        host_reputation(pages, outcomes, url_col, id_col, z).select(F.col("host").alias("_host"), F.col("bound").alias("_bound")),
+        host_reputation(pages, outcomes, url_col, id_col, z, suffixes).select(F.col("host").alias("_host"), F.col("bound").alias("_bound")),
         "host-reputation",
     )
     url = F.col(url_col)

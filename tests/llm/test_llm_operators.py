@@ -348,6 +348,36 @@ def test_urls(spark):
     assert none.count() == 0
 
 
+def test_registered_domains(spark):
+    rules = spark.createDataFrame([(x,) for x in ("co.uk", "uk", "*.ck", "!www.ck", "a.b.net", "co.uk")], "suffix string")
+    want = {
+        "x.y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "q.uk": ("q.uk", "uk"), "z.y.any.ck": ("y.any.ck", "any.ck"),
+        "z.www.ck": ("www.ck", "ck"), "ck": ("ck", "ck"), "a.b.net": ("a.b.net", "a.b.net"), "c.b.net": ("b.net", "net"),
+        "me:pw@w.co.uk:80": ("w.co.uk", "co.uk"), "w.com.": ("w.com", "com"), "10.0.0.7:8080": ("10.0.0.7", "[]"),
+        "[::1]:80": ("[::1]", "[]"), "": ("", ""), "local": ("local", "local"), ".".join("a" * 5000): ("a.a", "a"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in url_reputation.registered_domains(hosts, rules).collect()}
+    assert got == want
+    none = {r.host: (r.domain, r.suffix) for r in url_reputation.registered_domains(hosts, rules.filter("1 = 0")).collect()}
+    assert none == want | {"x.y.co.uk": ("co.uk", "uk"), "co.uk": ("co.uk", "uk"), "z.y.any.ck": ("any.ck", "ck"),
+                           "a.b.net": ("b.net", "net"), "me:pw@w.co.uk:80": ("co.uk", "uk")}
+    both = {r.host: (r.domain, r.suffix) for r in url_reputation.registered_domains(hosts, url_reputation.default_suffixes(spark)).collect()}
+    assert both["x.y.co.uk"] == ("y.co.uk", "co.uk") and both["z.y.any.ck"] == ("any.ck", "ck")
+
+
+def test_chat_system_turn_counts_as_history(spark):
+    rows = [(c, 0, "system", "s " * n) for c, n in ((1, 10), (2, 60), (3, 300))]
+    rows += [(c, i, "user" if i % 2 else "assistant", "w " * (5 + i % 4)) for c in (1, 2, 3) for i in range(1, 60)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat_windows.chat_windows(table, span_tokens=100, history_tokens=80).collect()
+    for c, system in ((1, 12), (2, 62), (3, 302)):
+        mine = [r for r in made if r.conv_id == c]
+        assert all(r.n_tokens < max(80, system) + 100 + 10 for r in mine)
+        # turns of 8, 9, 10 and 7 tokens: 68 tokens of history are eight turns, 18 are two; and the system turn
+        assert max(r.n_repeated for r in mine) == {1: 9, 2: 3, 3: 1}[c]
+
+
 def test_chat(spark):
     rows = [(1, i, "system" if i == 0 else "user" if i % 2 else "assistant", f"<s>turn [INST] \\l {i} " + "w " * (i * 7)) for i in range(30)]
     rows += [(2, None, None, None), (2, 0, "a\nb", "x</s>\\"), (2, 0, "a\nb", "x</s>\\"), (3, 0, "system", "only"), (None, 1, "assistant", "z")]
