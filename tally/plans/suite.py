@@ -13,6 +13,7 @@ value types line up with the oracle statement of the same key:
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -25,6 +26,9 @@ from ..plans import analytics
 from ..session import scratch_path
 from ..sources.tables import expenses_from_testdata, operators_from_testdata
 
+SHEET_ROWS = 250_000  # rows of a workbook, about
+ARCHIVE_ROWS = 250_000  # rows of a quarter in one archive, about
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -1367,7 +1371,9 @@ def s09_spreadsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("double").alias("total"), (F.col("o_orderstatus") == "O").alias("aberto"),
         F.concat(F.lit("São <"), "o_orderpriority", F.lit(">")).alias("nota"),
         F.to_timestamp(F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" 12:34:56"))).alias("hora"))
-    write_workbooks(rows, folder, F.concat((F.col("chave") % 12).cast("string"), F.lit("/livro.xlsx")))
+    # a sheet holds 1,048,576 rows at most
+    books = max(12, math.ceil(rows.count() / SHEET_ROWS))
+    write_workbooks(rows, folder, F.concat((F.col("chave") % books).cast("string"), F.lit("/livro.xlsx")), partitions=2 * books)
     stored = scratch_folder(spark, "s09")
     read_spreadsheets(spark, folder).write.parquet(stored)
     (frame,) = parse_members(spark.read.parquet(stored))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import uuid
 import zipfile
 from collections.abc import Iterator
+from operator import itemgetter
 from xml.sax.saxutils import escape, quoteattr
 
 import pyarrow as pa
@@ -65,7 +67,9 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, sheet: str) -> Iterat
     try:
         for batch in batches:
             names = batch.schema.names[1:]
-            for book, *values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            books = batch.column(0).to_pylist()
+            rows = zip(books, zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True), strict=True)
+            for book, run in itertools.groupby(rows, key=itemgetter(0)):
                 if book != current:
                     close()
                     current, out = book, Output(f"{folder}/{book}", attempt)
@@ -75,7 +79,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, sheet: str) -> Iterat
                     zf.writestr("xl/workbook.xml", f'<workbook {_MAIN} xmlns:r="{_REL}"><sheets><sheet name={quoteattr(sheet)} sheetId="1" r:id="rId1"/></sheets></workbook>')
                     part = zf.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
                     part.write(f"<worksheet {_MAIN}><sheetData><row>{''.join(map(_cell, names))}</row>".encode())
-                part.write(f"<row>{''.join(map(_cell, values))}</row>".encode())
+                part.write("".join(f"<row>{''.join(map(_cell, values))}</row>" for _, values in run).encode())
         close()
     except BaseException as e:
         if out is not None:

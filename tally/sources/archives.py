@@ -30,7 +30,7 @@ from typing import BinaryIO
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -51,6 +51,7 @@ _COLUMNS = [f.name for f in RECORDS_SCHEMA.fields]
 _CHUNK = 100_000  # records per Arrow batch handed back to the JVM
 _CHUNK_CHARS = 16 << 20  # or so much text
 TASK_BYTES = 64 << 20  # inflated bytes of members that one task takes
+FILE_TASK_BYTES = 16 << 20  # bytes of files that one task takes
 
 
 csv.field_size_limit(2**31 - 1)  # no field is too long for an archive
@@ -225,9 +226,9 @@ def archive_members(spark: SparkSession, paths: str | Sequence[str],
     folder, as both the errors and the records follow from them.
     """
     ext, skip = tuple(extensions), tuple(skip_name_parts)
-    listing = _files(spark, paths, glob).select("path")  # no content column: files are listed, not read
+    listing = _files(spark, paths, glob).select("path", "length")  # no content column: files are listed, not read
     base = scratch_path(spark, f"archives/{uuid.uuid4().hex}")
-    (listing.repartition("path").mapInArrow(lambda it: _list_members(it, ext, skip), MEMBERS_SCHEMA)
+    (_spread(listing).mapInArrow(lambda it: _list_members(it, ext, skip), MEMBERS_SCHEMA)
      .write.parquet(f"{base}/listed"))
     listed = spark.read.parquet(f"{base}/listed")
     sound = listed.filter(F.col("error").isNull())
@@ -236,6 +237,16 @@ def archive_members(spark: SparkSession, paths: str | Sequence[str],
     return spark.read.parquet(f"{base}/checked")
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """Files (path, length) dealt over tasks in turn, so that no task has more than its share of
+    them; the number is given, or small listings would be merged into one task."""
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, max(4 * cores, math.ceil(size / FILE_TASK_BYTES))))
+    place = F.row_number().over(Window.orderBy(F.desc("length"), "path")) - 1  # a row a file
+    return files.select("path", (place % tasks).alias("task")).repartitionByRange(tasks, "task").select("path")
+
+
 def _dealt(members: DataFrame) -> DataFrame:
     """Members over tasks: one for about ``TASK_BYTES``, and no fewer than members or twice the cores ask for."""
     n, size = members.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
@@ -305,26 +316,19 @@ _SHEET_DAMAGE = (*_DAMAGE, IndexError, AttributeError, StopIteration, ET.ParseEr
 
 
 def _expand_sheets(books: Iterator[tuple[str, BinaryIO]]) -> Iterator[pa.RecordBatch]:
-    """Records of sound workbooks; one error row for a damaged one.
-
-    A workbook is read through once before its first record goes out.
-    """
+    """Records of workbooks, read once; a damaged one ends in an error row, after the records before the damage."""
     for path, handle in books:
+        out, size = [], 0
         try:
             with zipfile.ZipFile(handle) as zf:
-                for _ in sheet_records(zf):
-                    pass
+                for i, (sheet, fields) in enumerate(sheet_records(zf)):
+                    out.append((path, sheet, i, fields, None, None))
+                    size += sum(len(c) for c in fields if c)
+                    if len(out) >= _CHUNK or size >= _CHUNK_CHARS:
+                        yield _rows(out, _COLUMNS, _RECORD_TYPES)
+                        out, size = [], 0
         except _SHEET_DAMAGE as e:
-            yield _rows([(path, None, None, None, None, f"{type(e).__name__}: {e}")], _COLUMNS, _RECORD_TYPES)
-            continue
-        out, size = [], 0
-        with zipfile.ZipFile(handle) as zf:
-            for i, (sheet, fields) in enumerate(sheet_records(zf)):
-                out.append((path, sheet, i, fields, None, None))
-                size += sum(len(c) for c in fields if c)
-                if len(out) >= _CHUNK or size >= _CHUNK_CHARS:
-                    yield _rows(out, _COLUMNS, _RECORD_TYPES)
-                    out, size = [], 0
+            out = [(path, None, None, None, None, f"{type(e).__name__}: {e}")]
         if out:
             yield _rows(out, _COLUMNS, _RECORD_TYPES)
 
@@ -349,12 +353,21 @@ def read_spreadsheets(spark: SparkSession, paths: str | Sequence[str],
     :func:`parse_members` names the columns from the header row.
 
     Cells become text as :mod:`tally.sources.workbooks` says: dates, times and
-    logical values by their kind, numbers without a needless point.
+    logical values by their kind, numbers without a needless point. Each
+    workbook is read once, by one task; the records are written to the shared
+    scratch folder, and those of a damaged workbook are left out from there.
     """
     files = _files(spark, paths, "*.[xX][lL][sS][xX]")
     name = F.lower(F.element_at(F.split(F.col("path"), "/"), -1))
     for part in skip_name_parts:
         files = files.filter(~name.contains(part))
     if _direct(files):
-        return files.select("path").repartition("path").mapInArrow(lambda it: _expand_sheets(_opened(it)), RECORDS_SCHEMA)
-    return files.select("path", "content").mapInArrow(lambda it: _expand_sheets(_loaded(it)), RECORDS_SCHEMA)
+        read = _spread(files.select("path", "length")).mapInArrow(lambda it: _expand_sheets(_opened(it)), RECORDS_SCHEMA)
+    else:
+        read = files.select("path", "content").mapInArrow(lambda it: _expand_sheets(_loaded(it)), RECORDS_SCHEMA)
+    base = scratch_path(spark, f"sheets/{uuid.uuid4().hex}")
+    read.write.parquet(base)
+    read = spark.read.schema(RECORDS_SCHEMA).parquet(base)
+    bad = read.filter(F.col("error").isNotNull()).select("archive")
+    return read.filter(F.col("error").isNull()).join(bad, "archive", "left_anti").select(_COLUMNS).union(
+        read.filter(F.col("error").isNotNull()))

@@ -1,11 +1,13 @@
 """Text of typed spreadsheet cells."""
 
 import datetime as dt
+import glob
 import os
 import zipfile
 
 import pytest
 
+from tally.plans import suite
 from tally.sources import archives, workbooks
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -83,3 +85,33 @@ def test_shared_strings_are_bounded(workdir, monkeypatch):
         monkeypatch.setattr(workbooks, "MAX_SHARED_BYTES", 7)
         with pytest.raises(ValueError):
             workbooks.SharedStrings(zf)
+
+
+def test_every_workbook_has_a_task_and_damage_far_down_leaves_no_records(spark, workdir):
+    for k in range(6):
+        book(os.path.join(workdir, f"b{k}.xlsx"), [[n(k)], [n(k + 1)]])
+    out = archives.read_spreadsheets(spark, workdir)
+    assert sorted(r.fields[0] for r in out.collect()) == sorted(str(k + i) for k in range(6) for i in (0, 1))
+    assert len([f for f in out.inputFiles() if f.endswith(".parquet")]) == 6  # one written part a task
+    book(os.path.join(workdir, "late.xlsx"), [*[[n(1)]] * (archives._CHUNK + 10), ["<c><v>1"]])
+    late = archives.read_spreadsheets(spark, os.path.join(workdir, "late.xlsx")).collect()
+    assert len(late) == 1 and late[0].error and late[0].fields is None
+
+
+def test_workbooks_and_archives_grow_in_number_with_the_rows(spark, workdir, monkeypatch):
+    monkeypatch.setattr(suite, "SHEET_ROWS", 3, raising=False)
+    monkeypatch.setattr(suite, "ARCHIVE_ROWS", 4, raising=False)
+    day = dt.date(1995, 2, 3)
+    orders = [(i, 1.5 * i, "O" if i % 3 else "F", day, "1-URGENT") for i in range(90)]
+    spark.createDataFrame(orders, "o_orderkey long, o_totalprice double, o_orderstatus string, o_orderdate date, o_orderpriority string").write.parquet(f"{workdir}/orders.parquet")
+    items = [(i // 7, i % 7 + 1, i, i % 5, 10.25 * (i + 1), day) for i in range(70)]
+    spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_shipdate date").write.parquet(f"{workdir}/lineitem.parquet")
+    folders = []
+    monkeypatch.setattr(suite, "scratch_folder", lambda spark, key: folders.append(f"{workdir}/{key}{len(folders)}") or folders[-1])
+    got = sorted((int(r.chave), r.total, r.aberto) for r in suite.s09_spreadsheet(spark, workdir).collect())
+    assert got == [(i, t, str(s == "O")) for i, t, s, *_ in orders]
+    assert len(glob.glob(f"{folders[0]}/*/livro.xlsx")) == 30
+    folders.clear()
+    got = sorted(tuple(r) for r in suite.s06_archives(spark, workdir).collect())
+    assert got == sorted(tuple(r) for r in suite.QUERIES["r09_consolidate"](spark, workdir).collect())
+    assert len(glob.glob(f"{folders[0]}/1995_T1/*.zip")) > 10
