@@ -1164,8 +1164,8 @@ def k04_period_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s06_archives", ORACLE["r09_consolidate"])
 def s06_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger from ZIP archives written from the line items (S6, K2): one
-    archive a quarter, members in two layouts with quoted line breaks, and
+    """The ledger from ZIP archives written from the line items (S6, K2): an
+    archive a quarter and so many rows of it, members in two layouts with quoted line breaks, and
     members that the scan skips by name or kind."""
     from ..plans.consolidate import canonical_ledger, consolidate
     from ..sinks.archives import member_lines, write_archives
@@ -1174,7 +1174,10 @@ def s06_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = scratch_folder(spark, "s06")
     raw = raw_ledger(spark, sf_dir).withColumn("NOTA", F.lit('fim "de\nlinha"; ok'))
-    archive = F.concat(F.col("ano").cast("string"), F.lit("_T"), F.col("trimestre").cast("string"), F.lit("/q.zip"))
+    quarters = raw.select("ano", "trimestre").distinct().count()
+    split = math.ceil(raw.count() / max(1, quarters) / ARCHIVE_ROWS) or 1
+    bucket = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(split)).cast("string")
+    archive = F.concat(F.col("ano").cast("string"), F.lit("_T"), F.col("trimestre").cast("string"), F.lit("/q"), bucket, F.lit(".zip"))
     part = (F.col("l_orderkey") % 4).cast("string")
     odd = F.col("l_orderkey") % 2 == 1
     swapped = raw.filter(~odd).withColumns({"VALOR": F.col("VL_SALDO_FINAL"), "CD_OPS": F.col("REG_ANS")})
@@ -1185,7 +1188,7 @@ def s06_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                             ["VALOR", "CD_CONTA_CONTABIL", "CD_OPS"], sep=","))
         .union(member_lines(raw, archive, F.lit("receitas.csv"), ["REG_ANS", "VL_SALDO_FINAL"]))
         .union(member_lines(raw, archive, F.lit("leia.txt"), ["REG_ANS"])))
-    write_archives(lines, folder)
+    write_archives(lines, folder, partitions=2 * quarters * split or 1)
     records = archive_records(spark, folder)
     stored = scratch_folder(spark, "s06")
     records.write.parquet(stored)

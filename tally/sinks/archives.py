@@ -8,9 +8,11 @@ a large output over several archive names.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -51,7 +53,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, encoding: str) -> Ite
 
     try:
         for batch in batches:
-            for archive, member, header, line in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            rows = zip(*[c.to_pylist() for c in batch.columns], strict=True)
+            for (archive, member, header), run in itertools.groupby(rows, key=itemgetter(0, 1, 2)):
                 if archive != at[0]:
                     close_archive()
                     out = Output(f"{folder}/{archive}", attempt)
@@ -61,7 +64,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, encoding: str) -> Ite
                     entry = zf.open(member, "w", force_zip64=True)
                     entry.write((header + "\n").encode(encoding))
                     at = (archive, member)
-                entry.write((line + "\n").encode(encoding))
+                entry.write("".join(f"{line}\n" for *_, line in run).encode(encoding))
         close_archive()
     except BaseException as e:
         if out is not None:
