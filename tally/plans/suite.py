@@ -1210,7 +1210,7 @@ def s08_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter = F.concat(F.col("ano").cast("string"), F.lit("_T"), F.col("trimestre").cast("string"))
     note = F.concat(F.lit('obs; "item"\n'), F.col("CD_CONTA_CONTABIL"), F.lit('\r\n"",;fim'))
     (raw_ledger(spark, sf_dir).select("REG_ANS", note.alias("NOTA"), "CD_CONTA_CONTABIL", "VL_SALDO_FINAL", quarter.alias("quarter"))
-     .repartition("quarter").write.partitionBy("quarter").option("header", "true").option("sep", ";").option("escape", '"').csv(folder))
+     .hint("rebalance", "quarter").write.partitionBy("quarter").option("header", "true").option("sep", ";").option("escape", '"').csv(folder))
     shaped = [canonical_ledger(period_from_path(f, "_source_path", r"(\d{4})_T(\d)").drop("_source_path"),
                                period_cols=("ano", "trimestre")) for f in read_layouts(spark, folder)]
     return edge(consolidate(shaped))

@@ -13,16 +13,19 @@ file is split, whatever it holds:
 4. *Files with quotes.* A line begins either outside or inside a quoted
    field, and a piece maps the one it begins in to the one it ends in. The
    maps of a file's pieces, taken in order (a prefix sum of two-valued
-   functions), tell where each piece begins; then each piece is split by its
-   own task. The record that a piece leaves open goes, as bytes, to a join of
+   functions), tell where each piece begins; then each piece is split by
+   itself. The record that a piece leaves open goes, as bytes, to a join of
    the pieces that hold it.
-5. *Layouts.* The records are written once, by header; a frame per distinct
-   header reads its own part. The distinct headers are all that the driver
-   learns.
+5. *Layouts.* The records are written once, in the order of the scan, with
+   their header's digest; a frame per distinct header reads its own row
+   groups. The distinct headers are all that the driver learns.
 
-A record is a task's to hold, and so is a piece (``spark.sql.files.
-maxPartitionBytes``); a file is not. Nothing is grouped by file but a row a
-piece. The table of files is written, so joins with it know its size. A compressed file is one piece, as its bytes can only be read in order.
+A record is a task's to hold, and so is a piece: what one scan task reads of a
+file (``spark.sql.files.maxPartitionBytes``), cut again at every
+``2**PIECE_BITS`` lines; a file is not. The pieces go to as many tasks as their
+bytes ask for. Nothing is grouped by file but a row a piece. The table of files
+is written, so joins with it know its size. A compressed file is read by one
+task, as its bytes can only be read in order, and cut into pieces like others.
 
 Quoting is as CSV readers elsewhere take it: a quote opens a field only at its
 start, two within it stand for one, and text after the closing quote belongs
@@ -33,6 +36,7 @@ empty field is NULL.
 from __future__ import annotations
 
 import csv
+import math
 import re
 import uuid
 from collections.abc import Iterable, Sequence
@@ -47,6 +51,9 @@ from ..session import scratch_path
 
 SEPARATORS = (";", ",", "\t")
 _CHUNK = 50_000
+PIECE_BITS = 16  # lines of a piece, as a power of two
+TASK_BYTES = 8 << 20  # bytes of lines that one task splits
+_PIECE = ["file", "block", "chunk"]
 csv.field_size_limit(2**31 - 1)
 
 
@@ -96,27 +103,27 @@ def _block_map(lines: pa.Table) -> pa.Table:
         text = b.decode("latin-1")
         outer, inner = ends_inside(text, sep, outer), ends_inside(text, sep, inner)
         closes = closes or not inner
-    return pa.table({"file": lines.column("file")[:1], "block": lines.column("block")[:1],
+    return pa.table({"file": lines.column("file")[:1], "block": lines.column("block")[:1], "chunk": lines.column("chunk")[:1],
                      "from_out": [outer], "from_in": [inner], "closes": [closes]})
 
 
 def _begin(blocks: pa.Table) -> pa.Table:
-    """For each piece of a file, the piece where the record open at its start began (NULL: none is open)."""
-    blocks = blocks.sort_by("block")
-    start, open_since = [], None
-    for block, outer, inner, closes in zip(*[blocks.column(c).to_pylist() for c in ("block", "from_out", "from_in", "closes")], strict=True):
-        start.append(open_since)
+    """For each piece of a file, the first line of the piece where the record open at its start began (NULL: none is open)."""
+    blocks = blocks.sort_by([("block", "ascending"), ("start", "ascending")])
+    since, open_since = [], None
+    for start, outer, inner, closes in zip(*[blocks.column(c).to_pylist() for c in ("start", "from_out", "from_in", "closes")], strict=True):
+        since.append(open_since)
         if outer is None:  # no quote in this piece
             continue
         if open_since is None:
-            open_since = block if outer else None
+            open_since = start if outer else None
         elif closes:
-            open_since = block if inner else None
-    return pa.table({"file": blocks.column("file"), "block": blocks.column("block"), "since": pa.array(start, pa.int64())})
+            open_since = start if inner else None
+    return pa.table({**{c: blocks.column(c) for c in _PIECE}, "since": pa.array(since, pa.int64())})
 
 
-_PARSED = "file string, block long, at long, fields array<string>, part binary, since long, sep string, utf8 boolean"
-_PARSED_TYPES = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.int64(), pa.string(), pa.bool_())
+_PARSED = "file string, block long, at long, fields array<string>, part binary, since long, sep string, utf8 boolean, start long"
+_PARSED_TYPES = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.int64(), pa.string(), pa.bool_(), pa.int64())
 _PARSED_NAMES = tuple(c.split()[0] for c in _PARSED.split(", "))
 
 
@@ -144,10 +151,10 @@ def _parse_block(lines: pa.Table, begin: pa.Table) -> pa.Table:
         chunks.append(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, _PARSED_TYPES, strict=True)], names=_PARSED_NAMES))
 
     if first:
-        add([(file, block, None, None, b"\n".join(raw[:first]) + b"\n", since, sep, utf8)])
+        add([(file, block, None, None, b"\n".join(raw[:first]) + b"\n", since, sep, utf8, places[0])])
     if inside and starts:
         last = starts.pop()
-        add([(file, block, places[last], None, b"\n".join(raw[last:]) + b"\n", block, sep, utf8)])
+        add([(file, block, places[last], None, b"\n".join(raw[last:]) + b"\n", places[0], sep, utf8, places[0])])
         del raw[last:]
     starts.append(len(raw))
     for i in range(0, len(starts) - 1, _CHUNK):
@@ -157,17 +164,17 @@ def _parse_block(lines: pa.Table, begin: pa.Table) -> pa.Table:
             records: Iterable = (split_record("\n".join(texts[a - some[0] : b - some[0]]).removesuffix("\r"), sep) for a, b in zip(some, some[1:], strict=False))
         else:
             records = csv.reader((t + "\n" for t in texts), delimiter=sep)
-        add([(file, block, places[a], fields, None, None, sep, utf8) for a, fields in zip(some[:-1], records, strict=True)])
+        add([(file, block, places[a], fields, None, None, sep, utf8, None) for a, fields in zip(some[:-1], records, strict=True)])
     return pa.concat_tables(chunks) if chunks else pa.Table.from_arrays([pa.array([], t) for t in _PARSED_TYPES], names=_PARSED_NAMES)
 
 
 def _join_parts(parts: pa.Table) -> pa.Table:
     """One record from the pieces that hold it."""
-    parts = parts.sort_by("block")
+    parts = parts.sort_by([("block", "ascending"), ("start", "ascending")])
     raw = b"".join(parts.column("part").to_pylist()).removesuffix(b"\n").removesuffix(b"\r")
-    sep, utf8, file, since = (parts.column(c)[0].as_py() for c in ("sep", "utf8", "file", "since"))
+    sep, utf8, file, block = (parts.column(c)[0].as_py() for c in ("sep", "utf8", "file", "block"))
     at = next(a for a in parts.column("at").to_pylist() if a is not None)
-    return pa.table({"file": [file], "block": [since], "at": [at], "fields": pa.array([split_record(_decode(raw, utf8), sep)], pa.list_(pa.string()))})
+    return pa.table({"file": [file], "block": [block], "at": [at], "fields": pa.array([split_record(_decode(raw, utf8), sep)], pa.list_(pa.string()))})
 
 
 def _skip_names(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -206,12 +213,19 @@ def store_lines(spark: SparkSession, paths: str | Sequence[str], base: str, recu
     return spark.read.parquet(f"{base}/lines")
 
 
+def _chunk(at: Column) -> Column:
+    return F.shiftright(at, PIECE_BITS)
+
+
 def store_files(lines: DataFrame, base: str, sep: str | None = None, encoding: str | None = None) -> DataFrame:
     """Step 2: one row per file."""
     flags = lines.groupBy("file").agg(
-        F.bool_and("utf8").alias("utf8"), F.bool_or("quoted").alias("quoted"), (F.max("block") > 0).alias("many"))
-    head = lines.filter("block = 0").groupBy("file").agg(F.min_by("line", "at").alias("head"), F.min("at").alias("first"))
-    files = flags.join(head, "file")
+        F.bool_and("utf8").alias("utf8"), F.bool_or("quoted").alias("quoted"),
+        ((F.max("block") > 0) | (_chunk(F.max("at")) > _chunk(F.min("at")))).alias("many"),
+        F.sum(F.octet_length("line") + 16).alias("size"),
+        F.min(F.when(F.col("block") == 0, F.col("at"))).alias("first"))
+    head = lines.select(F.col("file"), F.col("at").alias("first"), F.col("line").alias("head"))  # found by place: no sort by file
+    files = flags.join(head, ["file", "first"])
     if encoding is not None:
         files = files.withColumn("utf8", F.lit(encoding.upper().replace("_", "-") in ("UTF-8", "UTF8")))
     text = F.rtrim(F.ltrim(_in_file_encoding(F.col("head")), F.lit("﻿")), F.lit("\r"))
@@ -219,7 +233,7 @@ def store_files(lines: DataFrame, base: str, sep: str | None = None, encoding: s
     if sep is None:
         for s in reversed(SEPARATORS):
             found = F.when(F.contains(text, F.lit(s)), F.lit(s)).otherwise(found)
-    files = files.select("file", "utf8", "quoted", "many", "first", text.alias("head"), found.alias("sep"))
+    files = files.select("file", "utf8", "quoted", "many", "size", "first", text.alias("head"), found.alias("sep"))
     files.write.parquet(f"{base}/files")
     return lines.sparkSession.read.parquet(f"{base}/files")
 
@@ -227,18 +241,21 @@ def store_files(lines: DataFrame, base: str, sep: str | None = None, encoding: s
 def _quoted_records(lines: DataFrame, files: DataFrame, base: str) -> DataFrame:
     """Step 4: (file, block, at, fields) of the files that have quotes."""
     some = files.filter("quoted").select("file", "utf8", "sep", "many")
+    size, many = files.filter("quoted").agg(F.sum("size"), F.bool_or("many")).first()
+    tasks = math.ceil(size / TASK_BYTES)
+    lines = lines.withColumn("chunk", _chunk(F.col("at")))
     mine = lines.drop("utf8").join(some, "file")
     # a file of one piece begins outside
     begin = files.filter("quoted and not many").select(
-        "file", F.lit(0).cast("long").alias("block"), F.lit(None).cast("long").alias("since"))
-    if not files.filter("quoted and many").isEmpty():
-        maps = mine.filter("quoted and many").select("file", "block", "at", "line", "sep").groupBy("file", "block").applyInArrow(
-            _block_map, "file string, block long, from_out boolean, from_in boolean, closes boolean")
-        blocks = lines.select("file", "block").distinct().join(some.filter("many").select("file"), "file")
-        states = blocks.join(maps, ["file", "block"], "left").groupBy("file")
-        begin = begin.union(states.applyInArrow(_begin, "file string, block long, since long"))
-    rows = mine.select("file", "block", "at", "line", "sep", "utf8")
-    (rows.groupBy("file", "block").cogroup(begin.groupBy("file", "block")).applyInArrow(_parse_block, _PARSED)
+        "file", F.lit(0).cast("long").alias("block"), _chunk(F.col("first")).alias("chunk"), F.lit(None).cast("long").alias("since"))
+    if many:
+        maps = mine.filter("quoted and many").select(*_PIECE, "at", "line", "sep").repartition(tasks, *_PIECE).groupBy(*_PIECE).applyInArrow(
+            _block_map, "file string, block long, chunk long, from_out boolean, from_in boolean, closes boolean")
+        blocks = lines.groupBy(*_PIECE).agg(F.min("at").alias("start")).join(some.filter("many").select("file"), "file")
+        states = blocks.join(maps, _PIECE, "left").groupBy("file")
+        begin = begin.union(states.applyInArrow(_begin, "file string, block long, chunk long, since long"))
+    rows = mine.select(*_PIECE, "at", "line", "sep", "utf8").repartition(tasks, *_PIECE)
+    (rows.groupBy(*_PIECE).cogroup(begin.groupBy(*_PIECE)).applyInArrow(_parse_block, _PARSED)
      .write.parquet(f"{base}/parsed"))
     parsed = lines.sparkSession.read.parquet(f"{base}/parsed")
     joined = parsed.filter("part is not null").groupBy("file", "since").applyInArrow(
@@ -287,7 +304,7 @@ def store_records(spark: SparkSession, paths: str | Sequence[str], base: str, re
     heads = spark.read.parquet(f"{base}/heads")
     body = bodies[0] if len(bodies) == 1 else bodies[0].union(bodies[1])
     stored = body.join(heads.select("file", "layout"), "file")
-    stored.write.partitionBy("layout").parquet(f"{base}/records")
+    stored.write.parquet(f"{base}/records")  # not by layout: that would sort
     return spark.read.schema("file string, fields array<string>, layout string").parquet(f"{base}/records"), heads
 
 

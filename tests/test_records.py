@@ -1,6 +1,7 @@
 """Delimited files split over many tasks: the records of a one-task reader."""
 
 import csv
+import gzip
 import io
 import os
 import random
@@ -121,3 +122,17 @@ def test_tolerant_scan_counts_fields_of_whole_records(spark, workdir, small_piec
     assert got == sorted(want, key=repr)
     named = read_tolerant(spark, path, ["a", "b"])
     assert named.columns == ["a", "b"] and named.filter(F.col("b").isNull()).count() == 60 and named.count() == 60
+
+
+def test_what_one_scan_task_reads_is_cut_by_lines(spark, workdir, monkeypatch):
+    """A compressed file cannot be split by bytes; its lines still go to many small pieces."""
+    monkeypatch.setattr(records, "PIECE_BITS", 4, raising=False)
+    rows = [(str(i), "x\n" * 40 if i % 25 == 0 else f"a\n{i}") for i in range(300)]
+    with gzip.open(os.path.join(workdir, "one.csv.gz"), "wt") as f:
+        f.write("id;nota\n" + "".join(f'{i};"{note}"\n' for i, note in rows))
+    base = os.path.join(workdir, "out")
+    got, heads = records.store_records(spark, os.path.join(workdir, "one.csv.gz"), base)
+    assert heads.count() == 1 and sorted(tuple(r.fields) for r in got.collect()) == sorted(rows)
+    parsed = spark.read.parquet(base + "/parsed")
+    assert parsed.filter("part is not null").count() > 20
+    assert not [n for n in os.listdir(base + "/records") if n.startswith("layout=")]
