@@ -1097,7 +1097,7 @@ def s08_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     note = F.lit("Saúde").alias("OBSERVAÇÃO")
 
     def write(df: DataFrame, name: str, sep: str, encoding: str) -> None:
-        (df.repartition("quarter", F.rand(0)).write.partitionBy("quarter").option("header", "true")
+        (df.hint("rebalance", "quarter").write.partitionBy("quarter").option("header", "true")
          .option("sep", sep).option("encoding", encoding).option("escape", '"').csv(f"{folder}/{name}"))
 
     write(raw.filter(odd).select(op, account, note, value, "quarter"), "a", ";", "ISO-8859-1")
