@@ -100,8 +100,11 @@ def _block_map(lines: pa.Table) -> pa.Table:
     sep = lines.column("sep")[0].as_py()
     outer, inner, closes = False, True, False
     for b in lines.column("line").to_pylist():
-        text = b.decode("latin-1")
-        outer, inner = ends_inside(text, sep, outer), ends_inside(text, sep, inner)
+        if b'"' not in b:
+            continue
+        text, met = b.decode("latin-1"), outer == inner
+        outer = ends_inside(text, sep, outer)
+        inner = outer if met else ends_inside(text, sep, inner)
         closes = closes or not inner
     return pa.table({"file": lines.column("file")[:1], "block": lines.column("block")[:1], "chunk": lines.column("chunk")[:1],
                      "from_out": [outer], "from_in": [inner], "closes": [closes]})
