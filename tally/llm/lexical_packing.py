@@ -30,7 +30,8 @@ The rests are written once, as token ids; the driver gets the sample's ids
 those of the ``tokenizers`` file. Where both give the same ids (plain Latin
 text without an added token), the same vocabulary is applied through
 ``tiktoken``, which is several times faster; anything else goes to
-``tokenizers``.
+``tokenizers``. Plain texts are cut into pieces up to ``ROWS`` texts at a time,
+and each distinct piece of them is merged once.
 
 Defined results: a null or empty text is the single id 1; repeated rows and
 null ids are documents of their own; ties go to the earlier row by id and
@@ -42,12 +43,14 @@ from __future__ import annotations
 import base64
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,11 +74,18 @@ DEAL_BITS = 22
 SEQUENCE_BITS = 22
 DOC_BITS = 20
 ROWS = 1024
+CHARS = 1 << 22
 _SPREAD = U(0x9E3779B97F4A7C15)
 
 # Other characters than these may be classed differently by the two libraries' tables.
 _OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ]")
 
+# Kinds of characters of plain text; all from 0x100 on are letters, as 0xff is.
+_END, _LETTER, _DIGIT, _SPACE, _SIGN = range(5)
+_KIND = bytes(
+    _END if k == 0 else _SPACE if chr(k).isspace() else {"L": _LETTER, "N": _DIGIT}.get(unicodedata.category(chr(k))[0], _SIGN) for k in range(256)
+)
+
 
 def tokenizer_files() -> tuple[str, str]:
     """The default vocabulary: for ``tokenizers``, and the same as ranks."""
@@ -99,20 +109,91 @@ class Encoder:
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            # for pieces that are cut already, a zero between them
+            self.merge = tiktoken.Encoding("pieces", pat_str=r"\x00|[^\x00]+", mergeable_ranks=ranks, special_tokens={})
+            self.zero = ranks[b"\0"]
         size = max(self.slow.get_vocab().values()) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         # ids that begin a word: a byte-level space or line break first
         self.opens = np.zeros(size, dtype=bool)
         self.opens[[i for t, i in self.slow.get_vocab().items() if t[:1] in "ĠĊĉč"]] = True
 
+    def plain(self, text: str) -> bool:
+        return self.fast is not None and not _OTHER.search(text) and not any(t in text for t in self.added)
+
+    def every(self, texts: list[str]) -> list[np.ndarray]:
+        """``ids`` of every text; plain ones are taken together, ``CHARS`` characters at a time."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        group: list[int] = []
+        size = 0
+        for k, text in enumerate(texts):
+            if len(text) > CHARS or not self.plain(text):
+                out[k] = self.ids(text)
+                continue
+            if size + len(text) > CHARS:
+                self._fill(out, group, texts)
+                group, size = [], 0
+            group.append(k)
+            size += len(text)
+        self._fill(out, group, texts)
+        return out
+
+    def _fill(self, out: list, group: list[int], texts: list[str]) -> None:
+        if not group:
+            return
+        pieces, ends = pieces_of([texts[k] for k in group])
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary  # the first one is the zero, the end of a text
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), b"\0")[0].as_py()
+        ids = np.array(self.merge.encode_ordinary(joined.decode()), dtype=self.dtype)
+        cut = np.flatnonzero(ids == self.zero)[1:]
+        ids[0] = END_ID
+        # what stands before the zeros, without them
+        offsets = (np.concatenate([[0], cut, [len(ids)]]) - np.concatenate([[0], np.arange(len(cut) + 1)])) * self.dtype.itemsize
+        ids = np.delete(ids, cut)
+        merged = pa.BinaryArray.from_buffers(pa.binary(), len(distinct), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+        _, offsets, ids = merged.take(coded.indices).buffers()
+        at = (np.frombuffer(offsets, dtype=np.int32)[ends + 1] // self.dtype.itemsize).tolist()
+        ids = np.frombuffer(ids, dtype=self.dtype, count=at[-1])
+        for k, a, b in zip(group, at, at[1:]):
+            out[k] = ids[a:b]
+
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is not None and not _OTHER.search(text) and not any(t in text for t in self.added):
+        if self.plain(text):
             ids = self.fast.encode_ordinary(text)
         else:
             ids = self.slow.encode(text, add_special_tokens=False).ids
         return np.append(np.asarray(ids, dtype=self.dtype), self.dtype.type(END_ID))
 
 
+def pieces_of(texts: list[str]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Plain texts as ``public_tokenizers.PATTERN`` cuts them, one after the other, a zero before each and after the last; the numbers of the zeros."""
+    joined = "\0" + "\0".join(texts) + "\0"
+    char = np.minimum(np.frombuffer(joined.encode("utf-16-le"), dtype="<u2"), 0xFF).astype(np.uint8)
+    kind = np.frombuffer(char.tobytes().translate(_KIND), dtype=np.uint8)
+    opens = np.append(True, np.append(kind[1:] != kind[:-1], True))
+    ends = np.flatnonzero(kind == _END)
+    opens[ends] = True
+    # the last white space before something else stands alone, or a blank before that
+    last = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & (kind[1:] != _END))
+    opens[last] = True
+    opens[last[char[last] == ord(" ")] + 1] = False
+    # 's 't 'm 'd 're 've 'll where a piece begins
+    quote = np.flatnonzero(char == ord("'"))
+    quote = quote[opens[quote]]
+    one, two = char[quote + 1], char[np.minimum(quote + 2, len(char) - 1)]
+    short = np.isin(one, np.frombuffer(b"stmd", dtype=np.uint8))
+    long = (np.isin(one, np.frombuffer(b"rv", dtype=np.uint8)) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    opens[quote[short | long] + 1] = False
+    opens[quote[short] + 2] = True
+    opens[quote[long] + 3] = True
+    at = np.flatnonzero(opens)
+    data = joined.encode()
+    begin = at if len(data) == len(char) else at + np.append(0, np.cumsum(char >= 0x80, dtype=np.int32))[at]  # two bytes each
+    pieces = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(data)])
+    return pieces, np.searchsorted(at, ends)
+
+
 @lru_cache(maxsize=2)
 def encoder(json_path: str, ranks_path: str | None) -> Encoder:
     return Encoder(json_path, ranks_path)
@@ -370,8 +451,9 @@ def _sampled(docs: DataFrame, n_docs: int, window: int, files: tuple[str, str |
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(*files)
         for batch in batches:
-            ids = (enc.ids(t) for t in batch.column(0).to_pylist())
-            yield pa.record_batch([pa.array([x[len(x) - len(x) % window :].tobytes() for x in ids], pa.binary())], names=["ids"])
+            for at in range(0, batch.num_rows, ROWS):
+                ids = enc.every(batch.column(0).slice(at, ROWS).to_pylist())
+                yield pa.record_batch([pa.array([x[len(x) - len(x) % window :].tobytes() for x in ids], pa.binary())], names=["ids"])
 
     some = docs.sample(min(1.0, SAMPLE / n_docs), seed=1).select(text_or_empty(text_col).alias("t"))
     dtype = encoder(*files).dtype
@@ -397,7 +479,7 @@ def placed(
                 yield from rows_of(enc, *(batch.column(i).slice(at, ROWS).to_pylist() for i in range(3)))
 
     def rows_of(enc: Encoder, doc_ids: list, ties: list, texts: list) -> Iterator[pa.RecordBatch]:
-        every = [enc.ids(t) for t in texts]
+        every = enc.every(texts)
         rests = [ids[len(ids) - len(ids) % window :] for ids in every]
         some = [k for k, r in enumerate(rests) if len(r)]
         leaf, code, words = (np.zeros(len(every), dtype=np.int64) for _ in range(3))

@@ -229,6 +229,37 @@ def test_packing(docs, empty):
     assert lexical_packing.lexical_packing(empty).count() == 0
 
 
+def test_packing_merges_distinct_pieces_once(monkeypatch):
+    """Ids of many texts at once are those of the tokenizers file; what goes through the merges grows with the distinct pieces."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(lexical_packing.tokenizer_files()[0])
+    enc = lexical_packing.Encoder(*lexical_packing.tokenizer_files())
+    rng = np.random.default_rng(4)
+    odd = list("'sstmdrevll  \n\t\r\xa0 aA1.!\xad_éÿ²ª½ɏĀ") + ["'", "'"]
+    texts = ["".join(rng.choice(odd, rng.integers(0, 40))) for _ in range(3000)]
+    texts += ["", "'", "a'", "'l", " 's", "x\0y", "日本 it's", "<|endoftext|>", "two  \n ends  ", *(x or "" for _, x in ODD)]
+    for chars in (lexical_packing.CHARS, 50):
+        monkeypatch.setattr(lexical_packing, "CHARS", chars)
+        got = enc.every(texts)
+        assert len(got) == len(texts)
+        for x, ids in zip(texts, got, strict=True):
+            assert ids.dtype == enc.dtype and ids.tolist() == t.encode(x, add_special_tokens=False).ids + [1], x
+    assert enc.every([]) == []
+
+    class Counted:
+        size = 0
+
+        def encode_ordinary(self, text, plain=enc.merge):
+            self.size += len(text)
+            return plain.encode_ordinary(text)
+
+    monkeypatch.undo()
+    enc.merge = Counted()
+    enc.every([" ".join(f"word{'abcdefgh'[k % 8]}" for k in range(n, n + 1000)) for n in range(200)])
+    assert 0 < enc.merge.size < 200, enc.merge.size
+
+
 def test_packing_fills_a_window_with_neighbours():
     rng = np.random.default_rng(3)
     topic = rng.permutation(np.repeat([0, 1], 100))
