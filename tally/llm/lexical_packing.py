@@ -63,6 +63,7 @@ SHARD_DOCS = 4096
 SHARD_MEAN = 1024
 K1, B = 1.2, 0.75
 BLOCK = 32
+DROP = 0.65
 DENSE = 12
 SAMPLE = 4096
 LEAVES = 128
@@ -145,7 +146,7 @@ class Encoder:
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary  # the first one is the zero, the end of a text
         joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), b"\0")[0].as_py()
-        ids = np.array(self.merge.encode_ordinary(joined.decode()), dtype=self.dtype)
+        ids = self.merge.encode_to_numpy(joined.decode(), disallowed_special=()).astype(self.dtype)
         cut = np.flatnonzero(ids == self.zero)[1:]
         ids[0] = END_ID
         # what stands before the zeros, without them
@@ -247,10 +248,12 @@ class Index:
     ``known`` the sorted terms of the shard that several of its documents have
     and ``df`` how many of all documents have each; without them the shard is
     all there is. Terms that many documents of the shard have lie as dense rows.
+    ``documents`` are the numbers of those that are scored: all, until ``keep``.
     """
 
     def __init__(self, p: Postings, total: int = 0, mean: float = 0.0, known: np.ndarray | None = None, df: np.ndarray | None = None):
         n = self.n = p.n
+        self.documents = np.arange(n)
         whole = p.df
         if known is not None:
             whole = p.df.copy()
@@ -260,19 +263,35 @@ class Index:
         idf = np.log1p((total - whole + 0.5) / (whole + 0.5))[number]
         norm = K1 * (1 - B + B * p.words / max(mean, 1))
         self.weight = (idf * p.tf * (K1 + 1) / (p.tf + norm[p.docs])).astype(np.float32)
-        self.docs, self.begin, self.df = p.docs, p.begin, p.df
         often = np.flatnonzero(p.df > max(n // DENSE, 1))
         self.row = np.full(len(p.df), -1)
         self.row[often] = np.arange(len(often))
         self.dense = np.zeros((len(often), n), dtype=np.float32)
         at = self.row[number] >= 0
         self.dense[self.row[number[at]], p.docs[at]] = self.weight[at]
+        # postings of the other terms that can find a document
+        some = (p.df > 1) & (self.row < 0)
+        self.df = np.where(some, p.df, 0)
+        self.begin = np.cumsum(self.df) - self.df
+        self.docs, self.weight = p.docs[some[number]], self.weight[some[number]]
         # per document, all its terms that occur elsewhere too
         shared = np.flatnonzero(p.df[number] > 1)
-        mine = shared[np.argsort(p.docs[shared], kind="stable")]
+        mine = shared[np.argsort(p.docs[shared].astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")]
         self.query, self.query_at = number[mine], np.searchsorted(p.docs[mine], np.arange(n + 1))
 
+    def keep(self, some: np.ndarray) -> None:
+        """From now on only these (a flag for each of ``documents``) are scored, with the same scores; a seed can be any."""
+        at = some[self.docs]
+        before = np.append(0, np.cumsum(at))
+        self.df = before[self.begin + self.df] - before[self.begin]
+        self.begin = before[self.begin]
+        self.docs, self.weight = (np.cumsum(some) - 1)[self.docs[at]], self.weight[at]
+        self.dense = np.compress(some, self.dense, axis=1)
+        self.documents = self.documents[some]
+        self.n = len(self.documents)
+
     def scores(self, seed: int) -> np.ndarray:
+        """Of each of ``documents``."""
         q = self.query[self.query_at[seed] : self.query_at[seed + 1]]
         row = self.row[q]
         out = np.zeros(self.n, dtype=np.float32)
@@ -319,9 +338,9 @@ class Router:
     def vectors(self, rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Unit vectors, and the number of words."""
         term, doc = words_of(rests, self.opens)
-        weight = self.weight[(term >> U(40)).astype(np.int64) % BUCKETS]
+        weight = self.weight[((term >> U(40)) & U(BUCKETS - 1)).astype(np.int64)]
         weight = np.where(term & U(1), weight, -weight)
-        column = (term >> U(1)).astype(np.int64) % DIMS
+        column = ((term >> U(1)) & U(DIMS - 1)).astype(np.int64)
         x = np.bincount(doc * DIMS + column, weights=weight, minlength=len(rests) * DIMS).reshape(-1, DIMS).astype(np.float32)
         x = np.sign(x) * np.sqrt(np.abs(x))
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9), np.bincount(doc, minlength=len(rests))
@@ -337,14 +356,13 @@ class Router:
 def best_first(score: np.ndarray) -> Iterator[int]:
     """Numbers of all positive scores, best first, ties to the smaller; sorted block by block, as far as they are read."""
     some = np.flatnonzero(score > 0)
-    size = BLOCK
+    size = 2 * BLOCK
     while len(some):
-        if len(some) > size:
-            least = np.partition(score[some], len(some) - size)[len(some) - size]
-            head, some = some[score[some] >= least], some[score[some] < least]
-        else:
-            head, some = some, some[:0]
-        yield from head[np.lexsort((head, -score[head]))].tolist()
+        value = score[some]
+        least = np.partition(value, len(some) - size)[len(some) - size] if len(some) > size else 0
+        head = some[value >= least]
+        yield from head[np.argsort(-score[head], kind="stable")].tolist()
+        some = some[value < least]
         size *= 4
 
 
@@ -352,18 +370,21 @@ Piece = tuple[int, int, int]  # number of the rest, from, to
 
 
 def pack(sizes: np.ndarray, index: Index | None, window: int = WINDOW) -> list[list[Piece]]:
-    """Sequences of pieces; all but the last few are exactly ``window`` long."""
+    """Sequences of pieces; all but the last few are exactly ``window`` long. The index is left with few documents."""
     n = len(sizes)
-    begin = np.zeros(n, dtype=np.int64)
-    left = sizes.astype(np.int64).copy()
+    begin = [0] * n
+    left = sizes.tolist()
+    used = sizes == 0
     out: list[list[Piece]] = []
     cursor, again = 0, -1
+    numbers = index.documents.tolist() if index is not None else []
 
     def take(i: int, most: int) -> int:
-        k = int(min(left[i], most))
-        line.append((i, int(begin[i]), int(begin[i]) + k))
+        k = min(left[i], most)
+        line.append((i, begin[i], begin[i] + k))
         begin[i] += k
         left[i] -= k
+        used[i] = left[i] == 0
         return k
 
     while True:
@@ -372,6 +393,11 @@ def pack(sizes: np.ndarray, index: Index | None, window: int = WINDOW) -> list[l
         seed = again if again >= 0 and left[again] > 0 else cursor
         if seed >= n:
             return out
+        if index is not None:
+            some = ~used[index.documents]
+            if np.count_nonzero(some) < DROP * index.n:
+                index.keep(some)
+                numbers = index.documents.tolist()
         line: list[Piece] = []
         gap = window - take(seed, window)
         again = -1
@@ -379,10 +405,10 @@ def pack(sizes: np.ndarray, index: Index | None, window: int = WINDOW) -> list[l
         while gap and index is not None and asked < len(line):
             score = index.scores(line[asked][0])
             asked += 1
-            score[left == 0] = 0
-            order = best_first(score)
+            score[used[index.documents]] = 0
             held = []
-            for i in order:
+            for k in best_first(score):
+                i = numbers[k]
                 if left[i] <= gap:
                     gap -= take(i, gap)
                 else:

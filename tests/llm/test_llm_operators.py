@@ -250,9 +250,9 @@ def test_packing_merges_distinct_pieces_once(monkeypatch):
     class Counted:
         size = 0
 
-        def encode_ordinary(self, text, plain=enc.merge):
+        def encode_to_numpy(self, text, plain=enc.merge, **how):
             self.size += len(text)
-            return plain.encode_ordinary(text)
+            return plain.encode_to_numpy(text, **how)
 
     monkeypatch.undo()
     enc.merge = Counted()
@@ -270,6 +270,26 @@ def test_packing_fills_a_window_with_neighbours():
     assert {topic[i] for i, _, _ in lines[0]} == {topic[0]} and len(lines[0]) == 60
 
 
+def test_packing_scores_what_is_left_alike():
+    """Without the documents used up, the others' scores are the same to the last bit, and a used one can still be asked for."""
+    rng = np.random.default_rng(9)
+    rests = [np.minimum(rng.zipf(1.3, rng.integers(1, 90)), 499) for _ in range(240)]
+    opens = np.ones(500, dtype=bool)
+    whole, part = (lexical_packing.Index(lexical_packing.Postings(rests, opens)) for _ in range(2))
+    for _ in range(3):
+        part.keep(rng.random(part.n) < 0.6)
+        assert part.n == len(part.documents) == part.dense.shape[1] < 200
+        for seed in range(0, 240, 7):
+            assert np.array_equal(part.scores(seed), whole.scores(seed)[part.documents])
+    part.keep(np.zeros(part.n, dtype=bool))
+    assert len(part.scores(3)) == 0
+    index = lexical_packing.Index(lexical_packing.Postings(rests, opens))
+    lines = lexical_packing.pack(np.array([len(r) for r in rests]), index, 64)
+    assert index.n < 120  # what a sequence costs falls with the documents that are left
+    assert sorted(i for x in lines for i, a, _ in x if a == 0) == list(range(240))
+    assert sum(b - a for x in lines for _, a, b in x) == sum(map(len, rests))
+
+
 def plain_bm25(bags, seed, total, mean, df):
     """Scores of all bags of words for the distinct words of one of them, with the given statistics."""
     k1, b = lexical_packing.K1, lexical_packing.B
