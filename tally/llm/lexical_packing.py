@@ -31,7 +31,8 @@ those of the ``tokenizers`` file. Where both give the same ids (plain Latin
 text without an added token), the same vocabulary is applied through
 ``tiktoken``, which is several times faster; anything else goes to
 ``tokenizers``. Plain texts are cut into pieces up to ``ROWS`` texts at a time,
-and each distinct piece of them is merged once.
+and each distinct piece of them is merged once, unless it was met before (a task
+remembers at most ``KNOWN`` pieces).
 
 Defined results: a null or empty text is the single id 1; repeated rows and
 null ids are documents of their own; ties go to the earlier row by id and
@@ -76,6 +77,7 @@ SEQUENCE_BITS = 22
 DOC_BITS = 20
 ROWS = 1024
 CHARS = 1 << 22
+KNOWN = 1 << 18
 _SPREAD = U(0x9E3779B97F4A7C15)
 
 # Other characters than these may be classed differently by the two libraries' tables.
@@ -103,6 +105,8 @@ class Encoder:
         self.slow = Tokenizer.from_file(json_path)
         self.added = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.fast = None
+        size = max(self.slow.get_vocab().values()) + 1
+        self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         if ranks_path:
             import public_tokenizers
             import tiktoken
@@ -113,8 +117,9 @@ class Encoder:
             # for pieces that are cut already, a zero between them
             self.merge = tiktoken.Encoding("pieces", pat_str=r"\x00|[^\x00]+", mergeable_ranks=ranks, special_tokens={})
             self.zero = ranks[b"\0"]
-        size = max(self.slow.get_vocab().values()) + 1
-        self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+            # pieces met before, at most KNOWN, and the ids of each; the zero is the end of a text
+            self.known = pa.array([b"\0"])
+            self.known_ids = pa.array([np.array([END_ID], dtype=self.dtype).tobytes()])
         # ids that begin a word: a byte-level space or line break first
         self.opens = np.zeros(size, dtype=bool)
         self.opens[[i for t, i in self.slow.get_vocab().items() if t[:1] in "ĠĊĉč"]] = True
@@ -144,21 +149,31 @@ class Encoder:
             return
         pieces, ends = pieces_of([texts[k] for k in group])
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary  # the first one is the zero, the end of a text
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), b"\0")[0].as_py()
-        ids = self.merge.encode_to_numpy(joined.decode(), disallowed_special=()).astype(self.dtype)
-        cut = np.flatnonzero(ids == self.zero)[1:]
-        ids[0] = END_ID
-        # what stands before the zeros, without them
-        offsets = (np.concatenate([[0], cut, [len(ids)]]) - np.concatenate([[0], np.arange(len(cut) + 1)])) * self.dtype.itemsize
-        ids = np.delete(ids, cut)
-        merged = pa.BinaryArray.from_buffers(pa.binary(), len(distinct), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
-        _, offsets, ids = merged.take(coded.indices).buffers()
+        place = pc.index_in(coded.dictionary, value_set=self.known)
+        new = coded.dictionary.filter(place.is_null())
+        place = place.fill_null(-1).to_numpy().copy()
+        place[place < 0] = np.arange(len(self.known), len(self.known) + len(new))
+        merged = pa.concat_arrays([self.known_ids, self._merged(new)])
+        _, offsets, ids = merged.take(pa.array(place[coded.indices.to_numpy()])).buffers()
+        if len(merged) <= KNOWN:
+            self.known, self.known_ids = pa.concat_arrays([self.known, new]), merged
+        elif len(coded.dictionary) <= KNOWN:
+            self.known, self.known_ids = coded.dictionary, merged.take(pa.array(place))
         at = (np.frombuffer(offsets, dtype=np.int32)[ends + 1] // self.dtype.itemsize).tolist()
         ids = np.frombuffer(ids, dtype=self.dtype, count=at[-1])
         for k, a, b in zip(group, at, at[1:]):
             out[k] = ids[a:b]
 
+    def _merged(self, pieces: pa.BinaryArray) -> pa.BinaryArray:
+        """The ids of every piece."""
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), b"\0")[0].as_py()
+        ids = self.merge.encode_to_numpy(joined.decode(), disallowed_special=()).astype(self.dtype)
+        cut = np.flatnonzero(ids == self.zero)
+        ids = np.delete(ids, cut)
+        # what stands before the zeros, without them
+        offsets = np.concatenate([[0], cut - np.arange(len(cut)), [len(ids)]])[: len(pieces) + 1] * self.dtype.itemsize
+        return pa.BinaryArray.from_buffers(pa.binary(), len(pieces), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+
     def ids(self, text: str) -> np.ndarray:
         if self.plain(text):
             ids = self.fast.encode_ordinary(text)
@@ -300,8 +315,9 @@ class Index:
         q = q[row < 0]
         if len(q):
             size = self.df[q]
-            at = np.repeat(self.begin[q] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            out += np.bincount(self.docs[at], weights=self.weight[at], minlength=self.n).astype(np.float32)
+            at = np.repeat(self.begin[q] - np.cumsum(size) + size, size)
+            at += np.arange(len(at))
+            out += np.bincount(self.docs.take(at), weights=self.weight.take(at), minlength=self.n).astype(np.float32)
         return out
 
 

@@ -239,8 +239,9 @@ def test_packing_merges_distinct_pieces_once(monkeypatch):
     odd = list("'sstmdrevll  \n\t\r\xa0 aA1.!\xad_éÿ²ª½ɏĀ") + ["'", "'"]
     texts = ["".join(rng.choice(odd, rng.integers(0, 40))) for _ in range(3000)]
     texts += ["", "'", "a'", "'l", " 's", "x\0y", "日本 it's", "<|endoftext|>", "two  \n ends  ", *(x or "" for _, x in ODD)]
-    for chars in (lexical_packing.CHARS, 50):
+    for chars, known in ((lexical_packing.CHARS, lexical_packing.KNOWN), (50, 40), (400, 1000)):
         monkeypatch.setattr(lexical_packing, "CHARS", chars)
+        monkeypatch.setattr(lexical_packing, "KNOWN", known)
         got = enc.every(texts)
         assert len(got) == len(texts)
         for x, ids in zip(texts, got, strict=True):
