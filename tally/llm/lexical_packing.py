@@ -47,7 +47,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -114,9 +114,7 @@ class Encoder:
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            # for pieces that are cut already, a zero between them
-            self.merge = tiktoken.Encoding("pieces", pat_str=r"\x00|[^\x00]+", mergeable_ranks=ranks, special_tokens={})
-            self.zero = ranks[b"\0"]
+            self.ranks, self.zero = ranks, ranks[b"\0"]
             # pieces met before, at most KNOWN, and the ids of each; the zero is the end of a text
             self.known = pa.array([b"\0"])
             self.known_ids = pa.array([np.array([END_ID], dtype=self.dtype).tobytes()])
@@ -124,6 +122,13 @@ class Encoder:
         self.opens = np.zeros(size, dtype=bool)
         self.opens[[i for t, i in self.slow.get_vocab().items() if t[:1] in "ĠĊĉč"]] = True
 
+    @cached_property
+    def merge(self):
+        """For pieces that are cut already, a zero between them; the driver does not load it."""
+        import tiktoken
+
+        return tiktoken.Encoding("pieces", pat_str=r"\x00|[^\x00]+", mergeable_ranks=self.ranks, special_tokens={})
+
     def plain(self, text: str) -> bool:
         return self.fast is not None and not _OTHER.search(text) and not any(t in text for t in self.added)
 
