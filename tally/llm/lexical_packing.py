@@ -25,6 +25,10 @@ documents just added are searched for; without any, the next unused rest
 follows. So every window is full. What is left at the end of a shard is cut
 into sequences whose lengths are powers of two: no padding at all.
 
+A shard's words are hashed and weighed ``RUN`` ids at a time, and its tasks
+need no tokenizer: a worker holds the postings of one shard, not the
+temporary arrays of all its ids.
+
 The rests are written once, as token ids; the driver gets the sample's ids
 (at most ``SAMPLE`` windows), one row per leaf, and no text. Token ids are
 those of the ``tokenizers`` file. Where both give the same ids (plain Latin
@@ -78,6 +82,7 @@ DOC_BITS = 20
 ROWS = 1024
 CHARS = 1 << 22
 KNOWN = 1 << 18
+RUN = 1 << 18
 _SPREAD = U(0x9E3779B97F4A7C15)
 
 # Other characters than these may be classed differently by the two libraries' tables.
@@ -104,33 +109,42 @@ class Encoder:
 
         self.slow = Tokenizer.from_file(json_path)
         self.added = [t.content for t in self.slow.get_added_tokens_decoder().values()]
-        self.fast = None
+        self.ranks_path = ranks_path
         size = max(self.slow.get_vocab().values()) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        if ranks_path:
-            import public_tokenizers
-            import tiktoken
-
-            with open(ranks_path, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.ranks, self.zero = ranks, ranks[b"\0"]
-            # pieces met before, at most KNOWN, and the ids of each; the zero is the end of a text
-            self.known = pa.array([b"\0"])
-            self.known_ids = pa.array([np.array([END_ID], dtype=self.dtype).tobytes()])
+        # pieces met before, at most KNOWN, and the ids of each; the zero is the end of a text
+        self.known = pa.array([b"\0"])
+        self.known_ids = pa.array([np.array([END_ID], dtype=self.dtype).tobytes()])
         # ids that begin a word: a byte-level space or line break first
         self.opens = np.zeros(size, dtype=bool)
         self.opens[[i for t, i in self.slow.get_vocab().items() if t[:1] in "ĠĊĉč"]] = True
 
+    # the driver loads none of these
+
     @cached_property
-    def merge(self):
-        """For pieces that are cut already, a zero between them; the driver does not load it."""
+    def ranks(self) -> dict[bytes, int]:
+        with open(self.ranks_path, "rb") as f:
+            return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
+
+    def _tiktoken(self, name: str, pattern: str):
         import tiktoken
 
-        return tiktoken.Encoding("pieces", pat_str=r"\x00|[^\x00]+", mergeable_ranks=self.ranks, special_tokens={})
+        return tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def fast(self):
+        """For a whole plain text."""
+        import public_tokenizers
+
+        return self._tiktoken("ranks", public_tokenizers.PATTERN)
+
+    @cached_property
+    def merge(self):
+        """For pieces that are cut already, a zero between them."""
+        return self._tiktoken("pieces", r"\x00|[^\x00]+")
 
     def plain(self, text: str) -> bool:
-        return self.fast is not None and not _OTHER.search(text) and not any(t in text for t in self.added)
+        return bool(self.ranks_path) and not _OTHER.search(text) and not any(t in text for t in self.added)
 
     def every(self, texts: list[str]) -> list[np.ndarray]:
         """``ids`` of every text; plain ones are taken together, ``CHARS`` characters at a time."""
@@ -173,7 +187,7 @@ class Encoder:
         """The ids of every piece."""
         joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), b"\0")[0].as_py()
         ids = self.merge.encode_to_numpy(joined.decode(), disallowed_special=()).astype(self.dtype)
-        cut = np.flatnonzero(ids == self.zero)
+        cut = np.flatnonzero(ids == self.ranks[b"\0"])
         ids = np.delete(ids, cut)
         # what stands before the zeros, without them
         offsets = np.concatenate([[0], cut - np.arange(len(cut)), [len(ids)]])[: len(pieces) + 1] * self.dtype.itemsize
@@ -210,8 +224,10 @@ def pieces_of(texts: list[str]) -> tuple[pa.BinaryArray, np.ndarray]:
     opens[quote[long] + 3] = True
     at = np.flatnonzero(opens)
     data = joined.encode()
-    begin = at if len(data) == len(char) else at + np.append(0, np.cumsum(char >= 0x80, dtype=np.int32))[at]  # two bytes each
-    pieces = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(data)])
+    begin = at.astype(np.int32)
+    if len(data) != len(char):  # some characters are two bytes
+        begin[1:] += np.cumsum(np.add.reduceat(char >= 0x80, at[:-1], dtype=np.int32), dtype=np.int32)
+    pieces = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(begin), pa.py_buffer(data)])
     return pieces, np.searchsorted(at, ends)
 
 
@@ -229,6 +245,18 @@ def _spread(size: int) -> np.ndarray:
     return mix((np.arange(size, dtype=U) + U(1)) * _SPREAD)
 
 
+def runs_of(rests: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Consecutive rests of at most ``RUN`` ids (or a single one) and the number of the first: what is gone through at a time."""
+    at = size = 0
+    for k, r in enumerate(rests):
+        if k > at and size + len(r) > RUN:
+            yield at, rests[at:k]
+            at, size = k, 0
+        size += len(r)
+    if rests:
+        yield at, rests[at:]
+
+
 def words_of(rests: list[np.ndarray], opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document of every word: the ids from one word start to the next."""
     size = np.array([len(r) for r in rests])
@@ -248,13 +276,21 @@ class Postings:
     def __init__(self, rests: list[np.ndarray], opens: np.ndarray):
         self.n = len(rests)
         bits = U(DOC_BITS)
-        term, doc = words_of(rests, opens)
-        self.words = np.bincount(doc, minlength=self.n)
-        key = np.sort((term >> bits << bits) | doc.astype(U))
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        self.tf = np.diff(np.append(first, len(key)))
-        key = key[first]
-        self.docs = (key & ((U(1) << bits) - U(1))).astype(np.int64)
+        keys, counts, words = [], [], []
+        for at, some in runs_of(rests):
+            term, doc = words_of(some, opens)
+            words.append(np.bincount(doc, minlength=len(some)))
+            key = np.sort((term >> bits << bits) | (doc + at).astype(U))
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            keys.append(key[first])
+            counts.append(np.diff(np.append(first, len(key))).astype(np.int32))
+        self.words = np.concatenate(words)
+        key, self.tf = np.concatenate(keys), np.concatenate(counts)
+        del keys, counts
+        order = np.argsort(key, kind="stable")
+        key, self.tf = key[order], self.tf[order]
+        del order
+        self.docs = (key & ((U(1) << bits) - U(1))).astype(np.int32)
         term = key >> bits
         self.begin = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
         self.term = term[self.begin].astype(np.int64)
@@ -279,12 +315,15 @@ class Index:
             whole = p.df.copy()
             whole[np.searchsorted(p.term, known)] = df
         total, mean = total or n, mean or float(p.words.mean())
-        number = np.repeat(np.arange(len(p.df)), p.df)
-        idf = np.log1p((total - whole + 0.5) / (whole + 0.5))[number]
+        number = np.repeat(np.arange(len(p.df), dtype=np.int32), p.df)
+        idf = np.log1p((total - whole + 0.5) / (whole + 0.5))
         norm = K1 * (1 - B + B * p.words / max(mean, 1))
-        self.weight = (idf * p.tf * (K1 + 1) / (p.tf + norm[p.docs])).astype(np.float32)
+        self.weight = np.empty(len(number), dtype=np.float32)
+        for a in range(0, len(number), RUN):
+            run = slice(a, a + RUN)
+            self.weight[run] = idf[number[run]] * p.tf[run] * (K1 + 1) / (p.tf[run] + norm[p.docs[run]])
         often = np.flatnonzero(p.df > max(n // DENSE, 1))
-        self.row = np.full(len(p.df), -1)
+        self.row = np.full(len(p.df), -1, dtype=np.int32)
         self.row[often] = np.arange(len(often))
         self.dense = np.zeros((len(often), n), dtype=np.float32)
         at = self.row[number] >= 0
@@ -305,7 +344,7 @@ class Index:
         before = np.append(0, np.cumsum(at))
         self.df = before[self.begin + self.df] - before[self.begin]
         self.begin = before[self.begin]
-        self.docs, self.weight = (np.cumsum(some) - 1)[self.docs[at]], self.weight[at]
+        self.docs, self.weight = (np.cumsum(some, dtype=np.int32) - 1)[self.docs[at]], self.weight[at]
         self.dense = np.compress(some, self.dense, axis=1)
         self.documents = self.documents[some]
         self.n = len(self.documents)
@@ -342,9 +381,11 @@ class Router:
         self.planes = rng.choice(np.array([-1, 1], dtype=np.float32), (DIMS, CODE_BITS))
         if not rests or leaves < 2:
             return
-        term, doc = words_of(rests, opens)
-        pair = np.unique(doc * BUCKETS + (term >> U(40)).astype(np.int64) % BUCKETS)
-        df = np.bincount(pair % BUCKETS, minlength=BUCKETS)
+        df = np.zeros(BUCKETS, dtype=np.int64)
+        for _, some in runs_of(rests):
+            term, doc = words_of(some, opens)
+            pair = np.unique(doc * BUCKETS + (term >> U(40)).astype(np.int64) % BUCKETS)
+            df += np.bincount(pair % BUCKETS, minlength=BUCKETS)
         self.weight = np.log1p((len(rests) - df + 0.5) / (df + 0.5)).astype(np.float32)
         x, _ = self.vectors(rests)
         centres = x[rng.permutation(len(x))[:leaves]]
@@ -358,6 +399,11 @@ class Router:
 
     def vectors(self, rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Unit vectors, and the number of words."""
+        parts = [self._vectors(some) for _, some in runs_of(rests)]
+        x, words = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return x, words
+
+    def _vectors(self, rests: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         term, doc = words_of(rests, self.opens)
         weight = self.weight[((term >> U(40)) & U(BUCKETS - 1)).astype(np.int64)]
         weight = np.where(term & U(1), weight, -weight)
@@ -502,7 +548,7 @@ def _sampled(docs: DataFrame, n_docs: int, window: int, files: tuple[str, str |
                 ids = enc.every(batch.column(0).slice(at, ROWS).to_pylist())
                 yield pa.record_batch([pa.array([x[len(x) - len(x) % window :].tobytes() for x in ids], pa.binary())], names=["ids"])
 
-    some = docs.sample(min(1.0, SAMPLE / n_docs), seed=1).select(text_or_empty(text_col).alias("t"))
+    some = docs.sample(fraction=min(1.0, SAMPLE / n_docs), seed=1).select(text_or_empty(text_col).alias("t"))
     dtype = encoder(*files).dtype
     return [x for x in (np.frombuffer(r.ids, dtype=dtype) for r in some.mapInArrow(tokenise, "ids binary").collect()) if len(x)]
 
@@ -572,21 +618,22 @@ def lexical_packing(
     """Pieces: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     json_path, ranks_path = files or tokenizer_files()
     rows, total, mean = placed(docs, window, shard_docs, files, id_col, text_col)
+    enc = encoder(json_path, ranks_path)
+    opens, dtype = enc.opens, enc.dtype  # all that the shards need of it
 
-    def rests_of(table: pa.Table, enc: Encoder) -> list[np.ndarray]:
-        return [np.frombuffer(x, dtype=enc.dtype) for x in table.column("ids").to_pylist() if x is not None]
+    def ids_of(table: pa.Table) -> list[np.ndarray | None]:
+        """Views, no copies."""
+        return [np.frombuffer(x.as_buffer(), dtype=dtype) if x.is_valid else None for x in table.column("ids")]
 
     def count_terms(table: pa.Table) -> pa.Table:
-        enc = encoder(json_path, ranks_path)
-        rests = rests_of(table, enc)
+        rests = [x for x in ids_of(table) if x is not None]
         if not rests:
             return pa.table({"shard": pa.array([], pa.int64()), "term": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
-        p = Postings(rests, enc.opens)
+        p = Postings(rests, opens)
         return pa.table({"shard": np.full(len(p.term), table.column("shard")[0].as_py()), "term": p.term, "df": p.df.astype(np.int64)})
 
     def pack_shard(table: pa.Table, counts: pa.Table) -> pa.Table:
-        enc = encoder(json_path, ranks_path)
-        shard, *columns = (table.column(c).to_pylist() for c in _PACKED)
+        shard, *columns = (ids_of(table) if c == "ids" else table.column(c).to_pylist() for c in _PACKED)
         rows = sorted(zip(*columns, strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
         out: list[tuple] = []
         sequence = (shard[0] << SEQUENCE_BITS) if shard else 0
@@ -596,12 +643,12 @@ def lexical_packing(
                 out.append((doc_id, start, length, code, n, sequence, 0))
                 sequence += 1
             else:
-                rests.append((doc_id, start, n, np.frombuffer(ids, dtype=enc.dtype)))
+                rests.append((doc_id, start, n, ids))
         if rests:
             sizes = np.array([len(r[3]) for r in rests])
             known, df = (counts.column(c).to_numpy() for c in ("term", "df"))
             order = np.argsort(known)
-            index = Index(Postings([r[3] for r in rests], enc.opens), total, mean, known[order], df[order])
+            index = Index(Postings([r[3] for r in rests], opens), total, mean, known[order], df[order])
             lines = pack(sizes, index, window)
             full = [x for x in lines if sum(b - a for _, a, b in x) == window]
             partial = [y for x in lines if sum(b - a for _, a, b in x) < window for y in powers_of_two(x)]

@@ -303,6 +303,65 @@ def plain_bm25(bags, seed, total, mean, df):
     return np.array(out)
 
 
+def test_packing_indexes_a_shard_in_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    opens = np.ones(500, dtype=bool)
+    rests = [rng.integers(0, 500, 2000).astype(np.uint16) for _ in range(400)]
+    lexical_packing.Postings(rests[:2], opens)  # what is kept for all
+    tracemalloc.start()
+    try:
+        lexical_packing.Index(lexical_packing.Postings(rests, opens))
+        at_index = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        lexical_packing.Router(rests, opens, 4)
+        at_router = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 800,000 ids: all at once take 40 bytes an id and more
+    assert at_index < 25 * 800_000 and at_router < 25 * 800_000
+
+
+def test_packing_goes_through_rests_in_runs_alike(monkeypatch):
+    rng = np.random.default_rng(7)
+    opens = np.arange(300) % 3 == 0
+    rests = [rng.integers(0, 300, rng.integers(1, 60)).astype(np.uint16) for _ in range(200)]
+    assert list(lexical_packing.runs_of([])) == []
+    places = []
+    for run in (1, 50, 1 << 18):
+        monkeypatch.setattr(lexical_packing, "RUN", run)
+        assert [k for at, some in lexical_packing.runs_of(rests) for k in range(at, at + len(some))] == list(range(200))
+        p, router = lexical_packing.Postings(rests, opens), lexical_packing.Router(rests, opens, 4)
+        index = lexical_packing.Index(p)
+        places.append([p.words, p.tf, p.docs, p.term, p.begin, p.df, index.weight, index.dense, router.weight, router.centres, *router.places(rests)])
+    for other in places[1:]:
+        assert all(np.array_equal(a, b) for a, b in zip(places[0], other, strict=True))
+    # against a plain count of the words
+    plain = collections.Counter((w, k) for k, r in enumerate(rests) for w in re.findall(r"^b+|ab*", "".join("ab"[not opens[i]] for i in r)) for w in [len(w)])
+    assert p.words.tolist() == [sum(n for (_, d), n in plain.items() if d == k) for k in range(200)]
+    assert int(p.tf.sum()) == sum(plain.values())
+
+
+def test_packing_needs_no_tokenizer_in_shards(spark, monkeypatch):
+    """The functions that run on shards hold only which ids open a word, and the type of ids."""
+    sent = []
+    frame = type(spark.range(1).groupBy("id"))
+    plain = frame.applyInArrow
+    monkeypatch.setattr(frame, "applyInArrow", lambda self, f, schema: (sent.append(f), plain(self, f, schema))[1])
+    rows = [(k, f"some words of {k}") for k in range(20)]
+    out = lexical_packing.lexical_packing(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.agg(F.countDistinct("doc_id")).first()[0] == 20
+    assert sent and not any("encoder" in f.__code__.co_names for f in sent)
+
+
+def test_packing_samples_alike(spark, monkeypatch):
+    monkeypatch.setattr(lexical_packing, "SAMPLE", 50)
+    rows = spark.createDataFrame([(f"text {k}",) for k in range(200)], "text string")
+    first, second = (lexical_packing._sampled(rows, 200, 2048, lexical_packing.tokenizer_files(), "text") for _ in range(2))
+    assert 0 < len(first) < 200 and [x.tolist() for x in first] == [x.tolist() for x in second]
+
+
 def test_packing_scores_against_plain_bm25():
     """A shard's scores with the statistics of all documents equal the formula over all of them; rare and frequent terms."""
     rng = np.random.default_rng(8)
