@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._bytes import Spans, U, Words, mix, row_slices, text_bytes
-from ._common import MAX_ID, staged, text_or_empty
+from ._common import MAX_ID, staged, text_or_empty, tidied
 from .components import component_labels
 
 SHINGLE = 5
@@ -210,7 +210,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, slots: int, shingle: int,
                 )
 
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), node_id(id_col, text_col).alias("did"), text_or_empty(text_col).alias("t"))
-    return rows_in.mapInArrow(scan, "doc_id long, did long, e1 long, e2 long, bands array<long>, sketch binary")
+    return rows_in.mapInArrow(tidied(scan), "doc_id long, did long, e1 long, e2 long, bands array<long>, sketch binary")
 
 
 def shingle_bags(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -229,7 +229,7 @@ def shingle_bags(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, t
 
     texts = docs.select(node_id(id_col, text_col).alias("did"), text_or_empty(text_col).alias("t"))
     # one plan at every size: the texts are sorted to the nodes
-    return texts.hint("merge").join(nodes, "did", "left_semi").mapInArrow(bags, "did long, bag binary")
+    return texts.hint("merge").join(nodes, "did", "left_semi").mapInArrow(tidied(bags), "did long, bag binary")
 
 
 def unshared(bags: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -242,7 +242,7 @@ def unshared(bags: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(np.full(len(token), did)), pa.array(token.view(np.int64)), pa.array(n)], names=["node", "token", "n"])
 
     own = (
-        bags.join(nodes, "did", "left_semi").mapInArrow(tokens, "node long, token long, n long")
+        bags.join(nodes, "did", "left_semi").mapInArrow(tidied(tokens), "node long, token long, n long")
         .groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("node"), F.sum("n").alias("n"))
         .filter("df = 1").groupBy("node").agg(F.sum("n").alias("alone"))
     )

@@ -60,7 +60,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import U, mix
-from ._common import order_id, parts_for, staged, text_or_empty
+from ._common import give_back, order_id, parts_for, staged, text_or_empty, tidied
 
 WINDOW = 2048
 END_ID = 1
@@ -550,7 +550,7 @@ def _sampled(docs: DataFrame, n_docs: int, window: int, files: tuple[str, str |
 
     some = docs.sample(fraction=min(1.0, SAMPLE / n_docs), seed=1).select(text_or_empty(text_col).alias("t"))
     dtype = encoder(*files).dtype
-    return [x for x in (np.frombuffer(r.ids, dtype=dtype) for r in some.mapInArrow(tokenise, "ids binary").collect()) if len(x)]
+    return [x for x in (np.frombuffer(r.ids, dtype=dtype) for r in some.mapInArrow(tidied(tokenise), "ids binary").collect()) if len(x)]
 
 
 def placed(
@@ -591,7 +591,7 @@ def placed(
 
     tie = F.xxhash64(order_id(id_col), text_or_empty(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), tie.alias("tie"), text_or_empty(text_col).alias("t"))
-    rows = staged(rows.mapInArrow(tokenise, _ddl(_MIDDLE)), "packing")
+    rows = staged(rows.mapInArrow(tidied(tokenise), _ddl(_MIDDLE)), "packing")
 
     rests = rows.filter("ids IS NOT NULL")
     size = rests.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("length").alias("tokens"), F.sum("words").alias("words")).collect()
@@ -661,7 +661,17 @@ def lexical_packing(
                 sequence += 1
         return _table(_OUT, out)
 
-    in_shards = staged(rows.filter("ids IS NOT NULL").groupBy("shard").applyInArrow(count_terms, "shard long, term long, df long"), "packing-terms")
+    def counted(table: pa.Table) -> pa.Table:
+        out = count_terms(table)
+        give_back()
+        return out
+
+    def packed(table: pa.Table, counts: pa.Table) -> pa.Table:
+        out = pack_shard(table, counts)
+        give_back()
+        return out
+
+    in_shards = staged(rows.filter("ids IS NOT NULL").groupBy("shard").applyInArrow(counted, "shard long, term long, df long"), "packing-terms")
     # in a query only terms that several documents of the shard have can find one
     asked = in_shards.filter("df > 1").select("shard", "term").join(in_shards.groupBy("term").agg(F.sum("df").alias("df")), "term")
-    return rows.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(pack_shard, _ddl(_OUT))
+    return rows.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(packed, _ddl(_OUT))

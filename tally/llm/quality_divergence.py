@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._bytes import Spans, U, Words, mix, row_slices, text_bytes
-from ._common import staged, text_or_empty
+from ._common import staged, text_or_empty, tidied
 
 COMMON_WORDS = 50
 MIN_REFERENCE = 2000
@@ -204,7 +204,7 @@ def _rows(lang: str | None, kind: int, key: np.ndarray, n: np.ndarray) -> pa.Rec
 def learn_reference(docs: DataFrame, common_words: int = COMMON_WORDS, text_col: str = "text", lang_col: str = "lang") -> Reference:
     """Histograms of every language, counted over all documents."""
     rows = docs.select(text_or_empty(text_col).alias("t"), F.col(lang_col).alias("lang"))
-    counts = rows.mapInArrow(_totals, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(tidied(_totals), "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counts = staged(counts, "quality-counts")
     rank = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "key")
     top = counts.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max(common_words, N_CLASSES)).collect()
@@ -349,7 +349,7 @@ def quality_scores(
     id_type = docs.schema[id_col].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in COUNTS)
     rows = docs.select(F.col(id_col), text_or_empty(text_col).alias("_t"), F.col(lang_col).alias("_l"))
-    return rows.mapInArrow(scan, f"`{id_col}` {id_type}, {counts}, base_failed boolean, class_distance double, word_distance double, kept boolean")
+    return rows.mapInArrow(tidied(scan), f"`{id_col}` {id_type}, {counts}, base_failed boolean, class_distance double, word_distance double, kept boolean")
 
 
 def quality_filter(docs: DataFrame, ref: Reference, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

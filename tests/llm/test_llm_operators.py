@@ -352,7 +352,35 @@ def test_packing_needs_no_tokenizer_in_shards(spark, monkeypatch):
     rows = [(k, f"some words of {k}") for k in range(20)]
     out = lexical_packing.lexical_packing(spark.createDataFrame(rows, "doc_id long, text string"))
     assert out.agg(F.countDistinct("doc_id")).first()[0] == 20
-    assert sent and not any("encoder" in f.__code__.co_names for f in sent)
+    inner = [c.cell_contents for f in sent for c in f.__closure__ or () if callable(c.cell_contents)]
+    assert inner and not any("encoder" in (*f.__code__.co_names, *f.__code__.co_freevars) for f in sent + inner)
+
+
+def test_tasks_give_freed_memory_back():
+    """What a task has freed leaves its worker, which lives on."""
+    import subprocess
+    import sys
+
+    code = """
+import re
+import pyarrow as pa
+from tally.llm._common import tidied
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+
+def task(batches):
+    for b in batches:
+        a = [bytes(50_000) for _ in range(3000)]
+        keep.extend(a[::100])
+        yield b
+
+keep = []
+before = held()
+list(tidied(task)(iter([pa.record_batch([[1]], names=["x"])])))
+print(held() - before)
+"""
+    assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 40
 
 
 def test_packing_samples_alike(spark, monkeypatch):
