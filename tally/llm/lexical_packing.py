@@ -332,11 +332,11 @@ class Index:
         some = (p.df > 1) & (self.row < 0)
         self.df = np.where(some, p.df, 0)
         self.begin = np.cumsum(self.df) - self.df
-        self.docs, self.weight = p.docs[some[number]], self.weight[some[number]]
+        self.docs, self.weight = p.docs[some[number]].astype(np.int64), self.weight[some[number]]  # as bincount takes them
         # per document, all its terms that occur elsewhere too
         shared = np.flatnonzero(p.df[number] > 1)
         mine = shared[np.argsort(p.docs[shared].astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")]
-        self.query, self.query_at = number[mine], np.searchsorted(p.docs[mine], np.arange(n + 1))
+        self.query, self.query_at = number[mine].astype(np.int64), np.searchsorted(p.docs[mine], np.arange(n + 1))
 
     def keep(self, some: np.ndarray) -> None:
         """From now on only these (a flag for each of ``documents``) are scored, with the same scores; a seed can be any."""
@@ -344,7 +344,7 @@ class Index:
         before = np.append(0, np.cumsum(at))
         self.df = before[self.begin + self.df] - before[self.begin]
         self.begin = before[self.begin]
-        self.docs, self.weight = (np.cumsum(some, dtype=np.int32) - 1)[self.docs[at]], self.weight[at]
+        self.docs, self.weight = (np.cumsum(some) - 1)[self.docs[at]], self.weight[at]
         self.dense = np.compress(some, self.dense, axis=1)
         self.documents = self.documents[some]
         self.n = len(self.documents)
